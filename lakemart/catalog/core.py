@@ -17,7 +17,8 @@ from lakemart.operators.quality import (
 from lakemart.operators.upkeep import compaction_plan as plan_compaction, expired_versions as old_versions
 from lakemart.operators.upsert import merge_rows, reload_rows, scd1
 from lakemart.operators.windows import (
-    date_slices as slices, high_watermark as watermark, scan_window, slice_number, window_start_column,
+    date_slices as slices, high_watermark as watermark, scan_window, slice_number, window_start as first_day,
+    window_start_column,
 )
 
 GRAIN = ["data", "user_id"]
@@ -29,8 +30,8 @@ DAILY_SQL = """
 
 
 def daily_last(source: Source) -> DataFrame:
-    last = last_per_grain(daily_events(source), GRAIN, ["ts", "event_id"])
-    return last.select("data", "user_id", "event_id", "event_type", "value")
+    events = daily_events(source).drop("props")
+    return last_per_grain(events, GRAIN, ["ts", "event_id"]).select("data", "user_id", "event_id", "event_type", "value")
 
 
 def target_and_restated(source: Source) -> tuple[DataFrame, DataFrame]:
@@ -75,9 +76,10 @@ def window_start(source: Source) -> DataFrame:
     where cast(ts as date) >= (select max(cast(ts as date)) - 10 from events)
 """)
 def window_scan(source: Source) -> DataFrame:
+    """The bound is fetched first, so that as a literal it reaches the Parquet scan."""
     days = daily_events(source).select("event_id", "user_id", "data", "value")
-    start = watermark(days, "data").select(window_start_column(F.col("watermark"), 10)).scalar()
-    return scan_window(days, "data", start)
+    latest = watermark(days, "data").first()["watermark"]
+    return scan_window(days, "data", first_day(latest, 10))
 
 
 @query(TARGET_AND_RESTATED_SQL + """

@@ -75,7 +75,7 @@ def inbox_filter(source: Source) -> DataFrame:
     for frame, name in ((rows, "sales-{}.CSV"), (wrong, "~sales-{}.csv"), (wrong, "+sales-{}.csv"), (wrong, "sales-{}.txt")):
         written = f"{root}/{name[0]}written"
         frame.write.mode("overwrite").csv(written)
-        parts = [part for part, _, _ in files.children(written) if part.startswith("part-")]
+        parts = [part for part, _ in files.children(written) if part.startswith("part-")]
         for number, part in enumerate(parts):
             files.move(f"{written}/{part}", f"{root}/inbox/{name.format(number)}")
     scanned = source.spark.read.schema(rows.schema).csv(f"{root}/inbox")

@@ -209,7 +209,7 @@ def projections_mart(source: Source) -> DataFrame:
     rows.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option(
         "ignoreTrailingWhiteSpace", "false").csv(f"{root}/written")
     files = Files(source.spark, root)
-    (part,) = [name for name, _, _ in files.children(f"{root}/written") if name.startswith("part-")]
+    (part,) = [name for name, _ in files.children(f"{root}/written") if name.startswith("part-")]
     files.move(f"{root}/written/{part}", f"{mart.inbox}/projetadas.csv")
     mart.ingest(RUN_1)
     mart.load()

@@ -2,27 +2,50 @@
 
 No broadcast hint anywhere: a lookup side is broadcast only when its estimated (or, with adaptive
 execution, measured) size is below the session threshold; otherwise it is a sort-merge join whose
-hot partitions adaptive execution splits.
+hot partitions adaptive execution splits. Rows without a key match nothing and can be most of the
+input, so they are spread over the shuffle instead of meeting in one partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from lakemart.functions.casts import quoted
 from lakemart.functions.links import WATCH, click_url, video_url
 from lakemart.functions.nested import creative_post_id, creative_video_id, thumbnail_url
 
 
+NULL_KEY_SPREAD = 4096
+_SPREAD = "_spread"
+
+
+def left_join(df: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left equi join; rows with a null key are spread by a hash of their other values.
+
+    The extra join column is 0 for every row that can match. It is computed from the key on the
+    table side too, since Catalyst would fold a literal away and shuffle by the key alone.
+    """
+    def lacking(keys):
+        return reduce(or_, [F.col(quoted(name)).isNull() for name in keys])
+
+    hashable = (T.StringType, T.NumericType, T.DatetimeType, T.BooleanType)
+    values = [F.col(quoted(f.name)) for f in df.schema.fields if isinstance(f.dataType, hashable)]
+    bucket = F.pmod(F.xxhash64(*values), F.lit(NULL_KEY_SPREAD))
+    rows = df.withColumn(_SPREAD, F.when(lacking(on), bucket + 1).otherwise(0))
+    matches = table.withColumn(_SPREAD, F.when(lacking(on), -1).otherwise(0).cast("bigint"))
+    return rows.join(matches, [*on, _SPREAD], "left").drop(_SPREAD)
+
+
 def lookup(
     df: DataFrame, table: DataFrame, on: Sequence[str], defaults: Mapping[str, object]
 ) -> DataFrame:
     """Add the ``defaults`` columns of ``table`` (one row per key), defaulting where there is no match."""
     wanted = table.select(*[F.col(quoted(name)) for name in [*on, *defaults]])
-    joined = df.join(wanted, list(on), "left")
+    joined = left_join(df, wanted, on)
     return joined.withColumns({
         name: F.coalesce(F.col(quoted(name)), F.lit(value)) for name, value in defaults.items()
     }).select(*[F.col(quoted(name)) for name in [*df.columns, *defaults]])
@@ -30,7 +53,7 @@ def lookup(
 
 def star_join(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """Fact rows with the attributes of each dimension, unmatched ones null."""
-    return reduce(lambda rows, dim: rows.join(dim[0], list(dim[1]), "left"), dimensions, fact)
+    return reduce(lambda rows, dim: left_join(rows, *dim), dimensions, fact)
 
 
 def resolve_creatives(
@@ -56,7 +79,7 @@ def resolve_creatives(
         F.nullif("permalink_url", F.lit("")).alias("post_link"),
         F.col("full_picture").alias("post_thumb"),
     )
-    met = picked.join(video_meta, "video_id", "left").join(post_meta, "post_id", "left")
+    met = left_join(left_join(picked, video_meta, ["video_id"]), post_meta, ["post_id"])
     from_video = F.col("video_id").isNotNull()
     link = (
         F.when(from_video, video_url(

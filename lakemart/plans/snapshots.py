@@ -138,7 +138,9 @@ class SheetSalesMart(DroppedFileMart):
         silver = self.silver.read()
         self.fact.overwrite(sheet_fact(silver))
         for dim in spec.SHEET_DIMENSIONS:
-            self.dimensions[dim.name].overwrite(distinct_rows(silver, dim.columns))
+            rows = distinct_rows(silver, dim.columns)
+            if rows.columns:
+                self.dimensions[dim.name].overwrite(rows)
 
 
 class ProjectionsMart(DroppedFileMart):

@@ -23,12 +23,18 @@ class Files:
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
-    def children(self, path: str) -> list:
-        """(name, is_directory, modified_ms) of the direct children, sorted by name."""
+    def modified_ms(self, path: str) -> int | None:
+        """Modification time of a file, or None when there is none."""
+        if not self.exists(path):
+            return None
+        return self._fs.getFileStatus(self._path(path)).getModificationTime()
+
+    def children(self, path: str) -> list[tuple[str, bool]]:
+        """(name, is_directory) of the direct children, sorted by name."""
         if not self.exists(path):
             return []
         found = self._fs.listStatus(self._path(path))
-        return sorted((s.getPath().getName(), s.isDirectory(), s.getModificationTime()) for s in found)
+        return sorted((status.getPath().getName(), status.isDirectory()) for status in found)
 
     def ensure_folder(self, path: str) -> None:
         self._fs.mkdirs(self._path(path))

@@ -50,7 +50,7 @@ def promote(
     stage_root, target = stage_root.rstrip("/"), raw_partition(raw_root, ingestion_date)
     files = Files(spark, stage_root)
     visible = [entry for entry in files.children(stage_root) if not entry[0].startswith(("_", "."))]
-    names = [name for name, is_directory, _ in visible if is_directory or has_extension(name, extensions)]
+    names = [name for name, is_directory in visible if is_directory or has_extension(name, extensions)]
     if not names:
         return 0
     if len(names) == len(visible) and not files.exists(target):

@@ -44,13 +44,12 @@ class SnapshotTable:
     def versions(self) -> list[tuple[int, dt.datetime]]:
         """(version, commit time in UTC) of every committed version, oldest first."""
         found = []
-        for name, is_directory, _ in self.files.children(self.path):
+        for name, is_directory in self.files.children(self.path):
             if not (is_directory and name.startswith("v=")):
                 continue
-            marker = [m for n, _, m in self.files.children(f"{self.path}/{name}") if n == DONE]
-            if marker:
-                committed = dt.datetime.fromtimestamp(marker[0] / 1000, dt.timezone.utc)
-                found.append((int(name[2:]), committed))
+            marker = self.files.modified_ms(f"{self.path}/{name}/{DONE}")
+            if marker is not None:
+                found.append((int(name[2:]), dt.datetime.fromtimestamp(marker / 1000, dt.timezone.utc)))
         return sorted(found)
 
     def exists(self) -> bool:
@@ -80,12 +79,6 @@ class SnapshotTable:
     def merge(self, source: DataFrame, keys: Sequence[str]) -> int:
         return self.overwrite(merge_rows(self.read() if self.exists() else None, writable(source), keys))
 
-    def watermark(self, column: str):
-        return self.read().agg(F.max(quoted(column))).first()[0] if self.exists() else None
-
-    def window_start(self, column: str, lookback_days: int) -> dt.date:
-        return window_start(self.watermark(column), lookback_days)
-
     def version_listing(self) -> DataFrame:
         return self.spark.createDataFrame(self.versions(), "version bigint, committed_at timestamp")
 
@@ -140,7 +133,7 @@ class PartitionedTable:
 
     def _partitions(self) -> list[str]:
         prefix = f"{self.partition}="
-        return [n[len(prefix):] for n, is_dir, _ in self.files.children(self.path) if is_dir and n.startswith(prefix)]
+        return [n[len(prefix):] for n, is_dir in self.files.children(self.path) if is_dir and n.startswith(prefix)]
 
     def _rows(self) -> DataFrame:
         return self.spark.read.parquet(self.path)
@@ -206,7 +199,7 @@ class PartitionedTable:
     def _replace(self, rows: DataFrame, touched: list) -> None:
         """Make ``rows`` the whole content of the touched partitions."""
         self._spread(rows).write.partitionBy(self.partition).parquet(self._pending_rows)
-        written = {name for name, is_directory, _ in self.files.children(self._pending_rows) if is_directory}
+        written = {name for name, is_directory in self.files.children(self._pending_rows) if is_directory}
         cleared = [(folder,) for folder in map(self._folder, touched) if folder not in written]
         # This marker is the commit: before it the load never happened, after it the load is finished.
         self.spark.createDataFrame(cleared, "folder string").write.parquet(self._pending_cleared)
@@ -220,7 +213,7 @@ class PartitionedTable:
         if self.files.exists(f"{self._pending_cleared}/{DONE}"):
             for row in self.spark.read.schema("folder string").parquet(self._pending_cleared).collect():
                 self.files.delete(f"{self.path}/{row['folder']}")
-            for name, is_directory, _ in self.files.children(self._pending_rows):
+            for name, is_directory in self.files.children(self._pending_rows):
                 if is_directory:
                     self.files.move(f"{self._pending_rows}/{name}", f"{self.path}/{name}")
         self.files.delete(pending)

@@ -1,0 +1,142 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from lakemart.functions import casts, links, nested, text
+from lakemart.operators import projection
+
+
+def test_lenient_numbers(values):
+    texts = ["1e3", "abc", " 1", "1d", "0x1", "", None, "12.5", "inf"]
+    assert values(casts.lenient_double, texts) == [1000.0, None, None, None, None, None, None, 12.5, float("inf")]
+    assert values(casts.lenient_long, ["12", "12.0", "12.7", "-4", "x", None]) == [12, None, None, -4, None, None]
+
+
+def test_lenient_cast_of_typed_columns(spark, rows):
+    from pyspark.sql import types as T
+
+    frame = spark.createDataFrame([(12.7, "a"), (float("nan"), "b"), (1e30, "c")], "n double, s string")
+    cast = casts.lenient_cast(frame, {"n": T.LongType(), "s": T.StringType(), "absent": T.LongType()})
+    assert rows(cast) == [(12, "a"), (None, "b"), (None, "c")]
+
+
+def test_iso_date(values):
+    found = values(casts.iso_date, ["2024-01-05", "2024-13-05", "2024", "2024-1-5", None, "2024-01-05T00:00"])
+    assert found == [dt.date(2024, 1, 5), None, None, None, None, None]
+
+
+def test_dates_ignore_the_session_zone(spark, values):
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        days = values(casts.epoch_ms_date, [-1, 0, 1704067199999, 1704067200000, None], "bigint")
+        assert days == [dt.date(1969, 12, 31), dt.date(1970, 1, 1), dt.date(2023, 12, 31), dt.date(2024, 1, 1), None]
+        # A wall clock that does not exist in that zone.
+        clock = spark.sql("select timestamp_ntz '2018-11-04 00:30:00' as t, null as n")
+        clean = projection.writable(clock)
+        assert dict(clean.dtypes) == {"t": "timestamp", "n": "string"}
+        seconds = clean.select(F.col("t").cast("bigint")).first()[0]
+        assert dt.datetime.fromtimestamp(seconds, dt.timezone.utc).replace(tzinfo=None) == dt.datetime(2018, 11, 4, 0, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_currency(values):
+    texts = ["R$ 1.234,56", "R$ 1.234,56", "0,005", "10", "-5,1", None]
+    assert values(text.currency_decimal, texts) == [
+        Decimal("1234.56"), Decimal("1234.56"), Decimal("0.01"), Decimal("10.00"), Decimal("-5.10"), None
+    ]
+    with pytest.raises(PySparkException, match="not a currency amount"):
+        values(text.currency_decimal, ["1,2,3"])
+
+
+def test_month_label(values):
+    labels = ["jan/2025", " DEZ/2024 ", "xyz/2025", None, " Fev/24\n", "jan /2025"]
+    assert values(text.month_label_date, labels) == ["01/01/2025", "01/12/2024", None, None, "01/02/24", None]
+    for malformed in ("a/b/c", "jan", ""):
+        with pytest.raises(PySparkException, match="not a month label"):
+            values(text.month_label_date, [malformed])
+
+
+def test_hash_keys(spark):
+    row = spark.sql("select 'ab' a, 'c' b, cast(null as string) n, '' e").select(
+        text.md5_key(F.col("a"), F.col("b")).alias("k"), text.md5_key(F.col("n")).alias("n"),
+        text.md5_key(F.col("e")).alias("e"), text.md5_key(F.col("a"), F.col("b"), sep="|").alias("s"),
+    ).first()
+    assert row["k"] == "900150983cd24fb0d6963f7d28e17f72"
+    assert row["n"] == row["e"] == "d41d8cd98f00b204e9800998ecf8427e"
+    assert row["s"] != row["k"]
+
+
+def test_links(values):
+    watch = links.WATCH
+    cases = {
+        "": "", None: "", "https://x/videos/12": "https://x/videos/12", "/x/videos/12/": watch + "12",
+        "123": watch + "123", "12_34": links.SITE + "/12/posts/34", "/p": links.SITE + "/p", "abc": "abc",
+        "12\n": "12\n", "12_34\n": "12_34\n", "1_2_3": "1_2_3",
+    }
+    assert values(links.video_url, list(cases)) == list(cases.values())
+    assert values(links.click_url, ["https://x/videos/12", "https://x/y", None]) == [watch + "12", "https://x/y", ""]
+
+
+ACTIONS = "array<struct<action_type: string, value: string>>"
+
+
+def test_actions(values):
+    lists = [
+        [("lead", "2.9"), ("lead", "7")], [("lead", "x"), ("lead", "7")], [], None, [("other", "1")],
+        [("lead", None)], [("lead", "nan")], [("lead", "1e30")],
+    ]
+    assert values(lambda c: nested.action_count(c, "lead"), lists, ACTIONS) == [2, 0, 0, 0, 0, 0, 0, 0]
+    assert values(lambda c: nested.action_value(c, "lead"), lists[:6], ACTIONS) == [2.9, 0.0, 0.0, 0.0, 0.0, 0.0]
+
+
+TARGETING = (
+    "struct<custom_audiences: array<struct<id: string, name: string>>,"
+    " flexible_spec: array<struct<custom_audiences: array<struct<id: string, name: string>>>>>"
+)
+
+
+def test_audience_label(values):
+    cases = [
+        None,
+        (None, None),
+        ([("1", "b"), ("2", None), ("3", "")], [([("4", "a"), ("5", "b"), ("2", None)],), (None,)]),
+        ([(None, None), (None, "é"), ("9", None)], None),
+    ]
+    assert values(nested.audience_label, cases, TARGETING) == ["", "", "a | b | CA:2 | CA:3", "é | CA:9"]
+
+
+def test_flatten_unknown_records(spark):
+    frame = spark.sql("""
+        select named_struct('b_c', 1, 'x', named_struct('y', 'deep')) as a, named_struct('c', 2) as a_b,
+               array(named_struct('k', 'ção', 'n', cast(null as int))) as items, cast(null as array<int>) as nothing,
+               cast(null as struct<z: int>) as gone, 7 as `dot.ted`
+    """)
+    flat = nested.flatten_structs(frame)
+    assert flat.columns == ["a_b_c", "a_x_y", "items", "nothing", "gone_z", "dot.ted"]
+    assert tuple(flat.first()) == (2, "deep", '[{"k":"ção"}]', None, None, 7)
+
+
+def test_flatten_known_records_survives_missing_parents(spark):
+    from lakemart import spec
+    from lakemart.plans.sales import flatten_sales
+
+    flat = flatten_sales(spark.createDataFrame([(None, None, None, None)], spec.SALES_RECORD_DDL))
+    assert flat.columns == list(spec.SALES_PATHS) and len(flat.columns) == 26
+    assert set(flat.first()) == {None}
+
+
+def test_defaults_keep_the_column_type(spark, rows):
+    frame = spark.createDataFrame([("abc",), (None,)], "spend string")
+    filled = projection.fill_defaults(frame, {"spend": 0.0, "reach": 0})
+    assert rows(filled) == [("0.0", 0), ("abc", 0)]
+
+
+def test_projections_of_present_columns(spark):
+    frame = spark.createDataFrame([(1, 2, 3)], "`Cod. de Barras` int, b_ms int, `CPF/CNPJ` int")
+    assert projection.select_present(frame, ["CPF/CNPJ", "absent", "Cod. de Barras"]).columns == ["CPF/CNPJ", "Cod. de Barras"]
+    assert projection.drop_suffix(frame, "_ms").columns == ["Cod. de Barras", "CPF/CNPJ"]
+    assert "net" not in projection.net_amount(frame, "b_ms", "absent", "net").columns
