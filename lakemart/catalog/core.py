@@ -11,7 +11,7 @@ from lakemart.catalog.registry import Source, query
 from lakemart.operators.dedup import distinct_rows, keep_last as last_per_grain
 from lakemart.operators.projection import select_present as present_columns
 from lakemart.operators.quality import (
-    all_present, any_positive as active_rows, coverage, duplicate_keys, exclude_ids as without_ids,
+    all_present, any_positive as active_rows, duplicate_keys, exclude_ids as without_ids,
     missing_key_report as missing_keys, row_counts, snapshot_report, split_rejects,
 )
 from lakemart.operators.upkeep import compaction_plan as plan_compaction, expired_versions as old_versions
@@ -260,12 +260,6 @@ def row_count_audit(source: Source) -> DataFrame:
     return row_counts({name: getattr(source, name) for name in TABLES})
 
 
-@query("select count(*) filter (url like 'https%') as resolved, count(*) as total from pages")
-def resolve_coverage(source: Source) -> DataFrame:
-    links = source.pages.select(F.when(F.col("url").startswith("https"), F.col("url")).otherwise("").alias("link"))
-    return coverage(links, "link")
-
-
 @query("select o_orderkey, o_custkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 50")
 def top_sample(source: Source) -> DataFrame:
     """The serving layer's 50-row sample, ordered so that it is always the same."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakemart.catalog.frames import text
 from lakemart.catalog.registry import Source, query
+from lakemart.operators.quality import coverage
 from lakemart.operators.lookups import lookup, resolve_creatives, star_join as join_dimensions
 
 
@@ -74,8 +75,7 @@ CREATIVE_SQL = """
 """
 
 
-@query(CREATIVE_SQL)
-def creative_resolve(source: Source) -> DataFrame:
+def creative_links(source: Source) -> DataFrame:
     status, priority, key = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_orderkey")
     story_video = F.when(status == "F", text(key % 4000))
     feed_video = F.when((status == "O") & (priority != "5-LOW"), F.concat(F.lit("f"), text(key % 3000)))
@@ -108,3 +108,14 @@ def creative_resolve(source: Source) -> DataFrame:
         F.nullif("c_mktsegment", F.lit("BUILDING")).alias("full_picture"),
     )
     return resolve_creatives(creatives, story_videos.unionByName(feed_videos), posts)
+
+
+@query(CREATIVE_SQL)
+def creative_resolve(source: Source) -> DataFrame:
+    return creative_links(source)
+
+
+@query(f"select count(*) filter (video_url <> '') as resolved, count(*) as total from ({CREATIVE_SQL})")
+def resolve_coverage(source: Source) -> DataFrame:
+    """How many ads got a link."""
+    return coverage(creative_links(source), "video_url")

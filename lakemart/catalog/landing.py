@@ -99,7 +99,7 @@ def workbook_scan(source: Source) -> DataFrame:
     """Binary files decoded one per task batch; CSV bytes stand in for a workbook."""
     path = scratch_path(source.spark, "books")
     rows = source.customer.select("c_custkey", "c_name", "c_acctbal")
-    rows.repartition(8).write.option("header", "true").csv(path)
+    rows.write.option("header", "true").option("maxRecordsPerFile", 20_000).csv(path)
 
     def decode(content: bytes) -> pd.DataFrame:
         return pd.read_csv(io.BytesIO(content))

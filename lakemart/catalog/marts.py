@@ -10,26 +10,24 @@ from lakemart import spec
 from lakemart.catalog.columns import SALES_SQL
 from lakemart.catalog.frames import insight_records, projection_rows, sale_records, sheet_rows, text
 from lakemart.catalog.registry import Source, query
+from lakemart.functions.casts import epoch_ms_date
+from lakemart.operators.dedup import keep_last
 from lakemart.plans.ads import AdsMart, shape_insights
 from lakemart.plans.sales import SalesMart, flatten_sales
 from lakemart.plans.snapshots import ProjectionsMart, SheetSalesMart, SubscriptionsMart
 from lakemart.session import scratch_path
-from lakemart.sources.files import Files
 from lakemart.sources.landing import raw_partition
-from lakemart.operators.dedup import keep_last
 
 RUN_1, RUN_2 = dt.date(2024, 2, 1), dt.date(2024, 2, 2)
 LOADED_UNTIL, RESTATED_FROM = "2024-01-20", "2024-01-10"
 
 
 def ads_mart(source: Source) -> AdsMart:
-    """A first load up to a day, then a restated window that overlaps it."""
-    mart = AdsMart(source.spark, scratch_path(source.spark, "ads"), "camp")
-    records = keep_last(insight_records(source), ["date_start", "campaign_id"], ["event_id"]).drop("event_id")
-    restated = records.withColumn("spend", text(F.col("spend").cast("double") * 2))
-    mart.load(shape_insights(records.where(F.col("date_start") <= LOADED_UNTIL)), RUN_1)
-    mart.load(shape_insights(restated.where(F.col("date_start") >= RESTATED_FROM)), RUN_2)
-    return mart
+    return AdsMart(source.spark, scratch_path(source.spark, "ads"), "camp")
+
+
+def daily_records(source: Source) -> DataFrame:
+    return keep_last(insight_records(source), ["date_start", "campaign_id"], ["event_id"]).drop("event_id")
 
 
 ADS_SQL = """
@@ -51,7 +49,11 @@ ADS_SQL = """
 
 @query(ADS_SQL + "select * exclude (event_type) from f")
 def ads_mart_fact(source: Source) -> DataFrame:
-    mart = ads_mart(source)
+    """A first load up to a day, then a restated window that overlaps it."""
+    mart, records = ads_mart(source), daily_records(source)
+    restated = records.withColumn("spend", text(F.col("spend").cast("double") * 2))
+    mart.load(shape_insights(records.where(F.col("date_start") <= LOADED_UNTIL)), RUN_1)
+    mart.load(shape_insights(restated.where(F.col("date_start") >= RESTATED_FROM)), RUN_2)
     return mart.fact.read().select(*mart.level.fact_columns)
 
 
@@ -60,21 +62,17 @@ def ads_mart_fact(source: Source) -> DataFrame:
     qualify row_number() over (partition by campaign_id order by data desc) = 1
 """)
 def ads_mart_dimension(source: Source) -> DataFrame:
-    return ads_mart(source).dimension.read()
+    """One load of everything: the name of a campaign is the one of its last day."""
+    mart = ads_mart(source)
+    mart.load(shape_insights(daily_records(source)), RUN_1)
+    return mart.dimension.read()
 
 
 SPLIT_DAY = "1999-06-01"
 
 
 def sales_mart(source: Source) -> SalesMart:
-    """A first load of the older sales, then the newer ones with changed statuses of recent ones."""
-    mart = SalesMart(source.spark, scratch_path(source.spark, "sales"))
-    flat = flatten_sales(sale_records(source))
-    day = F.date_from_unix_date(F.floor(F.col("order_date_ms") / 86_400_000).cast("int"))
-    mart.load(flat.where(day < F.lit(SPLIT_DAY).cast("date")), RUN_1)
-    recent = flat.where(day >= F.date_sub(F.lit(SPLIT_DAY).cast("date"), 60))
-    mart.load(recent.withColumn("status", F.concat("status", F.lit("+"))), RUN_2)
-    return mart
+    return SalesMart(source.spark, scratch_path(source.spark, "sales"))
 
 
 SALES_MART_SQL = f"""
@@ -96,7 +94,13 @@ SALES_MART_SQL = f"""
     from typed
 """)
 def sales_mart_fact(source: Source) -> DataFrame:
-    return sales_mart(source).fact.read().select(*spec.SALES_FACT_COLUMNS, spec.NET_AMOUNT)
+    """A first load of the older sales, then the newer ones with changed statuses of recent ones."""
+    mart, flat = sales_mart(source), flatten_sales(sale_records(source))
+    day, split = epoch_ms_date(F.col("order_date_ms")), F.lit(SPLIT_DAY).cast("date")
+    mart.load(flat.where(day < split), RUN_1)
+    recent = flat.where(day >= F.date_sub(split, 60))
+    mart.load(recent.withColumn("status", F.concat("status", F.lit("+"))), RUN_2)
+    return mart.fact.read().select(*spec.SALES_FACT_COLUMNS, spec.NET_AMOUNT)
 
 
 @query(SALES_MART_SQL + """
@@ -111,8 +115,9 @@ def sales_mart_fact(source: Source) -> DataFrame:
     select 'dim_produtor', producer_ucode, 'né' from typed where producer_ucode is not null group by 2
 """)
 def sales_mart_dimensions(source: Source) -> DataFrame:
-    """The four dimensions, each as (key, attribute)."""
+    """The four dimensions after one load of everything, each as (key, attribute)."""
     mart = sales_mart(source)
+    mart.load(flatten_sales(sale_records(source)), RUN_1)
     frames = []
     for dim, name in zip(spec.SALES_DIMENSIONS, ("buyer_name", "product_name", "offer_payment_mode", "producer_name")):
         rows = mart.dimensions[dim.name].read()
@@ -202,15 +207,11 @@ def sheet_mart_dimensions(source: Source) -> DataFrame:
     from orders group by 1
 """)
 def projections_mart(source: Source) -> DataFrame:
-    """Files dropped in the inbox are checked, moved to raw and loaded; drafts stay where they are."""
-    root = scratch_path(source.spark, "projections")
-    mart = ProjectionsMart(source.spark, root)
-    rows = projection_rows(source).coalesce(1)
-    rows.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option(
-        "ignoreTrailingWhiteSpace", "false").csv(f"{root}/written")
-    files = Files(source.spark, root)
-    (part,) = [name for name, _ in files.children(f"{root}/written") if name.startswith("part-")]
-    files.move(f"{root}/written/{part}", f"{mart.inbox}/projetadas.csv")
-    mart.ingest(RUN_1)
+    """Month labels and currency text of the newest drop, as dates and amounts."""
+    mart = ProjectionsMart(source.spark, scratch_path(source.spark, "projections"))
+    sheet = projection_rows(source).write.option("header", "true")
+    sheet.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(
+        f"{raw_partition(mart.raw_root, RUN_1)}/projetadas.csv"
+    )
     mart.load()
     return mart.fact.read()

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakemart.functions.casts import quoted
-from lakemart.sources.files import Files, file_listing
+from lakemart.sources.files import Files
 
 PARTITION = "ingestion_date"
 ARRIVAL = "_arrival"
@@ -88,25 +88,19 @@ def is_inbox_file(name: Column, extensions: Sequence[str]) -> Column:
     return _extension_matches(name, extensions) & ~ignored
 
 
-def latest_drop(listing: DataFrame, root: str, extensions: Sequence[str]) -> DataFrame:
-    """At most one row: the newest ``ingestion_date`` holding an allowed entry, and its first entry.
+def latest_drop_path(spark: SparkSession, root: str, extensions: Sequence[str]) -> str | None:
+    """First allowed entry of the newest ``ingestion_date`` that has one; None without any.
 
-    An entry is the path segment below the partition: a file, or a folder written by Spark.
+    An entry is a file, or a folder written by Spark under a file's name. Only folder names are
+    listed, newest first, and the search ends at the first hit.
     """
-    pattern = rf"^/{PARTITION}=([^/]+)/([^/]+)"
-    below_root = F.substring_index("path", root.rstrip("/"), -1)
-    entries = listing.select(
-        F.regexp_extract(below_root, pattern, 1).alias(PARTITION),
-        F.regexp_extract(below_root, pattern, 2).alias("entry"),
-    ).where((F.col(PARTITION) != "") & _extension_matches(F.col("entry"), extensions))
-    return (
-        entries.groupBy(PARTITION).agg(F.min("entry").alias("entry")).orderBy(F.desc(PARTITION)).limit(1)
-    )
-
-
-def latest_drop_path(spark: SparkSession, root: str, extensions: Sequence[str]) -> str | None:
-    found = latest_drop(file_listing(spark, root), root, extensions).first()
-    return found and f"{root.rstrip('/')}/{PARTITION}={found[PARTITION]}/{found['entry']}"
+    files, root = Files(spark, root), root.rstrip("/")
+    days = [name for name, is_directory in files.children(root) if is_directory and name.startswith(PARTITION + "=")]
+    for day in sorted(days, reverse=True):
+        entries = [name for name, _ in files.children(f"{root}/{day}") if has_extension(name, extensions)]
+        if entries:
+            return f"{root}/{day}/{min(entries)}"
+    return None
 
 
 # ---- readers -----------------------------------------------------------------------------
