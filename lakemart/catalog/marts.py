@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 from lakemart import spec
 from lakemart.catalog.columns import SALES_SQL
 from lakemart.catalog.frames import insight_records, projection_rows, sale_records, sheet_rows, text
+from lakemart.catalog.joins import CREATIVE_SQL, creative_links
 from lakemart.catalog.registry import Source, query
 from lakemart.functions.casts import epoch_ms_date
 from lakemart.operators.dedup import keep_last
-from lakemart.plans.ads import AdsMart, shape_insights
+from lakemart.plans.ads import AdsMart
 from lakemart.plans.sales import SalesMart, flatten_sales
 from lakemart.plans.snapshots import ProjectionsMart, SheetSalesMart, SubscriptionsMart
 from lakemart.session import scratch_path
@@ -52,8 +53,8 @@ def ads_mart_fact(source: Source) -> DataFrame:
     """A first load up to a day, then a restated window that overlaps it."""
     mart, records = ads_mart(source), daily_records(source)
     restated = records.withColumn("spend", text(F.col("spend").cast("double") * 2))
-    mart.load(shape_insights(records.where(F.col("date_start") <= LOADED_UNTIL)), RUN_1)
-    mart.load(shape_insights(restated.where(F.col("date_start") >= RESTATED_FROM)), RUN_2)
+    mart.load(records.where(F.col("date_start") <= LOADED_UNTIL), RUN_1)
+    mart.load(restated.where(F.col("date_start") >= RESTATED_FROM), RUN_2)
     return mart.fact.read().select(*mart.level.fact_columns)
 
 
@@ -64,7 +65,55 @@ def ads_mart_fact(source: Source) -> DataFrame:
 def ads_mart_dimension(source: Source) -> DataFrame:
     """One load of everything: the name of a campaign is the one of its last day."""
     mart = ads_mart(source)
-    mart.load(shape_insights(daily_records(source)), RUN_1)
+    mart.load(daily_records(source), RUN_1)
+    return mart.dimension.read()
+
+
+LAST_EVENT_SQL = """
+    select cast(user_id as varchar) as id, user_id, event_type from events
+    qualify row_number() over (partition by user_id order by cast(ts as date) desc, event_id desc) = 1
+"""
+
+
+@query(f"""
+    select id as adset_id, 'campaign ' || event_type as adset_name,
+           case when user_id % 3 = 1 then 'Everyone | CA:' || id when user_id % 3 = 2 then 'CA:' || id else '' end
+               as publicos_personalizados_incluidos
+    from ({LAST_EVENT_SQL})
+""")
+def adset_mart_dimension(source: Source) -> DataFrame:
+    """Users as ad sets; customers with the same number hold their targeting, a third has none."""
+    mart = AdsMart(source.spark, scratch_path(source.spark, "adsets"), "adset")
+    records = daily_records(source).select(
+        "*", F.col("campaign_id").alias("adset_id"), F.col("campaign_name").alias("adset_name")
+    )
+    key = text("c_custkey")
+    person = F.struct(key.alias("id"), F.lit(None).cast("string").alias("name"))
+    everyone = F.struct(F.lit("0").alias("id"), F.lit("Everyone").alias("name"))
+    form = F.col("c_custkey") % 3
+    targeting = F.when(form != 0, F.struct(
+        F.array(person).alias("custom_audiences"),
+        F.array(F.struct(F.when(form == 1, F.array(everyone, person)).alias("custom_audiences"))).alias("flexible_spec"),
+    ))
+    audiences = source.customer.select(key.alias("id"), targeting.alias("targeting"))
+    mart.load(records, RUN_1, audiences=audiences)
+    return mart.dimension.read()
+
+
+@query(f"""
+    with ad as ({LAST_EVENT_SQL}), link as ({CREATIVE_SQL})
+    select id as ad_id, 'campaign ' || event_type as ad_name, coalesce(video_url, '') as video_url,
+           coalesce(video_url_click, '') as video_url_click, coalesce(video_thumbnail_url, '') as video_thumbnail_url
+    from ad left join link on link.ad_id = ad.id
+""")
+def ad_mart_dimension(source: Source) -> DataFrame:
+    """Users as ads, with the links of the order of the same number."""
+    mart = AdsMart(source.spark, scratch_path(source.spark, "single-ads"), "ad")
+    records = daily_records(source).select(
+        "*", F.col("campaign_id").alias("ad_id"), F.col("campaign_name").alias("ad_name"),
+        F.col("campaign_id").alias("adset_id"),
+    )
+    mart.load(records, RUN_1, creatives=creative_links(source))
     return mart.dimension.read()
 
 

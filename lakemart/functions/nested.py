@@ -21,7 +21,7 @@ def _first_where(items: Column, condition) -> Column:
 def action_value(actions: Column, action_type: str) -> Column:
     """Value of the first action of that type as double; missing or unparsable gives 0."""
     first = _first_where(actions, lambda action: action["action_type"] == action_type)
-    return F.coalesce(lenient_double(first["value"].cast("string")), F.lit(0.0))
+    return F.coalesce(lenient_double(F.trim(first["value"].cast("string"))), F.lit(0.0))
 
 
 def action_count(actions: Column, action_type: str) -> Column:

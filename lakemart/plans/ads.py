@@ -31,28 +31,38 @@ def insight_schema(level: spec.AdsLevel) -> T.StructType:
     return T.StructType([*fields, T.StructField("actions", spec.ACTIONS_TYPE)])
 
 
-def shape_insights(
-    records: DataFrame, audiences: DataFrame | None = None, creatives: DataFrame | None = None
-) -> DataFrame:
-    """Landing records with derived measures, defaults and looked-up attributes; idle rows dropped.
-
-    ``audiences`` has ``id, targeting``; ``creatives`` has ``ad_id`` and the video columns.
-    """
+def active_insights(records: DataFrame) -> DataFrame:
+    """Landing records with defaults and derived measures; idle ones dropped."""
     actions = F.col("actions")
-    shaped = fill_defaults(records, spec.ADS_DEFAULTS).withColumns({
+    measured = fill_defaults(records, spec.ADS_DEFAULTS).withColumns({
         "leads": action_count(actions, spec.LEAD_ACTION),
         "purchases": action_count(actions, spec.PURCHASE_ACTION),
         "purchase_value": action_value(actions, spec.PURCHASE_VALUE_ACTION),
     }).drop("actions")
-    shaped = any_positive(shaped, spec.ADS_ACTIVITY_AMOUNTS, spec.ADS_ACTIVITY_COUNTS)
+    return any_positive(measured, spec.ADS_ACTIVITY_AMOUNTS, spec.ADS_ACTIVITY_COUNTS)
+
+
+def with_attributes(
+    level: spec.AdsLevel,
+    insights: DataFrame,
+    audiences: DataFrame | None = None,
+    creatives: DataFrame | None = None,
+) -> DataFrame:
+    """Add the looked-up attributes of the level; empty text without a table or a match.
+
+    ``audiences`` has ``id, targeting``; ``creatives`` has ``ad_id`` and the video columns.
+    """
     if audiences is not None:
         labels = audiences.select(
             F.col("id").alias("adset_id"), audience_label(F.col("targeting")).alias(spec.AUDIENCES)
         )
-        shaped = lookup(shaped, labels, ["adset_id"], {spec.AUDIENCES: ""})
+        insights = lookup(insights, labels, ["adset_id"], {spec.AUDIENCES: ""})
     if creatives is not None:
-        shaped = lookup(shaped, creatives, ["ad_id"], dict.fromkeys(spec.VIDEO_COLUMNS, ""))
-    return shaped
+        insights = lookup(insights, creatives, ["ad_id"], dict.fromkeys(spec.VIDEO_COLUMNS, ""))
+    looked_up = (spec.AUDIENCES, *spec.VIDEO_COLUMNS)
+    return fill_defaults(insights, {
+        name: "" for name in level.dimension.columns if name in looked_up and name not in insights.columns
+    })
 
 
 def type_insights(raw: DataFrame, ids: tuple[str, ...]) -> DataFrame:
@@ -78,15 +88,19 @@ class AdsMart:
     def tables(self) -> list:
         return [self.bronze, self.silver, self.fact, self.dimension]
 
-    def stage(self, shaped: DataFrame) -> None:
-        """Write the shaped records, one folder per event day; refuses records without an id.
+    def stage(self, records: DataFrame, **tables: DataFrame) -> DataFrame:
+        """Write the active records, one folder per event day; refuses records without an id.
 
-        Records that carry their arrival position are reduced to the last per day and id first.
+        The check reads the records alone, before any lookup. Records that carry their arrival
+        position are reduced to the last per day and id. ``tables`` are those of ``with_attributes``.
         """
-        require_keys(shaped, "date_start", self.level.id_column)
-        if ARRIVAL in shaped.columns:
-            shaped = keep_last(shaped, ["date_start", self.level.id_column], [ARRIVAL]).drop(ARRIVAL)
+        insights = active_insights(records)
+        require_keys(insights, "date_start", self.level.id_column)
+        if ARRIVAL in insights.columns:
+            insights = keep_last(insights, ["date_start", self.level.id_column], [ARRIVAL]).drop(ARRIVAL)
+        shaped = with_attributes(self.level, insights, **tables)
         stage_by_day(shaped.withColumn(STAGE_DAY, F.coalesce("date_start", F.lit(""))), self.stage_root, STAGE_DAY)
+        return shaped
 
     def to_raw(self, ingestion_date: dt.date) -> int:
         return promote(self.spark, self.stage_root, self.raw_root, ingestion_date, [".json"])
@@ -123,12 +137,12 @@ class AdsMart:
         dim = self.level.dimension
         self.dimension.merge(dimension_rows(rows, dim.key, dim.columns, ["data"]), dim.key)
 
-    def load(self, shaped: DataFrame, ingestion_date: dt.date) -> None:
-        """One whole run, from shaped records to gold."""
+    def load(self, records: DataFrame, ingestion_date: dt.date, **tables: DataFrame) -> None:
+        """One whole run, from landing records to gold."""
         for table in (self.bronze, self.silver, self.fact):
             table.recover()
-        self.stage(shaped)
+        shaped = self.stage(records, **tables)
         self.to_raw(ingestion_date)
-        self.to_bronze(self.read_raw(ingestion_date, shaped.drop(ARRIVAL).schema), ingestion_date)
+        self.to_bronze(self.read_raw(ingestion_date, shaped.schema), ingestion_date)
         self.to_silver()
         self.to_gold()

@@ -61,9 +61,13 @@ class SalesMart:
     def stage(self, flat: DataFrame) -> None:
         """Write flat records by UTC order day; records without transaction or day are dropped.
 
-        Records that carry their arrival position are reduced to the last per transaction first.
+        Empty text and epoch 0 count as absent. Records that carry their arrival position are
+        reduced to the last per transaction first.
         """
-        complete = all_present(flat, ["transaction"])
+        known = flat.withColumns({
+            "transaction": F.nullif("transaction", F.lit("")), "order_date_ms": F.nullif("order_date_ms", F.lit(0)),
+        })
+        complete = all_present(known, ["transaction"])
         if ARRIVAL in flat.columns:
             complete = keep_last(complete, spec.SALES_GRAIN, [ARRIVAL]).drop(ARRIVAL)
         complete = all_present(complete, ["order_date_ms"])

@@ -92,11 +92,23 @@ class DroppedFileMart:
     def read_file(self, path: str) -> DataFrame:
         return read_drop(self.spark, path, self.schema, self.sheet, self.decode)
 
-    def ingest(self, ingestion_date: dt.date) -> int:
-        """Check every inbox file, then move them all to raw; one bad file stops them all."""
+    def arrived(self) -> list[str]:
+        """Names of the files waiting in the inbox."""
         listing = file_listing(self.spark, self.inbox)
         found = listing.where(is_inbox_file(F.col("file_name"), self.extensions))
-        names = sorted(row["file_name"] for row in found.select("file_name").distinct().collect())
+        return sorted(row["file_name"] for row in found.select("file_name").distinct().collect())
+
+    def run(self, ingestion_date: dt.date) -> bool:
+        """Ingest and load when something arrived; otherwise skip this branch."""
+        if not self.arrived():
+            return False
+        self.ingest(ingestion_date)
+        self.load()
+        return True
+
+    def ingest(self, ingestion_date: dt.date) -> int:
+        """Check every inbox file, then move them all to raw; one bad file stops them all."""
+        names = self.arrived()
         if not names and not self.optional:
             raise FileNotFoundError(f"nothing to ingest in {self.inbox}")
         for name in names:

@@ -28,13 +28,24 @@ def shuffle_partitions(input_bytes: int, cores: int) -> int:
     return max(cores, min(by_size, MAX_SHUFFLE_PARTITIONS))
 
 
-def build_session(app_name: str, master: str | None = None, conf: dict | None = None) -> SparkSession:
+def build_session(
+    app_name: str, master: str | None = None, conf: dict | None = None, input_bytes: int | None = None
+) -> SparkSession:
+    """A session with the project's settings.
+
+    ``input_bytes`` is the volume a load shuffles, roughly its landing data plus its window: it sets
+    how many partitions a shuffle starts with, which adaptive execution then only reduces.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **(conf or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if input_bytes is not None:
+        width = shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
+    return spark
 
 
 def scratch_root(spark: SparkSession) -> str:

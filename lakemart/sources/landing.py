@@ -113,8 +113,8 @@ def read_json_partition(
 
     ``arrays`` reads files that are one JSON array each; such a file is one task, so large drops
     should arrive as JSON lines, which Spark splits. The added ``_arrival`` column is the position
-    of the record in the landing files, for keep-last in file order: file name, offset of the
-    split, row within it.
+    of the record in the landing files, for keep-last in file order: path below the partition,
+    offset of the split, row within it.
     """
     path = raw_partition(root, ingestion_date)
     if not Files(spark, path).exists(path):
@@ -125,7 +125,7 @@ def read_json_partition(
         .option("pathGlobFilter", "*.json").json(path)
     )
     position = F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        F.substring_index("_metadata.file_path", f"{PARTITION}={ingestion_date.isoformat()}/", -1).alias("file"),
         F.col("_metadata.file_block_start").alias("offset"),
         F.monotonically_increasing_id().alias("row"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakemart import spec
 from lakemart.operators.quality import GateError
 from lakemart.plans import serving
-from lakemart.plans.ads import AdsMart, insight_schema, shape_insights
+from lakemart.plans.ads import AdsMart, insight_schema
 from lakemart.plans.sales import SalesMart, flatten_sales
 from lakemart.plans.snapshots import ProjectionsMart, SheetSalesMart, SubscriptionsMart
 from lakemart.plans.upkeep import maintain
@@ -39,7 +39,7 @@ def insight(day, ident, spend, name="n", **more):
 def ads_load(spark, tmp_path, mart, run, records, **lookups):
     land(tmp_path / "api", run, "insights.json", records)
     landed = read_json_partition(spark, str(tmp_path / "api"), run, insight_schema(mart.level), arrays=True)
-    mart.load(shape_insights(landed, **lookups), run)
+    mart.load(landed, run, **lookups)
 
 
 def test_ads_restatement_window_and_dimension(spark, rows, tmp_path):
@@ -137,7 +137,8 @@ def test_sales_status_changes_and_redating(spark, rows, tmp_path):
     sales_load(spark, tmp_path, mart, RUN, [
         sale("t1", d(2024, 1, 31), "APPROVED"), sale("t1", d(2024, 1, 31), "COMPLETE"),
         sale("t2", d(2023, 3, 1), "APPROVED", buyer=None), sale("t3", d(2024, 1, 2), "APPROVED", price=None, fee=None),
-        {"purchase": {"transaction": None, "order_date": 0}}, {"purchase": {"transaction": "no day"}}, {"product": {"id": 5}},
+        {"purchase": {"transaction": None, "order_date": 5}}, {"purchase": {"transaction": "no day"}}, {"product": {"id": 5}},
+        {"purchase": {"transaction": "", "order_date": 5}}, {"purchase": {"transaction": "day zero", "order_date": 0}},
     ])
     assert rows(mart.fact.read(), "transaction", "data", "status", "valor_liquido") == [
         ("t1", d(2024, 1, 31), "COMPLETE", 9.0), ("t2", d(2023, 3, 1), "APPROVED", 9.0), ("t3", d(2024, 1, 2), "APPROVED", 0.0),
@@ -226,6 +227,18 @@ def test_a_bad_drop_stops_the_ingestion(spark, tmp_path):
         mart.load()
 
 
+def test_a_branch_runs_only_when_something_arrived(spark, tmp_path):
+    mart = sheet_mart(spark, tmp_path)
+    assert not mart.run(RUN)
+    inbox = tmp_path / "stage" / "sheet_sales"
+    inbox.mkdir(parents=True)
+    (inbox / "~lock.csv").write_text("x")
+    assert not mart.run(RUN)
+    (inbox / "a.csv").write_text(SHEET, encoding="utf-8")
+    assert mart.run(RUN) and mart.fact.read().count() == 2
+    assert not mart.run(next_run(1)) and len(mart.fact.versions()) == 1
+
+
 def test_projections(spark, rows, tmp_path):
     def decode(content):
         return pd.read_csv(io.BytesIO(content), dtype=str)
