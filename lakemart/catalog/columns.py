@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from lakemart.catalog.frames import (
@@ -15,7 +13,9 @@ from lakemart.functions.casts import (
 )
 from lakemart.functions.links import click_url, video_url
 from lakemart.functions.nested import action_count, action_value, audience_label as label_audiences, flatten_structs
-from lakemart.functions.text import currency_decimal as parse_currency, md5_key, text_day
+from lakemart.functions.text import (
+    MONTH_NUMBERS, currency_decimal as parse_currency, md5_key, month_label_date, text_day,
+)
 from lakemart.operators.projection import (
     dates_only, epoch_columns_to_dates, fill_defaults, net_amount as add_net_amount, writable,
 )
@@ -230,8 +230,6 @@ def currency_decimal(source: Source) -> DataFrame:
 """)
 def month_label(source: Source) -> DataFrame:
     """Portuguese month labels, blanks around them and mixed case; unknown months are null."""
-    from lakemart.functions.text import MONTH_NUMBERS, month_label_date
-
     names = F.array(*map(F.lit, MONTH_NUMBERS))
     name = F.when(F.col("o_orderstatus") == "P", "xyz").otherwise(F.element_at(names, F.month(order_day())))
     label = F.concat(

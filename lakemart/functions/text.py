@@ -10,11 +10,17 @@ MONTH_NUMBERS = {
     "jul": "07", "ago": "08", "set": "09", "out": "10", "nov": "11", "dez": "12",
 }
 
+# The characters Unicode counts as white space.
+BLANKS = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def currency_decimal(text: Column) -> Column:
     """``R$ 1.234,56`` to decimal(18,2), half up; text that is no amount raises an error."""
-    bare = F.regexp_replace(text, r"(?U)[R$\s.]", "")
-    amount = F.replace(bare, F.lit(","), F.lit(".")).try_cast("decimal(18,2)")
+    # The comma becomes a point, every other listed character goes.
+    amount = F.translate(text, "," + "R$." + BLANKS, ".").try_cast("decimal(18,2)")
     return F.when(
         text.isNotNull() & amount.isNull(),
         F.raise_error(F.concat(F.lit("not a currency amount: "), text)),
@@ -23,7 +29,7 @@ def currency_decimal(text: Column) -> Column:
 
 def month_label_date(label: Column) -> Column:
     """``jan/2025`` to ``01/01/2025``; an unknown month is null, a malformed label raises an error."""
-    parts = F.split(F.regexp_replace(label, r"(?U)^\s+|\s+$", ""), "/", -1)
+    parts = F.split(F.btrim(label, F.lit(BLANKS)), "/", -1)
     numbers = F.create_map(*[F.lit(item) for pair in MONTH_NUMBERS.items() for item in pair])
     number = F.try_element_at(numbers, F.lower(F.get(parts, F.lit(0))))
     first_day = F.concat(F.lit("01/"), number, F.lit("/"), F.get(parts, F.lit(1)))

@@ -13,7 +13,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 from collections.abc import Sequence
 from contextlib import nullcontext
 
