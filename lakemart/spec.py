@@ -231,3 +231,9 @@ PROJECTION_DDL = "`Mês` string, `Valor Total` string"
 # ---- maintenance -------------------------------------------------------------------------
 
 RETENTION_HOURS = 168
+
+
+# ---- arrivals ----------------------------------------------------------------------------
+
+ARRIVAL_POLL_SECONDS = 120
+ARRIVAL_GIVE_UP_SECONDS = 1800

@@ -6,10 +6,12 @@ file it does nothing. The checkpoint remembers what was taken, and must lie on s
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 
+from lakemart import spec
 from lakemart.operators.dedup import keep_last
 from lakemart.operators.windows import scan_window
 from lakemart.sources.files import Files
@@ -49,6 +51,28 @@ def load_available(
     query.awaitTermination()
 
 
+def load_when_arrived(
+    stream: DataFrame,
+    load_batch: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    poll_seconds: float = spec.ARRIVAL_POLL_SECONDS,
+    give_up_seconds: float = spec.ARRIVAL_GIVE_UP_SECONDS,
+) -> bool:
+    """Look for files every ``poll_seconds`` and load the first that come; False when none came in time."""
+    loaded: list[int] = []
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        load_batch(batch, batch_id)
+        loaded.append(batch_id)
+
+    deadline = time.monotonic() + give_up_seconds
+    while True:
+        load_available(stream, load, checkpoint)
+        if loaded or time.monotonic() + poll_seconds > deadline:
+            return bool(loaded)
+        time.sleep(poll_seconds)
+
+
 def promote_available(stream: DataFrame, raw_root: str, ingestion_date: Column, checkpoint: str) -> None:
     """Append all waiting records to the raw zone under their ingestion date, each exactly once."""
     query = (

@@ -7,13 +7,13 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lakemart import spec
+from lakemart import jobs, spec
 from lakemart.operators.quality import GateError
 from lakemart.plans import serving
 from lakemart.plans.ads import AdsMart, insight_schema
 from lakemart.plans.sales import SalesMart, flatten_sales
 from lakemart.plans.snapshots import ProjectionsMart, SheetSalesMart, SubscriptionsMart
-from lakemart.plans.upkeep import maintain
+from lakemart.plans.upkeep import all_tables, maintain
 from lakemart.sources.landing import read_json_partition
 
 RUN = dt.date(2024, 2, 1)
@@ -256,6 +256,27 @@ def test_projections(spark, rows, tmp_path):
     assert rows(mart.fact.read()) == sorted([("01/12/2024", Decimal("1234.56")), (None, Decimal("10.00"))], key=repr)
 
 
+# ---- jobs --------------------------------------------------------------------------------
+
+
+def test_jobs_run_from_arguments(spark, rows, tmp_path):
+    root, landing = str(tmp_path / "lake"), tmp_path / "api"
+    land(landing / "ads", RUN, "a.json", [{"campaign_id": "c", "campaign_name": "n", "date_start": "2024-01-01", "spend": "1"}])
+    land(landing / "sales", RUN, "s.json", [sale("t1", dt.date(2024, 1, 31), "APPROVED")])
+    common = ["--root", root, "--date", RUN.isoformat(), "--arrays"]
+    jobs.run(spark, jobs.arguments(["ads", "camp", "--landing", str(landing / "ads"), *common]))
+    jobs.run(spark, jobs.arguments(["sales", "--landing", str(landing / "sales"), *common]))
+    jobs.run(spark, jobs.arguments(["sheet", *common]))
+    jobs.run(spark, jobs.arguments(["projections", *common]))
+    jobs.run(spark, jobs.arguments(["maintain", *common]))
+    assert rows(AdsMart(spark, root, "camp").dimension.read()) == [("c", "n")]
+    assert rows(SalesMart(spark, root).fact.read(), "transaction") == [("t1",)]
+    assert len(all_tables(spark, root)) == 3 * 4 + 7 + 3 + 7 + 2
+    for wrong in (["ads", "--root", root], ["sales", "--root", root]):
+        with pytest.raises(SystemExit):
+            jobs.arguments(wrong)
+
+
 # ---- serving -----------------------------------------------------------------------------
 
 

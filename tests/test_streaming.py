@@ -28,6 +28,21 @@ def test_no_new_files_means_no_batch(spark, tmp_path):
         assert seen == expected
 
 
+def test_waiting_for_an_arrival_gives_up(spark, tmp_path):
+    inbox, seen = str(tmp_path / "inbox"), []
+    stream = streams.arrivals(spark, inbox, SCHEMA, "json")
+
+    def wait():
+        return streams.load_when_arrived(
+            stream, lambda df, n: seen.append(df.count()), str(tmp_path / "checkpoint"), 0.1, 0.3
+        )
+
+    assert not wait()
+    land(spark, inbox, (0, "a", 1, 1.0))
+    assert wait() and seen == [1]
+    assert not wait()
+
+
 def test_upsert_is_idempotent_and_ignores_late_rows(spark, rows, tmp_path):
     inbox = str(tmp_path / "inbox")
     table = PartitionedTable(spark, str(tmp_path / "t"), "data")
