@@ -14,6 +14,7 @@ from lakemart.operators.lookups import lookup
 from lakemart.operators.projection import fill_defaults, select_present
 from lakemart.operators.quality import any_positive, require_keys, split_rejects
 from lakemart.operators.upsert import dimension_rows
+from lakemart.sources.files import staged
 from lakemart.sources.landing import ARRIVAL, promote, read_json_partition, stage_by_day
 from lakemart.sources.tables import PartitionedTable, SnapshotTable
 
@@ -112,10 +113,13 @@ class AdsMart:
         """Merge one ingestion date; rows without day or id go to the rejects folder instead."""
         if raw.isEmpty():
             return
-        rows, rejects = split_rejects(type_insights(raw, self.level.ids), self.level.grain)
         folder = f"{self.rejects_root}/ingestion_date={ingestion_date.isoformat()}"
-        rejects.drop(ARRIVAL).write.mode("overwrite").parquet(folder)
-        self.bronze.merge(keep_last(rows, self.level.grain, [ARRIVAL]).drop(ARRIVAL), self.level.grain)
+        # JSON is parsed once; every later pass reads only its columns of the typed copy.
+        with staged(type_insights(raw, self.level.ids)) as typed:
+            rows, rejects = split_rejects(typed, self.level.grain)
+            rejects.drop(ARRIVAL).write.mode("overwrite").parquet(folder)
+            last = keep_last(rows, self.level.grain, [ARRIVAL]).drop(ARRIVAL)
+            self.bronze.merge(last, self.level.grain, computed=False)
 
     def to_silver(self) -> None:
         """Merge the bronze window. Bronze holds one row per grain, so there is nothing to dedup."""
