@@ -130,16 +130,19 @@ class AdsMart:
             self.silver.merge(rows, self.level.grain, computed=False)
 
     def to_gold(self) -> None:
-        """Reload the fact window, then merge the dimension."""
+        """Merge the dimension, then reload the fact window.
+
+        The fact's watermark sets the next window, so it moves only once the dimension is published.
+        """
         if not self.silver.exists():
             return
         start = self.fact.window_start(spec.ADS_LOOKBACK_DAYS)
         rows = self.silver.window(start)
         if rows.isEmpty():
             return
-        self.fact.reload_window(select_present(rows, self.level.fact_columns), start, computed=False)
         dim = self.level.dimension
         self.dimension.merge(dimension_rows(rows, dim.key, dim.columns, ["data"]), dim.key)
+        self.fact.reload_window(select_present(rows, self.level.fact_columns), start, computed=False)
 
     def load(self, records: DataFrame, ingestion_date: dt.date, **tables: DataFrame) -> None:
         """One whole run, from landing records to gold."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -13,6 +14,7 @@ from lakemart.operators.dedup import keep_last
 from lakemart.operators.projection import epoch_columns_to_dates, net_amount, select_present
 from lakemart.operators.quality import all_present
 from lakemart.operators.upsert import dimension_rows
+from lakemart.plans.together import run_together
 from lakemart.sources.landing import ARRIVAL, promote, read_json_partition, stage_by_day
 from lakemart.sources.tables import PartitionedTable, SnapshotTable
 
@@ -97,10 +99,14 @@ class SalesMart:
         rows = self.silver.window(self.fact.window_start(self.lookback_days))
         if rows.isEmpty():
             return
-        self.fact.merge(sales_fact(rows), spec.SALES_GRAIN, computed=False)
-        for dim in spec.SALES_DIMENSIONS:
+
+        def publish(dim: spec.Dimension) -> None:
             self.dimensions[dim.name].merge(dimension_rows(rows, dim.key, dim.columns, ["data"]), dim.key)
 
+        # The fact's watermark sets the next window, so it moves only once the dimensions are published.
+        run_together([partial(publish, dim) for dim in spec.SALES_DIMENSIONS])
+        self.fact.merge(sales_fact(rows), spec.SALES_GRAIN, computed=False)
+
     def load(self, flat: DataFrame, ingestion_date: dt.date) -> None:
         """One whole run, from flat records to gold."""
         for table in (self.bronze, self.silver, self.fact):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -13,6 +14,7 @@ from lakemart.functions.text import currency_decimal, md5_key, month_label_date
 from lakemart.operators.dedup import distinct_rows
 from lakemart.operators.projection import dates_only, select_present
 from lakemart.operators.quality import all_present, exclude_ids, require_snapshot
+from lakemart.plans.together import run_together
 from lakemart.sources.files import Files, file_listing
 from lakemart.sources.landing import (
     ARRIVAL, is_inbox_file, latest_drop_path, raw_partition, read_drop, read_json_partition,
@@ -148,11 +150,12 @@ class SheetSalesMart(DroppedFileMart):
         self.bronze.overwrite(type_sheet(drop))
         self.silver.overwrite(sheet_silver(self.bronze.read()))
         silver = self.silver.read()
-        self.fact.overwrite(sheet_fact(silver))
+        gold = {self.fact: sheet_fact(silver)}
         for dim in spec.SHEET_DIMENSIONS:
             rows = distinct_rows(silver, dim.columns)
             if rows.columns:
-                self.dimensions[dim.name].overwrite(rows)
+                gold[self.dimensions[dim.name]] = rows
+        run_together([partial(table.overwrite, rows) for table, rows in gold.items()])
 
 
 class ProjectionsMart(DroppedFileMart):

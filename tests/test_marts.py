@@ -158,6 +158,19 @@ def test_sales_status_changes_and_redating(spark, rows, tmp_path):
     assert maintain(mart.tables()) == [table.path for table in mart.tables()]
 
 
+def test_a_failed_dimension_keeps_the_window_open(spark, rows, tmp_path, monkeypatch):
+    mart = SalesMart(spark, str(tmp_path / "lake"))
+    records = [sale("t1", dt.date(2023, 1, 1), "A", buyer="old"), sale("t2", dt.date(2024, 1, 1), "A", buyer="new")]
+    broken = mart.dimensions["dim_cliente"]
+    monkeypatch.setattr(broken, "merge", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        sales_load(spark, tmp_path, mart, RUN, records)
+    assert not mart.fact.exists() and mart.dimensions["dim_produto"].exists()
+    monkeypatch.undo()
+    mart.to_gold()
+    assert rows(broken.read(), "buyer_ucode") == [("new",), ("old",)] and mart.fact.read().count() == 2
+
+
 # ---- snapshots ---------------------------------------------------------------------------
 
 
