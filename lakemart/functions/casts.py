@@ -28,6 +28,11 @@ def lenient_long(text: Column) -> Column:
     return _number_from_text(text, "bigint")
 
 
+def lenient_whole(text: Column) -> Column:
+    """Text to bigint, a fraction cut off; for numbers that landed as text only to keep them all."""
+    return F.coalesce(lenient_long(text), lenient_double(text).try_cast("bigint"))
+
+
 def lenient_cast(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
     """Cast the listed columns that ``df`` has; values that do not fit become null."""
     replaced = {}

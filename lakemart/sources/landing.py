@@ -112,7 +112,7 @@ def read_json_partition(
     """Records of exactly one ingestion date; none when that partition is missing.
 
     ``arrays`` reads files that are one JSON array each; such a file is one task, so large drops
-    should arrive as JSON lines, which Spark splits. The added ``_arrival`` column is the position
+    should arrive as JSON lines, which Spark splits. A malformed file fails the load. The added ``_arrival`` column is the position
     of the record in the landing files, for keep-last in file order: path below the partition,
     offset of the split, row within it.
     """
@@ -121,8 +121,8 @@ def read_json_partition(
         landed = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         return spark.createDataFrame([], T.StructType([*landed.fields, T.StructField(ARRIVAL, ARRIVAL_TYPE)]))
     records = (
-        spark.read.schema(schema).option("multiLine", arrays).option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json").json(path)
+        spark.read.schema(schema).option("multiLine", arrays).option("mode", "FAILFAST")
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[jJ][sS][oO][nN]").json(path)
     )
     position = F.struct(
         F.substring_index("_metadata.file_path", f"{PARTITION}={ingestion_date.isoformat()}/", -1).alias("file"),

@@ -91,15 +91,16 @@ SALES_SLICE_DAYS = 90
 
 SALES_GRAIN = ("transaction",)
 
+# Numbers and flags land as text, quoted or not; the bronze step casts them leniently.
 SALES_RECORD_DDL = """
     purchase struct<
         transaction: string, status: string, order_date: bigint, approved_date: bigint,
-        warranty_expire_date: bigint, is_subscription: boolean, commission_as: string,
-        price: struct<value: double, currency_code: string>,
-        payment: struct<type: string, method: string, installments_number: bigint>,
-        hotmart_fee: struct<base: double, fixed: double, total: double, percentage: bigint, currency_code: string>,
+        warranty_expire_date: bigint, is_subscription: string, commission_as: string,
+        price: struct<value: string, currency_code: string>,
+        payment: struct<type: string, method: string, installments_number: string>,
+        hotmart_fee: struct<base: string, fixed: string, total: string, percentage: string, currency_code: string>,
         offer: struct<code: string, payment_mode: string>>,
-    product struct<id: bigint, name: string>,
+    product struct<id: string, name: string>,
     buyer struct<ucode: string, name: string, email: string>,
     producer struct<ucode: string, name: string>
 """

@@ -30,6 +30,14 @@ def test_json_arrays_of_one_date_in_file_order(spark, rows, tmp_path):
     assert rows(last, "id", "v") == sorted([("a", 3), ("b", None), ("c", 9)], key=repr)
 
 
+def test_malformed_json_fails_the_load(spark, tmp_path):
+    path = tmp_path / "ingestion_date=2024-02-01" / "bad.json"
+    path.parent.mkdir()
+    path.write_text('[{"id": "a"}, {"id": ')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.read_json_partition(spark, str(tmp_path), RUN, SCHEMA, arrays=True).collect()
+
+
 def test_a_missing_date_is_empty_and_never_an_older_one(spark, tmp_path):
     write_json(tmp_path / "ingestion_date=2024-01-31" / "a.json", [{"id": "old"}])
     records = landing.read_json_partition(spark, str(tmp_path), RUN, SCHEMA)
@@ -62,11 +70,11 @@ def test_promotion_replaces_same_names_and_empties_the_stage(spark, rows, tmp_pa
         land(v)
         assert landing.promote(spark, stage, raw, RUN, [".json"]) == 1
     assert landing.promote(spark, stage, raw, RUN, [".json"]) == 0
-    write_json(tmp_path / "stage" / "late.JSON", [{"id": "late", "v": 5}])
+    (tmp_path / "stage" / "late.JSON").write_text('{"id": "late", "v": 5}')
     write_json(tmp_path / "stage" / "notes.txt", [])
     assert landing.promote(spark, stage, raw, RUN, [".json"]) == 1
     assert (tmp_path / "stage" / "notes.txt").exists()
-    assert rows(landing.read_json_partition(spark, raw, RUN, SCHEMA), "id", "v") == [("a", 2)]
+    assert rows(landing.read_json_partition(spark, raw, RUN, SCHEMA), "id", "v") == [("a", 2), ("late", 5)]
 
 
 def test_latest_drop(spark, tmp_path):

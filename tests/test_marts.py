@@ -158,6 +158,16 @@ def test_sales_status_changes_and_redating(spark, rows, tmp_path):
     assert maintain(mart.tables()) == [table.path for table in mart.tables()]
 
 
+def test_sales_numbers_land_quoted_or_not(spark, rows, tmp_path):
+    mart = SalesMart(spark, str(tmp_path / "lake"))
+    record = sale("t1", dt.date(2024, 1, 31), "A", price="10.50", fee=1)
+    record["purchase"] |= {"is_subscription": True, "payment": {"installments_number": 3}}
+    record["purchase"]["hotmart_fee"] |= {"percentage": 9.9, "base": "x"}
+    sales_load(spark, tmp_path, mart, RUN, [record])
+    columns = ("product_id", "is_subscription", "installments_number", "price_value", "fee_total", "fee_percentage", "fee_base", "valor_liquido")
+    assert rows(mart.fact.read(), *columns) == [(1, True, 3, 10.5, 1.0, 9, None, 9.5)]
+
+
 def test_a_failed_dimension_keeps_the_window_open(spark, rows, tmp_path, monkeypatch):
     mart = SalesMart(spark, str(tmp_path / "lake"))
     records = [sale("t1", dt.date(2023, 1, 1), "A", buyer="old"), sale("t2", dt.date(2024, 1, 1), "A", buyer="new")]
