@@ -13,6 +13,7 @@ def spark():
     session = build_session("lakemart-tests", "local[8]", {
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
         "spark.ui.showConsoleProgress": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
     })
     session.sparkContext.setLogLevel("OFF")
     yield session

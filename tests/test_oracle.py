@@ -27,7 +27,7 @@ def multiset(table):
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_sql(spark, duck, name):
     got = multiset(queries()[name](spark, SF).toArrow())
-    assert got == multiset(duck.execute(oracle_sql()[name]).to_arrow_table())
+    assert got == multiset(duck.sql(oracle_sql()[name]).to_arrow_table())
 
 
 def test_every_query_has_sql():
