@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 # Number spellings Java accepts but a data-frame parser does not: hex, a d/f suffix, outer blanks.
 _JAVA_ONLY_NUMBER = r"(?i)0x|[0-9.][df]$|^\s|\s$"
 
-_NUMERIC_FROM_TEXT = (T.DoubleType, T.LongType)
-
 MS_PER_DAY = 86_400_000
 
 
@@ -33,18 +31,23 @@ def lenient_whole(text: Column) -> Column:
     return F.coalesce(lenient_long(text), lenient_double(text).try_cast("bigint"))
 
 
-def lenient_cast(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
-    """Cast the listed columns that ``df`` has; values that do not fit become null."""
+def lenient_cast(df: DataFrame, types: dict[str, T.DataType], cut_fractions: bool = False) -> DataFrame:
+    """Cast the listed columns that ``df`` has; values that do not fit become null.
+
+    With ``cut_fractions`` text such as ``9.9`` becomes the bigint 9 instead of null.
+    """
     replaced = {}
     for field in df.schema.fields:
         target = types.get(field.name)
         if target is None:
             continue
         column = F.col(quoted(field.name))
-        from_text = isinstance(field.dataType, T.StringType) and isinstance(target, _NUMERIC_FROM_TEXT)
-        replaced[field.name] = (
-            _number_from_text(column, target.simpleString()) if from_text else column.try_cast(target)
-        )
+        if not isinstance(field.dataType, T.StringType) or not isinstance(target, (T.DoubleType, T.LongType)):
+            replaced[field.name] = column.try_cast(target)
+        elif isinstance(target, T.LongType):
+            replaced[field.name] = lenient_whole(column) if cut_fractions else lenient_long(column)
+        else:
+            replaced[field.name] = lenient_double(column)
     return df.withColumns(replaced) if replaced else df
 
 

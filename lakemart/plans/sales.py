@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakemart import spec
-from lakemart.functions.casts import epoch_ms_date, lenient_cast, lenient_whole
+from lakemart.functions.casts import epoch_ms_date, lenient_cast
 from lakemart.functions.nested import flatten_record
 from lakemart.operators.dedup import keep_last
 from lakemart.operators.projection import epoch_columns_to_dates, net_amount, select_present
@@ -35,10 +35,7 @@ def flatten_sales(records: DataFrame) -> DataFrame:
 
 def type_sales(raw: DataFrame) -> DataFrame:
     """Epoch columns as dates, the rest leniently cast."""
-    dated = epoch_columns_to_dates(raw, spec.SALES_DATES)
-    texts = dict(dated.dtypes)
-    whole = {name: lenient_whole(F.col(name)) for name in spec.SALES_LONGS if texts.get(name) == "string"}
-    return lenient_cast(dated.withColumns(whole) if whole else dated, SALES_TYPES)
+    return lenient_cast(epoch_columns_to_dates(raw, spec.SALES_DATES), SALES_TYPES, cut_fractions=True)
 
 
 def sales_fact(rows: DataFrame) -> DataFrame:

@@ -49,7 +49,8 @@ class SubscriptionsMart:
 
 def type_sheet(sheet: DataFrame) -> DataFrame:
     """The known sheet columns leniently cast, whatever else the drop holds left as it is."""
-    return lenient_cast(sheet, {name: spec.sheet_type(name) for name in spec.sheet_columns()})
+    types = {name: spec.sheet_type(name) for name in spec.sheet_columns()}
+    return lenient_cast(sheet, types, cut_fractions=True)
 
 
 def sheet_silver(sheet: DataFrame) -> DataFrame:
@@ -82,17 +83,16 @@ class DroppedFileMart:
     required: tuple[str, ...] = ()
     optional = False
 
-    def __init__(self, spark: SparkSession, root: str, name: str, schema, extensions, sheet=None, decode=None):
+    def __init__(self, spark: SparkSession, root: str, name: str, extensions, sheet=None, decode=None):
         self.spark = spark
         self.inbox = f"{root}/stage/{name}"
         self.raw_root = f"{root}/raw/{name}"
-        self.schema = schema
         self.extensions = extensions
         self.sheet = sheet
         self.decode = decode
 
     def read_file(self, path: str) -> DataFrame:
-        return read_drop(self.spark, path, self.schema, self.sheet, self.decode)
+        return read_drop(self.spark, path, self.sheet, self.decode)
 
     def arrived(self) -> list[str]:
         """Names of the files waiting in the inbox."""
@@ -129,9 +129,7 @@ class SheetSalesMart(DroppedFileMart):
     required = spec.SHEET_REQUIRED
 
     def __init__(self, spark: SparkSession, root: str, decode=None, extensions=tuple(WORKBOOKS)):
-        super().__init__(
-            spark, root, "sheet_sales", spec.sheet_schema(), extensions, spec.SHEET_NAME, decode
-        )
+        super().__init__(spark, root, "sheet_sales", extensions, spec.SHEET_NAME, decode)
         self.bronze = SnapshotTable(spark, f"{root}/bronze/sheet/bronze_vendas")
         self.silver = SnapshotTable(spark, f"{root}/silver/sheet/silver_vendas")
         self.fact = SnapshotTable(spark, f"{root}/gold/sheet/f_vendas")
@@ -164,9 +162,7 @@ class ProjectionsMart(DroppedFileMart):
     optional = True
 
     def __init__(self, spark: SparkSession, root: str, decode=None):
-        super().__init__(
-            spark, root, "projections", spec.PROJECTION_DDL, PROJECTION_FILES, None, decode
-        )
+        super().__init__(spark, root, "projections", PROJECTION_FILES, None, decode)
         self.bronze = SnapshotTable(spark, f"{root}/bronze/sheet/bronze_projetadas")
         self.fact = SnapshotTable(spark, f"{root}/gold/sheet/projetadas")
 

@@ -143,27 +143,47 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def read_drop(
-    spark: SparkSession, path: str, schema: T.StructType | str, sheet: str | None = None, decode=None
+    spark: SparkSession,
+    path: str,
+    sheet: str | None = None,
+    decode: Callable[[bytes], pd.DataFrame] | None = None,
 ) -> DataFrame:
-    """A dropped file by its extension: CSV as text columns, a workbook through a decoder.
-
-    ``schema`` is that of the workbook; CSV columns follow the header of the drop.
-    """
+    """A dropped file by its extension, every column it has as text: CSV by Spark, a workbook decoded."""
     if has_extension(path, [".csv"]):
         return read_csv(spark, path)
-    return read_workbooks(spark, path, schema, decode or excel_sheet(sheet))
+    decode = decode or excel_sheet(sheet)
+    columns = workbook_columns(spark, path, decode)
+    return read_workbooks(spark, path, T.StructType([T.StructField(n, T.StringType()) for n in columns]), decode)
 
 
 def excel_sheet(sheet: str | None) -> Callable[[bytes], pd.DataFrame]:
-    """Decoder of one named sheet; pandas needs an Excel engine installed on the executors."""
+    """Decoder of one named sheet, or the first; pandas needs an Excel engine on the executors."""
     def decode(content: bytes) -> pd.DataFrame:
         import io
 
-        return pd.read_excel(io.BytesIO(content), sheet_name=sheet if sheet is not None else 0)
+        return pd.read_excel(io.BytesIO(content), sheet_name=0 if sheet is None else sheet, dtype=object)
 
     return decode
 
 
+def _books(spark: SparkSession, path: str) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return reader.load(path).select("content")
+
+
+def workbook_columns(spark: SparkSession, path: str, decode: Callable[[bytes], pd.DataFrame]) -> list[str]:
+    """Column names of the workbooks below ``path``, in sheet order."""
+    def names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for content in batch["content"]:
+                found = [str(name) for name in decode(content).columns]
+                yield pd.DataFrame({"position": range(len(found)), "name": found})
+
+    listed = _books(spark, path).mapInPandas(names, "position bigint, name string")
+    ordered = listed.groupBy("name").agg(F.min("position").alias("position")).orderBy("position", "name")
+    return [row["name"] for row in ordered.collect()]
+
+
 def read_workbooks(
     spark: SparkSession,
     path: str,
@@ -173,15 +193,16 @@ def read_workbooks(
     """Rows of every workbook below ``path``; ``decode`` turns the bytes of one into a frame.
 
     Workbooks spread over tasks; one workbook is never split. A sheet lacking a schema column
-    fails the load.
+    fails the load. Cells of a text column become text whatever type they have in the sheet.
     """
     target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     names = target.fieldNames()
-    books = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
+    texts = [field.name for field in target.fields if isinstance(field.dataType, T.StringType)]
 
     def decode_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
-                yield decode(content)[names]
+                rows = decode(content).rename(columns=str)[names]
+                yield rows.astype(dict.fromkeys(texts, "string"))
 
-    return books.mapInPandas(decode_batch, target)
+    return _books(spark, path).mapInPandas(decode_batch, target)

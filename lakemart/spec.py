@@ -222,13 +222,6 @@ def sheet_columns() -> list[str]:
     return [name for name in dict.fromkeys(every) if name not in SHEET_HASHED]
 
 
-def sheet_schema() -> T.StructType:
-    return T.StructType([T.StructField(name, sheet_type(name)) for name in sheet_columns()])
-
-
-PROJECTION_DDL = "`Mês` string, `Valor Total` string"
-
-
 # ---- maintenance -------------------------------------------------------------------------
 
 RETENTION_HOURS = 168

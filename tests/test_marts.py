@@ -262,6 +262,32 @@ def test_a_branch_runs_only_when_something_arrived(spark, tmp_path):
     assert not mart.run(next_run(1)) and len(mart.fact.versions()) == 1
 
 
+def test_sheet_sales_from_workbooks_with_changing_columns(spark, rows, tmp_path):
+    def decode(content):
+        # Cells keep their own types, as in a workbook: numbers, dates, blanks and text side by side.
+        frame = pd.read_json(io.BytesIO(content), dtype=False, convert_dates=["Data da venda"])
+        return frame.astype(object).where(frame.notna(), None)
+
+    mart = SheetSalesMart(spark, str(tmp_path), decode=decode)
+    inbox = tmp_path / "stage" / "sheet_sales"
+    inbox.mkdir(parents=True)
+    sale_row = {"ID Venda": 7, "Nome do comprador": "Ana", "Email do comprador": "a@x", "Nome Afiliado": None}
+    drops = [
+        [{**sale_row, "Valor Pago": 10.5, "CPF/CNPJ": 123}, {**sale_row, "ID Venda": None, "Valor Pago": None, "CPF/CNPJ": "0-1"}],
+        [{**sale_row, "Data da venda": "2024-01-02 23:00:00", "New column": "n"}],
+    ]
+    for n, drop in enumerate(drops):
+        (inbox / "vendas.xlsx").write_text(json.dumps(drop), encoding="utf-8")
+        assert mart.run(next_run(n))
+    assert rows(mart.fact.read(), "ID Venda", "Data da venda") == [(7, dt.date(2024, 1, 2))]
+    assert "New column" in mart.bronze.read().columns and "Valor Pago" not in mart.fact.read().columns
+    older = mart.bronze.read(0)
+    assert rows(older, "ID Venda", "Valor Pago", "CPF/CNPJ") == sorted([(7, 10.5, "123"), (None, None, "0-1")], key=repr)
+    (inbox / "vendas.xlsx").write_text(json.dumps([{"ID Venda": 1}]), encoding="utf-8")
+    with pytest.raises(GateError, match="Nome do comprador"):
+        mart.run(next_run(5))
+
+
 def test_projections(spark, rows, tmp_path):
     def decode(content):
         return pd.read_csv(io.BytesIO(content), dtype=str)
