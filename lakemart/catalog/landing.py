@@ -13,7 +13,7 @@ from lakemart.catalog.registry import Source, query
 from lakemart.session import scratch_path
 from lakemart.sources.files import Files, file_listing
 from lakemart.sources.landing import (
-    ARRIVAL, is_inbox_file, latest_drop_path, promote, raw_partition, read_csv, read_json_partition,
+    ARRIVAL, is_inbox_file, latest_drop_path, promote, raw_partition, read_csv, read_partition,
     read_workbooks, stage_by_day,
 )
 
@@ -34,7 +34,7 @@ def landing_partition(source: Source) -> DataFrame:
         stage_by_day(restated_events(source, factor), f"{root}/stage", "event_date")
         promote(source.spark, f"{root}/stage", f"{root}/raw", ingestion_date, [".json"])
     schema = rows.drop("event_date").schema
-    return read_json_partition(source.spark, f"{root}/raw", SECOND, schema).drop(ARRIVAL)
+    return read_partition(source.spark, f"{root}/raw", SECOND, schema).drop(ARRIVAL)
 
 
 @query("select cast(ts as date) as event_date, count(*) as records from events group by 1")

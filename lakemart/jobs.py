@@ -22,7 +22,7 @@ from lakemart.plans.sales import SalesMart, flatten_sales
 from lakemart.plans.snapshots import ProjectionsMart, SheetSalesMart
 from lakemart.plans.upkeep import all_tables, maintain
 from lakemart.session import build_session
-from lakemart.sources.landing import read_json_partition
+from lakemart.sources.landing import read_partition
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -47,9 +47,9 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
     if given.job == "ads":
         mart = AdsMart(spark, given.root, given.level)
         schema = insight_schema(mart.level)
-        mart.load(read_json_partition(spark, given.landing, given.date, schema, given.arrays), given.date)
+        mart.load(read_partition(spark, given.landing, given.date, schema, arrays=given.arrays), given.date)
     elif given.job == "sales":
-        records = read_json_partition(spark, given.landing, given.date, spec.SALES_RECORD_DDL, given.arrays)
+        records = read_partition(spark, given.landing, given.date, spec.SALES_RECORD_DDL, arrays=given.arrays)
         SalesMart(spark, given.root).load(flatten_sales(records), given.date)
     elif given.job == "sheet":
         SheetSalesMart(spark, given.root).run(given.date)

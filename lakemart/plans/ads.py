@@ -14,11 +14,12 @@ from lakemart.operators.lookups import lookup
 from lakemart.operators.projection import fill_defaults, select_present
 from lakemart.operators.quality import any_positive, require_keys, split_rejects
 from lakemart.operators.upsert import dimension_rows
-from lakemart.sources.files import staged
-from lakemart.sources.landing import ARRIVAL, promote, read_json_partition, stage_by_day
+from lakemart.sources.landing import ARRIVAL, promote, read_partition, stage_by_day
 from lakemart.sources.tables import PartitionedTable, SnapshotTable
 
 STAGE_DAY = "event_date"
+# Records are staged and kept in raw as Parquet; JSON is parsed once, where the extraction drops it.
+RAW_FORMAT = "parquet"
 MEASURE_TYPES = {
     **{name: T.DoubleType() for name in spec.ADS_AMOUNTS},
     **{name: T.LongType() for name in spec.ADS_COUNTS},
@@ -100,26 +101,23 @@ class AdsMart:
         if ARRIVAL in insights.columns:
             insights = keep_last(insights, ["date_start", self.level.id_column], [ARRIVAL]).drop(ARRIVAL)
         shaped = with_attributes(self.level, insights, **tables)
-        stage_by_day(shaped.withColumn(STAGE_DAY, F.coalesce("date_start", F.lit(""))), self.stage_root, STAGE_DAY)
+        stage_by_day(shaped.withColumn(STAGE_DAY, F.coalesce("date_start", F.lit(""))), self.stage_root, STAGE_DAY, RAW_FORMAT)
         return shaped
 
     def to_raw(self, ingestion_date: dt.date) -> int:
-        return promote(self.spark, self.stage_root, self.raw_root, ingestion_date, [".json"])
+        return promote(self.spark, self.stage_root, self.raw_root, ingestion_date, ["." + RAW_FORMAT])
 
     def read_raw(self, ingestion_date: dt.date, shaped_schema: T.StructType) -> DataFrame:
-        return read_json_partition(self.spark, self.raw_root, ingestion_date, shaped_schema)
+        return read_partition(self.spark, self.raw_root, ingestion_date, shaped_schema, RAW_FORMAT)
 
     def to_bronze(self, raw: DataFrame, ingestion_date: dt.date) -> None:
         """Merge one ingestion date; rows without day or id go to the rejects folder instead."""
         if raw.isEmpty():
             return
         folder = f"{self.rejects_root}/ingestion_date={ingestion_date.isoformat()}"
-        # JSON is parsed once; every later pass reads only its columns of the typed copy.
-        with staged(type_insights(raw, self.level.ids)) as typed:
-            rows, rejects = split_rejects(typed, self.level.grain)
-            rejects.drop(ARRIVAL).write.mode("overwrite").parquet(folder)
-            last = keep_last(rows, self.level.grain, [ARRIVAL]).drop(ARRIVAL)
-            self.bronze.merge(last, self.level.grain, computed=False)
+        rows, rejects = split_rejects(type_insights(raw, self.level.ids), self.level.grain)
+        rejects.drop(ARRIVAL).write.mode("overwrite").parquet(folder)
+        self.bronze.merge(keep_last(rows, self.level.grain, [ARRIVAL]).drop(ARRIVAL), self.level.grain)
 
     def to_silver(self) -> None:
         """Merge the bronze window. Bronze holds one row per grain, so there is nothing to dedup."""

@@ -15,10 +15,12 @@ from lakemart.operators.projection import epoch_columns_to_dates, net_amount, se
 from lakemart.operators.quality import all_present
 from lakemart.operators.upsert import dimension_rows
 from lakemart.plans.together import run_together
-from lakemart.sources.landing import ARRIVAL, promote, read_json_partition, stage_by_day
+from lakemart.sources.landing import ARRIVAL, promote, read_partition, stage_by_day
 from lakemart.sources.tables import PartitionedTable, SnapshotTable
 
 STAGE_DAY = "event_date"
+# Records are staged and kept in raw as Parquet; JSON is parsed once, where the extraction drops it.
+RAW_FORMAT = "parquet"
 SALES_TYPES = {
     **{name: T.DoubleType() for name in spec.SALES_DOUBLES},
     **{name: T.LongType() for name in spec.SALES_LONGS},
@@ -73,13 +75,13 @@ class SalesMart:
         if ARRIVAL in flat.columns:
             complete = keep_last(complete, spec.SALES_GRAIN, [ARRIVAL]).drop(ARRIVAL)
         complete = all_present(complete, ["order_date_ms"])
-        stage_by_day(complete.withColumn(STAGE_DAY, epoch_ms_date(F.col("order_date_ms"))), self.stage_root, STAGE_DAY)
+        stage_by_day(complete.withColumn(STAGE_DAY, epoch_ms_date(F.col("order_date_ms"))), self.stage_root, STAGE_DAY, RAW_FORMAT)
 
     def to_raw(self, ingestion_date: dt.date) -> int:
-        return promote(self.spark, self.stage_root, self.raw_root, ingestion_date, [".json"])
+        return promote(self.spark, self.stage_root, self.raw_root, ingestion_date, ["." + RAW_FORMAT])
 
     def read_raw(self, ingestion_date: dt.date, flat_schema: T.StructType) -> DataFrame:
-        return read_json_partition(self.spark, self.raw_root, ingestion_date, flat_schema)
+        return read_partition(self.spark, self.raw_root, ingestion_date, flat_schema, RAW_FORMAT)
 
     def to_bronze(self, raw: DataFrame) -> None:
         if not raw.isEmpty():

@@ -17,7 +17,7 @@ from lakemart.operators.quality import all_present, exclude_ids, require_snapsho
 from lakemart.plans.together import run_together
 from lakemart.sources.files import Files, file_listing
 from lakemart.sources.landing import (
-    ARRIVAL, is_inbox_file, latest_drop_path, raw_partition, read_drop, read_json_partition,
+    ARRIVAL, is_inbox_file, latest_drop_path, raw_partition, read_drop, read_partition,
 )
 from lakemart.sources.tables import SnapshotTable
 
@@ -39,7 +39,7 @@ class SubscriptionsMart:
         return [self.bronze, self.silver, self.fact]
 
     def load(self, ingestion_date: dt.date, schema: T.StructType, arrays: bool = False) -> None:
-        records = read_json_partition(self.spark, self.raw_root, ingestion_date, schema, arrays).drop(ARRIVAL)
+        records = read_partition(self.spark, self.raw_root, ingestion_date, schema, arrays=arrays).drop(ARRIVAL)
         if not records.isEmpty():
             self.bronze.overwrite(flatten_structs(records))
         if self.bronze.exists():

@@ -27,14 +27,14 @@ def raw_partition(root: str, ingestion_date: dt.date) -> str:
 # ---- staging and promotion ---------------------------------------------------------------
 
 
-def stage_by_day(df: DataFrame, root: str, day: str) -> None:
-    """Write records as JSON lines, one folder per event day, replacing only the days written.
+def stage_by_day(df: DataFrame, root: str, day: str, file_format: str = "json") -> None:
+    """Write records (JSON as lines), one folder per event day, replacing only the days written.
 
     The rebalance hint keeps a small day in one file and splits a hot one.
     """
     (
         df.where(F.col(quoted(day)).isNotNull()).hint("rebalance", F.col(quoted(day)))
-        .write.partitionBy(day).mode("overwrite").option("partitionOverwriteMode", "dynamic").json(root)
+        .write.partitionBy(day).mode("overwrite").option("partitionOverwriteMode", "dynamic").format(file_format).save(root)
     )
 
 
@@ -106,8 +106,13 @@ def latest_drop_path(spark: SparkSession, root: str, extensions: Sequence[str])
 # ---- readers -----------------------------------------------------------------------------
 
 
-def read_json_partition(
-    spark: SparkSession, root: str, ingestion_date: dt.date, schema: T.StructType | str, arrays: bool = False
+def read_partition(
+    spark: SparkSession,
+    root: str,
+    ingestion_date: dt.date,
+    schema: T.StructType | str,
+    file_format: str = "json",
+    arrays: bool = False,
 ) -> DataFrame:
     """Records of exactly one ingestion date; none when that partition is missing.
 
@@ -120,10 +125,11 @@ def read_json_partition(
     if not Files(spark, path).exists(path):
         landed = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         return spark.createDataFrame([], T.StructType([*landed.fields, T.StructField(ARRIVAL, ARRIVAL_TYPE)]))
-    records = (
-        spark.read.schema(schema).option("multiLine", arrays).option("mode", "FAILFAST")
-        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[jJ][sS][oO][nN]").json(path)
-    )
+    any_case = "".join(f"[{letter}{letter.upper()}]" for letter in file_format)
+    reader = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{any_case}")
+    if file_format == "json":
+        reader = reader.option("multiLine", arrays).option("mode", "FAILFAST")
+    records = reader.format(file_format).load(path)
     position = F.struct(
         F.substring_index("_metadata.file_path", f"{PARTITION}={ingestion_date.isoformat()}/", -1).alias("file"),
         F.col("_metadata.file_block_start").alias("offset"),

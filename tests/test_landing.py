@@ -25,7 +25,7 @@ def test_json_arrays_of_one_date_in_file_order(spark, rows, tmp_path):
     write_json(run / "sales_1.json", [{"id": "a", "v": 1}, {"id": "a", "v": 2}, {"id": "c", "v": 9}])
     write_json(run / "ignored.txt", [{"id": "x", "v": 0}])
     write_json(tmp_path / "ingestion_date=2024-01-31" / "sales_9.json", [{"id": "old", "v": 0}])
-    records = landing.read_json_partition(spark, str(tmp_path), RUN, SCHEMA, arrays=True)
+    records = landing.read_partition(spark, str(tmp_path), RUN, SCHEMA, arrays=True)
     last = keep_last(records, ["id"], [landing.ARRIVAL])
     assert rows(last, "id", "v") == sorted([("a", 3), ("b", None), ("c", 9)], key=repr)
 
@@ -35,12 +35,12 @@ def test_malformed_json_fails_the_load(spark, tmp_path):
     path.parent.mkdir()
     path.write_text('[{"id": "a"}, {"id": ')
     with pytest.raises(Exception, match="(?i)malformed"):
-        landing.read_json_partition(spark, str(tmp_path), RUN, SCHEMA, arrays=True).collect()
+        landing.read_partition(spark, str(tmp_path), RUN, SCHEMA, arrays=True).collect()
 
 
 def test_a_missing_date_is_empty_and_never_an_older_one(spark, tmp_path):
     write_json(tmp_path / "ingestion_date=2024-01-31" / "a.json", [{"id": "old"}])
-    records = landing.read_json_partition(spark, str(tmp_path), RUN, SCHEMA)
+    records = landing.read_partition(spark, str(tmp_path), RUN, SCHEMA)
     assert records.columns == ["id", "v", landing.ARRIVAL] and records.isEmpty()
 
 
@@ -51,7 +51,7 @@ def test_order_holds_inside_a_split_file(spark, rows, tmp_path):
     path.write_text("".join(json.dumps({"id": f"k{n % 7}", "v": n}) + "\n" for n in range(5000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        records = landing.read_json_partition(spark, str(tmp_path), RUN, SCHEMA)
+        records = landing.read_partition(spark, str(tmp_path), RUN, SCHEMA)
         assert records.rdd.getNumPartitions() > 1
         last = rows(keep_last(records, ["id"], [landing.ARRIVAL]), "v")
     finally:
@@ -74,7 +74,7 @@ def test_promotion_replaces_same_names_and_empties_the_stage(spark, rows, tmp_pa
     write_json(tmp_path / "stage" / "notes.txt", [])
     assert landing.promote(spark, stage, raw, RUN, [".json"]) == 1
     assert (tmp_path / "stage" / "notes.txt").exists()
-    assert rows(landing.read_json_partition(spark, raw, RUN, SCHEMA), "id", "v") == [("a", 2), ("late", 5)]
+    assert rows(landing.read_partition(spark, raw, RUN, SCHEMA), "id", "v") == [("a", 2), ("late", 5)]
 
 
 def test_latest_drop(spark, tmp_path):

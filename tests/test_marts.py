@@ -14,7 +14,7 @@ from lakemart.plans.ads import AdsMart, insight_schema
 from lakemart.plans.sales import SalesMart, flatten_sales
 from lakemart.plans.snapshots import ProjectionsMart, SheetSalesMart, SubscriptionsMart
 from lakemart.plans.upkeep import all_tables, maintain
-from lakemart.sources.landing import read_json_partition
+from lakemart.sources.landing import read_partition
 
 RUN = dt.date(2024, 2, 1)
 
@@ -38,7 +38,7 @@ def insight(day, ident, spend, name="n", **more):
 
 def ads_load(spark, tmp_path, mart, run, records, **lookups):
     land(tmp_path / "api", run, "insights.json", records)
-    landed = read_json_partition(spark, str(tmp_path / "api"), run, insight_schema(mart.level), arrays=True)
+    landed = read_partition(spark, str(tmp_path / "api"), run, insight_schema(mart.level), arrays=True)
     mart.load(landed, run, **lookups)
 
 
@@ -127,7 +127,7 @@ def sale(transaction, day, status, buyer="b1", name="Ana", price=10.0, fee=1.0):
 
 def sales_load(spark, tmp_path, mart, run, records):
     land(tmp_path / "api", run, "sales.json", records)
-    landed = read_json_partition(spark, str(tmp_path / "api"), run, spec.SALES_RECORD_DDL, arrays=True)
+    landed = read_partition(spark, str(tmp_path / "api"), run, spec.SALES_RECORD_DDL, arrays=True)
     mart.load(flatten_sales(landed), run)
 
 
