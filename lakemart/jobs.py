@@ -2,11 +2,12 @@
 
     spark-submit lakemart/jobs.py ads camp   --root s3a://lake --landing s3a://api/ads/camp
     spark-submit lakemart/jobs.py sales      --root s3a://lake --landing s3a://api/sales
+    spark-submit lakemart/jobs.py subscriptions --root s3a://lake --schema "id string, plan struct<name: string>"
     spark-submit lakemart/jobs.py sheet      --root s3a://lake
     spark-submit lakemart/jobs.py maintain   --root s3a://lake
 
 ``--landing`` holds the extracted records below ``ingestion_date=<day>``, as JSON lines, or one array
-per file with ``--arrays``. Session settings come from spark-submit, ``spark.checkpoint.dir`` among them.
+per file with ``--arrays``. Subscriptions and dropped files are taken from ``<root>/stage``. Session settings come from spark-submit, ``spark.checkpoint.dir`` among them.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import SparkSession
 from lakemart import spec
 from lakemart.plans.ads import AdsMart, insight_schema
 from lakemart.plans.sales import SalesMart, flatten_sales
-from lakemart.plans.snapshots import ProjectionsMart, SheetSalesMart
+from lakemart.plans.snapshots import ProjectionsMart, SheetSalesMart, SubscriptionsMart
 from lakemart.plans.upkeep import all_tables, maintain
 from lakemart.session import build_session
 from lakemart.sources.landing import read_partition
@@ -27,10 +28,11 @@ from lakemart.sources.landing import read_partition
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Run one mart job.")
-    parser.add_argument("job", choices=["ads", "sales", "sheet", "projections", "maintain"])
+    parser.add_argument("job", choices=["ads", "sales", "subscriptions", "sheet", "projections", "maintain"])
     parser.add_argument("level", nargs="?", choices=list(spec.ADS_LEVELS))
     parser.add_argument("--root", required=True)
     parser.add_argument("--landing")
+    parser.add_argument("--schema", help="DDL of the subscription records")
     parser.add_argument("--arrays", action="store_true")
     parser.add_argument("--date", type=dt.date.fromisoformat, default=None, help="ingestion date, today by default")
     parser.add_argument("--input-bytes", type=int, default=None)
@@ -39,6 +41,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         parser.error("ads needs a level")
     if given.job in ("ads", "sales") and not given.landing:
         parser.error(f"{given.job} needs --landing")
+    if given.job == "subscriptions" and not given.schema:
+        parser.error("subscriptions needs --schema")
     given.date = given.date or dt.datetime.now(dt.timezone.utc).date()
     return given
 
@@ -51,6 +55,10 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
     elif given.job == "sales":
         records = read_partition(spark, given.landing, given.date, spec.SALES_RECORD_DDL, arrays=given.arrays)
         SalesMart(spark, given.root).load(flatten_sales(records), given.date)
+    elif given.job == "subscriptions":
+        mart = SubscriptionsMart(spark, given.root)
+        mart.to_raw(given.date)
+        mart.load(given.date, given.schema, given.arrays)
     elif given.job == "sheet":
         SheetSalesMart(spark, given.root).run(given.date)
     elif given.job == "projections":

@@ -17,7 +17,7 @@ from lakemart.operators.quality import all_present, exclude_ids, require_snapsho
 from lakemart.plans.together import run_together
 from lakemart.sources.files import Files, file_listing
 from lakemart.sources.landing import (
-    ARRIVAL, is_inbox_file, latest_drop_path, raw_partition, read_drop, read_partition,
+    ARRIVAL, is_inbox_file, latest_drop_path, promote, raw_partition, read_drop, read_partition,
 )
 from lakemart.sources.tables import SnapshotTable
 
@@ -30,6 +30,7 @@ class SubscriptionsMart:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
+        self.stage_root = f"{root}/stage/subscriptions"
         self.raw_root = f"{root}/raw/subscriptions"
         self.bronze = SnapshotTable(spark, f"{root}/bronze/subscriptions/bronze_subscriptions")
         self.silver = SnapshotTable(spark, f"{root}/silver/subscriptions/silver_subscriptions")
@@ -38,7 +39,10 @@ class SubscriptionsMart:
     def tables(self) -> list:
         return [self.bronze, self.silver, self.fact]
 
-    def load(self, ingestion_date: dt.date, schema: T.StructType, arrays: bool = False) -> None:
+    def to_raw(self, ingestion_date: dt.date) -> int:
+        return promote(self.spark, self.stage_root, self.raw_root, ingestion_date, [".json"])
+
+    def load(self, ingestion_date: dt.date, schema: T.StructType | str, arrays: bool = False) -> None:
         records = read_partition(self.spark, self.raw_root, ingestion_date, schema, arrays=arrays).drop(ARRIVAL)
         if not records.isEmpty():
             self.bronze.overwrite(flatten_structs(records))

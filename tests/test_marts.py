@@ -315,13 +315,18 @@ def test_jobs_run_from_arguments(spark, rows, tmp_path):
     common = ["--root", root, "--date", RUN.isoformat(), "--arrays"]
     jobs.run(spark, jobs.arguments(["ads", "camp", "--landing", str(landing / "ads"), *common]))
     jobs.run(spark, jobs.arguments(["sales", "--landing", str(landing / "sales"), *common]))
+    staged = tmp_path / "lake" / "stage" / "subscriptions"
+    staged.mkdir(parents=True)
+    (staged / "subscriptions_snapshot.json").write_text('[{"id": "1", "plan": {"name": "p"}}]')
+    jobs.run(spark, jobs.arguments(["subscriptions", "--schema", "id string, plan struct<name: string>", *common]))
+    assert rows(SubscriptionsMart(spark, root).fact.read()) == [("1", "p")]
     jobs.run(spark, jobs.arguments(["sheet", *common]))
     jobs.run(spark, jobs.arguments(["projections", *common]))
     jobs.run(spark, jobs.arguments(["maintain", *common]))
     assert rows(AdsMart(spark, root, "camp").dimension.read()) == [("c", "n")]
     assert rows(SalesMart(spark, root).fact.read(), "transaction") == [("t1",)]
     assert len(all_tables(spark, root)) == 3 * 4 + 7 + 3 + 7 + 2
-    for wrong in (["ads", "--root", root], ["sales", "--root", root]):
+    for wrong in (["ads", "--root", root], ["sales", "--root", root], ["subscriptions", "--root", root]):
         with pytest.raises(SystemExit):
             jobs.arguments(wrong)
 
