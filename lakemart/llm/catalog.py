@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.catalog.registry import Entry, Source
-from lakemart.llm import exact
+from lakemart.llm import credentials, exact
 
 QUERIES: dict[str, Entry] = {}
 
@@ -23,6 +23,14 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op3_secret_scan(t: Source) -> DataFrame:
+    return credentials.secret_report(t.documents).select(
+        F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex",
+        F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans",
+    )
+
+
 @query(r"""
 with texts as (
   select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256
