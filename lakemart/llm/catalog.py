@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.catalog.registry import Entry, Source
-from lakemart.llm import credentials, exact
+from lakemart.llm import credentials, exact, mixing
 
 QUERIES: dict[str, Entry] = {}
 
@@ -31,6 +31,49 @@ def op3_secret_scan(t: Source) -> DataFrame:
     )
 
 
+@query(r"""
+with sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents),
+quality as (
+  select doc_id, 1 + avg(quality) as weight from labels where doc_id is not null and quality is not null group by doc_id),
+keyed as (
+  select s.*, -ln((('0x' || substr(md5('mix:' || coalesce(s.doc_id::varchar, '')), 1, 13))::bigint + 1) / 4503599627370496.0::double)
+              / coalesce(q.weight, 1.5) as key
+  from sized s left join quality q using (doc_id)),
+sources as (
+  select source, sum(size)::bigint as source_size,
+         [5, 2, 1][((row_number() over (order by source is null, encode(source)) - 1) % 3 + 1)::int] as weight
+  from sized group by source),
+ordered as (
+  select *, 2 * source_size as cap, sum(source_size) over () * 1.5::double as total,
+         coalesce(sum(2 * source_size) over earlier, 0) as caps_before, coalesce(sum(weight) over earlier, 0) as weight_before,
+         sum(weight) over () as weights
+  from sources window earlier as (order by 2 * source_size / weight, source is null, encode(source)
+                                  rows between unbounded preceding and 1 preceding)),
+filled as (select *, (total - caps_before) * weight >= cap * (weights - weight_before) as is_full from ordered),
+goals as (
+  select source, source_size,
+         case when is_full then cap::double
+              else weight * (total - coalesce(sum(cap) filter (is_full) over (), 0)::double)
+                   / sum(weight) filter (not is_full) over () end as target
+  from filled),
+goal as (
+  select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as epochs from goals),
+placed as (
+  select k.*, g.source_size, g.target, g.epochs, g.target - g.epochs * g.source_size as rest,
+         sum(k.size) over (partition by k.source order by k.key, k.doc_id, k.size
+                           rows between unbounded preceding and current row) - k.size / 2 as middle
+  from keyed k join goal g on k.source is not distinct from g.source)
+select doc_id, size::bigint as size, source_size, target,
+       (size * (epochs + case when middle <= rest then 1 else 0 end))::bigint as taken
+from placed
+""")
+def op6_source_mix(t: Source) -> DataFrame:
+    decided = mixing.mixed(t.documents, mixing.label_weights(t.labels))
+    return decided.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 @query(r"""
 with texts as (
   select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256
