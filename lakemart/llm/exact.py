@@ -29,9 +29,12 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Else every store reserves megabytes for files it hardly fills.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 BATCH_BYTES = 8 * 2**30
+HIT_BUCKETS = 2**20
 
 
 def sha256(text: Column) -> Column:
@@ -95,11 +98,14 @@ def exact_groups(
     state.add(folder, prints.schema, batch_bytes)
     groups = spark.read.parquet(stored_at(state.groups(), "dedup-groups")[1])
 
-    # A hit: read the full texts behind the digest. One group is one row per task before the shuffle.
-    hits = groups.where("n > 1").select(F.xxhash64("digest").alias("hit")).distinct()
+    # A hit: compare the full texts behind the digest. Rows without a hit are left out before the shuffle
+    # by the digest's bucket, a list that cannot outgrow HIT_BUCKETS; buckets shared by chance only cost
+    # the move of a text. One group is one row per task after the partial aggregate.
+    bucket = F.pmod(F.xxhash64("digest"), F.lit(HIT_BUCKETS)).cast("int").alias("bucket")
+    hits = stored(groups.where("n > 1").select(bucket).distinct(), "dedup-hits")
     text = one_blank(text_of(text_column))
     texts = docs.select(name_of(id_column).alias("id"), text.alias("content"), digest(text).alias("digest"))
-    unequal = (texts.withColumn("hit", F.xxhash64("digest")).join(hits, "hit", "left_semi")
+    unequal = (texts.select("content", "digest", bucket).join(F.broadcast(hits), "bucket", "left_semi")
                .groupBy("digest").agg(F.min("content").alias("least"), F.max("content").alias("most"))
                .where("least != most").select("digest"))
     unequal = stored(unequal, "dedup-unequal")
