@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakemart.session import scratch_path
 
@@ -14,6 +15,17 @@ BLANKS = r"[\x20\x09-\x0D]+"
 UNEVEN_BLANKS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Put this package's folder on the Python path of the workers.
+
+    Needed where the package is not installed but only on the driver's own path, as in a local session.
+    """
+    folder, environment = str(pathlib.Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    before = environment.get("PYTHONPATH", "")
+    if folder not in before.split(":"):
+        environment["PYTHONPATH"] = f"{folder}:{before}".rstrip(":")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` computed once, written to the shared scratch folder and read back.
 
