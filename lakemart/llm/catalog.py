@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.catalog.registry import Entry, Source
-from lakemart.llm import credentials, exact, mixing
+from lakemart.llm import credentials, exact, idfiles, mixing, packing
+from lakemart.llm.common import let_workers_import
+from lakemart.session import scratch_path
 
 QUERIES: dict[str, Entry] = {}
 
@@ -15,6 +17,7 @@ QUERIES: dict[str, Entry] = {}
 def query(sql: str | None = None):
     def register(build: Callable[[Source], DataFrame]) -> Callable[[Source], DataFrame]:
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            let_workers_import(spark)
             return build(Source(spark, folder))
 
         QUERIES[build.__name__] = Entry(run, sql)
@@ -23,6 +26,12 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op2_best_fit_packing(t: Source) -> DataFrame:
+    digested = packing.pieces_of(t.documents).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.packed(digested).withColumnRenamed("id", "doc_id")
+
+
 @query()
 def op3_secret_scan(t: Source) -> DataFrame:
     return credentials.secret_report(t.documents).select(
@@ -74,6 +83,14 @@ def op6_source_mix(t: Source) -> DataFrame:
         F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query()
+def op7_token_files(t: Source) -> DataFrame:
+    path = scratch_path(t.spark, "token-files")
+    idfiles.write_ids(t.documents, path)
+    return idfiles.read_ids(t.spark, path).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query(r"""
 with texts as (
   select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256
