@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.catalog.registry import Entry, Source
-from lakemart.llm import credentials, exact, idfiles, mixing, packing
+from lakemart.llm import credentials, exact, idfiles, licenses, mixing, packing, warc
 from lakemart.llm.common import let_workers_import
 from lakemart.session import scratch_path
 
@@ -40,6 +40,11 @@ def op3_secret_scan(t: Source) -> DataFrame:
     )
 
 
+@query()
+def op4_license_scan(t: Source) -> DataFrame:
+    return licenses.license_report(licenses.license_matches(t.documents)).withColumnRenamed("id", "doc_id")
+
+
 @query(r"""
 with sized as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents),
@@ -91,6 +96,13 @@ def op7_token_files(t: Source) -> DataFrame:
         F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query()
+def op8_warc_archives(t: Source) -> DataFrame:
+    path = scratch_path(t.spark, "archives")
+    warc.write_archives(t.pages, path)
+    return warc.read_archives(t.spark, path, with_payload=False).drop("url").withColumnRenamed("id", "page_id")
+
+
 @query(r"""
 with texts as (
   select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256

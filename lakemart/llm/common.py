@@ -65,9 +65,23 @@ def one_blank(text: Column) -> Column:
     return F.regexp_replace(text, UNEVEN_BLANKS, " ")
 
 
-def null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], how: str) -> DataFrame:
-    """Join on columns of different names where null equals null."""
-    condition = F.lit(True)
-    for ours, theirs in pairs:
-        condition = condition & left[ours].eqNullSafe(right[theirs])
-    return left.join(right, condition, how)
+#: How many buckets a broadcast list of buckets can hold at most.
+BUCKETS = 2**20
+
+
+def bucket_of(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def split_by_bucket(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows that may have a key of ``wanted``, rows that surely have none), decided without a shuffle.
+
+    Only the buckets of the wanted keys are broadcast, at most ``BUCKETS`` numbers. Rows that share a
+    bucket by chance are in the first frame too, so what follows must still compare keys.
+    """
+    bucket = free_name("key_bucket", rows.columns)
+    listed = stored(wanted.select(bucket_of(wanted_key).alias(bucket)).distinct(), "buckets")
+    marked = rows.withColumn(bucket, bucket_of(key))
+    return (marked.join(F.broadcast(listed), bucket, "left_semi").drop(bucket),
+            marked.join(F.broadcast(listed), bucket, "left_anti").drop(bucket))
+

@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from lakemart.llm.common import free_name, name_of, one_blank, stored, stored_at, text_of
+from lakemart.llm.common import free_name, name_of, one_blank, split_by_bucket, stored, stored_at, text_of
 from lakemart.session import scratch_path
 
 STATE_SETTINGS = {
@@ -34,7 +34,6 @@ STATE_SETTINGS = {
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 BATCH_BYTES = 8 * 2**30
-HIT_BUCKETS = 2**20
 
 
 def sha256(text: Column) -> Column:
@@ -99,13 +98,12 @@ def exact_groups(
     groups = spark.read.parquet(stored_at(state.groups(), "dedup-groups")[1])
 
     # A hit: compare the full texts behind the digest. Rows without a hit are left out before the shuffle
-    # by the digest's bucket, a list that cannot outgrow HIT_BUCKETS; buckets shared by chance only cost
+    # by the digest's bucket, a list that cannot outgrow BUCKETS; buckets shared by chance only cost
     # the move of a text. One group is one row per task after the partial aggregate.
-    bucket = F.pmod(F.xxhash64("digest"), F.lit(HIT_BUCKETS)).cast("int").alias("bucket")
-    hits = stored(groups.where("n > 1").select(bucket).distinct(), "dedup-hits")
     text = one_blank(text_of(text_column))
     texts = docs.select(name_of(id_column).alias("id"), text.alias("content"), digest(text).alias("digest"))
-    unequal = (texts.select("content", "digest", bucket).join(F.broadcast(hits), "bucket", "left_semi")
+    hits, _ = split_by_bucket(texts.select("content", "digest"), F.col("digest"), groups.where("n > 1"), F.col("digest"))
+    unequal = (hits
                .groupBy("digest").agg(F.min("content").alias("least"), F.max("content").alias("most"))
                .where("least != most").select("digest"))
     unequal = stored(unequal, "dedup-unequal")
