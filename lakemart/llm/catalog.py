@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.catalog.registry import Entry, Source
-from lakemart.llm import credentials, exact, idfiles, licenses, mixing, packing, warc
+from lakemart.llm import credentials, exact, idfiles, licenses, minhash, mixing, packing, warc
 from lakemart.llm.common import let_workers_import
 from lakemart.session import scratch_path
 
@@ -116,3 +116,8 @@ def op9_exact_dedup(t: Source) -> DataFrame:
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+@query()
+def op10_minhash_dedup(t: Source) -> DataFrame:
+    return minhash.near_duplicates(t.documents, width=2).drop("text_hash").withColumnRenamed("id", "doc_id")
