@@ -55,7 +55,7 @@ def write_ids(
                             ("documents", pa.binary()), ("absent", pa.binary()), ("payload", pa.binary())])
         for batch in batches:
             own = batch.column(0).to_pylist()
-            for at, ids, lengths in encode_runs(batch.column(1).to_pylist(), vocabulary):
+            for at, ids, lengths in encode_runs(batch.column(1), vocabulary):
                 names += own[at:at + len(lengths)]
                 counts.append(lengths + 1)
                 parts.append(np.insert(ids, np.cumsum(lengths), end_id))

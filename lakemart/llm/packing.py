@@ -44,7 +44,7 @@ def pieces_of(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for first, ids, counts in encode_runs(batch.column(1).to_pylist(), vocabulary):
+            for first, ids, counts in encode_runs(batch.column(1), vocabulary):
                 # Each text's ids, its end id behind them.
                 ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
                 rows, at = [], 0

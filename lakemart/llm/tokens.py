@@ -14,11 +14,12 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
 
 #: Texts are encoded in runs of about this many bytes, so a batch of long texts needs no more memory.
-RUN_BYTES = 4 * 2**20
-#: The memo is emptied once its chunks hold this many bytes.
-MEMO_BYTES = 24 * 2**20
+RUN_BYTES = 2 * 2**20
+#: The memo is emptied once it holds this many chunks, about 200 bytes each.
+MEMO_CHUNKS = 600_000
 #: Longer chunks are encoded but not remembered.
 LONGEST_CHUNK = 64
 
@@ -31,19 +32,28 @@ def vocabulary_path() -> str:
 
 
 #: Letters (ASCII and the two-byte ones of Latin-1), then punctuation other than the apostrophe.
-WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
+WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)")
+#: A full stop or comma between a small letter and white space or the end.
+SENTENCE_MARK = re.compile(rb"([.,])(?:(?<=[a-z][.,])|(?<=\xc3[\xa0-\xb6\xb8-\xbf][.,]))(?=[\x20\n]|\Z)")
+#: A special token, or the first byte of a mark that composes with a letter.
+CASE_MATTERS = re.compile(rb"<\||\xcc|\xcd")
 
 
-def _units(chunk: bytes) -> tuple[bytes, ...]:
-    """Parts whose ids put together are the chunk's ids.
+def _plain(text: bytes) -> bytes:
+    """A text with the same ids and fewer different chunks.
 
-    The tokenizer lower-cases and always splits between a letter and punctuation, so "Word," shares
-    the ids of "word" and ",". Any other chunk is its own only part.
+    The tokenizer lower-cases, and always splits between a letter and punctuation. Lower-casing first
+    would make special tokens of their capital spellings, and could change which marks compose.
     """
+    if not CASE_MATTERS.search(text):
+        text = text.lower()
+    return SENTENCE_MARK.sub(rb" \1", text)
+
+
+def _units(chunk: bytes) -> tuple[bytes, ...]:
+    """Parts whose ids put together are the chunk's ids: the word and the punctuation behind it."""
     word = WORD.fullmatch(chunk)
-    if not word:
-        return (chunk,)
-    return (word[1].lower(), word[2]) if word[2] else (word[1].lower(),)
+    return (word[1], word[2]) if word else (chunk,)
 
 
 class ChunkEncoder:
@@ -55,40 +65,45 @@ class ChunkEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.units: dict[bytes, list[int]] = {}
         self.place: dict[bytes, int] = {}
-        self.bytes = 0
         self.flat = np.zeros(0, np.uint32)
         self.first = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        split = [_units(chunk) for chunk in chunks]
-        unknown = sorted({unit for units in split for unit in units}.difference(self.units))
-        found = self.tokenizer.encode_batch_fast([unit.decode() for unit in unknown], add_special_tokens=False)
-        self.units.update(zip(unknown, (one.ids for one in found)))
-        new = [sum((self.units[unit] for unit in units), []) for units in split]
-        lengths = np.fromiter(map(len, new), np.int64, len(new))
-        flat = np.fromiter(itertools.chain.from_iterable(new), np.uint32, int(lengths.sum()))
+    def _add(self, chunks: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
         self.place.update(zip(chunks, range(len(self.first), len(self.first) + len(chunks))))
         self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(lengths) - lengths])
         self.length = np.concatenate([self.length, lengths])
-        self.flat = np.concatenate([self.flat, flat])
-        self.bytes += sum(map(len, chunks)) + sum(map(len, unknown))
+        self.flat = np.concatenate([self.flat, ids])
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        split = {chunk: _units(chunk) for chunk in chunks}
+        unknown = sorted({unit for units in split.values() for unit in units}.difference(self.place))
+        found = self.tokenizer.encode_batch_fast([unit.decode() for unit in unknown], add_special_tokens=False)
+        ids = [one.ids for one in found]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        self._add(unknown, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths)
+        joined = [(chunk, units) for chunk, units in split.items() if len(units) > 1]
+        if joined:
+            pairs = np.array([[self.place[unit] for unit in units] for _, units in joined])
+            self._add([chunk for chunk, _ in joined], self._gather(pairs.ravel())[0], self.length[pairs].sum(axis=1))
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the chunks in a row, the position behind each)."""
+        lengths = self.length[at]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        return self.flat[np.repeat(self.first[at] - upto[:-1], lengths) + np.arange(upto[-1])], upto
 
     def run(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, ids per text)."""
         chunks, ends = [], np.zeros(len(texts) + 1, np.int64)
         for i, text in enumerate(texts):
-            chunks += text.split()
+            chunks += _plain(text).split()
             ends[i + 1] = len(chunks)
         if unknown := set(chunks).difference(self.place):
             self._learn(sorted(unknown))
-        at = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
-        lengths = self.length[at]
-        upto = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.flat[np.repeat(self.first[at] - upto[:-1], lengths) + np.arange(upto[-1])]
-        if self.bytes > MEMO_BYTES or max(map(len, unknown), default=0) > LONGEST_CHUNK:
+        ids, upto = self._gather(np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks)))
+        if len(self.place) > MEMO_CHUNKS or max(map(len, unknown), default=0) > LONGEST_CHUNK:
             self._forget()
         return ids, np.diff(upto[ends])
 
@@ -98,7 +113,7 @@ def encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
-def encode_runs(texts: list[str | None], path: str | None):
+def encode_runs(texts: pa.Array, path: str | None):
     """Yields (position of the first text, ids of a run of texts in a row, ids per text).
 
     A null text is the empty text, and an empty text has no ids.
@@ -106,7 +121,7 @@ def encode_runs(texts: list[str | None], path: str | None):
     memo = encoder(path or vocabulary_path())
     run, size, first = [], 0, 0
     for i, text in enumerate(texts):
-        raw = (text or "").encode()
+        raw = (text.as_py() or "").encode()
         run.append(raw)
         size += len(raw)
         if size >= RUN_BYTES or i == len(texts) - 1:
