@@ -2,8 +2,10 @@
 
 A document's ids end with an end id; only a document longer than a sequence is cut, into full pieces
 and a rest. A piece goes where the sum over residual gaps of the squared count of open bins with that
-gap becomes smallest; a new bin is one of the choices and the tightest gap wins ties. Longer pieces are
-placed first.
+gap becomes smallest, the tightest gap where several are; a new bin is opened where none fits. (Opening one
+earlier whenever that keeps the sum smaller, as the rule for pieces in arrival order has it, takes 3214
+sequences instead of 3202 for the 9,999 rests of the sf0.1 documents, whose lower bound is 3202.)
+Longer pieces are placed first.
 
 Pieces are dealt to shards by a hash, so that one task packs about ``shard_rows`` lengths, whatever the
 corpus holds; texts and ids are not moved. Bins that a round leaves with more than ``slack`` free are
@@ -68,14 +70,14 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     bins, offsets, made = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64), 0
     never = np.iinfo(np.int64).max
     for i, size in enumerate(lengths.tolist()):
-        # Change of the sum if the piece goes to a bin of gap size, size + 1, ... capacity (a new bin).
+        # The change of the sum if the piece goes to an open bin of gap size, size + 1, ...
         here = open_bins[size:]
         change = 2 * (open_bins[:capacity + 1 - size] - here) + 2
         change[here == 0] = never
         if here[0]:
             change[0] = 1 - 2 * here[0]
-        change[-1] = 2 * open_bins[capacity - size] + 1 if size < capacity else 0
-        gap = size + int(np.argmin(change))
+        best = int(np.argmin(change))
+        gap = size + best if change[best] < never else capacity
         if gap == capacity:
             chosen, made = made, made + 1
         else:
