@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.catalog.registry import Entry, Source
-from lakemart.llm import credentials, exact, idfiles, licenses, minhash, mixing, packing, warc
+from lakemart.llm import credentials, exact, idfiles, licenses, minhash, mixing, packing, pivots, warc
 from lakemart.llm.common import let_workers_import
 from lakemart.session import scratch_path
 
@@ -45,6 +45,11 @@ def op4_license_scan(t: Source) -> DataFrame:
     return licenses.license_report(licenses.license_matches(t.documents)).withColumnRenamed("id", "doc_id")
 
 
+@query()
+def op5_pivot_dedup(t: Source) -> DataFrame:
+    return pivots.near_vectors(t.embeddings).withColumnRenamed("id", "vec_id")
+
+
 @query(r"""
 with sized as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents),
