@@ -1,14 +1,22 @@
 """The corpus pipeline: documents through the training-data operators, stage by stage.
 
-Each stage is written as Parquet and reread as the next one's ``docs``.
+Each stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor kept; ``run`` writes its
+result as Parquet to the shared scratch folder and rereads it as the next one's ``docs``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemart.llm import exact
-from lakemart.llm.common import stored
+from lakemart.llm import exact, langid, minhash, mixing, packing
+from lakemart.llm.common import let_workers_import, stored
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without an identified language go."""
+    let_workers_import(spark)
+    decided = langid.identify(docs, langid.fit(docs), declared=F.col("lang"), levels=[F.col("source")])
+    return langid.keep_identified(docs, decided)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,11 +24,34 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.keep_first(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates (five-word shingles, similarity 0.8) stays."""
+    let_workers_import(spark)
+    return minhash.keep_first(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of its source takes it; some sources repeat, others thin out."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return mixing.apply_mix(docs, mixing.mixed(docs, mixing.label_weights(labels)))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every document row and their places in the sequences."""
+    let_workers_import(spark)
+    pieces = packing.pieces_of(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.packed(pieces).withColumnRenamed("id", "doc_id")
+
+
 STAGES = [
+    ("language ID", language_id),
     ("exact dedup", exact_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("source mix", mix),
+    ("best-fit packing", pack),
 ]
 
-# SQL expresses neither the tokenizer nor the classifier; the tests hold the stages against brute force.
+# SQL expresses neither the classifier nor the tokenizer; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

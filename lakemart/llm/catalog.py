@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.catalog.registry import Entry, Source
-from lakemart.llm import credentials, exact, idfiles, licenses, minhash, mixing, packing, pivots, warc
+from lakemart.llm import credentials, exact, idfiles, langid, licenses, minhash, mixing, packing, pivots, warc
 from lakemart.llm.common import let_workers_import
 from lakemart.session import scratch_path
 
@@ -26,6 +26,24 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_language_id(t: Source) -> DataFrame:
+    """Documents: the source stands for the host, the lang field for the declared language."""
+    documents = t.documents
+    found = langid.identify(documents, langid.fit(documents), declared=F.col("lang"), levels=[F.col("source")])
+    return found.drop("text_hash").withColumnRenamed("id", "doc_id")
+
+
+@query()
+def language_id_pages(t: Source) -> DataFrame:
+    """Web pages: the model of the documents' languages, html lang, country suffix and host priors."""
+    suffix, domain, host = langid.host_levels(F.col("url"))
+    found = langid.identify(
+        t.pages, langid.fit(t.documents), "page_id", langid.page_text(F.col("html")), langid.page_language(F.col("html")), suffix,
+        [suffix, domain, host])
+    return found.drop("text_hash").withColumnRenamed("id", "page_id")
+
+
 @query()
 def op2_best_fit_packing(t: Source) -> DataFrame:
     digested = packing.pieces_of(t.documents).withColumn("ids_crc32", F.crc32("ids")).drop("ids")

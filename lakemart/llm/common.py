@@ -85,3 +85,26 @@ def split_by_bucket(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key:
     return (marked.join(F.broadcast(listed), bucket, "left_semi").drop(bucket),
             marked.join(F.broadcast(listed), bucket, "left_anti").drop(bucket))
 
+
+
+def apply_verdicts(docs: DataFrame, verdicts: DataFrame, id_column: str, mark: Column, once: bool) -> DataFrame:
+    """The rows of ``docs`` that a stage keeps, with all their columns.
+
+    ``verdicts`` has id, mark (a digest of the text, the value ``mark`` takes in ``docs``) and kept. Only
+    rows that share a bucket with a dropped one are moved. With ``once``, rows that repeat id and mark
+    stay once where one of them is kept; otherwise all of them do.
+    """
+    names = docs.columns
+    own, their_id, their_mark, stays = (free_name(name, names) for name in ("row_mark", "verdict_id", "verdict_mark", "verdict"))
+    found = verdicts.groupBy(F.col("id").alias(their_id), F.col("mark").alias(their_mark)).agg(
+        F.max("kept").alias(stays), F.count(F.lit(1)).alias("rows"))
+    changed = F.expr(f"not {stays} or rows > 1") if once else ~F.col(stays)
+    found = stored(found.where(changed).drop("rows"), "verdicts")
+    marked = docs.withColumn(own, mark)
+    maybe, sure = split_by_bucket(
+        marked, F.struct(name_of(id_column), F.col(own)), found, F.struct(F.col(their_id), F.col(their_mark)))
+    judged = maybe.join(found, name_of(id_column).eqNullSafe(F.col(their_id)) & (F.col(own) == F.col(their_mark)), "left")
+    kept = sure.select(*map(name_of, names)).unionByName(judged.where(F.col(stays).isNull()).select(*map(name_of, names)))
+    if once:
+        kept = kept.unionByName(judged.where(stays).dropDuplicates([id_column, own]).select(*map(name_of, names)))
+    return kept

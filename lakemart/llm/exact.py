@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from lakemart.llm.common import free_name, name_of, one_blank, split_by_bucket, stored, stored_at, text_of
+from lakemart.llm.common import apply_verdicts, name_of, one_blank, split_by_bucket, stored, stored_at, text_of
 from lakemart.session import scratch_path
 
 STATE_SETTINGS = {
@@ -137,21 +137,5 @@ def _by_content(texts: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one of each group of equal texts."""
-    names = docs.columns
-    mark, ours = free_name("text_digest", names), free_name("kept_id", names)
-    kept = exact_groups(docs, id_column, text_column).where("kept").select(
-        F.col("id").alias(ours), F.col("digest").alias(mark))
-    marked = docs.withColumn(free_name("row_digest", names), sha256(one_blank(text_of(text_column))))
-    ours_digest = marked.columns[-1]
-    found = marked.join(
-        kept, name_of(id_column).eqNullSafe(F.col(ours)) & (F.col(ours_digest) == F.col(mark)), "left_semi")
-    # Rows that repeat both id and text all met the kept one; one of them stays.
-    again = stored(
-        docs.groupBy(name_of(id_column).alias(ours), sha256(one_blank(text_of(text_column))).alias(mark))
-        .count().where("count > 1").select(ours, mark), "dedup-repeated")
-    if again.isEmpty():
-        return found.select(*map(name_of, names))
-    same = name_of(id_column).eqNullSafe(F.col(ours)) & (F.col(ours_digest) == F.col(mark))
-    alone = found.join(again, same, "left_anti")
-    repeated = found.join(again, same, "left_semi").dropDuplicates([id_column, ours_digest])
-    return alone.unionByName(repeated).select(*map(name_of, names))
+    verdicts = exact_groups(docs, id_column, text_column).select("id", F.col("digest").alias("mark"), "kept")
+    return apply_verdicts(docs, verdicts, id_column, sha256(one_blank(text_of(text_column))), once=True)

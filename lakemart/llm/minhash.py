@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakemart.llm.common import free_name, name_of, split_by_bucket, stored, text_of
+from lakemart.llm.common import apply_verdicts, name_of, split_by_bucket, stored, text_of
 from lakemart.llm.components import components
 from lakemart.llm.shingles import WordHashes, minima, shingle_set
 
@@ -235,17 +235,5 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one of each component."""
-    names = docs.columns
-    ours, mark, own = free_name("kept_id", names), free_name("kept_hash", names), free_name("row_hash", names)
-    kept = near_duplicates(docs, id_column, text_column, width, percent).where("kept").select(
-        F.col("id").alias(ours), F.col("text_hash").alias(mark))
-    marked = docs.withColumn(own, F.xxhash64(text_of(text_column)))
-    same = name_of(id_column).eqNullSafe(F.col(ours)) & (F.col(own) == F.col(mark))
-    found = marked.join(kept, same, "left_semi")
-    # Rows that repeat id and text all met the kept one; one of them stays.
-    again = stored(marked.groupBy(name_of(id_column).alias(ours), F.col(own).alias(mark)).count()
-                   .where("count > 1").select(ours, mark), "near-repeated")
-    if not again.isEmpty():
-        found = found.join(again, same, "left_anti").unionByName(
-            found.join(again, same, "left_semi").dropDuplicates([id_column, own]))
-    return found.select(*map(name_of, names))
+    verdicts = near_duplicates(docs, id_column, text_column, width, percent).select("id", F.col("text_hash").alias("mark"), "kept")
+    return apply_verdicts(docs, verdicts, id_column, F.xxhash64(text_of(text_column)), once=True)
