@@ -157,19 +157,19 @@ def _searched(open_buckets: DataFrame, lows: DataFrame, percent: int) -> DataFra
     own = rows.select("*", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("visits"))
     visiting = rows.where("outside").select(
         "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("visits"))
-    blocks = own.unionByName(visiting).select("key", "block", "node", "component", "band", "low", "visits")
+    blocks = own.unionByName(visiting).select("key", "block", "node", "component", "band", "low", "keys", "visits")
     floor = least_lanes(percent)
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         low = np.vstack(rows["low"].to_numpy()).astype(np.int64).view(np.uint8)
+        keys = np.vstack(rows["keys"].to_numpy())
         node, component, visits = (rows[name].to_numpy() for name in ("node", "component", "visits"))
         band, inside = rows["band"].iloc[0], np.flatnonzero(~visits)
         found = []
         for i in np.flatnonzero(visits):
-            same = low[inside] == low[i]
-            near = inside[(same.sum(axis=1) >= floor) & (component[inside] != component[i])
-                          # The first band in which the two agree, so that the pair comes from one bucket.
-                          & (same.reshape(len(inside), BANDS, ROWS).all(axis=2).argmax(axis=1) == band)]
+            near = inside[((low[inside] == low[i]).sum(axis=1) >= floor) & (component[inside] != component[i])
+                          # The first band the two share, so that the pair comes from one bucket.
+                          & ((keys[inside] == keys[i]).argmax(axis=1) == band)]
             found.append(np.column_stack([np.full(len(near), node[i]), node[near]]))
         pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
         return pd.DataFrame({"a": pairs.max(axis=1), "b": pairs.min(axis=1)} if len(pairs) else {"a": [], "b": []}).astype("int64")
@@ -192,9 +192,9 @@ def near_duplicates(
     shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("band").alias("band")).where("n > 1").select("key", "band")
     members = stored(each.select("key", "node").join(shared, "key"), "buckets")
     nodes = members.select("node").distinct()
-    lows = stored(classes.join(nodes, "node").select("node", "low", "class", "id", "text_hash"), "candidates")
+    lows = stored(classes.join(nodes, "node").select("node", "low", "keys", "class", "id", "text_hash"), "candidates")
     sets = _sets(docs, lows, id_column, text_column, width)
-    lows = lows.select("node", "low")
+    lows = lows.select("node", "low", "keys")
 
     labels = docs.sparkSession.createDataFrame([], "node long, root long")
     for number in range(hub_rounds + 1):
@@ -215,8 +215,9 @@ def near_duplicates(
     placed = signed.join(classes.select("class", "node"), "class", "left").join(labels, "node", "left").select(
         "row", "id", "text_hash", "n", F.when(F.col("n") > 0, F.coalesce("root", "node")).otherwise(F.col("row")).alias("component"))
     placed = stored(placed, "near-rows")
-    heads = placed.groupBy("component").agg(
-        F.min(F.struct(F.col("id").isNull().alias("absent"), "id", "row")).alias("head"))
+    # Written before the join: a join of two plain tables can split the rows of a hot component.
+    heads = stored(placed.groupBy("component").agg(
+        F.min(F.struct(F.col("id").isNull().alias("absent"), "id", "row")).alias("head")), "near-heads")
     return placed.join(heads, "component").select(
         "id", "text_hash", F.col("n").alias("n_shingles"), F.col("head.id").alias("component_id"),
         (F.col("row") == F.col("head.row")).alias("kept"))

@@ -157,6 +157,8 @@ def near_vectors(
     grouped = rows.where(good).join(known, ["label", "vector"]).select("row", "id", "n_links", "component")
     alone = rows.where(~good).select("row", "id", F.lit(0).cast("long").alias("n_links"), F.col("row").alias("component"))
     placed = stored(grouped.unionByName(alone), "vector-rows")
-    heads = placed.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("head"))
+    # Written before the join: a join of two plain tables can split the rows of a hot component.
+    heads = stored(placed.groupBy("component").agg(
+        F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("head")), "vector-heads")
     return placed.join(heads, "component").select(
         "id", "n_links", F.col("head.id").alias("component_id"), (F.col("row") == F.col("head.row")).alias("kept"))
