@@ -3,7 +3,7 @@
 Each step is a grouped minimum and a join, so a node with a third of all links is one row per task in
 the one and a splittable join key in the other. Every round is written to the shared scratch folder:
 lineage stays short and a lost executor costs a reread. The rounds grow with the logarithm of the
-longest path; links that already point at their component's smallest node need two.
+longest path; links that already form stars around their smallest nodes need none.
 """
 
 from __future__ import annotations
@@ -20,8 +20,7 @@ def components(links: DataFrame) -> DataFrame:
     do not matter; null ends are left out.
     """
     edges = stored(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # Large star: every larger neighbour moves to the least of the neighbourhood.
@@ -32,9 +31,12 @@ def components(links: DataFrame) -> DataFrame:
         # Small star: every smaller neighbour moves to the least of them.
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         edges = stored(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "links")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            break
-        before = now
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge down, or none and only edges from above."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    return ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down + up > 1 and down > 0").isEmpty()
