@@ -11,11 +11,14 @@ equal lanes are counted with bit operations and corrected for lanes that agree b
    estimate lies more than ``MARGIN`` standard deviations below the limit, and confirms the others on
    the full sets. Members that are connected already are not compared again, so a group of near copies
    costs about one comparison per member, not per pair.
-4. Buckets that still hold several components are searched exhaustively: every member outside the
-   bucket's largest component against all others, in blocks, without a limit on their number.
+4. Buckets that then still hold several components are searched exhaustively, without a limit on their
+   number. In small ones every pair of different components is confirmed like before. In large ones a
+   task first marks, by estimates alone, the members that may have a link across components; these are
+   gathered with their full sets around the bucket's largest component, and those outside of it are
+   compared with all others, in blocks. Such a task returns links between components, never all pairs.
 
 So no pair of different components with enough similarity stays unseen, and the components are those of
-all links. Pairs are rows of two numbers; sets are moved only for classes that share a bucket.
+all links. Sets are moved only for classes that share a bucket.
 
 Defined results: a null text is the empty text; a text without words has an empty set, is linked with
 nothing and is kept; a text of fewer words than the shingle's width is one shingle; null ids count as
@@ -36,7 +39,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakemart.llm.common import apply_verdicts, name_of, split_by_bucket, stored, text_of
 from lakemart.llm.components import components
-from lakemart.llm.shingles import WordHashes, minima, shingle_set
+from lakemart.llm.shingles import WordHashes, band_keys, minima, shingle_set
 
 WIDTH = 5
 PERCENT = 80
@@ -44,7 +47,10 @@ BANDS, ROWS = 32, 4
 LANES = BANDS * ROWS
 MARGIN = 4.5
 #: Rounds with a hub before the exhaustive search; they only save work.
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
+#: Members of a bucket whose pairs are written out in the exhaustive search.
+SMALL_BUCKET = 16
+#: Rows of a large group that one task compares with.
 BLOCK = 1024
 LANE_LOW = 0x0101010101010101
 
@@ -60,6 +66,10 @@ def least_lanes(percent: int) -> int:
     return math.floor(LANES * (agree - MARGIN * math.sqrt(agree * (1 - agree) / LANES)))
 
 
+def _lists(matrix: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.arange(0, matrix.size + 1, matrix.shape[1], dtype=np.int32), pa.array(matrix.ravel()))
+
+
 def signatures(docs: DataFrame, id_column: str, text_column: str, width: int) -> DataFrame:
     """row, id, text_hash, n, class (digest of the set), keys (one per band), low (packed low bits)."""
     texts = docs.select(
@@ -69,21 +79,17 @@ def signatures(docs: DataFrame, id_column: str, text_column: str, width: int) ->
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sizes, classes, keys, lows = [], [], [], []
+            sizes, classes, minimal = [], [], []
             for text in batch.column(3):
                 shingles = shingle_set(text.as_py(), width, hashes)
                 sizes.append(len(shingles))
                 classes.append(xxhash.xxh3_128_digest(shingles))
-                if not len(shingles):
-                    keys.append(None)
-                    lows.append(None)
-                    continue
-                least = minima(shingles, LANES)
-                keys.append([xxhash.xxh3_64_intdigest(least[band * ROWS:(band + 1) * ROWS], band) - 2**63 for band in range(BANDS)])
-                lows.append(least.astype(np.uint8).view(np.int64))
+                minimal.append(minima(shingles, LANES) if len(shingles) else np.zeros(LANES, np.uint32))
+            least = np.array(minimal, np.uint32).reshape(-1, LANES)
+            low = np.ascontiguousarray(least.astype(np.uint8)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(lows, pa.list_(pa.int64()))],
+                 _lists(band_keys(least, BANDS)), _lists(low)],
                 ["row", "id", "text_hash", "n", "class", "keys", "low"])
 
     kind = texts.schema["id"].dataType.simpleString()
@@ -127,12 +133,11 @@ def _sets(docs: DataFrame, nodes: DataFrame, id_column: str, text_column: str, w
     return stored(sets.where("own").drop("own").dropDuplicates(["node"]), "shingle-sets")
 
 
-def _linked(pairs: DataFrame, lows: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough; the estimate first, where ``lows`` is given."""
-    if lows is not None:
-        sided = (pairs.join(lows.select(F.col("node").alias("a"), F.col("low").alias("low_a")), "a")
-                 .join(lows.select(F.col("node").alias("b"), F.col("low").alias("low_b")), "b"))
-        pairs = sided.where(_equal_lanes(F.col("low_a"), F.col("low_b")) >= least_lanes(percent)).select("a", "b")
+def _linked(pairs: DataFrame, lows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough, after their estimates were."""
+    sided = (pairs.join(lows.select(F.col("node").alias("a"), F.col("low").alias("low_a")), "a")
+             .join(lows.select(F.col("node").alias("b"), F.col("low").alias("low_b")), "b"))
+    pairs = sided.where(_equal_lanes(F.col("low_a"), F.col("low_b")) >= least_lanes(percent)).select("a", "b")
     full = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b"))
     both = F.size(F.array_intersect("set_a", "set_b"))
@@ -147,34 +152,78 @@ def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(labelled.join(several, "key"), "open-buckets")
 
 
-def _searched(open_buckets: DataFrame, lows: DataFrame, percent: int) -> DataFrame:
-    """a, b: all pairs of different components in a bucket whose estimate passes, each in one bucket only."""
-    counted = open_buckets.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    buckets = counted.groupBy("key").agg(
-        F.max_by("component", F.struct("n", "component")).alias("largest"), F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    rows = open_buckets.join(buckets, "key").join(lows, "node").withColumn("outside", F.col("component") != F.col("largest"))
-    # Every member is in one block; those outside the largest component visit all blocks of their bucket.
-    own = rows.select("*", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("visits"))
-    visiting = rows.where("outside").select(
+def _pairs_of(small: DataFrame) -> DataFrame:
+    """a, b: the pairs of different components in buckets of at most ``SMALL_BUCKET`` members."""
+    one, other = (small.select("key", F.col("node").alias(end), F.col("component").alias(f"{end}_in")) for end in "ab")
+    return one.join(other, "key").where("a > b and a_in != b_in").select("a", "b").distinct()
+
+
+def _blocked(rows: DataFrame, group: str, outside: Column) -> DataFrame:
+    """Each row in its own block of the group, and the rows outside once more in every block, as visitors."""
+    blocks = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    sized = rows.join(blocks, group)
+    own = sized.select("*", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("visits"))
+    visiting = sized.where(outside).select(
         "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("visits"))
-    blocks = own.unionByName(visiting).select("key", "block", "node", "component", "band", "low", "keys", "visits")
+    return own.unionByName(visiting).drop("blocks")
+
+
+def _near(low: np.ndarray, one: np.ndarray, floor: int) -> np.ndarray:
+    """Which rows of packed signatures have enough lanes in common with one signature."""
+    folded = low ^ one
+    for shift in (4, 2, 1):
+        folded |= folded >> np.uint64(shift)
+    return np.bitwise_count(folded & np.uint64(LANE_LOW)).sum(axis=1) <= LANES - floor
+
+
+def _marked(large: DataFrame, lows: DataFrame, percent: int) -> DataFrame:
+    """group (a component), node: members of large buckets that may have a link across components."""
+    counted = large.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = counted.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("group"))
+    rows = large.join(largest, "key").join(lows, "node")
+    blocks = _blocked(rows, "key", F.col("component") != F.col("group"))
     floor = least_lanes(percent)
 
-    def search(rows: pd.DataFrame) -> pd.DataFrame:
-        low = np.vstack(rows["low"].to_numpy()).astype(np.int64).view(np.uint8)
-        keys = np.vstack(rows["keys"].to_numpy())
+    def mark(rows: pd.DataFrame) -> pd.DataFrame:
+        low = np.vstack(rows["low"].to_numpy()).view(np.uint64)
         node, component, visits = (rows[name].to_numpy() for name in ("node", "component", "visits"))
-        band, inside = rows["band"].iloc[0], np.flatnonzero(~visits)
-        found = []
+        inside, marked = np.flatnonzero(~visits), np.zeros(len(rows), bool)
         for i in np.flatnonzero(visits):
-            near = inside[((low[inside] == low[i]).sum(axis=1) >= floor) & (component[inside] != component[i])
-                          # The first band the two share, so that the pair comes from one bucket.
-                          & ((keys[inside] == keys[i]).argmax(axis=1) == band)]
-            found.append(np.column_stack([np.full(len(near), node[i]), node[near]]))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs.max(axis=1), "b": pairs.min(axis=1)} if len(pairs) else {"a": [], "b": []}).astype("int64")
+            near = inside[_near(low[inside], low[i], floor) & (component[inside] != component[i])]
+            marked[near], marked[i] = True, marked[i] or len(near) > 0
+        return pd.DataFrame({"group": rows["group"].iloc[0], "node": node[marked]})
+
+    return blocks.select("key", "block", "group", "node", "component", "low", "visits").groupBy("key", "block").applyInPandas(
+        mark, "group long, node long").distinct()
+
+
+def _searched(marked: DataFrame, labels: DataFrame, lows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: links that join the components of the marked members of each group."""
+    rows = marked.join(labels, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
+    blocks = _blocked(rows, "group", F.col("component") != F.col("group"))
+    floor = least_lanes(percent)
 
-    return blocks.groupBy("key", "block").applyInPandas(search, "a long, b long").distinct()
+    def search(rows: pd.DataFrame) -> pd.DataFrame:
+        low, sets = np.vstack(rows["low"].to_numpy()).view(np.uint64), rows["shingles"].to_numpy()
+        node, component, visits = (rows[name].to_numpy() for name in ("node", "component", "visits"))
+        tree, inside, found = component.copy(), np.flatnonzero(~visits), []
+        for i in np.flatnonzero(visits):
+            near = inside[_near(low[inside], low[i], floor) & (tree[inside] != tree[i])]
+            if not len(near):
+                continue
+            sizes = np.array([len(sets[j]) for j in near])
+            shared = np.isin(np.concatenate([sets[j] for j in near]), sets[i])
+            both = np.add.reduceat(shared, np.cumsum(sizes) - sizes, dtype=np.int64)
+            linked = near[both * 100 >= (sizes + len(sets[i]) - both) * percent]
+            # One link to each component is enough, and from here on they are one.
+            for other, at in zip(*np.unique(tree[linked], return_index=True)):
+                found.append((node[i], node[linked[at]]))
+                tree[tree == other] = tree[i]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    full = blocks.join(lows.select("node", "low"), "node").join(sets.select("node", "shingles"), "node")
+    return full.select("group", "block", "node", "component", "low", "shingles", "visits").groupBy("group", "block").applyInPandas(
+        search, "a long, b long")
 
 
 def near_duplicates(
@@ -188,17 +237,17 @@ def near_duplicates(
         first, F.first("keys").alias("keys"), F.first("low").alias("low")).select(
             "class", F.col("first.row").alias("node"), F.col("first.id").alias("id"), F.col("first.text_hash").alias("text_hash"),
             "keys", "low"), "classes")
-    each = classes.select("node", F.posexplode("keys").alias("band", "key"))
-    shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("band").alias("band")).where("n > 1").select("key", "band")
-    members = stored(each.select("key", "node").join(shared, "key"), "buckets")
+    each = classes.select("node", F.explode("keys").alias("key"))
+    shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    members = stored(each.join(shared, "key").select("key", "node"), "buckets")
     nodes = members.select("node").distinct()
-    lows = stored(classes.join(nodes, "node").select("node", "low", "keys", "class", "id", "text_hash"), "candidates")
+    lows = stored(classes.join(nodes, "node").select("node", "low", "class", "id", "text_hash"), "candidates")
     sets = _sets(docs, lows, id_column, text_column, width)
-    lows = lows.select("node", "low", "keys")
+    lows = lows.select("node", "low")
 
     labels = docs.sparkSession.createDataFrame([], "node long, root long")
     for number in range(hub_rounds + 1):
-        todo = _open_buckets(members.select("key", "node"), labels)
+        todo = _open_buckets(members, labels)
         if todo.isEmpty():
             break
         if number < hub_rounds:
@@ -208,8 +257,11 @@ def near_duplicates(
                 F.greatest("node", "hub.node").alias("a"), F.least("node", "hub.node").alias("b")).distinct()
             links = _linked(pairs, lows, sets, percent)
         else:
-            bands = members.select("key", "band").distinct()
-            links = _linked(_searched(todo.join(bands, "key"), lows, percent), None, sets, percent)
+            sizes = stored(todo.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "bucket-sizes")
+            small = _linked(_pairs_of(todo.join(sizes.where(F.col("n") <= SMALL_BUCKET), "key")), lows, sets, percent)
+            large = todo.join(sizes.where(F.col("n") > SMALL_BUCKET).select("key"), "key")
+            marked = stored(_marked(large, lows, percent), "marked")
+            links = small.unionByName(_searched(marked, labels, lows, sets, percent))
         labels = _relabelled(labels, links)
 
     placed = signed.join(classes.select("class", "node"), "class", "left").join(labels, "node", "left").select(

@@ -50,21 +50,33 @@ def shingle_set(text: str | None, width: int, hashes: WordHashes) -> np.ndarray:
 @functools.lru_cache(maxsize=4)
 def _permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.default_rng(20)
-    return (draw.integers(0, 2**63, count, np.uint64) * np.uint64(2) + np.uint64(1),
-            draw.integers(0, 2**63, count, np.uint64) * np.uint64(2))
+    return (draw.integers(0, 2**31, (count, 1), np.uint32) * np.uint32(2) + np.uint32(1),
+            draw.integers(0, 2**32, (count, 1), np.uint32))
 
 
 def minima(shingles: np.ndarray, count: int) -> np.ndarray:
-    """The least value of the set under each of ``count`` permutations; ``shingles`` must not be empty."""
+    """The least value of the set under each of ``count`` permutations of 32-bit numbers.
+
+    The upper halves of the hashes are permuted; ``shingles`` must not be empty.
+    """
     factor, shift = _permutations(count)
-    least = np.full(count, np.iinfo(np.uint64).max, np.uint64)
+    values = (shingles >> np.uint64(32)).astype(np.uint32)
+    least = np.full(count, np.iinfo(np.uint32).max, np.uint32)
     # In slices, so that a very long text needs no more memory than a short one.
-    for at in range(0, len(shingles), 4096):
-        values = shingles[at:at + 4096, None] * factor + shift
-        np.minimum(least, values.min(axis=0), out=least)
+    for at in range(0, len(values), 4096):
+        np.minimum(least, (values[at:at + 4096] * factor + shift).min(axis=1), out=least)
     return least
 
 
+def band_keys(least: np.ndarray, bands: int) -> np.ndarray:
+    """A 64-bit key of each band of each row of minima."""
+    rows = least.reshape(len(least), bands, -1).astype(np.uint64)
+    keys = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), rows.shape[:2]).copy()
+    for lane in range(rows.shape[2]):
+        keys = _mixed(keys * MIX[0] + rows[:, :, lane] * MIX[1])
+    return keys.view(np.int64)
+
+
 def jaccard(one: np.ndarray, other: np.ndarray) -> tuple[int, int]:
     """(size of the intersection, size of the union) of two sorted sets."""
     both = len(np.intersect1d(one, other, assume_unique=True))

@@ -63,6 +63,7 @@ def near_copies(count, seed):
 @pytest.mark.parametrize("rounds", [0, 1, 3])
 def test_groups_of_near_copies(documents, monkeypatch, rounds):
     monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "SMALL_BUCKET", 6)
     rows = list(enumerate(near_copies(90, 1) + near_copies(40, 2) + ["other words " * 30]))
     assert got(documents(rows), width=2, hub_rounds=rounds) == brute(rows, 2)
 
