@@ -13,7 +13,6 @@ table gives no chunks and no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -93,4 +92,5 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
     decoded = chunks.select("file", "first", "documents", "absent", "payload").mapInArrow(
         decode, "id long, file int, start long, n_tokens long, ids binary")
-    return decoded.join(files, "file").select("id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids")
+    # One row per file; joined without moving the decoded ids.
+    return decoded.join(F.broadcast(files), "file").select("id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids")

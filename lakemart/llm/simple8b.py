@@ -28,15 +28,16 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words, position of the first id of each block). ``ids`` are unsigned 64-bit."""
     n = len(ids)
     padded = np.concatenate([ids.astype(np.uint64), np.zeros(LAYOUTS[0][0], np.uint64)])
-    # The densest selector whose ids from here on all fit; the last word may reach past the end.
-    selector = np.zeros(n, np.uint8)
+    # Bits of every id; rounding of very large ones can only add one, which at worst costs an escape.
+    widest = np.frexp(padded.astype(np.float64))[1].astype(np.uint8)
+    # The densest selector whose ids from here on all fit, from the widest of the next 1, 2, 3, ... 60 ids;
+    # the last word may reach past the end.
+    selector, before = np.zeros(n, np.uint8), 1
     for number in range(len(LAYOUTS), 0, -1):
         count, bits = LAYOUTS[number - 1]
-        if n and bits < 60 and int(padded.max()) >> bits == 0:
-            selector[:] = number
-            continue
-        wide = np.concatenate([[0], np.cumsum(padded >= np.uint64(1 << bits))])
-        selector[wide[count:count + n] == wide[:n]] = number
+        if count > before:
+            widest, before = np.maximum(widest[:len(widest) - (count - before)], widest[count - before:]), count
+        selector[widest[:n] <= bits] = number
     steps = np.array([1] + [count for count, _ in LAYOUTS], np.uint8)[selector].tolist()
     starts, at = [], 0
     while at < n:

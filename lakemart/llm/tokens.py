@@ -15,11 +15,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Texts are encoded in runs of about this many bytes, so a batch of long texts needs no more memory.
-RUN_BYTES = 2 * 2**20
+RUN_BYTES = 8 * 2**20
 #: The memo is emptied once it holds this many chunks, about 200 bytes each.
-MEMO_CHUNKS = 600_000
+MEMO_CHUNKS = 800_000
 #: Longer chunks are encoded but not remembered.
 LONGEST_CHUNK = 64
 
@@ -33,21 +34,20 @@ def vocabulary_path() -> str:
 
 #: Letters (ASCII and the two-byte ones of Latin-1), then punctuation other than the apostrophe.
 WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)")
-#: A full stop or comma between a small letter and white space or the end.
-SENTENCE_MARK = re.compile(rb"([.,])(?:(?<=[a-z][.,])|(?<=\xc3[\xa0-\xb6\xb8-\xbf][.,]))(?=[\x20\n]|\Z)")
+#: Punctuation between a small letter and white space or the end.
+END_MARKS = re.compile(
+    rb"([!-&(-/:-@\[-`{-~])(?:(?<=[a-z].)|(?<=\xc3[\xa0-\xb6\xb8-\xbf].))([!-&(-/:-@\[-`{-~]*)(?=[\x20\n]|\Z)", re.S)
 #: A special token, or the first byte of a mark that composes with a letter.
-CASE_MATTERS = re.compile(rb"<\||\xcc|\xcd")
+AS_IT_IS = re.compile(rb"<\||\xcc|\xcd")
 
 
 def _plain(text: bytes) -> bytes:
     """A text with the same ids and fewer different chunks.
 
-    The tokenizer lower-cases, and always splits between a letter and punctuation. Lower-casing first
-    would make special tokens of their capital spellings, and could change which marks compose.
+    The tokenizer lower-cases, and always splits between a letter and punctuation. Not so within special
+    tokens, and lower-casing first could change which marks compose: such texts stay as they are.
     """
-    if not CASE_MATTERS.search(text):
-        text = text.lower()
-    return SENTENCE_MARK.sub(rb" \1", text)
+    return text if AS_IT_IS.search(text) else END_MARKS.sub(rb" \1\2", text.lower())
 
 
 def _units(chunk: bytes) -> tuple[bytes, ...]:
@@ -96,16 +96,20 @@ class ChunkEncoder:
 
     def run(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, ids per text)."""
-        chunks, ends = [], np.zeros(len(texts) + 1, np.int64)
-        for i, text in enumerate(texts):
-            chunks += _plain(text).split()
-            ends[i + 1] = len(chunks)
-        if unknown := set(chunks).difference(self.place):
-            self._learn(sorted(unknown))
-        ids, upto = self._gather(np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks)))
+        plain = [_plain(text) for text in texts]
+        ends = np.concatenate([[0], np.cumsum([len(text) for text in plain])])
+        joined = pa.LargeStringArray.from_buffers(len(plain), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(plain)))
+        split = pc.ascii_split_whitespace(joined)
+        # Each different chunk of the run is looked up once; the empty ones at the ends of texts have no ids.
+        coded = split.flatten().dictionary_encode()
+        chunks = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        if unknown := [chunk for chunk in chunks if chunk not in self.place]:
+            self._learn(unknown)
+        places = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
+        ids, upto = self._gather(places[coded.indices.to_numpy()])
         if len(self.place) > MEMO_CHUNKS or max(map(len, unknown), default=0) > LONGEST_CHUNK:
             self._forget()
-        return ids, np.diff(upto[ends])
+        return ids, np.diff(upto[split.offsets.to_numpy()])
 
 
 @functools.lru_cache(maxsize=2)
