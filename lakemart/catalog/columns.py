@@ -131,9 +131,9 @@ def utc_sanitize(source: Source) -> DataFrame:
 
 SALES_SQL = """
     select 'HP' || o_orderkey as transaction, o_orderstatus as status,
-           epoch_ms(date_trunc('week', o_orderdate)) + (o_orderkey * 7919) % 86400000 as order_date_ms,
-           case when o_orderstatus <> 'P' then epoch_ms(date_trunc('week', o_orderdate)) + 86400000 + (o_orderkey * 7919) % 86400000 end as approved_date_ms,
-           epoch_ms(date_trunc('week', o_orderdate)) + 30 * 86400000::bigint + (o_orderkey * 7919) % 86400000 as warranty_expire_date_ms,
+           epoch_ms(date_trunc('day', o_orderdate)) + (o_orderkey * 7919) % 86400000 as order_date_ms,
+           case when o_orderstatus <> 'P' then epoch_ms(date_trunc('day', o_orderdate)) + 86400000 + (o_orderkey * 7919) % 86400000 end as approved_date_ms,
+           epoch_ms(date_trunc('day', o_orderdate)) + 30 * 86400000::bigint + (o_orderkey * 7919) % 86400000 as warranty_expire_date_ms,
            o_orderpriority = '1-URGENT' as is_subscription, 'PRODUCER' as commission_as,
            case when o_orderstatus <> 'P' then o_orderkey % 500 end as product_id,
            case when o_orderstatus <> 'P' then 'product ' || o_orderstatus end as product_name,

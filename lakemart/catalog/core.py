@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from lakemart import spec
 from lakemart.catalog.frames import order_day, SOURCE_FROM, TARGET_UNTIL, daily_events
 from lakemart.catalog.registry import Source, query
 from lakemart.operators.dedup import distinct_rows, keep_last as last_per_grain
@@ -17,8 +19,8 @@ from lakemart.operators.quality import (
 from lakemart.operators.upkeep import compaction_plan as plan_compaction, expired_versions as old_versions
 from lakemart.operators.upsert import merge_rows, reload_rows, scd1
 from lakemart.operators.windows import (
-    date_slices as slices, high_watermark as watermark, scan_window, slice_number, window_start as first_day,
-    window_start_column,
+    date_slices as slices, high_watermark as watermark, load_window as extraction_window, scan_window, slice_number,
+    window_start as first_day, window_start_column,
 )
 
 GRAIN = ["data", "user_id"]
@@ -141,6 +143,36 @@ def distinct_dims(source: Source) -> DataFrame:
     return distinct_rows(source.customer, ["c_mktsegment", "no_such_column", "c_nationkey"])
 
 
+@query("""
+    with m as (select max(cast(ts as date)) as top from events),
+    bounds as (
+        select 'ads, later load' as load, top - 10 as first, date '2024-03-01' as last, 14 as days from m
+        union all select 'ads, first load', date '2024-03-01' - 90, date '2024-03-01', 14
+        union all select 'sales, later load', top - 90, date '2024-03-01', 90 from m
+        union all select 'sales, first load', date '2024-03-01' - 1825, date '2024-03-01', 90
+        union all select 'asked for', date '2023-12-30', date '2024-01-02', 14)
+    select load, (first + s * days::integer)::date as slice_start, least(first + s * days::integer + days::integer - 1, last)::date as slice_end
+    from (select *, unnest(generate_series(0, date_diff('day', first, last) // days))::integer as s from bounds)
+""")
+def load_window(source: Source) -> DataFrame:
+    """The days each kind of load extracts, cut into the slices of its requests."""
+    day, top = dt.date(2024, 3, 1), watermark(daily_events(source), "data").first()[0]
+    ads, sales = (spec.ADS_LOOKBACK_DAYS, spec.ADS_BACKFILL_DAYS), (spec.SALES_LOOKBACK_DAYS, spec.SALES_BACKFILL_DAYS)
+    asked = (dt.date(2023, 12, 30), dt.date(2024, 1, 2))
+    bounds = [
+        ("ads, later load", *extraction_window(top, *ads, day), spec.ADS_SLICE_DAYS),
+        ("ads, first load", *extraction_window(None, *ads, day), spec.ADS_SLICE_DAYS),
+        ("sales, later load", *extraction_window(top, *sales, day), spec.SALES_SLICE_DAYS),
+        ("sales, first load", *extraction_window(None, *sales, day), spec.SALES_SLICE_DAYS),
+        ("asked for", *extraction_window(top, *ads, day, asked), spec.ADS_SLICE_DAYS),
+    ]
+    tiles = [
+        slices(source.spark.createDataFrame([(first, last)], "first date, last date"), "first", "last", days)
+        .select(F.lit(load).alias("load"), "slice_start", "slice_end") for load, first, last, days in bounds
+    ]
+    return reduce(DataFrame.unionByName, tiles)
+
+
 @query("""
     with b as (select min(cast(o_orderdate as date)) as lo, max(cast(o_orderdate as date)) as hi from orders),
     n as (select floor(date_diff('day', b.lo, cast(o_orderdate as date)) / 90) as slice, count(*) as orders

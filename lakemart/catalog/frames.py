@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakemart.catalog.registry import Source
 from lakemart.functions.casts import date_epoch_ms
+from lakemart.functions.text import MONTH_NUMBERS
 
 TARGET_UNTIL = dt.date(2024, 1, 20)
 SOURCE_FROM = dt.date(2024, 1, 11)
@@ -59,11 +60,8 @@ def insight_records(source: Source) -> DataFrame:
 
 
 def sale_records(source: Source) -> DataFrame:
-    """Orders with their customer as nested sale records, some without product or buyer.
-
-    The sale day is the Monday of the order's week.
-    """
-    sale_day = F.trunc(order_day(), "week")
+    """Orders with their customer as nested sale records, some without product or buyer."""
+    sale_day = order_day()
     rows = source.orders.join(
         source.customer, F.col("o_custkey") == F.col("c_custkey"), "left"
     )
@@ -134,7 +132,7 @@ def sheet_rows(source: Source) -> DataFrame:
 
 def projection_rows(source: Source) -> DataFrame:
     """Order totals per month as the projections sheet: ``jan/2025`` and ``R$ 1.234,56``."""
-    months = "jan fev mar abr mai jun jul ago set out nov dez".split()
+    months = sorted(MONTH_NUMBERS, key=MONTH_NUMBERS.get)
     label = F.concat(
         F.lit(" "), F.upper(F.element_at(F.array(*map(F.lit, months)), F.month(order_day()))), F.lit("/"),
         text(F.year(order_day())), F.lit(" "),

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import io
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from lakemart.catalog.frames import daily_events
@@ -13,8 +11,7 @@ from lakemart.catalog.registry import Source, query
 from lakemart.session import scratch_path
 from lakemart.sources.files import Files, file_listing
 from lakemart.sources.landing import (
-    ARRIVAL, is_inbox_file, latest_drop_path, promote, raw_partition, read_csv, read_partition,
-    read_workbooks, stage_by_day,
+    ARRIVAL, is_inbox_file, latest_drop_path, promote, raw_partition, read_csv, read_partition, stage_by_day,
 )
 
 FIRST, SECOND, THIRD = dt.date(2024, 2, 1), dt.date(2024, 2, 2), dt.date(2024, 2, 3)
@@ -57,12 +54,18 @@ def promote_ingestion_date(source: Source) -> DataFrame:
     return source.spark.read.schema(schema).json(f"{root}/raw").drop("event_date")
 
 
-@query("select c_custkey, c_name, c_nationkey, c_acctbal from customer")
+@query("""
+    select c_custkey, 'a "' || c_name || '", b' as c_name, c_mktsegment || chr(10) || 'second line' as c_mktsegment, c_acctbal
+    from customer
+""")
 def csv_scan(source: Source) -> DataFrame:
+    """Values with quotes, commas and line breaks."""
     path = scratch_path(source.spark, "csv")
-    rows = source.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
-    rows.write.option("header", "true").csv(path)
-    return read_csv(source.spark, path, rows.schema)
+    rows = source.customer.select(
+        "c_custkey", F.concat(F.lit('a "'), "c_name", F.lit('", b')).alias("c_name"),
+        F.concat("c_mktsegment", F.lit("\nsecond line")).alias("c_mktsegment"), "c_acctbal")
+    rows.write.option("header", "true").option("escape", '"').csv(path)
+    return read_csv(source.spark, path, rows.schema, multi_line=True)
 
 
 @query("select o_orderkey, o_orderpriority, o_totalprice from orders")
@@ -84,27 +87,14 @@ def inbox_filter(source: Source) -> DataFrame:
 
 @query("select c_custkey, c_name, c_acctbal * 2 as c_acctbal from customer")
 def latest_snapshot(source: Source) -> DataFrame:
-    """The first allowed entry of the newest drop; older drops and other entries are ignored."""
+    """The first allowed entry of the newest drop, as asked for; older drops and other entries are ignored."""
     root = scratch_path(source.spark, "drops")
     rows = source.customer.select("c_custkey", "c_name", "c_acctbal")
     drops = ((1, FIRST, "a.csv"), (2, SECOND, "a.CSV"), (3, SECOND, "b.csv"), (4, THIRD, "notes.txt"))
     for factor, day, entry in drops:
         drop = rows.withColumn("c_acctbal", F.col("c_acctbal") * factor)
         drop.write.option("header", "true").csv(f"{raw_partition(root, day)}/{entry}")
-    return read_csv(source.spark, latest_drop_path(source.spark, root, [".csv"]), rows.schema)
-
-
-@query("select c_custkey, c_name, c_acctbal from customer")
-def workbook_scan(source: Source) -> DataFrame:
-    """Binary files decoded one per task batch; CSV bytes stand in for a workbook."""
-    path = scratch_path(source.spark, "books")
-    rows = source.customer.select("c_custkey", "c_name", "c_acctbal")
-    rows.write.option("header", "true").option("maxRecordsPerFile", 20_000).csv(path)
-
-    def decode(content: bytes) -> pd.DataFrame:
-        return pd.read_csv(io.BytesIO(content))
-
-    return read_workbooks(source.spark, path, rows.schema, decode)
+    return read_csv(source.spark, latest_drop_path(source.spark, root, [".csv"], first_only=True), rows.schema)
 
 
 @query("select strftime(cast(ts as date), '%Y-%m-%d') as folder, true as has_bytes from events group by 1")

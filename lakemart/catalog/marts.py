@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,12 +13,11 @@ from lakemart.catalog.frames import insight_records, projection_rows, sale_recor
 from lakemart.catalog.joins import CREATIVE_SQL, creative_links
 from lakemart.catalog.registry import Source, query
 from lakemart.functions.casts import epoch_ms_date
-from lakemart.operators.dedup import keep_last
 from lakemart.plans.ads import AdsMart
 from lakemart.plans.sales import SalesMart, flatten_sales
 from lakemart.plans.snapshots import ProjectionsMart, SheetSalesMart, SubscriptionsMart
 from lakemart.session import scratch_path
-from lakemart.sources.landing import raw_partition
+from lakemart.sources.landing import ARRIVAL, raw_partition
 
 RUN_1, RUN_2 = dt.date(2024, 2, 1), dt.date(2024, 2, 2)
 LOADED_UNTIL, RESTATED_FROM = "2024-01-20", "2024-01-10"
@@ -27,8 +27,24 @@ def ads_mart(source: Source) -> AdsMart:
     return AdsMart(source.spark, scratch_path(source.spark, "ads"), "camp")
 
 
-def daily_records(source: Source) -> DataFrame:
-    return keep_last(insight_records(source), ["date_start", "campaign_id"], ["event_id"]).drop("event_id")
+def bad_days(records: DataFrame) -> DataFrame:
+    """Copies of some records under a day that is none: they end among the rejects."""
+    return records.where(F.col("event_type_number") == 0).withColumn("date_start", F.lit("2024-13-05"))
+
+
+def landed_records(source: Source) -> DataFrame:
+    """All events as landing records, several per (day, id), with their place in the landing files."""
+    place = F.struct(F.lit("f").alias("file"), F.lit(0).cast("bigint").alias("offset"), F.col("event_id").alias("row"))
+    records = insight_records(source).withColumn(ARRIVAL, place).withColumn("event_type_number", F.pmod("event_id", F.lit(97)))
+    return records.unionByName(bad_days(records)).drop("event_id", "event_type_number")
+
+
+def two_loads(mart: AdsMart, records: DataFrame, first: dict, second: dict) -> AdsMart:
+    """A first load up to a day, then a restated window that overlaps it; either with its lookup tables."""
+    restated = records.withColumn("spend", text(F.col("spend").cast("double") * 2))
+    mart.load(records.where(F.col("date_start") <= LOADED_UNTIL), RUN_1, **first)
+    mart.load(restated.where(F.col("date_start") >= RESTATED_FROM), RUN_2, **second)
+    return mart
 
 
 ADS_SQL = """
@@ -50,23 +66,39 @@ ADS_SQL = """
 
 @query(ADS_SQL + "select * exclude (event_type) from f")
 def ads_mart_fact(source: Source) -> DataFrame:
-    """A first load up to a day, then a restated window that overlaps it."""
-    mart, records = ads_mart(source), daily_records(source)
-    restated = records.withColumn("spend", text(F.col("spend").cast("double") * 2))
-    mart.load(records.where(F.col("date_start") <= LOADED_UNTIL), RUN_1)
-    mart.load(restated.where(F.col("date_start") >= RESTATED_FROM), RUN_2)
+    """Repeated records and bad days on the way, over two loads."""
+    mart = two_loads(ads_mart(source), landed_records(source), {}, {})
     return mart.fact.read().select(*mart.level.fact_columns)
 
 
+@query("""
+    select count(*) as rejects, 0 as published from events where event_id % 97 = 0
+    union all
+    select 0, count(distinct (cast(ts as date), user_id)) from events
+""")
+def ads_rejected_first_load(source: Source) -> DataFrame:
+    """A first load of rejects alone creates no table; the next load, a good one, is published."""
+    mart, records = ads_mart(source), insight_records(source)
+    place = F.struct(F.lit("f").alias("file"), F.lit(0).cast("bigint").alias("offset"), F.col("event_id").alias("row"))
+    spoiled = records.where(F.col("event_id") % 97 == 0)
+    # No two records share a day and an id, so that each of them is a reject of its own.
+    spoiled = spoiled.withColumn("date_start", F.concat(F.lit("2024-13-"), text("event_id"))).drop("event_id")
+    mart.load(spoiled, RUN_1)
+    rejects = source.spark.read.parquet(f"{mart.rejects_root}/ingestion_date={RUN_1.isoformat()}")
+    if mart.bronze.exists() or mart.fact.exists():
+        raise AssertionError("rejects were published")
+    mart.load(records.withColumn(ARRIVAL, place).drop("event_id"), RUN_2)
+    return rejects.agg(F.count("*").alias("rejects")).withColumn("published", F.lit(0).cast("bigint")).unionByName(
+        mart.fact.read().agg(F.count("*").alias("published")).withColumn("rejects", F.lit(0).cast("bigint")))
+
+
 @query(ADS_SQL + """
     select campaign_id, 'campaign ' || event_type as campaign_name from f
     qualify row_number() over (partition by campaign_id order by data desc) = 1
 """)
 def ads_mart_dimension(source: Source) -> DataFrame:
-    """One load of everything: the name of a campaign is the one of its last day."""
-    mart = ads_mart(source)
-    mart.load(daily_records(source), RUN_1)
-    return mart.dimension.read()
+    """The name of a campaign is the one of its last day."""
+    return two_loads(ads_mart(source), landed_records(source), {}, {}).dimension.read()
 
 
 LAST_EVENT_SQL = """
@@ -77,14 +109,20 @@ LAST_EVENT_SQL = """
 
 @query(f"""
     select id as adset_id, 'campaign ' || event_type as adset_name,
-           case when user_id % 3 = 1 then 'Everyone | CA:' || id when user_id % 3 = 2 then 'CA:' || id else '' end
+           case when user_id not in (select user_id from events where ts < timestamp '{LOADED_UNTIL}' + interval 1 day) then ''
+                when user_id % 3 = 1 then 'Everyone | CA:' || id when user_id % 3 = 2 then 'CA:' || id else '' end
                as publicos_personalizados_incluidos
     from ({LAST_EVENT_SQL})
 """)
 def adset_mart_dimension(source: Source) -> DataFrame:
+    """Only the first load looks audiences up: what it found stays, and ad sets that came later have none yet."""
+    return adset_mart(source).dimension.read().fillna("", [spec.AUDIENCES])
+
+
+def adset_mart(source: Source) -> AdsMart:
     """Users as ad sets; customers with the same number hold their targeting, a third has none."""
     mart = AdsMart(source.spark, scratch_path(source.spark, "adsets"), "adset")
-    records = daily_records(source).select(
+    records = landed_records(source).select(
         "*", F.col("campaign_id").alias("adset_id"), F.col("campaign_name").alias("adset_name")
     )
     key = text("c_custkey")
@@ -96,8 +134,29 @@ def adset_mart_dimension(source: Source) -> DataFrame:
         F.array(F.struct(F.when(form == 1, F.array(everyone, person)).alias("custom_audiences"))).alias("flexible_spec"),
     ))
     audiences = source.customer.select(key.alias("id"), targeting.alias("targeting"))
-    mart.load(records, RUN_1, audiences=audiences)
-    return mart.dimension.read()
+    return two_loads(mart, records, {"audiences": audiences.unionByName(audiences)}, {})
+
+
+@query(ADS_SQL + "select data, campaign_id as adset_id, * exclude (event_type, data) from f")
+def adset_mart_fact(source: Source) -> DataFrame:
+    mart = adset_mart(source)
+    return mart.fact.read().select(*mart.level.fact_columns)
+
+
+def ad_mart(source: Source) -> AdsMart:
+    """Users as ads, with the links of the order of the same number."""
+    mart = AdsMart(source.spark, scratch_path(source.spark, "single-ads"), "ad")
+    records = landed_records(source).select(
+        "*", F.col("campaign_id").alias("ad_id"), F.col("campaign_name").alias("ad_name"),
+        F.col("campaign_id").alias("adset_id"),
+    )
+    return two_loads(mart, records, {"creatives": creative_links(source)}, {"creatives": creative_links(source)})
+
+
+@query(ADS_SQL + "select data, campaign_id as ad_id, campaign_id as adset_id, * exclude (event_type, data) from f")
+def ad_mart_fact(source: Source) -> DataFrame:
+    mart = ad_mart(source)
+    return mart.fact.read().select(*mart.level.fact_columns)
 
 
 @query(f"""
@@ -107,14 +166,7 @@ def adset_mart_dimension(source: Source) -> DataFrame:
     from ad left join link on link.ad_id = ad.id
 """)
 def ad_mart_dimension(source: Source) -> DataFrame:
-    """Users as ads, with the links of the order of the same number."""
-    mart = AdsMart(source.spark, scratch_path(source.spark, "single-ads"), "ad")
-    records = daily_records(source).select(
-        "*", F.col("campaign_id").alias("ad_id"), F.col("campaign_name").alias("ad_name"),
-        F.col("campaign_id").alias("adset_id"),
-    )
-    mart.load(records, RUN_1, creatives=creative_links(source))
-    return mart.dimension.read()
+    return ad_mart(source).dimension.read()
 
 
 SPLIT_DAY = "1999-06-01"
@@ -153,46 +205,50 @@ def sales_mart_fact(source: Source) -> DataFrame:
 
 
 @query(SALES_MART_SQL + """
-    select 'dim_cliente' as dimension, buyer_ucode as key, max(buyer_name) as name from typed where buyer_ucode is not null group by 2
+    select 'dim_cliente' as dimension, buyer_ucode as key, max(buyer_name) as name, max(buyer_email) as more
+    from typed where buyer_ucode is not null group by 2
     union all
-    select 'dim_produto', cast(product_id as varchar), arg_max(product_name, (data, product_name)) from typed
+    select 'dim_produto', cast(product_id as varchar), arg_max(product_name, (data, product_name)), null from typed
     where product_id is not null group by 2
     union all
-    select 'dim_oferta', offer_code, arg_max(offer_payment_mode, (data, offer_payment_mode)) from typed
+    select 'dim_oferta', offer_code, arg_max(offer_payment_mode, (data, offer_payment_mode)), null from typed
     where offer_code is not null group by 2
     union all
-    select 'dim_produtor', producer_ucode, 'né' from typed where producer_ucode is not null group by 2
+    select 'dim_produtor', producer_ucode, 'né', null from typed where producer_ucode is not null group by 2
 """)
 def sales_mart_dimensions(source: Source) -> DataFrame:
-    """The four dimensions after one load of everything, each as (key, attribute)."""
+    """The four dimensions after one load of everything, each as its key and all its attributes."""
     mart = sales_mart(source)
     mart.load(flatten_sales(sale_records(source)), RUN_1)
     frames = []
-    for dim, name in zip(spec.SALES_DIMENSIONS, ("buyer_name", "product_name", "offer_payment_mode", "producer_name")):
+    for dim in spec.SALES_DIMENSIONS:
         rows = mart.dimensions[dim.name].read()
-        frames.append(rows.select(F.lit(dim.name).alias("dimension"), text(dim.key[0]).alias("key"), F.col(name).alias("name")))
-    first, *rest = frames
-    for frame in rest:
-        first = first.unionByName(frame)
-    return first
+        attributes = [name for name in dim.columns if name not in dim.key]
+        if sorted(rows.columns) != sorted(dim.columns) or len(attributes) > 2:
+            raise AssertionError(f"{dim.name} holds {rows.columns}")
+        values = [text(name) for name in attributes] + [F.lit(None).cast("string")] * (2 - len(attributes))
+        frames.append(rows.select(
+            F.lit(dim.name).alias("dimension"), text(dim.key[0]).alias("key"), values[0].alias("name"), values[1].alias("more")))
+    return reduce(DataFrame.unionByName, frames)
 
 
 @query("""
     select o_orderkey as id, o_orderstatus as plan_name, c_name as subscriber_name,
-           '[{"code":"' || o_orderpriority || '"}]' as offers
+           '[{"code":"' || o_orderpriority || '"}]' as offers, case when o_orderkey % 50 = 0 then 'rare' end as extra
     from orders left join customer on o_custkey = c_custkey
 """)
 def subscriptions_mart(source: Source) -> DataFrame:
-    """Nested subscription records of unknown shape, flattened and passed through to gold."""
+    """Nested records of unknown shape, some with a field the others lack, flattened and passed through to gold."""
     root = scratch_path(source.spark, "subscriptions")
     nested = source.orders.join(source.customer, F.col("o_custkey") == F.col("c_custkey"), "left").select(
         F.col("o_orderkey").alias("id"), F.struct(F.col("o_orderstatus").alias("name")).alias("plan"),
         F.struct(F.col("c_name").alias("name")).alias("subscriber"),
         F.array(F.struct(F.col("o_orderpriority").alias("code"))).alias("offers"),
+        F.when(F.col("o_orderkey") % 50 == 0, "rare").alias("extra"),
     )
     mart = SubscriptionsMart(source.spark, root)
     nested.write.json(raw_partition(mart.raw_root, RUN_1))
-    mart.load(RUN_1, nested.schema)
+    mart.load(RUN_1)
     return mart.fact.read()
 
 

@@ -67,17 +67,20 @@ def late_window(source: Source) -> DataFrame:
     return daily_table(source, scratch_path(source.spark, "late"), [first, restated], 10)
 
 
-@query("select distinct user_id, event_type from events")
+@query("select user_id, event_type, min(ts) as ts from events group by all")
 def first_arrival_keys(source: Source) -> DataFrame:
-    """Keys kept by first-wins deduplication while the watermark covers the whole month."""
+    """First-wins deduplication: the earliest event of each key arrives first, in a file of its own, and stays."""
     root = scratch_path(source.spark, "firsts")
     rows = source.events.select("ts", "user_id", "event_type", "value").withColumn("ts", F.col("ts").cast("timestamp"))
-    rows.write.parquet(f"{root}/inbox")
     stream = arrivals(source.spark, f"{root}/inbox", rows.schema, "parquet")
     kept = first_arrivals(stream, "ts", ["user_id", "event_type"], "60 days")
 
     def append(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/kept/batch={batch_id}")
 
-    load_available(kept, append, f"{root}/checkpoint")
-    return source.spark.read.schema(rows.schema).parquet(f"{root}/kept").select("user_id", "event_type")
+    first = rows.groupBy("user_id", "event_type").agg(F.min("ts").alias("ts"))
+    for arriving in (rows.join(first, ["user_id", "event_type", "ts"]), rows):
+        arriving.select(rows.columns).write.mode("append").parquet(f"{root}/inbox")
+        load_available(kept, append, f"{root}/checkpoint")
+    return source.spark.read.schema(rows.schema).parquet(f"{root}/kept").select(
+        "user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))

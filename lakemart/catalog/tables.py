@@ -64,6 +64,16 @@ def partitioned_reload(source: Source) -> DataFrame:
     return table.read().select(*DAILY_COLUMNS)
 
 
+@query(TARGET_AND_RESTATED_SQL + "select * from t")
+def partitioned_as_of(source: Source) -> DataFrame:
+    """A partitioned table as it was before its window was reloaded."""
+    target, restated = target_and_restated(source)
+    table = PartitionedTable(source.spark, scratch_path(source.spark, "past"), "data")
+    table.merge(target, GRAIN)
+    table.reload_window(restated, SOURCE_FROM)
+    return table.read_as_of(table.loads()[0][1]).select(*DAILY_COLUMNS)
+
+
 @query("""
     select o_orderkey, case when o_orderpriority = '1-URGENT' then 'moved' else o_orderstatus end as status,
            cast(o_orderdate as date) + case when o_orderpriority = '1-URGENT' then 45 else 0 end as data
@@ -96,20 +106,28 @@ def dimension_table(source: Source) -> DataFrame:
 
 
 @query("""
-    select 'daily' as table_name, o_orderkey, cast(o_orderdate as date) as data, o_totalprice from orders
-    union all select 'snapshot', o_orderkey, cast(o_orderdate as date), o_totalprice from orders
+    select 'monthly' as table_name, count(*) as row_count, sum(o_orderkey)::bigint as keys,
+           count(distinct strftime(o_orderdate, '%Y%m')) as files_after, true as fewer, 2::bigint as versions from orders
+    union all select 'snapshot', count(*), sum(o_orderkey)::bigint, 1, true, 1 from orders
 """)
 def maintenance_job(source: Source) -> DataFrame:
-    """Tables written in many small files read the same after compaction and expiry."""
+    """Tables of many small files: the same rows afterwards, in one file per partition, expired versions gone."""
     spark = source.spark
     rows = source.orders.select("o_orderkey", order_day().alias("data"), "o_totalprice")
     root = scratch_path(spark, "upkeep")
     monthly = PartitionedTable(spark, f"{root}/monthly", "data", by_month=True)
     snapshot = SnapshotTable(spark, f"{root}/snapshot")
-    monthly.merge(rows, ["o_orderkey"])
+    # Every month is written in several files, as by a table that grew by many small appends.
+    spread = monthly._with_partition(rows).repartition(3, F.pmod("o_orderkey", F.lit(3)))
+    spread.write.partitionBy(monthly.partition).parquet(f"{monthly.path}/{monthly.LOAD}=0")
     for _ in range(2):
         snapshot.overwrite(rows.repartition(8))
+    before = {table: table.read().inputFiles() for table in (monthly, snapshot)}
     maintain([monthly, snapshot, SnapshotTable(spark, f"{root}/missing")], retention_hours=0)
-    return monthly.read().withColumn("table_name", F.lit("daily")).unionByName(
-        snapshot.read().withColumn("table_name", F.lit("snapshot"))
-    )
+    found = []
+    for name, table in (("monthly", monthly), ("snapshot", snapshot)):
+        files, versions = table.read().inputFiles(), table.loads() if table is monthly else table.versions()
+        found.append(table.read().agg(F.count("*").alias("row_count"), F.sum("o_orderkey").alias("keys")).select(
+            F.lit(name).alias("table_name"), "row_count", "keys", F.lit(len(files)).cast("bigint").alias("files_after"),
+            F.lit(len(files) < len(before[table])).alias("fewer"), F.lit(len(versions)).cast("bigint").alias("versions")))
+    return found[0].unionByName(found[1])

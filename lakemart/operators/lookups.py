@@ -12,38 +12,44 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from lakemart.functions.casts import quoted
 from lakemart.functions.links import WATCH, click_url, video_url
 from lakemart.functions.nested import creative_post_id, creative_video_id, thumbnail_url
+from lakemart.operators.dedup import keep_last
 
 
 NULL_KEY_SPREAD = 4096
 _SPREAD = "_spread"
 
 
+def one_per_key(table: DataFrame, on: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
+    """One row per key: the one with the greatest ``order_by``, by default all its other columns."""
+    rest = [name for name in table.columns if name not in on]
+    return keep_last(table, on, [*(order_by or rest)]) if rest else table.select(*map(quoted, on)).distinct()
+
+
 def left_join(df: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left equi join; rows with a null key are spread by a hash of their other values.
+    """Left equi join that keeps every row once: ``table`` is reduced to one row per key first.
 
-    The extra join column is 0 for every row that can match. It is computed from the key on the
-    table side too, since Catalyst would fold a literal away and shuffle by the key alone.
+    Rows with a null key match nothing and are spread by their position, which reads no column. The extra
+    join column is 0 for every row that can match. It is computed from the key on the table side too,
+    since Catalyst would fold a literal away and shuffle by the key alone.
     """
     def lacking(keys):
         return reduce(or_, [F.col(quoted(name)).isNull() for name in keys])
 
-    hashable = (T.StringType, T.NumericType, T.DatetimeType, T.BooleanType)
-    values = [F.col(quoted(f.name)) for f in df.schema.fields if isinstance(f.dataType, hashable)]
-    bucket = F.pmod(F.xxhash64(*values), F.lit(NULL_KEY_SPREAD))
+    bucket = F.pmod(F.monotonically_increasing_id(), F.lit(NULL_KEY_SPREAD))
     rows = df.withColumn(_SPREAD, F.when(lacking(on), bucket + 1).otherwise(0))
-    matches = table.withColumn(_SPREAD, F.when(lacking(on), -1).otherwise(0).cast("bigint"))
+    matches = one_per_key(table, on).withColumn(_SPREAD, F.when(lacking(on), -1).otherwise(0).cast("bigint"))
     return rows.join(matches, [*on, _SPREAD], "left").drop(_SPREAD)
 
 
 def lookup(
     df: DataFrame, table: DataFrame, on: Sequence[str], defaults: Mapping[str, object]
 ) -> DataFrame:
-    """Add the ``defaults`` columns of ``table`` (one row per key), defaulting where there is no match."""
+    """Add the ``defaults`` columns of ``table``, defaulting where there is no match."""
     wanted = table.select(*[F.col(quoted(name)) for name in [*on, *defaults]])
     joined = left_join(df, wanted, on)
     return joined.withColumns({
@@ -62,9 +68,10 @@ def resolve_creatives(
     """``ad_id`` with video url, click url and thumbnail: video first, else post, else empty.
 
     ``creatives`` has ``ad_id`` and ``creative``; ``videos`` has ``id, permalink_url, picture,
-    thumbnails``; ``posts`` has ``id, permalink_url, full_picture``; each one row per id.
+    thumbnails``; ``posts`` has ``id, permalink_url, full_picture``. Ids that repeat count once, with
+    their greatest values.
     """
-    picked = creatives.select(
+    picked = one_per_key(creatives, ["ad_id"]).select(
         "ad_id",
         creative_video_id(F.col("creative")).alias("video_id"),
         creative_post_id(F.col("creative")).alias("post_id"),

@@ -56,7 +56,7 @@ def missing_key_report(df: DataFrame, day: str, key: str) -> DataFrame:
 
 
 def require_keys(df: DataFrame, day: str, key: str) -> None:
-    """Refuse the load when any record lacks its id."""
+    """Refuse the load when any record lacks its id; the message names the five worst days."""
     worst = missing_key_report(df, day, key).orderBy(F.desc("missing"), day).limit(5).collect()
     if worst:
         days = ", ".join(f"{row[day]} ({row['missing']})" for row in worst)
@@ -107,9 +107,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def coverage(df: DataFrame, column: str) -> DataFrame:
-    """How many rows have a non-empty value, of how many."""
-    return df.agg(
-        F.count_if(F.coalesce(F.col(quoted(column)) != "", F.lit(False))).alias("resolved"),
-        F.count(F.lit(1)).alias("total"),
-    )
+def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Refuse rows that share a key; null keys match nothing and so clash with nothing."""
+    clash = duplicate_keys(all_present(df, keys), keys).limit(1).collect()
+    if clash:
+        shown = {name: clash[0][name] for name in keys}
+        raise GateError(f"several rows of key {shown}")
+
+
+def coverage(df: DataFrame, key: str, column: str) -> DataFrame:
+    """How many distinct keys have a non-empty value, of how many."""
+    found = df.groupBy(F.col(quoted(key))).agg(F.max(F.coalesce(F.col(quoted(column)) != "", F.lit(False))).alias("found"))
+    return found.agg(F.count_if("found").alias("resolved"), F.count(F.lit(1)).alias("total"))

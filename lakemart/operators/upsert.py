@@ -15,37 +15,59 @@ from lakemart.operators.dedup import keep_last
 from lakemart.operators.projection import select_present
 
 
-def merge_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Upsert: matched rows are replaced by the source row, unmatched source rows are added.
+_IN_SOURCE, _SOURCE = "_in_source", "_source_"
 
-    ``source`` holds one row per key. A null key matches nothing, so it is always added. Columns
-    the source lacks keep their target value; columns the target lacks are refused.
-    """
-    if target is None:
-        return source
+
+def _as_target(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The source's columns in the target's types; columns the target lacks are refused."""
     extra = [name for name in source.columns if name not in target.columns]
     if extra:
         raise ValueError(f"source columns unknown to the target: {extra}")
-    absent = [name for name in target.columns if name not in source.columns]
-    if absent:
-        kept = target.select(*[F.col(quoted(name)) for name in [*keys, *absent]])
-        source = source.join(kept, list(keys), "left")
-    typed = source.select(*[
-        F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in target.schema.fields
+    return source.select(*[
+        F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in target.schema.fields if f.name in source.columns
     ])
-    untouched = target.join(typed.select(*[F.col(quoted(name)) for name in keys]), list(keys), "left_anti")
-    return untouched.select(*[quoted(name) for name in target.columns]).unionByName(typed)
+
+
+def merge_rows(
+    target: DataFrame | None, source: DataFrame, keys: Sequence[str], keep_where_null: Sequence[str] = ()
+) -> DataFrame:
+    """Upsert: matched rows are replaced by the source row, unmatched source rows are added.
+
+    One full outer join, so both sides are read once. ``source`` holds one row per key (see
+    ``require_unique``). A null key matches nothing, so it is always added. Columns the source lacks
+    keep their target value, and so do those of ``keep_where_null`` where the source's is null.
+    """
+    if target is None:
+        return source
+    typed = _as_target(target, source)
+    new = typed.select(
+        *[F.col(quoted(name)).alias(_SOURCE + name) for name in typed.columns], F.lit(True).alias(_IN_SOURCE))
+    same = [F.col(quoted(name)) == F.col(quoted(_SOURCE + name)) for name in keys]
+    met = target.join(new, same, "full_outer")
+    replaced = F.col(_IN_SOURCE).isNotNull()
+
+    def value(name: str) -> Column:
+        old, fresh = F.col(quoted(name)), F.col(quoted(_SOURCE + name))
+        if name not in typed.columns:
+            return old
+        return F.when(replaced, F.coalesce(fresh, old) if name in keep_where_null else fresh).otherwise(old).alias(name)
+
+    return met.select(*[value(name) for name in target.columns])
 
 
 def reload_rows(
     target: DataFrame | None, source: DataFrame, column: str, start: dt.date | Column
 ) -> DataFrame:
-    """Drop the target rows with ``column >= start`` and add the source; null dates stay."""
+    """Drop the target rows with ``column >= start`` and add the source; null dates stay.
+
+    The source takes the target's types; columns it lacks are null, columns the target lacks are refused.
+    """
     if target is None:
         return source
+    source = _as_target(target, source)
     bound = start if isinstance(start, Column) else F.lit(start)
     in_window = F.coalesce(F.col(quoted(column)) >= bound, F.lit(False))
-    return target.where(~in_window).unionByName(source)
+    return target.where(~in_window).unionByName(source, allowMissingColumns=True)
 
 
 def dimension_rows(

@@ -50,9 +50,11 @@ def with_attributes(
     audiences: DataFrame | None = None,
     creatives: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the looked-up attributes of the level; empty text without a table or a match.
+    """Add the looked-up attributes of the level.
 
-    ``audiences`` has ``id, targeting``; ``creatives`` has ``ad_id`` and the video columns.
+    Empty text means looked up without a match, null not looked up: without a table the attributes are
+    null, and the dimension keeps what it has. ``audiences`` has ``id, targeting``; ``creatives`` has
+    ``ad_id`` and the video columns.
     """
     if audiences is not None:
         labels = audiences.select(
@@ -61,12 +63,16 @@ def with_attributes(
         insights = lookup(insights, labels, ["adset_id"], {spec.AUDIENCES: ""})
     if creatives is not None:
         insights = lookup(insights, creatives, ["ad_id"], dict.fromkeys(spec.VIDEO_COLUMNS, ""))
-    looked_up = (spec.AUDIENCES, *spec.VIDEO_COLUMNS)
-    return fill_defaults(insights, {
-        name: "" for name in level.dimension.columns if name in looked_up and name not in insights.columns
+    return insights.withColumns({
+        name: F.lit(None).cast("string") for name in looked_up(level) if name not in insights.columns
     })
 
 
+def looked_up(level: spec.AdsLevel) -> list[str]:
+    """Attributes of the level's dimension that come from a lookup table."""
+    return [name for name in level.dimension.columns if name in (spec.AUDIENCES, *spec.VIDEO_COLUMNS)]
+
+
 def type_insights(raw: DataFrame, ids: tuple[str, ...]) -> DataFrame:
     """Raw rows with the day as a date, measures as numbers and ids as text."""
     dated = raw.withColumn("data", iso_date(F.col("date_start").cast("string")))
@@ -111,12 +117,14 @@ class AdsMart:
         return read_partition(self.spark, self.raw_root, ingestion_date, shaped_schema, RAW_FORMAT)
 
     def to_bronze(self, raw: DataFrame, ingestion_date: dt.date) -> None:
-        """Merge one ingestion date; rows without day or id go to the rejects folder instead."""
-        if raw.isEmpty():
-            return
+        """Merge one ingestion date; rows without day or id go to the rejects folder instead.
+
+        Where all rows are rejects the table stays as it is, or absent.
+        """
         folder = f"{self.rejects_root}/ingestion_date={ingestion_date.isoformat()}"
         rows, rejects = split_rejects(type_insights(raw, self.level.ids), self.level.grain)
-        rejects.drop(ARRIVAL).write.mode("overwrite").parquet(folder)
+        if not rejects.isEmpty():
+            rejects.drop(ARRIVAL).write.mode("overwrite").parquet(folder)
         self.bronze.merge(keep_last(rows, self.level.grain, [ARRIVAL]).drop(ARRIVAL), self.level.grain)
 
     def to_silver(self) -> None:
@@ -139,13 +147,11 @@ class AdsMart:
         if rows.isEmpty():
             return
         dim = self.level.dimension
-        self.dimension.merge(dimension_rows(rows, dim.key, dim.columns, ["data"]), dim.key)
+        self.dimension.merge(dimension_rows(rows, dim.key, dim.columns, ["data"]), dim.key, looked_up(self.level))
         self.fact.reload_window(select_present(rows, self.level.fact_columns), start, computed=False)
 
     def load(self, records: DataFrame, ingestion_date: dt.date, **tables: DataFrame) -> None:
         """One whole run, from landing records to gold."""
-        for table in (self.bronze, self.silver, self.fact):
-            table.recover()
         shaped = self.stage(records, **tables)
         self.to_raw(ingestion_date)
         self.to_bronze(self.read_raw(ingestion_date, shaped.schema), ingestion_date)

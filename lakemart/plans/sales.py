@@ -111,8 +111,6 @@ class SalesMart:
 
     def load(self, flat: DataFrame, ingestion_date: dt.date) -> None:
         """One whole run, from flat records to gold."""
-        for table in (self.bronze, self.silver, self.fact):
-            table.recover()
         self.stage(flat)
         self.to_raw(ingestion_date)
         self.to_bronze(self.read_raw(ingestion_date, flat.drop(ARRIVAL).schema))

@@ -23,6 +23,7 @@ from lakemart.sources.tables import SnapshotTable
 
 WORKBOOKS = [".xlsx"]
 PROJECTION_FILES = [".xlsx", ".xls", ".csv"]
+_RAW = "_raw"
 
 
 class SubscriptionsMart:
@@ -42,7 +43,8 @@ class SubscriptionsMart:
     def to_raw(self, ingestion_date: dt.date) -> int:
         return promote(self.spark, self.stage_root, self.raw_root, ingestion_date, [".json"])
 
-    def load(self, ingestion_date: dt.date, schema: T.StructType | str, arrays: bool = False) -> None:
+    def load(self, ingestion_date: dt.date, schema: T.StructType | str | None = None, arrays: bool = False) -> None:
+        """Load one ingestion date. Without a schema every field that arrives is kept; with one, only its fields."""
         records = read_partition(self.spark, self.raw_root, ingestion_date, schema, arrays=arrays).drop(ARRIVAL)
         if not records.isEmpty():
             self.bronze.overwrite(flatten_structs(records))
@@ -57,6 +59,21 @@ def type_sheet(sheet: DataFrame) -> DataFrame:
     return lenient_cast(sheet, types, cut_fractions=True)
 
 
+def split_misfits(sheet: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, rows as they came that hold a cell its type cannot read).
+
+    An empty cell is no misfit.
+    """
+    known = [name for name in spec.sheet_columns() if name in sheet.columns]
+    raw = F.struct(*[F.col(quoted(name)) for name in sheet.columns])
+    typed = type_sheet(sheet.withColumn(_RAW, raw))
+    misfit = F.lit(False)
+    for name in known:
+        cell = F.col(_RAW).getField(name).cast("string")
+        misfit = misfit | (F.col(quoted(name)).isNull() & (F.coalesce(F.trim(cell), F.lit("")) != ""))
+    return typed.where(~misfit).drop(_RAW), typed.where(misfit).select(f"{_RAW}.*")
+
+
 def sheet_silver(sheet: DataFrame) -> DataFrame:
     """Rows with buyer and email, hash keys added, listed sales removed."""
     contacts = all_present(sheet, ["Nome do comprador", "Email do comprador"]).withColumns({
@@ -82,13 +99,17 @@ def projection_fact(bronze: DataFrame) -> DataFrame:
 
 
 class DroppedFileMart:
-    """Files dropped by hand: checked in the inbox, kept in raw, loaded from the newest drop."""
+    """Files dropped by hand: checked in the inbox, kept in raw, loaded from the newest drop.
+
+    A drop of several files is refused; with ``first_only`` the first by name is loaded and the others are not.
+    """
 
     required: tuple[str, ...] = ()
     optional = False
 
-    def __init__(self, spark: SparkSession, root: str, name: str, extensions, sheet=None, decode=None):
+    def __init__(self, spark: SparkSession, root: str, name: str, extensions, sheet=None, decode=None, first_only=False):
         self.spark = spark
+        self.first_only = first_only
         self.inbox = f"{root}/stage/{name}"
         self.raw_root = f"{root}/raw/{name}"
         self.extensions = extensions
@@ -125,32 +146,38 @@ class DroppedFileMart:
         return len(names)
 
     def newest(self) -> DataFrame | None:
-        path = latest_drop_path(self.spark, self.raw_root, self.extensions)
+        path = latest_drop_path(self.spark, self.raw_root, self.extensions, self.first_only)
         return self.read_file(path) if path else None
 
 
 class SheetSalesMart(DroppedFileMart):
     required = spec.SHEET_REQUIRED
 
-    def __init__(self, spark: SparkSession, root: str, decode=None, extensions=tuple(WORKBOOKS)):
-        super().__init__(spark, root, "sheet_sales", extensions, spec.SHEET_NAME, decode)
+    def __init__(self, spark: SparkSession, root: str, decode=None, extensions=tuple(WORKBOOKS), first_only=False):
+        super().__init__(spark, root, "sheet_sales", extensions, spec.SHEET_NAME, decode, first_only)
         self.bronze = SnapshotTable(spark, f"{root}/bronze/sheet/bronze_vendas")
         self.silver = SnapshotTable(spark, f"{root}/silver/sheet/silver_vendas")
+        self.rejects = SnapshotTable(spark, f"{root}/rejects/sheet/vendas")
         self.fact = SnapshotTable(spark, f"{root}/gold/sheet/f_vendas")
         self.dimensions = {
             dim.name: SnapshotTable(spark, f"{root}/gold/sheet/{dim.name}") for dim in spec.SHEET_DIMENSIONS
         }
 
     def tables(self) -> list:
-        return [self.bronze, self.silver, self.fact, *self.dimensions.values()]
+        return [self.bronze, self.rejects, self.silver, self.fact, *self.dimensions.values()]
 
     def load(self) -> None:
-        """Newest drop to bronze, silver, fact and dimensions; every table is replaced."""
+        """Newest drop to bronze, silver, fact and dimensions; every table is replaced.
+
+        Bronze holds the drop as it came. Rows with an unreadable cell go to the rejects table instead of silver.
+        """
         drop = self.newest()
         if drop is None:
             raise FileNotFoundError(f"no sales drop below {self.raw_root}")
-        self.bronze.overwrite(type_sheet(drop))
-        self.silver.overwrite(sheet_silver(self.bronze.read()))
+        self.bronze.overwrite(drop)
+        rows, misfits = split_misfits(self.bronze.read())
+        self.rejects.overwrite(misfits)
+        self.silver.overwrite(sheet_silver(rows))
         silver = self.silver.read()
         gold = {self.fact: sheet_fact(silver)}
         for dim in spec.SHEET_DIMENSIONS:
@@ -165,8 +192,8 @@ class ProjectionsMart(DroppedFileMart):
 
     optional = True
 
-    def __init__(self, spark: SparkSession, root: str, decode=None):
-        super().__init__(spark, root, "projections", PROJECTION_FILES, None, decode)
+    def __init__(self, spark: SparkSession, root: str, decode=None, first_only=False):
+        super().__init__(spark, root, "projections", PROJECTION_FILES, None, decode, first_only)
         self.bronze = SnapshotTable(spark, f"{root}/bronze/sheet/bronze_projetadas")
         self.fact = SnapshotTable(spark, f"{root}/gold/sheet/projetadas")
 

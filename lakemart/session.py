@@ -19,13 +19,12 @@ SETTINGS = {
 }
 
 TARGET_SHUFFLE_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def shuffle_partitions(input_bytes: int, cores: int) -> int:
     """Initial shuffle width for a load of ``input_bytes``; AQE coalesces what turns out small."""
     by_size = math.ceil(input_bytes / TARGET_SHUFFLE_BYTES)
-    return max(cores, min(by_size, MAX_SHUFFLE_PARTITIONS))
+    return max(cores, by_size)
 
 
 def build_session(
@@ -43,11 +42,17 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     if input_bytes is not None:
-        width = shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
+        widen_shuffles(spark, input_bytes)
     return spark
 
 
+def widen_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Set how many partitions a shuffle of ``input_bytes`` starts with."""
+    width = shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
+    return width
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

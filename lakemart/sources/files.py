@@ -29,6 +29,10 @@ class Files:
             return None
         return self._fs.getFileStatus(self._path(path)).getModificationTime()
 
+    def size(self, path: str) -> int:
+        """Bytes of all files below ``path``, from the file system's own summary; 0 when there is none."""
+        return self._fs.getContentSummary(self._path(path)).getLength() if self.exists(path) else 0
+
     def children(self, path: str) -> list[tuple[str, bool]]:
         """(name, is_directory) of the direct children, sorted by name."""
         if not self.exists(path):

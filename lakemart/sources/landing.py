@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakemart.functions.casts import quoted
+from lakemart.operators.quality import GateError
 from lakemart.sources.files import Files
 
 PARTITION = "ingestion_date"
@@ -88,18 +89,23 @@ def is_inbox_file(name: Column, extensions: Sequence[str]) -> Column:
     return _extension_matches(name, extensions) & ~ignored
 
 
-def latest_drop_path(spark: SparkSession, root: str, extensions: Sequence[str]) -> str | None:
-    """First allowed entry of the newest ``ingestion_date`` that has one; None without any.
+def latest_drop_path(
+    spark: SparkSession, root: str, extensions: Sequence[str], first_only: bool = False
+) -> str | None:
+    """The allowed entry of the newest ``ingestion_date`` that has one; None without any.
 
     An entry is a file, or a folder written by Spark under a file's name. Only folder names are
-    listed, newest first, and the search ends at the first hit.
+    listed, newest first, and the search ends at the first hit. A drop of several entries is refused,
+    since a load reads one; ``first_only`` takes the first by name and leaves the others unread.
     """
     files, root = Files(spark, root), root.rstrip("/")
     days = [name for name, is_directory in files.children(root) if is_directory and name.startswith(PARTITION + "=")]
     for day in sorted(days, reverse=True):
-        entries = [name for name, _ in files.children(f"{root}/{day}") if has_extension(name, extensions)]
+        entries = sorted(name for name, _ in files.children(f"{root}/{day}") if has_extension(name, extensions))
+        if len(entries) > 1 and not first_only:
+            raise GateError(f"{root}/{day} holds several drops: {', '.join(entries)}")
         if entries:
-            return f"{root}/{day}/{min(entries)}"
+            return f"{root}/{day}/{entries[0]}"
     return None
 
 
@@ -110,12 +116,14 @@ def read_partition(
     spark: SparkSession,
     root: str,
     ingestion_date: dt.date,
-    schema: T.StructType | str,
+    schema: T.StructType | str | None,
     file_format: str = "json",
     arrays: bool = False,
 ) -> DataFrame:
     """Records of exactly one ingestion date; none when that partition is missing.
 
+    Without a schema the fields are those the partition's records have, found by reading it once more.
+
     ``arrays`` reads files that are one JSON array each; such a file is one task, so large drops
     should arrive as JSON lines, which Spark splits. A malformed file fails the load. The added ``_arrival`` column is the position
     of the record in the landing files, for keep-last in file order: path below the partition,
@@ -123,10 +131,11 @@ def read_partition(
     """
     path = raw_partition(root, ingestion_date)
     if not Files(spark, path).exists(path):
-        landed = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        landed = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema or T.StructType()
         return spark.createDataFrame([], T.StructType([*landed.fields, T.StructField(ARRIVAL, ARRIVAL_TYPE)]))
     any_case = "".join(f"[{letter}{letter.upper()}]" for letter in file_format)
-    reader = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{any_case}")
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{any_case}")
+    reader = reader.schema(schema) if schema else reader
     if file_format == "json":
         reader = reader.option("multiLine", arrays).option("mode", "FAILFAST")
     records = reader.format(file_format).load(path)
@@ -138,13 +147,18 @@ def read_partition(
     return records.select("*", position.alias(ARRIVAL))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = False
+) -> DataFrame:
     """CSV with a header. Without a schema every column is text under its header name.
 
+    Quotes inside a quoted value are doubled. A row that does not fit fails the load. ``multi_line``
+    allows line breaks inside quotes; such a file is one task, so it is for files dropped by hand.
     A missing value is null and a quoted empty one is empty text: Spark would read both as null, so
     the marker of a missing value is set to something no file holds.
     """
-    reader = spark.read.option("header", "true").option("nullValue", "\u0000")
+    reader = (spark.read.option("header", "true").option("nullValue", "\u0000").option("escape", '"')
+              .option("mode", "FAILFAST").option("multiLine", multi_line))
     return (reader.schema(schema).option("enforceSchema", "false") if schema else reader).csv(path)
 
 
@@ -156,7 +170,7 @@ def read_drop(
 ) -> DataFrame:
     """A dropped file by its extension, every column it has as text: CSV by Spark, a workbook decoded."""
     if has_extension(path, [".csv"]):
-        return read_csv(spark, path)
+        return read_csv(spark, path, multi_line=True)
     decode = decode or excel_sheet(sheet)
     columns = workbook_columns(spark, path, decode)
     return read_workbooks(spark, path, T.StructType([T.StructField(n, T.StringType()) for n in columns]), decode)

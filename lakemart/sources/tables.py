@@ -1,13 +1,14 @@
 """Two Parquet table layouts written with plain Spark writers. One writer per table at a time.
 
-``SnapshotTable``   every commit is a whole new ``v=<n>`` folder. A version counts once Spark has put
-                    its ``_SUCCESS`` marker there, so a failed attempt is never read and is simply
-                    written again. Old versions give time travel until they expire.
-``PartitionedTable`` one folder per day (or month); a load rewrites only the folders it touches.
-                    New folders are first written completely below ``_pending`` (hidden from
-                    readers), then renamed into place. A load that was interrupted while renaming
-                    is finished from ``_pending`` by the next load, before anything else; readers
-                    run after loads.
+``SnapshotTable``   every commit is a whole new ``v=<n>`` folder.
+``PartitionedTable`` one partition per day (or month). A load writes the partitions it touches once, to a
+                    folder of its own, ``load=<n>/<partition>=<value>``, which never changes again; the
+                    partitions it leaves empty are listed in ``cleared=<n>``, written before. Readers take
+                    each partition from the newest load that has or clears it.
+
+Either folder counts once Spark has put its ``_SUCCESS`` marker there. So a publish is one file, nothing
+is renamed, a failed attempt is never read and simply written again, and older commits give time travel
+until maintenance removes what newer ones replaced.
 """
 
 from __future__ import annotations
@@ -16,13 +17,14 @@ import datetime as dt
 from collections.abc import Sequence
 from contextlib import nullcontext
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakemart.functions.casts import quoted
 from lakemart.operators.projection import writable
 from lakemart.operators.upkeep import (
     SMALL_FILE_BYTES, TARGET_FILE_BYTES, compaction_plan, expired_versions,
 )
+from lakemart.operators.quality import require_unique
 from lakemart.operators.upsert import merge_rows, reload_rows
 from lakemart.operators.windows import scan_window, window_start
 from lakemart.sources.files import Files, file_listing, staged
@@ -75,8 +77,14 @@ class SnapshotTable:
         writable(df).write.mode("overwrite").parquet(self._folder(version))
         return version
 
-    def merge(self, source: DataFrame, keys: Sequence[str]) -> int:
-        return self.overwrite(merge_rows(self.read() if self.exists() else None, writable(source), keys))
+    def merge(self, source: DataFrame, keys: Sequence[str], keep_where_null: Sequence[str] = ()) -> int | None:
+        """Upsert by key. The source is computed once; keys it holds twice are refused, and an empty one
+        changes nothing. Columns of ``keep_where_null`` keep their value where the source has none."""
+        with staged(writable(source)) as rows:
+            if rows.isEmpty():
+                return None
+            require_unique(rows, keys)
+            return self.overwrite(merge_rows(self.read() if self.exists() else None, rows, keys, keep_where_null))
 
     def version_listing(self) -> DataFrame:
         return self.spark.createDataFrame(self.versions(), "version bigint, committed_at timestamp")
@@ -114,6 +122,7 @@ class PartitionedTable:
     """
 
     MONTH = "partition_month"
+    LOAD = "load"
 
     def __init__(self, spark: SparkSession, path: str, day: str, by_month: bool = False):
         self.spark = spark
@@ -122,20 +131,61 @@ class PartitionedTable:
         self.by_month = by_month
         self.partition = self.MONTH if by_month else day
         self.files = Files(spark, self.path)
-        self._pending_rows = f"{self.path}/_pending/rows"
-        self._pending_cleared = f"{self.path}/_pending/cleared"
 
-    # -- reading --
+    # -- what is visible --
 
-    def exists(self) -> bool:
-        return self.files.exists(f"{self.path}/{DONE}")
+    def loads(self) -> list[tuple[int, dt.datetime]]:
+        """(number, commit time in UTC) of every committed load, oldest first."""
+        found = []
+        for name, is_directory in self.files.children(self.path):
+            if is_directory and name.startswith(f"{self.LOAD}="):
+                marker = self.files.modified_ms(f"{self.path}/{name}/{DONE}")
+                if marker is not None:
+                    found.append((int(name.split("=")[1]), dt.datetime.fromtimestamp(marker / 1000, dt.timezone.utc)))
+        return sorted(found)
 
-    def _partitions(self) -> list[str]:
+    def _written(self, number: int) -> list[str]:
         prefix = f"{self.partition}="
-        return [n[len(prefix):] for n, is_dir in self.files.children(self.path) if is_dir and n.startswith(prefix)]
+        names = self.files.children(f"{self.path}/{self.LOAD}={number}")
+        return [name for name, is_directory in names if is_directory and name.startswith(prefix)]
+
+    def _cleared(self, number: int) -> list[str]:
+        path = f"{self.path}/cleared={number}"
+        if not self.files.exists(f"{path}/{DONE}"):
+            return []
+        return [row["folder"] for row in self.spark.read.schema("folder string").parquet(path).collect()]
+
+    def _visible(self, loads: list[int]) -> dict[str, int]:
+        """Partition folder -> load that holds its rows, from folder names alone."""
+        newest: dict[str, int] = {}
+        for number in loads:
+            for folder in self._cleared(number):
+                newest.pop(folder, None)
+            newest.update(dict.fromkeys(self._written(number), number))
+        return newest
+
+    def exists(self) -> bool:
+        """Whether the table can be read: a load that holds rows has been committed."""
+        return any(self._written(number) for number, _ in self.loads())
 
-    def _rows(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+    def _partitions(self) -> list[str]:
+        return [folder.split("=", 1)[1] for folder in self._visible([number for number, _ in self.loads()])]
+
+    def _rows(self, loads: list[int] | None = None) -> DataFrame:
+        committed = [number for number, _ in self.loads()] if loads is None else loads
+        newest = self._visible(committed)
+        # The columns are those of the newest rows; a table whose partitions are all cleared keeps them.
+        known = max(((number, folder) for number in committed for folder in self._written(number)), default=None)
+        if known is None:
+            raise FileNotFoundError(f"{self.path} has no load with rows")
+        sample = self.spark.read.parquet(f"{self.path}/{self.LOAD}={known[0]}/{known[1]}").schema
+        kind = T.IntegerType() if self.by_month else T.DateType()
+        schema = T.StructType([*sample.fields, T.StructField(self.partition, kind)])
+        if not newest:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.path}/{self.LOAD}={number}/{folder}" for folder, number in sorted(newest.items())]
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths).select(
+            *[F.col(quoted(name)) for name in schema.fieldNames()])
 
     def _plain(self, rows: DataFrame) -> DataFrame:
         return rows.drop(self.MONTH)
@@ -143,6 +193,10 @@ class PartitionedTable:
     def read(self) -> DataFrame:
         return self._plain(self._rows())
 
+    def read_as_of(self, moment: dt.datetime) -> DataFrame:
+        """The table as it was at ``moment``."""
+        return self._plain(self._rows([number for number, committed in self.loads() if committed <= moment]))
+
     def _month(self, day: Column) -> Column:
         return F.year(day) * 100 + F.month(day)
 
@@ -155,8 +209,6 @@ class PartitionedTable:
 
     def watermark(self) -> dt.date | None:
         """Greatest day, read from the newest partition alone."""
-        if not self.exists():
-            return None
         dated = [value for value in self._partitions() if value != NULL_PARTITION]
         if not dated:
             return None
@@ -174,10 +226,6 @@ class PartitionedTable:
     def _with_partition(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.MONTH, self._month(F.col(quoted(self.day)))) if self.by_month else df
 
-    def _create(self, df: DataFrame) -> None:
-        rows = self._with_partition(df)
-        self._spread(rows).write.mode("overwrite").partitionBy(self.partition).parquet(self.path)
-
     def _spread(self, rows: DataFrame) -> DataFrame:
         """Few files per partition: AQE splits a hot partition and joins small ones."""
         return rows.hint("rebalance", F.col(quoted(self.partition)))
@@ -195,27 +243,20 @@ class PartitionedTable:
         text = NULL_PARTITION if value is None else str(value)
         return f"{self.partition}={text}"
 
-    def _replace(self, rows: DataFrame, touched: list) -> None:
-        """Make ``rows`` the whole content of the touched partitions."""
-        self._spread(rows).write.partitionBy(self.partition).parquet(self._pending_rows)
-        written = {name for name, is_directory in self.files.children(self._pending_rows) if is_directory}
-        cleared = [(folder,) for folder in map(self._folder, touched) if folder not in written]
-        # This marker is the commit: before it the load never happened, after it the load is finished.
-        self.spark.createDataFrame(cleared, "folder string").write.parquet(self._pending_cleared)
-        self.recover()
-
-    def recover(self) -> None:
-        """Finish or discard an interrupted load."""
-        pending = f"{self.path}/_pending"
-        if not self.files.exists(pending):
-            return
-        if self.files.exists(f"{self._pending_cleared}/{DONE}"):
-            for row in self.spark.read.schema("folder string").parquet(self._pending_cleared).collect():
-                self.files.delete(f"{self.path}/{row['folder']}")
-            for name, is_directory in self.files.children(self._pending_rows):
-                if is_directory:
-                    self.files.move(f"{self._pending_rows}/{name}", f"{self.path}/{name}")
-        self.files.delete(pending)
+    def _publish(self, rows: DataFrame, touched: list) -> None:
+        """Make ``rows`` the whole content of the touched partitions, as one new load."""
+        loads = self.loads()
+        number = loads[-1][0] + 1 if loads else 0
+        held = self._visible([old for old, _ in loads])
+        replaced = [(folder,) for folder in map(self._folder, touched) if folder in held]
+        # A partition listed here counts as empty unless the load itself writes it. The list comes first:
+        # without its load it means nothing.
+        if replaced:
+            self.spark.createDataFrame(replaced, "folder string").coalesce(1).write.mode("overwrite").parquet(
+                f"{self.path}/cleared={number}")
+        elif self.files.exists(f"{self.path}/cleared={number}"):
+            self.files.delete(f"{self.path}/cleared={number}")
+        self._spread(rows).write.mode("overwrite").partitionBy(self.partition).parquet(f"{self.path}/{self.LOAD}={number}")
 
     def _source(self, source: DataFrame, computed: bool):
         """The source with its partition column, written out first when computing it is costly."""
@@ -227,51 +268,69 @@ class PartitionedTable:
 
         When the key holds the partition column those are the source's own partitions. Otherwise a
         scan of the key columns finds where the matched rows live now. Pass ``computed=False`` for a
-        source that is a plain scan: it is then read several times instead of copied.
+        source that is a plain scan: it is then read several times instead of copied. Keys that the
+        source holds twice are refused; an empty source changes nothing.
         """
-        self.recover()
-        if not self.exists():
-            self._create(writable(source))
-            return
         with self._source(source, computed) as rows:
-            current = self._rows()
             touched = self._distinct_partitions(rows)
+            if not touched:
+                return
+            require_unique(rows, keys)
+            if not self.exists():
+                self._publish(rows, touched)
+                return
+            current = self._rows()
             if self.partition not in keys:
                 matched = current.join(rows.select(*map(quoted, keys)), list(keys), "left_semi")
                 touched = list({*touched, *self._distinct_partitions(matched)})
-            if touched:
-                self._replace(merge_rows(current.where(self._in(touched)), rows, keys), touched)
+            self._publish(merge_rows(current.where(self._in(touched)), rows, keys), touched)
 
     def reload_window(self, source: DataFrame, start: dt.date, computed: bool = True) -> None:
         """Replace every row with ``day >= start`` by the source, in one publish."""
-        self.recover()
-        if not self.exists():
-            self._create(writable(source))
-            return
-        bound = start.year * 100 + start.month if self.by_month else start.isoformat()
-        inside = [value for value in self._partitions()
-                  if value != NULL_PARTITION and (int(value) if self.by_month else value) >= bound]
-        values = [int(v) if self.by_month else dt.date.fromisoformat(v) for v in inside]
         with self._source(source, computed) as rows:
-            touched = list({*values, *self._distinct_partitions(rows)})
+            found = self._distinct_partitions(rows)
+            if not self.exists():
+                if found:
+                    self._publish(rows, found)
+                return
+            bound = start.year * 100 + start.month if self.by_month else start.isoformat()
+            inside = [value for value in self._partitions()
+                      if value != NULL_PARTITION and (int(value) if self.by_month else value) >= bound]
+            values = [int(v) if self.by_month else dt.date.fromisoformat(v) for v in inside]
+            touched = list({*values, *found})
             if touched:
-                kept = self._rows().where(self._in(touched))
-                self._replace(reload_rows(kept, rows, self.day, start), touched)
+                self._publish(reload_rows(self._rows().where(self._in(touched)), rows, self.day, start), touched)
+
+    # -- maintenance --
 
     def compact(self, small_bytes: int = SMALL_FILE_BYTES, target_bytes: int = TARGET_FILE_BYTES) -> int:
         """Rewrite the partitions with many small files; returns how many."""
-        self.recover()
         if not self.exists():
             return 0
-        listing = file_listing(self.spark, self.path).withColumn(
-            "folder", F.element_at(F.split("path", "/"), -2)
-        )
+        newest = self._visible([number for number, _ in self.loads()])
+        folder = F.concat_ws("/", F.element_at(F.split("path", "/"), -3), F.element_at(F.split("path", "/"), -2))
+        listing = file_listing(self.spark, self.path).withColumn("folder", folder).where(
+            F.col("folder").isin([f"{self.LOAD}={number}/{name}" for name, number in newest.items()]))
         plan = compaction_plan(listing, ["folder"], small_bytes=small_bytes, target_bytes=target_bytes).collect()
-        values = [self._value(row["folder"]) for row in plan]
+        values = [self._value(row["folder"].split("/", 1)[1]) for row in plan]
         if values:
-            self._replace(self._rows().where(self._in(values)), values)
+            self._publish(self._rows().where(self._in(values)), values)
         return len(values)
 
+    def expire(self, retention_hours: int, now: dt.datetime | None = None) -> list[str]:
+        """Delete the partition folders that were replaced longer ago than the retention."""
+        moment = now or dt.datetime.now(dt.timezone.utc)
+        old = [number for number, committed in self.loads() if committed <= moment - dt.timedelta(hours=retention_hours)]
+        needed = {f"{self.LOAD}={number}/{folder}" for folder, number in self._visible(old).items()}
+        gone = [name for number in old for name in (f"{self.LOAD}={number}/{folder}" for folder in self._written(number))
+                if name not in needed]
+        # The newest rows stay even if cleared, as the table's columns are read from them.
+        if old and gone and not needed:
+            gone = gone[:-1]
+        for name in gone:
+            self.files.delete(f"{self.path}/{name}")
+        return gone
+
     def _value(self, folder: str):
         text = folder.split("=", 1)[1]
         if text == NULL_PARTITION:

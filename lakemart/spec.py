@@ -78,6 +78,19 @@ ADS_LEVELS = {
     ),
 }
 
+# Lookup tables of the ads, as they land.
+_AUDIENCES_DDL = "array<struct<id: string, name: string>>"
+ADS_LOOKUPS = {
+    "audiences": f"""id string, targeting struct<
+        custom_audiences: {_AUDIENCES_DDL}, flexible_spec: array<struct<custom_audiences: {_AUDIENCES_DDL}>>>""",
+    "creatives": """ad_id string, creative struct<
+        object_story_spec: struct<video_data: struct<video_id: string>>,
+        asset_feed_spec: struct<videos: array<struct<video_id: string>>>,
+        effective_object_story_id: string, object_story_id: string>""",
+    "videos": "id string, permalink_url string, picture string, thumbnails struct<data: array<struct<uri: string>>>",
+    "posts": "id string, permalink_url string, full_picture string",
+}
+
 ACTIONS_TYPE = T.ArrayType(T.StructType([
     T.StructField("action_type", T.StringType()), T.StructField("value", T.StringType()),
 ]))
@@ -183,7 +196,7 @@ SHEET_FACT_COLUMNS = (
 )
 SHEET_LONGS = (
     "ID Venda", "ID Produto", "Forma de pagamento", "ID Contrato", "Recorrência atual",
-    "Recorrência total", "Nota fiscal", "Número de telefone",
+    "Recorrência total", "Nota fiscal",
 )
 SHEET_DOUBLES = (
     "Valor Oferta", "Valor Pago", "Taxa Voomp", "Valor comissão afiliado", "Valor Recebido",

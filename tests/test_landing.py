@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemart.operators.dedup import keep_last
+from lakemart.operators.quality import GateError
 from lakemart.sources import landing
 from lakemart.sources.files import file_listing
 
@@ -84,8 +85,10 @@ def test_latest_drop(spark, tmp_path):
         path = root / name
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_bytes(b"x")
-    assert landing.latest_drop_path(spark, str(root), [".xlsx"]).endswith("ingestion_date=2024-02-01/a.xlsx")
-    assert landing.latest_drop_path(spark, str(root), [".xlsx", ".csv"]).endswith("ingestion_date=2024-03-01/c.csv")
+    with pytest.raises(GateError, match="several drops: a.xlsx, b.XLSX"):
+        landing.latest_drop_path(spark, str(root), [".xlsx"])
+    assert landing.latest_drop_path(spark, str(root), [".xlsx"], first_only=True).endswith("ingestion_date=2024-02-01/a.xlsx")
+    assert landing.latest_drop_path(spark, str(root), [".csv"]).endswith("ingestion_date=2024-03-01/c.csv")
     assert landing.latest_drop_path(spark, str(root), [".xls"]) is None
     assert landing.latest_drop_path(spark, str(tmp_path / "none"), [".xls"]) is None
 
@@ -116,3 +119,20 @@ def test_workbooks_by_injected_decoder(spark, rows, tmp_path):
     assert rows(landing.read_workbooks(spark, str(tmp_path), schema, decode)) == [(n, f"né {n}") for n in range(3)]
     with pytest.raises(Exception, match="absent"):
         landing.read_workbooks(spark, str(tmp_path), "absent string", decode).collect()
+
+
+def test_quoted_csv(spark, rows, tmp_path):
+    (tmp_path / "a.csv").write_text('t,n\n"a ""b"" c",1\n"p, ""q"", r",2\n"line 1\nline 2",3\n')
+    read = landing.read_drop(spark, str(tmp_path / "a.csv"))
+    assert rows(read) == sorted([('a "b" c', "1"), ('p, "q", r', "2"), ("line 1\nline 2", "3")])
+    (tmp_path / "b.csv").write_text("t,n\n1\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.read_csv(spark, str(tmp_path / "b.csv"), "t string, n int").collect()
+
+
+def test_a_partition_without_a_schema_keeps_every_field(spark, rows, tmp_path):
+    write_json(tmp_path / "ingestion_date=2024-02-01" / "a.json", [{"id": "a", "plan": {"name": "n", "code": 3}}, {"id": "b", "extra": True}])
+    read = landing.read_partition(spark, str(tmp_path), RUN, None, arrays=True)
+    assert read.columns == ["extra", "id", "plan", landing.ARRIVAL]
+    assert rows(read, "id", "plan.code", "extra") == sorted([("a", 3, None), ("b", None, True)], key=repr)
+    assert landing.read_partition(spark, str(tmp_path), RUN + dt.timedelta(days=1), None).isEmpty()

@@ -22,4 +22,4 @@ def test_scratch_follows_the_session_and_never_a_cluster_machine():
 def test_shuffle_width_follows_the_input():
     assert session.shuffle_partitions(0, 8) == 8
     assert session.shuffle_partitions(2**40, 8) == 4096
-    assert session.shuffle_partitions(100 * 2**40, 4000) == session.MAX_SHUFFLE_PARTITIONS
+    assert session.shuffle_partitions(100 * 2**40, 4000) == 409_600

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from lakemart.operators.quality import GateError
 from lakemart.plans.upkeep import maintain
 from lakemart.sources.files import Files
 from lakemart.sources.tables import PartitionedTable, SnapshotTable
@@ -84,13 +85,13 @@ def test_partitioned_merge_touches_only_its_days(spark, rows, tmp_path):
     table = PartitionedTable(spark, str(tmp_path / "t"), "data")
     assert table.watermark() is None and table.window_start(10) == dt.date(1970, 1, 1)
     table.merge(frame(spark, (0, "a", 1.0), (1, "b", 1.0), (2, "c", 1.0)), GRAIN)
-    untouched = tmp_path / "t" / f"data={day(0)}"
-    before = sorted((p.name, p.stat().st_mtime_ns) for p in untouched.iterdir())
+    first = tmp_path / "t" / "load=0"
+    before = sorted((str(p), p.stat().st_mtime_ns) for p in first.rglob("*"))
     table.merge(frame(spark, (1, "b", 2.0), (1, "n", 2.0), (5, "d", 2.0)), GRAIN)
     assert content(table, rows) == expected((0, "a", 1.0), (1, "b", 2.0), (1, "n", 2.0), (2, "c", 1.0), (5, "d", 2.0))
-    assert sorted((p.name, p.stat().st_mtime_ns) for p in untouched.iterdir()) == before
+    assert sorted((str(p), p.stat().st_mtime_ns) for p in first.rglob("*")) == before
+    assert {p.name for p in (tmp_path / "t" / "load=1").glob("data=*")} == {f"data={day(1)}", f"data={day(5)}"}
     assert table.watermark() == day(5) and table.window_start(10) == day(-5)
-    assert not (tmp_path / "t" / "_pending").exists()
 
 
 def test_partitioned_window_prunes(spark, tmp_path):
@@ -125,7 +126,7 @@ def test_monthly_merge_moves_redated_rows(spark, rows, tmp_path):
     table.merge(frame(spark, (0, "a", 1.0), (60, "b", 1.0), (90, "c", 1.0)), ["id"])
     table.merge(frame(spark, (60, "a", 2.0), (61, "b", 2.0)), ["id"])
     assert content(table, rows) == expected((60, "a", 2.0), (61, "b", 2.0), (90, "c", 1.0))
-    assert not (tmp_path / "t" / "partition_month=202401").exists()
+    assert sorted(table._partitions()) == ["202403", "202404"]
 
 
 def test_null_days_have_their_own_partition(spark, rows, tmp_path):
@@ -136,38 +137,71 @@ def test_null_days_have_their_own_partition(spark, rows, tmp_path):
     assert len(content(table, rows)) == 3 and table.watermark() == day(0)
 
 
-class Interrupted(Exception):
-    pass
-
-
-@pytest.mark.parametrize("moves", [0, 1])
-def test_an_interrupted_publish_is_finished_by_the_next_load(spark, rows, tmp_path, monkeypatch, moves):
+def test_a_load_renames_nothing_and_a_failed_one_is_not_read(spark, rows, tmp_path, monkeypatch):
     table = PartitionedTable(spark, str(tmp_path / "t"), "data")
     table.merge(frame(spark, (0, "a", 1.0), (5, "b", 1.0), (6, "c", 1.0)), GRAIN)
-    done = []
-    move = Files.move
-
-    def failing_move(self, source, destination):
-        if len(done) == moves:
-            raise Interrupted
-        done.append(destination)
-        move(self, source, destination)
-
-    monkeypatch.setattr(Files, "move", failing_move)
-    with pytest.raises(Interrupted):
-        table.reload_window(frame(spark, (5, "b", 2.0), (7, "d", 2.0)), day(5))
-    monkeypatch.undo()
-    table.merge(frame(spark, (0, "z", 3.0)), GRAIN)
-    assert content(table, rows) == expected((0, "a", 1.0), (0, "z", 3.0), (5, "b", 2.0), (7, "d", 2.0))
-
-
-def test_a_load_that_fails_before_publishing_changes_nothing(spark, rows, tmp_path):
+    monkeypatch.setattr(Files, "move", None)
+    with pytest.raises(Exception, match="broken"):
+        broken = frame(spark, (5, "b", 2.0)).withColumn("m", F.when(F.col("id") == "b", F.raise_error(F.lit("broken"))).cast("double"))
+        table._publish(broken.withColumn("m", F.col("m")), [day(5)])
+    assert content(table, rows) == expected((0, "a", 1.0), (5, "b", 1.0), (6, "c", 1.0))
+    table.reload_window(frame(spark, (5, "b", 2.0), (7, "d", 2.0)), day(5))
+    assert content(table, rows) == expected((0, "a", 1.0), (5, "b", 2.0), (7, "d", 2.0))
+
+
+def test_empty_sources_create_nothing_and_change_nothing(spark, rows, tmp_path):
+    table, snapshot = PartitionedTable(spark, str(tmp_path / "t"), "data"), SnapshotTable(spark, str(tmp_path / "s"))
+    none = frame(spark, (0, "a", 1.0)).limit(0)
+    for _ in range(2):
+        table.merge(none, GRAIN)
+        table.reload_window(none, day(0))
+        snapshot.merge(none, GRAIN)
+        assert not table.exists() and not snapshot.exists()
+    for item in (0, 1):
+        table.merge(frame(spark, (item, "a", 1.0)), GRAIN)
+    table.merge(none, GRAIN)
+    assert content(table, rows) == expected((0, "a", 1.0), (1, "a", 1.0))
+    # Clearing everything leaves a table without rows that can still be read and loaded.
+    table.reload_window(none, day(0))
+    assert table.exists() and table.read().count() == 0 and table.watermark() is None
+    table.merge(frame(spark, (3, "z", 1.0)), GRAIN)
+    assert content(table, rows) == expected((3, "z", 1.0))
+
+
+def test_a_load_takes_the_types_of_the_table(spark, rows, tmp_path):
     table = PartitionedTable(spark, str(tmp_path / "t"), "data")
-    table.merge(frame(spark, (0, "a", 1.0)), GRAIN)
-    spark.range(5).withColumn("data", F.lit(day(0))).write.partitionBy("data").parquet(f"{table.path}/_pending/rows")
-    assert content(table, rows) == expected((0, "a", 1.0))
-    table.merge(frame(spark, (1, "b", 1.0)), GRAIN)
-    assert content(table, rows) == expected((0, "a", 1.0), (1, "b", 1.0))
+    table.merge(spark.createDataFrame([(DAY, "a", 1)], "data date, id string, m bigint"), GRAIN)
+    table.reload_window(spark.createDataFrame([(DAY, "b", 2.0)], FRAME), DAY)
+    table.merge(spark.createDataFrame([(day(1), "c", 3.0)], FRAME), GRAIN)
+    assert content(table, rows) == expected((0, "b", 2), (1, "c", 3)) and dict(table.read().dtypes)["m"] == "bigint"
+    with pytest.raises(ValueError, match="unknown to the target"):
+        table.reload_window(frame(spark, (0, "a", 1.0)).withColumn("extra", F.lit(1)), DAY)
+
+
+def test_keys_that_a_source_holds_twice_are_refused(spark, rows, tmp_path):
+    table, snapshot = PartitionedTable(spark, str(tmp_path / "t"), "data"), SnapshotTable(spark, str(tmp_path / "s"))
+    twice = frame(spark, (0, "a", 1.0), (0, "a", 2.0), (1, "b", 1.0))
+    for merge in (table.merge, snapshot.merge):
+        with pytest.raises(GateError, match="several rows"):
+            merge(twice, GRAIN)
+    assert not table.exists() and not snapshot.exists()
+    table.merge(spark.createDataFrame([(None, "x", 1.0), (None, "x", 2.0)], FRAME), GRAIN)
+    assert table.read().count() == 2
+
+
+def test_past_states_and_expiry_of_a_partitioned_table(spark, rows, tmp_path):
+    table = PartitionedTable(spark, str(tmp_path / "t"), "data")
+    table.merge(frame(spark, (0, "a", 1.0), (1, "b", 1.0)), GRAIN)
+    table.reload_window(frame(spark, (2, "c", 2.0)), day(1))
+    table.merge(frame(spark, (0, "a", 3.0)), GRAIN)
+    moments = [committed for _, committed in table.loads()]
+    assert rows(table.read_as_of(moments[0]), "data", "id", "m") == expected((0, "a", 1.0), (1, "b", 1.0))
+    assert rows(table.read_as_of(moments[1]), "data", "id", "m") == expected((0, "a", 1.0), (2, "c", 2.0))
+    now = dt.datetime.now(dt.timezone.utc)
+    assert table.expire(168, now) == []
+    assert sorted(table.expire(168, now + dt.timedelta(hours=200))) == [f"load=0/data={day(0)}", f"load=0/data={day(1)}"]
+    assert content(table, rows) == expected((0, "a", 3.0), (2, "c", 2.0))
+    assert table.expire(0, now + dt.timedelta(hours=200)) == []
 
 
 def test_incremental_days_equal_one_full_load(spark, rows, tmp_path):
@@ -183,10 +217,11 @@ def test_incremental_days_equal_one_full_load(spark, rows, tmp_path):
 
 def test_maintenance_skips_missing_tables_and_keeps_rows(spark, rows, tmp_path):
     daily = PartitionedTable(spark, str(tmp_path / "t"), "data")
-    daily.merge(frame(spark, (0, "a", 1.0)), GRAIN)
-    frame(spark, (0, "b", 1.0), (0, "c", 1.0)).repartition(2).write.mode("append").partitionBy("data").parquet(daily.path)
-    folder = tmp_path / "t" / f"data={DAY}"
-    assert len(list(folder.glob("*.parquet"))) == 3
+    daily._publish(frame(spark, (0, "a", 1.0), (0, "b", 1.0), (0, "c", 1.0)), [DAY])
+    folder = tmp_path / "t" / "load=0" / f"data={DAY}"
+    for _ in range(2):
+        frame(spark, (0, "d", 1.0)).drop("data").write.mode("append").parquet(str(folder))
+    assert len(list(folder.glob("*.parquet"))) > 2
     assert maintain([daily, SnapshotTable(spark, str(tmp_path / "none"))]) == [daily.path]
-    assert len(list(folder.glob("*.parquet"))) == 1
-    assert content(daily, rows) == expected((0, "a", 1.0), (0, "b", 1.0), (0, "c", 1.0))
+    assert len(list((tmp_path / "t" / "load=1" / f"data={DAY}").glob("*.parquet"))) == 1
+    assert content(daily, rows) == expected((0, "a", 1.0), (0, "b", 1.0), (0, "c", 1.0), (0, "d", 1.0), (0, "d", 1.0))
