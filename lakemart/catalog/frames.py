@@ -127,6 +127,13 @@ def sheet_rows(source: Source) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", F.lit("")).when(F.col("o_orderstatus") == "O", F.col("o_orderpriority"))
         .alias("Nome Afiliado"),
         F.col("c_mktsegment").alias("Nome da oferta"),
+        F.concat(F.lit("product "), text(F.pmod("o_orderkey", F.lit(500)))).alias("Nome do produto"),
+        F.when(F.pmod("o_orderkey", F.lit(500)) < 250, "course").alias("Categoria"),
+        F.concat(F.lit("+55 11 "), text("c_custkey")).alias("Número de telefone"),
+        (F.col("o_totalprice") / 8).alias("Taxa Voomp"),
+        F.col("o_orderpriority").alias("Método de pagamento"),
+        F.pmod("o_orderkey", F.lit(12)).alias("Recorrência atual"),
+        order_day().alias("Data de vencimento do boleto"),
     )
 
 

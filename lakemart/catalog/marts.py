@@ -269,7 +269,11 @@ SHEET_SQL = """
                o_orderstatus as "Status da venda", '12' || o_orderkey as "Cod. de Barras",
                nullif(c_name, 'Customer#000000007') as "Nome do comprador",
                case when o_orderpriority <> '5-LOW' or o_orderstatus <> 'P' then c_name || '@example.com' end as "Email do comprador",
-               case o_orderstatus when 'O' then o_orderpriority when 'F' then '' end as "Nome Afiliado", c_mktsegment as "Nome da oferta"
+               case o_orderstatus when 'O' then o_orderpriority when 'F' then '' end as "Nome Afiliado", c_mktsegment as "Nome da oferta",
+               'product ' || o_orderkey % 500 as "Nome do produto", case when o_orderkey % 500 < 250 then 'course' end as "Categoria",
+               '+55 11 ' || c_custkey as "Número de telefone", o_totalprice / 8 as "Taxa Voomp",
+               o_orderpriority as "Método de pagamento", o_orderkey % 12 as "Recorrência atual",
+               cast(o_orderdate as date) as "Data de vencimento do boleto"
         from orders left join customer on o_custkey = c_custkey),
     silver as (
         select *, md5(coalesce("Nome Afiliado", '')) as "ID_Afiliado", md5("Nome do comprador" || "Email do comprador") as "ID_Cliente"
@@ -279,7 +283,8 @@ SHEET_SQL = """
 
 @query(SHEET_SQL + """
     select "ID Venda", "Data da venda", "Data de pagamento", "ID Produto", "ID Oferta", "Valor Pago", "Status da venda",
-           "Cod. de Barras", "ID_Afiliado", "ID_Cliente" from silver
+           "Cod. de Barras", "ID_Afiliado", "ID_Cliente", "Taxa Voomp", "Método de pagamento", "Recorrência atual",
+           "Data de vencimento do boleto" from silver
 """)
 def sheet_mart_fact(source: Source) -> DataFrame:
     mart = sheet_mart(source)
@@ -288,22 +293,23 @@ def sheet_mart_fact(source: Source) -> DataFrame:
 
 
 @query(SHEET_SQL + """
-    select distinct 'dim_afiliado' as dimension, "ID_Afiliado" as key, "Nome Afiliado" as name from silver
-    union all select distinct 'dim_cliente', "ID_Cliente", "Nome do comprador" from silver
-    union all select distinct 'dim_oferta', "ID Oferta", "Nome da oferta" from silver
+    select distinct 'dim_afiliado' as dimension, "ID_Afiliado" as key, "Nome Afiliado" as name, null as more, null as most from silver
+    union all select distinct 'dim_cliente', "ID_Cliente", "Nome do comprador", "Email do comprador", "Número de telefone" from silver
+    union all select distinct 'dim_oferta', "ID Oferta", "Nome da oferta", null, null from silver
+    union all select distinct 'dim_produto', cast("ID Produto" as varchar), "Nome do produto", "Categoria", null from silver
 """)
 def sheet_mart_dimensions(source: Source) -> DataFrame:
-    """Dimensions are the distinct rows of their columns, here as (key, name)."""
+    """Dimensions are the distinct rows of their columns, here each as its key and all its attributes."""
     mart = sheet_mart(source)
     mart.load()
-    names = {"dim_afiliado": "Nome Afiliado", "dim_cliente": "Nome do comprador", "dim_oferta": "Nome da oferta"}
-    frames = [
-        mart.dimensions[dim.name].read().select(
-            F.lit(dim.name).alias("dimension"), F.col(dim.key[0]).alias("key"), F.col(names[dim.name]).alias("name")
-        )
-        for dim in spec.SHEET_DIMENSIONS if dim.name in names
-    ]
-    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+    frames = []
+    for dim in spec.SHEET_DIMENSIONS:
+        rows = mart.dimensions[dim.name].read()
+        names = [name for name in dim.columns if name in rows.columns and name not in dim.key]
+        values = [text(f"`{name}`") for name in names] + [F.lit(None).cast("string")] * (3 - len(names))
+        frames.append(rows.select(F.lit(dim.name).alias("dimension"), text(f"`{dim.key[0]}`").alias("key"), *[
+            value.alias(name) for value, name in zip(values, ("name", "more", "most"))]))
+    return reduce(DataFrame.unionByName, frames)
 
 
 @query("""
