@@ -180,8 +180,9 @@ def identify(
     def smoothed(counts: Column, prior: Column) -> Column:
         # The row's own share leaves the counts; rounding must not leave a negative rest.
         others = F.zip_with(counts, F.col("share"), lambda n, own: F.greatest(n - own, F.lit(0.0)))
-        whole = F.aggregate(others, F.lit(PRIOR_STRENGTH), lambda total, n: total + n)
-        return F.transform(F.zip_with(others, prior, lambda n, p: n + PRIOR_STRENGTH * p), lambda x: x / whole)
+        shares = F.zip_with(others, prior, lambda n, p: n + PRIOR_STRENGTH * p)
+        whole = F.aggregate(counts, F.lit(PRIOR_STRENGTH - 1.0), lambda total, n: total + n)
+        return F.transform(shares, lambda x: x / whole)
 
     # One row for the whole corpus, so this join is with a single row.
     corpus = sums(scored).withColumnRenamed("sums", "corpus")
@@ -192,18 +193,20 @@ def identify(
         counts = sums(scored, key).withColumnsRenamed({key: "known", "sums": "counts"})
         judged = judged.join(counts, judged[key].eqNullSafe(counts["known"])).withColumn(
             "prior", smoothed(F.col("counts"), F.col("prior"))).drop("counts", "known")
-    posterior = _softmax(_added(
+    scores = _added(
         F.col("likely"), F.transform("prior", lambda p: F.log(p)), _reported(F.col("declared"), model, DECLARED_RELIABILITY),
         _reported(F.element_at(F.create_map(*[F.lit(x) for pair in SUFFIXES.items() for x in pair]), F.col("suffix")),
-                  model, SUFFIX_RELIABILITY)))
+                  model, SUFFIX_RELIABILITY))
+    # Written here: the posterior names its scores many times, and each would hold the whole expression.
+    judged = stored(judged.select("id", "text_hash", "share", scores.alias("scores")), "language-scores")
+    judged = stored(judged.select("id", "text_hash", "share", _softmax(F.col("scores")).alias("posterior")), "language-posteriors")
     known = F.array(*map(F.lit, model.languages))
 
     def best(scores: str) -> Column:
         return F.element_at(known, F.array_position(F.col(scores), F.array_max(scores)).cast("int"))
 
-    fused = judged.withColumn("posterior", posterior)
     language, confidence = best("posterior"), F.array_max("posterior")
-    return fused.select(
+    return judged.select(
         "id", "text_hash", language.alias("language"), confidence.alias("confidence"), best("share").alias("text_language"),
         ((language != UNDETERMINED) & (confidence >= least_confidence)).alias("kept"))
 
