@@ -1,6 +1,5 @@
 import pytest
 
-SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(autouse=True)

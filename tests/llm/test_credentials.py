@@ -1,6 +1,6 @@
 import re
 
-from conftest import SF
+from llm_paths import SF
 
 from lakemart.llm.credentials import secret_report
 

@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from conftest import SF
+from llm_paths import SF
 
 from lakemart.llm import tokens
 from lakemart.llm.idfiles import read_ids, write_ids

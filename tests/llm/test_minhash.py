@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from conftest import SF
+from llm_paths import SF
 
 from lakemart.llm import minhash
 from lakemart.llm.minhash import LANES, estimate, keep_first, least_lanes, near_duplicates

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF
+from llm_paths import SF
 
 from lakemart.llm.mixing import apply_mix, label_weights, mixed, targets
 

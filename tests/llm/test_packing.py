@@ -6,7 +6,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from conftest import SF
+from llm_paths import SF
 
 from lakemart.llm.packing import packed, pieces_of, place, sequences, sum_of_squares
 from lakemart.llm.tokens import vocabulary_path

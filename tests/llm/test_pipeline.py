@@ -4,7 +4,7 @@ import pytest
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from conftest import SF
+from llm_paths import SF
 from lakemart.llm.catalog import QUERIES
 from lakemart.llm.common import stored
 from test_exact import brute as exact_groups

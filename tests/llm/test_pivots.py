@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from conftest import SF
+from llm_paths import SF
 
 from lakemart.llm import pivots
 from lakemart.llm.pivots import near_vectors

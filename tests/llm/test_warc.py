@@ -5,7 +5,7 @@ import pathlib
 
 import pytest
 
-from conftest import SF
+from llm_paths import SF
 
 from lakemart.llm.warc import member, read_archives, records, write_archives
 from lakemart.session import scratch_path
