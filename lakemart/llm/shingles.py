@@ -9,7 +9,7 @@ import xxhash
 
 _LOWER = bytes(code + 32 if 65 <= code <= 90 else code for code in range(256))
 #: Word hashes are remembered until this many words are known.
-MEMO_WORDS = 2**20
+MEMO_WORDS = 2**19
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
