@@ -112,10 +112,9 @@ def fit(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
                 [pa.array(which), pa.array(bucket), pa.array(found[which, bucket])], ["language", "bucket", "n"])
 
         counted = sample.select("text", "language").mapInArrow(count, "language long, bucket long, n long")
-        # At most MOST_LANGUAGES times BUCKETS rows, whatever the corpus holds.
-        for row in counted.groupBy("language").agg(F.collect_list(F.struct("bucket", "n")).alias("counts")).collect():
-            for bucket, n in row["counts"]:
-                totals[row["language"], bucket] += n
+        # At most MOST_LANGUAGES times BUCKETS rows, whatever the corpus holds and however it is dealt out.
+        summed = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
+        totals[summed["language"], summed["bucket"]] = summed["n"]
     smoothed = totals + SMOOTHING
     known = np.log(smoothed / smoothed.sum(axis=1, keepdims=True)) if languages else totals
     return Model((*languages, UNDETERMINED), np.vstack([known, np.full(BUCKETS, -math.log(BUCKETS))]).T.astype(np.float32).copy())
