@@ -4,8 +4,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from llm_paths import SF
-
 from lakemart.llm.langid import (
     UNDETERMINED, Model, fit, host_levels, identify, keep_identified, page_language, page_text, primary,
 )
