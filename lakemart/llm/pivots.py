@@ -6,9 +6,10 @@ they share at least ``SHARED`` pivots; candidates are verified by their cosine i
 pair in the list of its first shared pivot. So links are exact, and what the index can miss is a pair
 that shares fewer pivots (the recall is measured in the tests).
 
-The pivots are a sample of the vectors, about twice the root of their number and ``MOST_PIVOTS`` at most;
-all vectors are indexed. Dense regions hold more pivots, which keeps the lists level. Equal vectors are
-one entry with a weight. A list longer than ``BLOCK`` is worked off in pairs of blocks, so no task holds
+The pivots are a sample of the vectors, about twice the root of their number and ``MOST_PIVOTS`` at most,
+without those within twice the link angle of another one; all vectors are indexed. So a dense group, however
+large, holds few pivots: were they many, its members would name them in the order of their own noise, and
+linked ones would share too few. Its lists are long instead. Equal vectors are one entry with a weight. A list longer than ``BLOCK`` is worked off in pairs of blocks, so no task holds
 a whole long list, and a task returns sums and a spanning forest instead of pairs.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite components, and rows
@@ -56,6 +57,22 @@ def _unit(rows: list[np.ndarray]) -> np.ndarray:
     return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
 
+def spaced(units: np.ndarray, least_cosine: float) -> np.ndarray:
+    """The rows that lie farther than twice the link angle from every row retained before them."""
+    limit = math.cos(min(math.pi, 2 * math.acos(max(-1.0, min(1.0, least_cosine)))))
+    apart, count = np.empty_like(units), 0
+    for one in units:
+        if not (apart[:count] @ one >= limit).any():
+            apart[count] = one
+            count += 1
+    return apart[:count].copy()
+
+
+def nearest(units: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
+    """The numbers of each row's ``prefix`` nearest pivots, nearest first."""
+    return np.argsort(-(units @ pivots.T), axis=1, kind="stable")[:, :prefix]
+
+
 def indexed(vectors: DataFrame, pivots: np.ndarray, prefix: int) -> DataFrame:
     """node, label, weight, vector -> node, label, weight, dim, unit (bytes), near (pivots, nearest first)."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,9 +86,8 @@ def indexed(vectors: DataFrame, pivots: np.ndarray, prefix: int) -> DataFrame:
                 fitted = np.zeros((len(own), pivots.shape[1]))
                 for row, one in zip(fitted, own):
                     row[:min(len(one), len(row))] = one[:len(row)]
-                order = np.argsort(-(fitted @ pivots.T), axis=1, kind="stable")[:, :prefix]
                 units += [one.tobytes() for one in own]
-                near += order.astype(np.int32).tolist()
+                near += nearest(fitted, pivots, prefix).astype(np.int32).tolist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(name)) for name in ("node", "label", "weight")]
                 + [pa.array([len(unit) // 8 for unit in units], pa.int32()), pa.array(units, pa.binary()),
@@ -141,6 +157,7 @@ def near_vectors(
         pivots = np.zeros((len(units), max(map(len, units))))
         for row, one in zip(pivots, units):
             row[:len(one)] = one
+        pivots = spaced(pivots, least_cosine)
         entries = stored(indexed(classes, pivots, prefix), "pivot-entries")
         # An index of fewer pivots than have to be shared cannot ask for more than all of them.
         enough = min(shared, len(pivots))

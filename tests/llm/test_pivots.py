@@ -56,6 +56,38 @@ def test_recall_near_the_limit(spark, monkeypatch, block):
     assert all(a <= b for a, b in links) and sum(a for a, _ in links) >= 0.97 * sum(b for _, b in links)
 
 
+def dense_third(draw, count, size, cosine):
+    """Unit vectors, a third of them around one centre at about ``cosine`` from each other, shuffled; which those are."""
+    third = count // 3
+    centre = draw.normal(size=size)
+    noise = draw.normal(size=(third, size)) * np.linalg.norm(centre) * np.sqrt((1 - cosine) / cosine / size)
+    units = np.vstack([centre + noise, draw.normal(size=(count - third, size))])
+    order = draw.permutation(count)
+    return (units / np.linalg.norm(units, axis=1, keepdims=True))[order], order < third
+
+
+@pytest.mark.parametrize("cosine", [0.95, 0.9])
+@pytest.mark.parametrize("count, sampled", [(100_000, None), (100_000, pivots.MOST_PIVOTS)])
+def test_recall_in_a_dense_third(count, sampled, cosine):
+    """The group's first 3000 vectors against each other, by the pivots of all, also by as many as millions have."""
+    units, dense = dense_third(np.random.default_rng(6), count, 48, cosine)
+    chosen = pivots.spaced(units[-(sampled or pivots.pivot_count(count)):], pivots.LEAST_COSINE)
+    group = units[dense][:3000]
+    near = pivots.nearest(group, chosen, pivots.PREFIX)
+    named = np.zeros((len(group), len(chosen)), np.float32)
+    np.put_along_axis(named, near, 1, axis=1)
+    linked = np.triu(group @ group.T >= pivots.LEAST_COSINE, 1)
+    assert linked.sum() > 100_000 and (named @ named.T >= pivots.SHARED)[linked].mean() >= 0.99
+
+
+def test_links_of_a_dense_third(spark, monkeypatch):
+    monkeypatch.setattr(pivots, "pivot_count", lambda vectors: 1000)
+    units, _ = dense_third(np.random.default_rng(7), 1500, 48, 0.95)
+    rows = [(key, 1, one.astype(np.float32).tolist()) for key, one in enumerate(units)]
+    found, wanted = got(frame_of(spark, rows)), brute(rows)
+    assert sum(n for n, _ in found.values()) >= 0.99 * sum(n for n, _ in wanted.values()) > 0
+
+
 def test_defined_results(spark):
     rows = [
         (1, 1, [1.0, 0.0]), (2, 1, [2.0, 0.0]), (3, 2, [1.0, 0.0]), (4, None, [1.0, 0.0]), (5, 1, None), (6, 1, [0.0, 0.0]),
