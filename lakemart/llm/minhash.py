@@ -15,7 +15,7 @@ equal lanes are counted with bit operations and corrected for lanes that agree b
    number. In small ones every pair of different components is confirmed like before. In large ones a
    task first marks, by estimates alone, the members that may have a link across components; these are
    gathered with their full sets around the bucket's largest component, and those outside of it are
-   compared with all others, in blocks. Such a task returns links between components, never all pairs.
+   compared with all others, in pairs of blocks, so that no task holds more than two. Such a task returns links between components, never all pairs.
 
 So no pair of different components with enough similarity stays unseen, and the components are those of
 all links. Sets are moved only for classes that share a bucket.
@@ -50,8 +50,9 @@ MARGIN = 4.5
 HUB_ROUNDS = 2
 #: Members of a bucket whose pairs are written out in the exhaustive search.
 SMALL_BUCKET = 16
-#: Rows of a large group that one task compares with.
+#: Rows of a block of a large group, and hashes of their sets; a task compares two blocks.
 BLOCK = 1024
+BLOCK_SIZE = 2**21
 LANE_LOW = 0x0101010101010101
 
 
@@ -159,13 +160,31 @@ def _pairs_of(small: DataFrame) -> DataFrame:
 
 
 def _blocked(rows: DataFrame, group: str, outside: Column) -> DataFrame:
-    """Each row in its own block of the group, and the rows outside once more in every block, as visitors."""
-    blocks = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    sized = rows.join(blocks, group)
-    own = sized.select("*", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("visits"))
-    visiting = sized.where(outside).select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("visits"))
-    return own.unionByName(visiting).drop("blocks")
+    """One row per row and pair of blocks (x, y) of the group that it takes part in.
+
+    ``rows`` have ``size``, the numbers that a row brings along. The rows outside and the others are in blocks
+    of their own, those outside in the first ones. A block of rows outside meets every block, itself included.
+    """
+    sided = rows.withColumn("outer", outside)
+    blocks = lambda wanted: F.greatest(
+        F.ceil(F.count(F.when(wanted, 1)) / BLOCK), F.ceil(F.coalesce(F.sum(F.when(wanted, F.col("size"))), F.lit(0)) / BLOCK_SIZE)).cast("int")
+    counted = sided.groupBy(group).agg(blocks(F.col("outer")).alias("outers"), blocks(~F.col("outer")).alias("inners"))
+    sized = sided.join(counted, group)
+    dealt = lambda count: F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
+    own = sized.withColumn("block", F.when(F.col("outer"), dealt("outers")).otherwise(F.col("outers") + dealt("inners")))
+    last = F.when(F.col("outer"), F.col("outers") + F.col("inners")).otherwise(F.col("outers")) - 1
+    # Where no row is outside there is nothing to compare.
+    met = own.where("outers > 0").withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return met.withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other")).drop(
+        "outer", "outers", "inners", "other", "size")
+
+
+def _sides(rows: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """Of a pair of blocks each row of the one with the rows of the other, no pair twice."""
+    block, x, y = rows["block"].to_numpy(), rows["x"].iloc[0], rows["y"].iloc[0]
+    left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+    for at, i in enumerate(left):
+        yield i, right[at + 1:] if x == y else right
 
 
 def _near(low: np.ndarray, one: np.ndarray, floor: int) -> np.ndarray:
@@ -180,35 +199,34 @@ def _marked(large: DataFrame, lows: DataFrame, percent: int) -> DataFrame:
     """group (a component), node: members of large buckets that may have a link across components."""
     counted = large.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = counted.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("group"))
-    rows = large.join(largest, "key").join(lows, "node")
+    rows = large.join(largest, "key").join(lows, "node").withColumn("size", F.lit(LANES // 8))
     blocks = _blocked(rows, "key", F.col("component") != F.col("group"))
     floor = least_lanes(percent)
 
     def mark(rows: pd.DataFrame) -> pd.DataFrame:
         low = np.vstack(rows["low"].to_numpy()).view(np.uint64)
-        node, component, visits = (rows[name].to_numpy() for name in ("node", "component", "visits"))
-        inside, marked = np.flatnonzero(~visits), np.zeros(len(rows), bool)
-        for i in np.flatnonzero(visits):
-            near = inside[_near(low[inside], low[i], floor) & (component[inside] != component[i])]
+        node, component, marked = rows["node"].to_numpy(), rows["component"].to_numpy(), np.zeros(len(rows), bool)
+        for i, others in _sides(rows):
+            near = others[_near(low[others], low[i], floor) & (component[others] != component[i])]
             marked[near], marked[i] = True, marked[i] or len(near) > 0
         return pd.DataFrame({"group": rows["group"].iloc[0], "node": node[marked]})
 
-    return blocks.select("key", "block", "group", "node", "component", "low", "visits").groupBy("key", "block").applyInPandas(
+    return blocks.select("key", "x", "y", "block", "group", "node", "component", "low").groupBy("key", "x", "y").applyInPandas(
         mark, "group long, node long").distinct()
 
 
 def _searched(marked: DataFrame, labels: DataFrame, lows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b: links that join the components of the marked members of each group."""
     rows = marked.join(labels, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
+    rows = rows.join(sets.select("node", F.size("shingles").alias("size")), "node")
     blocks = _blocked(rows, "group", F.col("component") != F.col("group"))
     floor = least_lanes(percent)
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         low, sets = np.vstack(rows["low"].to_numpy()).view(np.uint64), rows["shingles"].to_numpy()
-        node, component, visits = (rows[name].to_numpy() for name in ("node", "component", "visits"))
-        tree, inside, found = component.copy(), np.flatnonzero(~visits), []
-        for i in np.flatnonzero(visits):
-            near = inside[_near(low[inside], low[i], floor) & (tree[inside] != tree[i])]
+        node, tree, found = rows["node"].to_numpy(), rows["component"].to_numpy().copy(), []
+        for i, others in _sides(rows):
+            near = others[_near(low[others], low[i], floor) & (tree[others] != tree[i])]
             if not len(near):
                 continue
             sizes = np.array([len(sets[j]) for j in near])
@@ -222,7 +240,7 @@ def _searched(marked: DataFrame, labels: DataFrame, lows: DataFrame, sets: DataF
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     full = blocks.join(lows.select("node", "low"), "node").join(sets.select("node", "shingles"), "node")
-    return full.select("group", "block", "node", "component", "low", "shingles", "visits").groupBy("group", "block").applyInPandas(
+    return full.select("group", "x", "y", "block", "node", "component", "low", "shingles").groupBy("group", "x", "y").applyInPandas(
         search, "a long, b long")
 
 

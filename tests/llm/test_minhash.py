@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_paths import SF
 
@@ -68,6 +69,27 @@ def test_groups_of_near_copies(documents, monkeypatch, rounds):
     assert got(documents(rows), width=2, hub_rounds=rounds) == brute(rows, 2)
 
 
+def test_tasks_hold_two_blocks_of_a_template(spark, monkeypatch):
+    """Pages of one template that link with nothing: all of them are outside the largest component."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rows = spark.range(400).selectExpr("7L as key", "id as node", "id as component", "399L as group", "16 as size")
+    blocks = minhash._blocked(rows, "key", F.col("component") != F.col("group"))
+    task = [name for name in ("x", "y", "block") if name in blocks.columns][:2]
+    assert blocks.groupBy(*task).count().agg(F.max("count")).first()[0] <= 4 * 16
+    pairs = blocks.select("x", "y", "block", "node").toPandas()
+    met = set()
+    for (x, y), part in pairs.groupby(["x", "y"]):
+        met |= {frozenset((a, b)) for a in part[part.block == x].node for b in part[part.block == y].node if a != b}
+    assert len(met) == 400 * 399 // 2
+
+
+def test_blocks_of_long_sets(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SIZE", 1000)
+    rows = spark.range(200).selectExpr("7L as key", "id as node", "id as component", "199L as group", "100 as size")
+    blocks = minhash._blocked(rows, "key", F.col("component") != F.col("group"))
+    assert blocks.groupBy("x", "y").count().agg(F.max("count")).first()[0] <= 4 * 10
+
+
 def test_defined_results(documents):
     frame = documents([(1, None), (2, ""), (3, "one"), (4, "ONE"), (5, "a b"), (6, "a\tb"), (7, "a b c"), (None, "a b"), (7, "a b c"),
                        (8, "q " * 100_000)])
