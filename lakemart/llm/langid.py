@@ -11,7 +11,11 @@ are sums of text posteriors by host, domain and suffix, grouped aggregations ove
 share is taken out of the counts first, so that its text does not count twice.
 
 The model is fitted on a sample: of each declared language about ``FIT_ROWS`` rows, chosen by a hash of
-the id, for the ``MOST_LANGUAGES`` most frequent languages at most. Everything else covers all rows.
+the id. Every declared language of ``FEWEST_ROWS`` rows or more is fitted, at 128 KB of the model each.
+The others have no trigrams to go by. They stay in a written table, and their text likelihood is that of
+``und``: where a row declares one of them, the declaration speaks for the texts in no fitted language, the
+host prior of ``und`` counts for it, and the row gets that language with the declaration's reliability.
+Everything else covers all rows.
 
 Defined results: a null text is the empty text; a text without letters has no text evidence and is
 decided by the rest; null hosts form a host; rows that repeat are decided alike; an empty table, or one
@@ -29,13 +33,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakemart.llm.common import apply_verdicts, name_of, stored, text_of
+from lakemart.llm.common import apply_verdicts, name_of, stored, stored_at, text_of
 
 UNDETERMINED = "und"
 BUCKETS = 2**15
 FIT_ROWS = 2000
-MOST_LANGUAGES = 64
-#: Declared languages with fewer rows than this are not fitted.
+#: Declared languages with fewer rows than this are not fitted; declarations decide them.
 FEWEST_ROWS = 5
 SMOOTHING = 0.05
 #: Overlapping trigrams count every byte three times.
@@ -68,10 +71,14 @@ def trigrams(text: str | None) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """Languages, the last of them ``und``, and the log probability of every bucket in each."""
+    """Languages, the last of them ``und``, and the log probability of every bucket in each.
+
+    ``rare`` is the folder of the declared languages with too few rows to be fitted, if there are any.
+    """
 
     languages: tuple[str, ...]
     log_probability: np.ndarray
+    rare: str | None = None
 
     def log_likelihood(self, text: str | None) -> np.ndarray:
         found = trigrams(text)
@@ -89,35 +96,56 @@ def primary(language: Column) -> Column:
 
 def fit(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang",
         fit_rows: int = FIT_ROWS) -> Model:
-    """A model of the declared languages, from at most about ``fit_rows`` rows of each."""
+    """A model of all declared languages, from at most about ``fit_rows`` rows of each."""
     labelled = rows.select(name_of(id_column).alias("id"), text_of(text_column).alias("text"),
                            primary(name_of(language_column).cast("string")).alias("language")).where("language is not null")
-    counts = (labelled.groupBy("language").count().where((F.col("count") >= FEWEST_ROWS) & (F.col("language") != UNDETERMINED))
-              .orderBy(F.desc("count"), "language").limit(MOST_LANGUAGES).collect())
+    counted, path = stored_at(labelled.where(F.col("language") != UNDETERMINED).groupBy("language").count(), "language-counts")
+    counts = counted.where(F.col("count") >= FEWEST_ROWS).collect()
+    rare = None if counted.where(F.col("count") < FEWEST_ROWS).isEmpty() else path
     languages = sorted(row["language"] for row in counts)
     number = {language: i for i, language in enumerate(languages)}
-    totals = np.zeros((len(languages), BUCKETS))
+    # One language at a time: no second matrix of all of them in double precision.
+    log_probability = np.full((BUCKETS, len(languages) + 1), -math.log(BUCKETS), np.float32)
     if languages:
         share = F.create_map(*[F.lit(x) for row in counts for x in (row["language"], min(1.0, fit_rows / row["count"]))])
         drawn = F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(2**20)) / 2**20
         sample = labelled.where(drawn < F.try_element_at(share, F.col("language"))).repartition(8, "id")
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            found = np.zeros((len(languages), BUCKETS), np.int64)
             for batch in batches:
-                for text, language in zip(batch.column(0), batch.column(1)):
-                    found[number[language.as_py()]] += np.bincount(trigrams(text.as_py()), minlength=BUCKETS)
-            which, bucket = np.nonzero(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(which), pa.array(bucket), pa.array(found[which, bucket])], ["language", "bucket", "n"])
+                stated = np.array([number[language.as_py()] for language in batch.column(1)], np.int64)
+                for language in np.unique(stated):
+                    found = np.zeros(BUCKETS, np.int64)
+                    for row in np.flatnonzero(stated == language):
+                        found += np.bincount(trigrams(batch.column(0)[int(row)].as_py()), minlength=BUCKETS)
+                    bucket = np.flatnonzero(found)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(bucket), language)), pa.array(bucket), pa.array(found[bucket])], ["language", "bucket", "n"])
 
         counted = sample.select("text", "language").mapInArrow(count, "language long, bucket long, n long")
-        # At most MOST_LANGUAGES times BUCKETS rows, whatever the corpus holds and however it is dealt out.
+        # At most BUCKETS rows of each language, whatever the corpus holds and however it is dealt out.
         summed = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
-        totals[summed["language"], summed["bucket"]] = summed["n"]
-    smoothed = totals + SMOOTHING
-    known = np.log(smoothed / smoothed.sum(axis=1, keepdims=True)) if languages else totals
-    return Model((*languages, UNDETERMINED), np.vstack([known, np.full(BUCKETS, -math.log(BUCKETS))]).T.astype(np.float32).copy())
+        which, bucket, n = (summed[name].to_numpy() for name in ("language", "bucket", "n"))
+        order = np.argsort(which, kind="stable")
+        ends = np.searchsorted(which[order], np.arange(len(languages) + 1))
+        for i in range(len(languages)):
+            own = order[ends[i]:ends[i + 1]]
+            smoothed = np.full(BUCKETS, SMOOTHING)
+            smoothed[bucket[own]] += n[own]
+            log_probability[:, i] = np.log(smoothed / smoothed.sum())
+    return Model((*languages, UNDETERMINED), log_probability, rare)
+
+
+def _with_rare(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows`` and ``rare``: the declared language where it is one of those that were not fitted, else null."""
+    if model.rare is None:
+        return rows.withColumn("rare", F.lit(None).cast("string"))
+    # Rows that cannot declare one are not joined, so neither nulls nor frequent languages are a hot key.
+    known = F.col("declared").isNull() | F.col("declared").isin(*model.languages)
+    listed = rows.sparkSession.read.schema("language string, count long").parquet(model.rare).where(F.col("count") < FEWEST_ROWS)
+    listed = listed.select(F.col("language").alias("rare"))
+    joined = rows.where(~known).join(listed, F.col("declared") == F.col("rare"), "left")
+    return rows.where(known).withColumn("rare", F.lit(None).cast("string")).unionByName(joined)
 
 
 def _softmax(scores: Column) -> Column:
@@ -185,7 +213,7 @@ def identify(
 
     # One row for the whole corpus, so this join is with a single row.
     corpus = sums(scored).withColumnRenamed("sums", "corpus")
-    judged = scored.join(F.broadcast(corpus)).withColumn(
+    judged = _with_rare(scored, model).join(F.broadcast(corpus)).withColumn(
         "prior", smoothed(F.col("corpus"), F.array(*[F.lit(1.0 / size)] * size))).drop("corpus")
     for i in range(len(levels)):
         key = f"level_{i}"
@@ -193,18 +221,22 @@ def identify(
         judged = judged.join(counts, judged[key].eqNullSafe(counts["known"])).withColumn(
             "prior", smoothed(F.col("counts"), F.col("prior"))).drop("counts", "known")
     scores = _added(
-        F.col("likely"), F.transform("prior", lambda p: F.log(p)), _reported(F.col("declared"), model, DECLARED_RELIABILITY),
+        F.col("likely"), F.transform("prior", lambda p: F.log(p)),
+        # A language that was not fitted is among what und stands for.
+        _reported(F.when(F.col("rare").isNotNull(), UNDETERMINED).otherwise(F.col("declared")), model, DECLARED_RELIABILITY),
         _reported(F.element_at(F.create_map(*[F.lit(x) for pair in SUFFIXES.items() for x in pair]), F.col("suffix")),
                   model, SUFFIX_RELIABILITY))
     # Written here: the posterior names its scores many times, and each would hold the whole expression.
-    judged = stored(judged.select("id", "text_hash", "share", scores.alias("scores")), "language-scores")
-    judged = stored(judged.select("id", "text_hash", "share", _softmax(F.col("scores")).alias("posterior")), "language-posteriors")
+    judged = stored(judged.select("id", "text_hash", "rare", "share", scores.alias("scores")), "language-scores")
+    judged = stored(judged.select("id", "text_hash", "rare", "share", _softmax(F.col("scores")).alias("posterior")), "language-posteriors")
     known = F.array(*map(F.lit, model.languages))
 
     def best(scores: str) -> Column:
         return F.element_at(known, F.array_position(F.col(scores), F.array_max(scores)).cast("int"))
 
-    language, confidence = best("posterior"), F.array_max("posterior")
+    named = (best("posterior") == UNDETERMINED) & F.col("rare").isNotNull()
+    language = F.when(named, F.col("rare")).otherwise(best("posterior"))
+    confidence = F.array_max("posterior") * F.when(named, DECLARED_RELIABILITY).otherwise(1.0)
     return judged.select(
         "id", "text_hash", language.alias("language"), confidence.alias("confidence"), best("share").alias("text_language"),
         ((language != UNDETERMINED) & (confidence >= least_confidence)).alias("kept"))

@@ -77,6 +77,22 @@ def test_each_kind_of_evidence_decides_a_text_without_words(spark, corpus):
     assert (got[1], got[2], got[3]) == ("fr", "de", "es")
 
 
+def test_every_declared_language(spark):
+    """More than 64 languages, each of words of its own, and one with a single row."""
+    draw = random.Random(3)
+    code = lambda i: f"q{chr(97 + i // 26)}{chr(97 + i % 26)}"
+    words = {code(i): ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(20)] for i in range(71)}
+    rows = [(language, " ".join(draw.choices(own, k=60))) for language, own in words.items()
+            for _ in range(1 if language == code(70) else 6)]
+    frame = spark.createDataFrame([(i, text, language, "h") for i, (language, text) in enumerate(rows)],
+                                  "doc_id long, text string, lang string, source string")
+    model = fit(frame)
+    assert len(model.languages) == 71
+    decided = identify(frame, model, declared=F.col("lang"), levels=[F.col("source")])
+    assert {row["id"]: (row["language"], row["kept"]) for row in decided.collect()} == {
+        i: (language, True) for i, (language, _) in enumerate(rows)}
+
+
 def test_address_and_markup(spark):
     frame = spark.createDataFrame([("https://u:p@Www.Example.co.uk:80/a?b", "<HTML class=x LANG=en-GB><script>x<y</script>a<b>c</b><!-- d --></html>")], "u string, h string")
     row = frame.select(*host_levels(F.col("u")), primary(page_language(F.col("h"))), F.trim(F.regexp_replace(page_text(F.col("h")), " +", " "))).first()
