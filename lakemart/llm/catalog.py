@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.catalog.registry import Entry, Source
-from lakemart.llm import credentials, exact, idfiles, langid, licenses, minhash, mixing, packing, pivots, warc
+from lakemart.llm import credentials, exact, idfiles, langid, licenses, minhash, mixing, packing, pivots, warc, whitening
 from lakemart.llm.common import let_workers_import
 from lakemart.session import scratch_path
 
@@ -144,3 +144,8 @@ def op9_exact_dedup(t: Source) -> DataFrame:
 @query()
 def op10_minhash_dedup(t: Source) -> DataFrame:
     return minhash.near_duplicates(t.documents, width=2).drop("text_hash").withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op13_whitening(t: Source) -> DataFrame:
+    return whitening.whitened(t.embeddings).withColumn("deviation", F.col("deviation").cast("long")).withColumnRenamed("id", "vec_id")

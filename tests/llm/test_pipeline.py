@@ -35,7 +35,7 @@ def test_stages(spark):
 
 def test_registered():
     assert {"pipeline", *QUERIES} <= set(queries())
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", [name for name, entry in QUERIES.items() if entry.sql])
