@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.catalog.registry import Entry, Source
-from lakemart.llm import credentials, exact, idfiles, langid, licenses, minhash, mixing, packing, pivots, warc, whitening
+from lakemart.llm import collocations, credentials, exact, idfiles, langid, licenses, minhash, mixing, packing, passages, pivots, warc, whitening
 from lakemart.llm.common import let_workers_import
 from lakemart.session import scratch_path
 
@@ -146,6 +146,48 @@ def op10_minhash_dedup(t: Source) -> DataFrame:
     return minhash.near_duplicates(t.documents, width=2).drop("text_hash").withColumnRenamed("id", "doc_id")
 
 
+@query(r"""
+with texts as (
+  select coalesce(lang, 'und') as lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents),
+pieces as (select lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) as piece from texts),
+spoken as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces),
+grams as (
+  select lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) as phrase
+  from spoken, (select unnest([1, 2, 3]) as k)),
+counts as (select lang, k, phrase, count(*) as n from grams group by all),
+languages as (select lang, sum(n)::bigint as n from counts where k = 1 group by lang),
+f as (select * from counts where n >= 10),
+cut as (
+  select lang, k, phrase, n as a, c, array_to_string(string_split(phrase, ' ')[1:c], ' ') as head,
+         array_to_string(string_split(phrase, ' ')[c + 1:k], ' ') as tail
+  from (select *, unnest(range(1, k)) as c from f where k > 1)),
+scored as (
+  select cut.lang, cut.k, cut.phrase, a, h.n as l, t.n as r, c,
+         ((1000000::hugeint * a * a) // (h.n::hugeint * t.n))::bigint as score
+  from cut join f h on h.lang = cut.lang and h.phrase = head join f t on t.lang = cut.lang and t.phrase = tail),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+inside as (
+  select lang, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) as phrase, n
+  from f where k = 3),
+around as (select lang, phrase, max(n) as n from inside group by all),
+kept as (
+  select lowest.* from lowest left join around on around.lang = lowest.lang and around.phrase = lowest.phrase
+  where around.n is null or 100 * around.n < 50 * a)
+select lang, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank, phrase, a, l, r, languages.n, score
+from kept join languages using (lang)
+qualify rank <= 2000
+""")
+def op11_collocations(t: Source) -> DataFrame:
+    return collocations.collocations(t.documents)
+
+
+@query()
+def op12_passage_dedup(t: Source) -> DataFrame:
+    return passages.repeated_passages(t.documents).drop("removed", "kept").withColumnRenamed("id", "doc_id")
+
+
 @query()
 def op13_whitening(t: Source) -> DataFrame:
     return whitening.whitened(t.embeddings).withColumn("deviation", F.col("deviation").cast("long")).withColumnRenamed("id", "vec_id")
