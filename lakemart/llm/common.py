@@ -15,11 +15,16 @@ BLANKS = r"[\x20\x09-\x0D]+"
 UNEVEN_BLANKS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
 
+#: Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = 8 * 2**20
+
+
 def let_workers_import(spark: SparkSession) -> None:
-    """Put this package's folder on the Python path of the workers.
+    """Put this package's folder on the Python path of the workers, and hand them rows in batches of bounded size.
 
-    Needed where the package is not installed but only on the driver's own path, as in a local session.
+    The first is needed where the package is not installed but only on the driver's own path, as in a local session.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     folder, environment = str(pathlib.Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     before = environment.get("PYTHONPATH", "")
     if folder not in before.split(":"):

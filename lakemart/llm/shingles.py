@@ -8,22 +8,11 @@ import numpy as np
 import xxhash
 
 _LOWER = bytes(code + 32 if 65 <= code <= 90 else code for code in range(256))
-#: Word hashes are remembered until this many words are known.
-MEMO_WORDS = 2**19
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
-class WordHashes:
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > MEMO_WORDS:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -31,12 +20,12 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
-def shingle_set(text: str | None, width: int, hashes: WordHashes) -> np.ndarray:
+def shingle_set(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct hashes of the text's runs of ``width`` words; of all its words where it has fewer.
 
     Words are separated by white space, A to Z lower-cased. A text without words has no shingles.
     """
-    words = hashes.of((text or "").encode().translate(_LOWER).split())
+    words = word_hashes((text or "").encode().translate(_LOWER).split())
     if not len(words):
         return words
     width = min(width, len(words))

@@ -4,23 +4,31 @@ Only for a vocabulary of lower-cased words that drops white space, like the defa
 crosses it, so the ids of a text are the ids of its blank-separated chunks put together. A chunk is
 encoded by the tokenizers library once and then looked up; texts of one corpus repeat their words, so
 most chunks are look-ups.
+
+The memo of a worker holds 128-bit digests of chunks and their ids in sorted arrays, about 40 bytes a chunk, so it stays
+below 32 MB; a worker of another operator that reuses the process finds it empty.
 """
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import itertools
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Texts are encoded in runs of about this many bytes, so a batch of long texts needs no more memory.
-RUN_BYTES = 4 * 2**20
-#: The memo is emptied once it holds this many chunks, about 200 bytes each.
+RUN_BYTES = 2 * 2**20
+#: The memo is emptied once it holds this many chunks.
 MEMO_CHUNKS = 600_000
+#: Chunks that the library encodes at once; its own result objects are large.
+LEARNT_AT_ONCE = 8192
 #: Longer chunks are encoded but not remembered.
 LONGEST_CHUNK = 64
 
@@ -56,44 +64,98 @@ def _units(chunk: bytes) -> tuple[bytes, ...]:
     return (word[1], word[2]) if word else (chunk,)
 
 
+def _digests(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(chunk) for chunk in chunks]), np.uint64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
+def _gathered(flat: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(stretches of ``flat`` in a row, the position behind each)."""
+    upto = np.concatenate([[0], np.cumsum(length)])
+    return flat[np.repeat(first - upto[:-1], length) + np.arange(upto[-1])], upto
+
+
 class ChunkEncoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
-        self.place: dict[bytes, int] = {}
+    def forget(self) -> None:
+        # A digest's first half, in order, its second half, and where its ids are in ``flat``.
+        self.half, self.other = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.first, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
-        self.first = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
 
-    def _add(self, chunks: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
-        self.place.update(zip(chunks, range(len(self.first), len(self.first) + len(chunks))))
-        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.length = np.concatenate([self.length, lengths])
+    def _known(self, half: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """The place of each digest in the memo, -1 where it is not there."""
+        if not len(self.half):
+            return np.full(len(half), -1)
+        at = np.minimum(np.searchsorted(self.half, half), len(self.half) - 1)
+        return np.where((self.half[at] == half) & (self.other[at] == other), at, -1)
+
+    def _encoded(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the units in a row, ids per unit), by the library."""
+        ids, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(units), LEARNT_AT_ONCE):
+            found = [one.ids for one in self.tokenizer.encode_batch_fast(
+                [unit.decode() for unit in units[at:at + LEARNT_AT_ONCE]], add_special_tokens=False)]
+            lengths.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths[-1].sum())))
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def _stretches(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(flat ids, first id and number of ids of each chunk); new chunks go into the memo."""
+        half, other = _digests(chunks)
+        known = self._known(half, other)
+        new = np.flatnonzero(known < 0)
+        # Words and the punctuation behind them are learnt on their own, and once.
+        split = [_units(chunks[i]) for i in new.tolist()]
+        units = sorted({unit for one in split for unit in one})
+        unit_half, unit_other = _digests(units)
+        unit_known = self._known(unit_half, unit_other)
+        unknown = np.flatnonzero(unit_known < 0)
+        ids, lengths = self._encoded([units[i] for i in unknown.tolist()])
+        flat = np.concatenate([self.flat, ids])
+        unit_first, unit_length = np.empty(len(units), np.int64), np.empty(len(units), np.int64)
+        old = unit_known >= 0
+        unit_first[old], unit_length[old] = self.first[unit_known[old]], self.length[unit_known[old]]
+        unit_first[unknown], unit_length[unknown] = len(self.flat) + np.cumsum(lengths) - lengths, lengths
+        place = dict(zip(units, range(len(units))))
+        parts = np.fromiter((place[unit] for one in split for unit in one), np.int64)
+        owner = np.repeat(np.arange(len(split)), np.fromiter(map(len, split), np.int64, len(split)))
+        joined, _ = _gathered(flat, unit_first[parts], unit_length[parts])
+        new_length = np.bincount(owner, unit_length[parts], len(split)).astype(np.int64)
+        first, length = np.empty(len(chunks), np.int64), np.empty(len(chunks), np.int64)
+        seen = known >= 0
+        first[seen], length[seen] = self.first[known[seen]], self.length[known[seen]]
+        first[new], length[new] = len(flat) + np.cumsum(new_length) - new_length, new_length
+        flat = np.concatenate([flat, joined])
+        self._remember(
+            flat, np.concatenate([unit_half[unknown], half[new]]), np.concatenate([unit_other[unknown], other[new]]),
+            np.concatenate([unit_first[unknown], first[new]]), np.concatenate([unit_length[unknown], new_length]),
+            np.fromiter(itertools.chain((len(units[i]) for i in unknown.tolist()), (len(chunks[i]) for i in new.tolist())), np.int64))
+        return flat, first, length
+
+    def _remember(self, flat: np.ndarray, half: np.ndarray, other: np.ndarray, first: np.ndarray, length: np.ndarray, size: np.ndarray) -> None:
+        """Take in the digests of chunks that are short enough, without their repeats."""
+        short = size <= LONGEST_CHUNK
+        half, at = np.unique(half[short], return_index=True)
+        other, first, length = other[short][at], first[short][at], length[short][at]
+        fresh = self._known(half, other) < 0
+        half, other, first, length = half[fresh], other[fresh], first[fresh], length[fresh]
+        if len(self.half) + len(half) > MEMO_CHUNKS:
+            self.forget()
+            return
+        ids, upto = _gathered(flat, first, length)
+        into = np.searchsorted(self.half, half)
+        self.half, self.other = np.insert(self.half, into, half), np.insert(self.other, into, other)
+        self.first = np.insert(self.first, into, len(self.flat) + upto[:-1])
+        self.length = np.insert(self.length, into, length)
         self.flat = np.concatenate([self.flat, ids])
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        split = {chunk: _units(chunk) for chunk in chunks}
-        unknown = sorted({unit for units in split.values() for unit in units}.difference(self.place))
-        found = self.tokenizer.encode_batch_fast([unit.decode() for unit in unknown], add_special_tokens=False)
-        ids = [one.ids for one in found]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        self._add(unknown, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths)
-        joined = [(chunk, units) for chunk, units in split.items() if len(units) > 1]
-        if joined:
-            pairs = np.array([[self.place[unit] for unit in units] for _, units in joined])
-            self._add([chunk for chunk, _ in joined], self._gather(pairs.ravel())[0], self.length[pairs].sum(axis=1))
-
-    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of the chunks in a row, the position behind each)."""
-        lengths = self.length[at]
-        upto = np.concatenate([[0], np.cumsum(lengths)])
-        return self.flat[np.repeat(self.first[at] - upto[:-1], lengths) + np.arange(upto[-1])], upto
-
     def run(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, ids per text)."""
         plain = [_plain(text) for text in texts]
@@ -102,13 +164,9 @@ class ChunkEncoder:
         split = pc.ascii_split_whitespace(joined)
         # Each different chunk of the run is looked up once; the empty ones at the ends of texts have no ids.
         coded = split.flatten().dictionary_encode()
-        chunks = coded.dictionary.cast(pa.large_binary()).to_pylist()
-        if unknown := [chunk for chunk in chunks if chunk not in self.place]:
-            self._learn(unknown)
-        places = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
-        ids, upto = self._gather(places[coded.indices.to_numpy()])
-        if len(self.place) > MEMO_CHUNKS or max(map(len, unknown), default=0) > LONGEST_CHUNK:
-            self._forget()
+        flat, first, length = self._stretches(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        places = coded.indices.to_numpy()
+        ids, upto = _gathered(flat, first[places], length[places])
         return ids, np.diff(upto[split.offsets.to_numpy()])
 
 
@@ -117,6 +175,16 @@ def encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
+@contextlib.contextmanager
+def memo_of_task(path: str | None) -> Iterator[None]:
+    """Around a task that encodes: leaves nothing of its texts in a worker that is used again."""
+    try:
+        yield
+    finally:
+        encoder(path or vocabulary_path()).forget()
+        pa.default_memory_pool().release_unused()
+
+
 def encode_runs(texts: pa.Array, path: str | None):
     """Yields (position of the first text, ids of a run of texts in a row, ids per text).
 
