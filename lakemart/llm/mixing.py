@@ -48,26 +48,39 @@ def exponential_key(identifier: Column, weight: Column) -> Column:
     return -F.log((bits.cast("long") + 1) / F.lit(float(2**52))) / weight
 
 
+def sums_before(rows: DataFrame, order: Sequence[Column], sums: dict[str, Column], label: str) -> DataFrame:
+    """``rows`` with the sums over all rows before each one in a total order, by ranges: no task holds more than one.
+
+    Only the totals of the ranges, a row per partition, are summed in one task.
+    """
+    placed = stored(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), label)
+    earlier = Window.partitionBy().orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("range").agg(*[F.sum(one).alias(name) for name, one in sums.items()]).select(
+        "range", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"{name}_offset") for name in sums])
+    inside = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return placed.withColumns({name: F.coalesce(F.sum(one).over(inside), F.lit(0)) for name, one in sums.items()}).join(
+        offsets, "range").select(*rows.columns, *[(F.col(name) + F.col(f"{name}_offset")).alias(name) for name in sums])
+
+
 def targets(sizes: DataFrame, weights: Sequence[int], budget: float, most_epochs: int) -> DataFrame:
-    """source, source_size -> with target. One row per source, so the order over all of them is small.
+    """source, source_size -> with target.
 
     Sources in the order of size per weight: those at the front reach their limit first, and the rest
-    share what those leave.
+    share what those leave. There may be as many sources as documents.
     """
-    ordered = Window.partitionBy().orderBy(F.col("source").isNull(), "source")
-    place = (F.row_number().over(ordered) - 1) % len(weights)
-    weighted = sizes.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), place + 1)).withColumn(
-        "limit", F.col("source_size") * most_epochs)
-    everything = Window.partitionBy()
-    earlier = (Window.partitionBy().orderBy(F.col("limit") / F.col("weight"), F.col("source").isNull(), "source")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    total = F.sum("source_size").over(everything) * F.lit(budget)
-    left = total - F.coalesce(F.sum("limit").over(earlier), F.lit(0))
-    weight_left = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(earlier), F.lit(0))
-    full = weighted.withColumn("total", total).withColumn("full", left * F.col("weight") >= F.col("limit") * weight_left)
-    open_weight = F.sum(F.when(~F.col("full"), F.col("weight"))).over(everything)
-    open_words = F.col("total") - F.coalesce(F.sum(F.when(F.col("full"), F.col("limit"))).over(everything), F.lit(0))
-    target = F.when(F.col("full"), F.col("limit").cast("double")).otherwise(F.col("weight") * open_words / open_weight)
+    by_name = [F.col("source").isNull(), F.col("source")]
+    weighted = sums_before(sizes, by_name, {"place": F.lit(1)}, "mix-sources").select(
+        "source", "source_size", F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int")).alias("weight"),
+        (F.col("source_size") * most_epochs).alias("limit"))
+    words, weight = weighted.agg(F.sum("source_size"), F.sum("weight")).first()
+    total = F.lit(float(words or 0) * budget)
+    left = sums_before(weighted, [F.col("limit") / F.col("weight"), *by_name], {"limits": F.col("limit"), "passed": F.col("weight")}, "mix-limits")
+    full = stored(left.withColumn(
+        "full", (total - F.col("limits")) * F.col("weight") >= F.col("limit") * (F.lit(weight or 0) - F.col("passed"))), "mix-targets")
+    limits, open_weight = full.agg(
+        F.sum(F.when(F.col("full"), F.col("limit"))), F.sum(F.when(~F.col("full"), F.col("weight")))).first()
+    target = F.when(F.col("full"), F.col("limit").cast("double")).otherwise(
+        F.col("weight") * (total - F.lit(limits or 0)) / F.lit(open_weight or 1))
     return full.select("source", "source_size", target.alias("target"))
 
 
@@ -103,12 +116,14 @@ def mixed(
     placed = rows.alias("r").join(edges.alias("e"), F.expr("r.source <=> e.source")).select(
         "r.*", "e.source_size", "e.target", "e.epochs", "e.rest", "e.edge", "e.before")
 
+    # Where the epochs reach the target no document comes once more, one without words neither.
+    more = F.col("rest") > 0
     outside = placed.where("cell != edge or edge is null").withColumn(
-        "copies", F.col("epochs") + F.coalesce((F.col("cell") < F.col("edge")).cast("int"), F.lit(0)))
+        "copies", F.col("epochs") + F.coalesce(((F.col("cell") < F.col("edge")) & more).cast("int"), F.lit(0)))
     in_order = Window.partitionBy("source").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
     inside = placed.where("cell = edge").withColumn(
         "middle", F.col("before") + F.sum("size").over(in_order) - F.col("size") / 2).withColumn(
-        "copies", F.col("epochs") + (F.col("middle") <= F.col("rest")).cast("int")).drop("middle")
+        "copies", F.col("epochs") + ((F.col("middle") <= F.col("rest")) & more).cast("int")).drop("middle")
     return outside.unionByName(inside).select("id", "size", "source", "source_size", "target", "copies")
 
 

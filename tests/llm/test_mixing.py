@@ -65,5 +65,21 @@ def test_nulls_repeats_and_clashing_columns(documents):
     assert all(times.get(key, 0) == copies[key] for key in (None, 2, 3, 4))
 
 
+@pytest.mark.parametrize("cells", [1, 8, 100_000])
+def test_wordless_documents_of_a_full_source_come_no_third_time(spark, cells):
+    rows = [(i, "a", "" if i % 2 else "w " * 10) for i in range(80)] + [(100 + i, "b", "w " * 1000) for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    found = mixed(frame, cells=cells)
+    assert {row["copies"] for row in found.where("source = 'a'").collect()} == {2}
+    assert apply_mix(frame, found).where("source = 'a'").count() == 160
+
+
+def test_as_many_sources_as_documents(spark):
+    sizes = {f"host-{i}": (i * 7919) % 3000 for i in range(3000)} | {None: 5000}
+    frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    found = {row["source"]: row["target"] for row in targets(frame, (5, 2, 1), 1.5, 2).collect()}
+    assert found == pytest.approx(brute_targets(sizes))
+
+
 def test_empty_table(documents):
     assert mixed(documents([])).count() == 0
