@@ -7,9 +7,10 @@ earlier whenever that keeps the sum smaller, as the rule for pieces in arrival o
 sequences instead of 3202 for the 9,999 rests of the sf0.1 documents, whose lower bound is 3202.)
 Longer pieces are placed first.
 
-Pieces are dealt to shards by a hash, so that one task packs about ``shard_rows`` lengths, whatever the
+Pieces are dealt to shards by a hash, so that one task packs about ``shard_rows`` lengths in every round, whatever the
 corpus holds; texts and ids are not moved. Bins that a round leaves with more than ``slack`` free are
-opened again and their pieces packed anew by fewer shards, until one shard has taken the last of them.
+opened again and their pieces dealt anew, but for bins whose gap is shorter than all pieces of open bins. The rounds
+end with one shard, or once a round saves less than ``LEAST_GAIN`` of the open bins.
 
 Defined results: a null text is the empty text, one piece with the end id alone; each row is a document
 of its own, so repeated rows are packed once each; null ids are carried along; an empty table gives no
@@ -28,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lakemart.llm.common import name_of, stored, text_of
-from lakemart.llm.tokens import encode_runs
+from lakemart.llm.tokens import encode_runs, memo_of_task
 
 CAPACITY = 2048
 END_ID = 0
 SHARD_ROWS = 50_000
 SLACK = 1 / 64
+#: Rounds go on while they save at least this share of the bins that were open.
+LEAST_GAIN = 0.001
 
 
 def pieces_of(
@@ -44,21 +47,22 @@ def pieces_of(
     texts = docs.select(name_of(id_column).cast("long").alias("id"), text_of(text_column).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = batch.column(0).to_pylist()
-            for first, ids, counts in encode_runs(batch.column(1), vocabulary):
-                # Each text's ids, its end id behind them.
-                ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
-                rows, at = [], 0
-                for name, count in zip(names[first:], counts + 1):
-                    for number, start in enumerate(range(0, count, capacity)):
-                        length = min(capacity, count - start)
-                        rows.append((name, number, start, length, ids[at + start:at + start + length].tobytes()))
-                    at += count
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, kind) for column, kind in zip(zip(*rows), (
-                        pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
-                    ["id", "piece", "start", "length", "ids"])
+        with memo_of_task(vocabulary):
+            for batch in batches:
+                names = batch.column(0).to_pylist()
+                for first, ids, counts in encode_runs(batch.column(1), vocabulary):
+                    # Each text's ids, its end id behind them.
+                    ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
+                    rows, at = [], 0
+                    for name, count in zip(names[first:], counts + 1):
+                        for number, start in enumerate(range(0, count, capacity)):
+                            length = min(capacity, count - start)
+                            rows.append((name, number, start, length, ids[at + start:at + start + length].tobytes()))
+                        at += count
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(column, kind) for column, kind in zip(zip(*rows), (
+                            pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
+                        ["id", "piece", "start", "length", "ids"])
 
     return texts.mapInArrow(cut, "id long, piece int, start long, length long, ids binary")
 
@@ -90,12 +94,21 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return bins, offsets
 
 
+def no_more_fits(open_bins: list[tuple[int, int]]) -> int:
+    """The gap from which on bins (gap, shortest piece) stay open: into a smaller one no piece of the open ones fits."""
+    left, least = open_bins, 0
+    while left and (shortest := min(length for _, length in left)) > least:
+        least = shortest
+        left = [(gap, length) for gap, length in left if gap >= least]
+    return least if left else max((gap for gap, _ in open_bins), default=0) + 1
+
+
 def place(pieces: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, slack: float = SLACK) -> DataFrame:
     """row, length -> row, sequence_id, offset. ``row`` must be unique."""
     full = pieces.where(F.col("length") == capacity).select(
         "row", (F.col("row") * 64).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     placed, left, number = [full], pieces.where(F.col("length") < capacity).select("row", "length"), 1
-    most_free = int(capacity * slack)
+    most_free, before, bins_before = int(capacity * slack), None, 0
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "row"], ascending=[False, True], ignore_index=True)
@@ -106,19 +119,30 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_R
         return pd.DataFrame({"row": rows["row"], "length": rows["length"], "first": first[chosen],
                              "offset": offset, "free": (capacity - used).astype("int64")})
 
+    def done(packed: DataFrame, number: int) -> DataFrame:
+        return packed.select("row", (F.col("first") * 64 + number).alias("sequence_id"), "offset")
+
     while True:
-        shards = max(1, math.ceil(left.count() / shard_rows))
-        # A round more than the logarithm asks for is only made while it has fewer shards to work with.
+        # A little more than the rows ask for, as a hash does not deal them evenly.
+        shards = max(1, math.ceil(1.05 * left.count() / shard_rows))
         dealt = left.withColumn("shard", F.pmod(F.xxhash64("row", F.lit(number)), F.lit(shards)))
         packed = stored(dealt.groupBy("shard").applyInPandas(
             pack, "row long, length long, first long, offset long, free long"), f"packed-{number}")
-        done = packed if shards == 1 else packed.where(F.col("free") <= most_free)
-        placed.append(done.select("row", (F.col("first") * 64 + number).alias("sequence_id"), "offset"))
-        if shards == 1:
+        bins = packed.where("offset = 0").count()
+        if before is not None and bins > (1 - LEAST_GAIN) * bins_before:
+            # Dealing the same pieces anew gains nothing more: the better of both ways is final.
+            placed.append(done(packed, number) if bins < bins_before else done(before, number - 1))
+            break
+        # At most a row for each gap.
+        gaps = packed.groupBy("free").agg(F.min("length").alias("shortest"), F.count_if(F.col("offset") == 0).alias("bins")).collect()
+        closed = max(most_free + 1, no_more_fits([(row["free"], row["shortest"]) for row in gaps if row["free"] > most_free]))
+        if shards == 1 or all(row["free"] < closed for row in gaps):
+            placed.append(done(packed, number))
             break
-        left = packed.where(F.col("free") > most_free).select("row", "length")
-        # Fewer shards each round, so that the rounds end however much a round leaves open.
-        shard_rows, number = max(shard_rows, math.ceil(2 * left.count() / shards)), number + 1
+        placed.append(done(packed.where(F.col("free") < closed), number))
+        before = packed.where(F.col("free") >= closed)
+        bins_before = sum(row["bins"] for row in gaps if row["free"] >= closed)
+        left, number = before.select("row", "length"), number + 1
     return functools.reduce(DataFrame.unionByName, placed)
 
 

@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 from llm_paths import SF
 
+from lakemart.llm import packing
 from lakemart.llm.packing import packed, pieces_of, place, sequences, sum_of_squares
 from lakemart.llm.tokens import vocabulary_path
 
@@ -53,6 +54,30 @@ def test_many_shards_come_near_one(spark):
     assert len(rows) == 20_000 and check(rows) <= 1.005 * total / 2048 + 1
 
 
+def test_pieces_that_never_combine_end_in_bounded_shards(spark, monkeypatch):
+    lengths = spark.range(100_000).select(F.col("id").alias("row"), (1100 + F.pmod(F.xxhash64("id"), F.lit(900))).alias("length"))
+    written, stored = [], packing.stored
+    monkeypatch.setattr(packing, "stored", lambda frame, label: written.append(stored(frame, label)) or written[-1])
+    rows = place(lengths, shard_rows=10_000).collect()
+    assert len({row["sequence_id"] for row in rows}) == len(rows) == 100_000 and len(written) == 1
+
+
+def test_rounds_without_gain_end(spark, monkeypatch):
+    # Three fit nowhere together and two always do, so dealing them anew saves nothing.
+    lengths = spark.range(6_000).select(F.col("id").alias("row"), (700 + F.pmod(F.xxhash64("id"), F.lit(3))).alias("length"))
+    shards, stored = [], packing.stored
+    monkeypatch.setattr(packing, "stored", lambda frame, label: shards.append(stored(frame, label)) or shards[-1])
+    rows = lengths.join(place(lengths, shard_rows=1000), "row").collect()
+    assert len(rows) == 6_000 and check(rows) == 3_000
+    assert len(shards) <= 2
+
+
+def test_open_bins_into_which_nothing_fits():
+    assert packing.no_more_fits([]) == 1
+    assert packing.no_more_fits([(900, 1100), (400, 1500)]) == 901
+    assert packing.no_more_fits([(900, 1100), (400, 300), (200, 250)]) == 300
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=80))
 def test_sum_of_squares_against_its_definition(sizes):
