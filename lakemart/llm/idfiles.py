@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from lakemart.llm.common import name_of, text_of
+from lakemart.llm.common import name_of, stored, text_of
 from lakemart.llm.simple8b import read_chunk, write_chunk
-from lakemart.llm.tokens import encode_runs
+from lakemart.llm.tokens import encode_runs, memo_of_task
 
 END_ID = 2
 CHUNK_IDS = 2**18
@@ -52,17 +52,18 @@ def write_ids(
 
         schema = pa.schema([("file", pa.int32()), ("chunk", pa.int32()), ("first", pa.int64()), ("ids", pa.int64()),
                             ("documents", pa.binary()), ("absent", pa.binary()), ("payload", pa.binary())])
-        for batch in batches:
-            own = batch.column(0).to_pylist()
-            for at, ids, lengths in encode_runs(batch.column(1), vocabulary):
-                names += own[at:at + len(lengths)]
-                counts.append(lengths + 1)
-                parts.append(np.insert(ids, np.cumsum(lengths), end_id))
-                held += len(parts[-1])
-                if held >= CHUNK_IDS:
-                    yield close()
-                    chunk, first = chunk + 1, first + held
-                    names, counts, parts, held = [], [], [], 0
+        with memo_of_task(vocabulary):
+            for batch in batches:
+                own = batch.column(0).to_pylist()
+                for at, ids, lengths in encode_runs(batch.column(1), vocabulary):
+                    names += own[at:at + len(lengths)]
+                    counts.append(lengths + 1)
+                    parts.append(np.insert(ids, np.cumsum(lengths), end_id))
+                    held += len(parts[-1])
+                    if held >= CHUNK_IDS:
+                        yield close()
+                        chunk, first = chunk + 1, first + held
+                        names, counts, parts, held = [], [], [], 0
         if held:
             yield close()
 
@@ -73,8 +74,9 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files: id, start (ids of all documents before it), n_tokens, ids (unsigned 32-bit)."""
     chunks = spark.read.schema(CHUNKS).parquet(path)
     in_files = Window.partitionBy().orderBy("file").rowsBetween(Window.unboundedPreceding, 0)
-    files = chunks.groupBy("file").agg(F.sum("ids").alias("n")).select(
-        "file", (F.sum("n").over(in_files) - F.col("n")).alias("before"))
+    # A row per file, of which there are as many as the writing had tasks.
+    files = stored(chunks.groupBy("file").agg(F.sum("ids").alias("n")).select(
+        "file", (F.sum("n").over(in_files) - F.col("n")).alias("before")), "id-file-starts")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,5 +94,4 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
     decoded = chunks.select("file", "first", "documents", "absent", "payload").mapInArrow(
         decode, "id long, file int, start long, n_tokens long, ids binary")
-    # One row per file; joined without moving the decoded ids.
-    return decoded.join(F.broadcast(files), "file").select("id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids")
+    return decoded.join(files, "file").select("id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids")
