@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakemart.llm.common import apply_verdicts, name_of, split_by_bucket, stored, text_of
 from lakemart.llm.components import components
-from lakemart.llm.shingles import WordHashes, band_keys, minima, shingle_set
+from lakemart.llm.shingles import band_keys, minima, shingle_set
 
 WIDTH = 5
 PERCENT = 80
@@ -51,7 +51,7 @@ HUB_ROUNDS = 2
 #: Members of a bucket whose pairs are written out in the exhaustive search.
 SMALL_BUCKET = 16
 #: Rows of a block of a large group, and hashes of their sets; a task compares two blocks.
-BLOCK = 1024
+BLOCK = 512
 BLOCK_SIZE = 2**21
 LANE_LOW = 0x0101010101010101
 
@@ -78,11 +78,10 @@ def signatures(docs: DataFrame, id_column: str, text_column: str, width: int) ->
         F.xxhash64(text_of(text_column)).alias("text_hash"), text_of(text_column).alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             sizes, classes, minimal = [], [], []
             for text in batch.column(3):
-                shingles = shingle_set(text.as_py(), width, hashes)
+                shingles = shingle_set(text.as_py(), width)
                 sizes.append(len(shingles))
                 classes.append(xxhash.xxh3_128_digest(shingles))
                 minimal.append(minima(shingles, LANES) if len(shingles) else np.zeros(LANES, np.uint32))
@@ -119,11 +118,10 @@ def _sets(docs: DataFrame, nodes: DataFrame, id_column: str, text_column: str, w
     found = some.join(wanted, F.col("id").eqNullSafe(F.col("node_id")) & (F.col("text_hash") == F.col("node_hash")))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                sets = [shingle_set(text.as_py(), width, hashes) for text in part.column(2)]
+                sets = [shingle_set(text.as_py(), width) for text in part.column(2)]
                 own = [xxhash.xxh3_128_digest(found) == known.as_py() for found, known in zip(sets, part.column(1))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(own), pa.array([found.view(np.int64) for found in sets], pa.list_(pa.int64()))],

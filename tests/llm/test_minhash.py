@@ -8,7 +8,7 @@ from llm_paths import SF
 
 from lakemart.llm import minhash
 from lakemart.llm.minhash import LANES, estimate, keep_first, least_lanes, near_duplicates
-from lakemart.llm.shingles import WordHashes, jaccard, minima, shingle_set
+from lakemart.llm.shingles import jaccard, minima, shingle_set
 
 LOWER = bytes(code + 32 if 65 <= code <= 90 else code for code in range(256))
 
@@ -105,7 +105,7 @@ def test_defined_results(documents):
 def test_estimate_is_near_the_similarity():
     errors = []
     for a, b in zip(near_copies(60, 4), near_copies(60, 4)[1:]):
-        one, other = (shingle_set(text, 2, WordHashes()) for text in (a, b))
+        one, other = (shingle_set(text, 2) for text in (a, b))
         both, either = jaccard(one, other)
         equal = (minima(one, LANES).astype(np.uint8) == minima(other, LANES).astype(np.uint8)).sum()
         errors.append(estimate(equal) - both / either)
