@@ -68,12 +68,19 @@ class RunLengthIndex:
         ranks = _dense(keys)
         longest = int(self.lengths.max(initial=0)) + 1
         part, covered = ranks, h
+        order = None
         while h < longest:
-            ranks = _dense(ranks * (size + 1) + further(ranks + 1, h))
+            keys = ranks * (size + 1) + further(ranks + 1, h)
             h *= 2
+            if h >= longest and h > self.depth and size < 2**20:
+                # The last round needs no ranks, and keys that end with the place are never equal.
+                order = np.argsort(keys * size + places)
+                break
+            ranks = _dense(keys)
             if h <= self.depth:
                 part, covered = ranks, h
-        order = np.argsort(ranks, kind="stable")
+        if order is None:
+            order = np.argsort(ranks * size + places)
         # Two overlapping stretches of known rank make up the first ``depth`` symbols.
         head, tail, whole = part[order], further(part, self.depth - covered)[order], (left >= self.depth)[order]
         return order, (head[1:] == head[:-1]) & (tail[1:] == tail[:-1]) & whole[1:] & whole[:-1]
