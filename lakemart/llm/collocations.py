@@ -6,11 +6,16 @@ have reached the threshold in what has been counted so far; it is counted from t
 together with whatever else is active, until each phrase has seen every shard once. So lengths interleave,
 and the scans end after the first cycle in which nothing new became active.
 
-Which subphrases have reached the threshold is a filter of hash bits that only ever grows: a
-phrase is counted in scan t where the filter of scan t admits both subphrases and the filter of scan
-t - shards does not yet admit both. That is one whole cycle for every phrase ever admitted, so counts are exact; bits that
-several phrases share only admit a few phrases more, which then fail the threshold. The filter has
-``FILTER_BITS`` bits at any size of the corpus, its bits come to the driver as numbers of its slots, and two filters are broadcast.
+Most active phrases come once or twice. So their occurrences are first added up per slot of their hash, in
+numbers packed by chunks of slots, and a phrase is counted by its words from the scan on that finds its slot at the
+threshold. A slot holds all occurrences of a phrase after one cycle, so no phrase is missed.
+
+Which subphrases have reached the threshold, and which slots, are two filters of bits that only ever grow: a
+phrase is due in scan t where the filter of scan t admits it and the filter of scan t - shards does not yet.
+That is one whole cycle for every phrase ever admitted, so counts are exact; bits that
+several phrases share only admit a few phrases more, which then fail the threshold. Filters and slots are bounded
+by ``MOST_BITS``; a corpus that outgrows them has more phrases counted by their words. The bits come to the driver, at most
+32 MB a filter, and are broadcast.
 
 A task counts its texts in runs of ``RUN_BYTES`` with one dictionary each; Spark adds the counts up, per task before
 the shuffle, so a phrase with a third of all occurrences is one row a run. Phrases that have seen their cycle
@@ -24,6 +29,7 @@ are ordered by count and then by the bytes of the phrase; an empty table gives n
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +49,13 @@ TOP = 2000
 #: A candidate goes where a longer one around it has at least this percentage of its count.
 INSIDE_PERCENT = 50
 UNKNOWN = "und"
-FILTER_BITS = 2**26
+#: Bits of the filter of phrases that reached the threshold, and at most of the slots'.
+FILTER_BITS, MOST_BITS = 2**26, 2**28
+#: Slots whose numbers travel together; places in a chunk take 16 bits.
+CHUNK = 2**16
 RUN_BYTES = 8 * 2**20
+#: Slots a task holds before it hands their numbers on.
+SLOTS_HELD = 4 * 2**20
 
 #: Small letters for A-Z, one mark between pieces, one blank between words.
 PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
@@ -80,8 +91,24 @@ def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(word, seed) for word in words), np.uint64, len(words))
 
 
-def count_run(lang: str, texts: list[bytes], longest: int, words_too: bool, now: np.ndarray, before: np.ndarray) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(length, phrases, counts) of a run: words if they are due, longer phrases that ``now`` admits and ``before`` did not."""
+class Filters(NamedTuple):
+    """Bits of the phrases that reached the threshold and of the slots that did, now and a cycle ago."""
+
+    now: np.ndarray
+    before: np.ndarray
+    slots_now: np.ndarray
+    slots_before: np.ndarray
+
+
+def _slot_admitted(slots: np.ndarray, held: np.ndarray) -> np.ndarray:
+    return (held[slots >> np.uint64(6)] >> (slots & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def count_run(
+    lang: str, texts: list[bytes], longest: int, words_too: bool, filters: Filters,
+) -> Iterator[tuple[int, pa.Array, np.ndarray] | np.ndarray]:
+    """(length, phrases, counts) of a run: words if they are due, and longer phrases whose slots are known to be
+    full enough; and, as bare arrays, the slots of all that are due by their subphrases."""
     joined = b" \n ".join(text.replace(b"\n", b" \n ") for text in texts)
     whole = pa.LargeStringArray.from_buffers(1, pa.py_buffer(np.array([0, len(joined)])), pa.py_buffer(joined))
     coded = pc.split_pattern(whole, " ").flatten().dictionary_encode()
@@ -96,14 +123,19 @@ def count_run(lang: str, texts: list[bytes], longest: int, words_too: bool, now:
         at = np.flatnonzero(found)
         yield 1, coded.dictionary.take(pa.array(at)), found[at]
     hashes = _word_hashes(lang, words)
-    word, inside = hashes[codes], spoken
-    phrase, inside_now, inside_before = word, spoken & admitted(hashes, now)[codes], spoken & admitted(hashes, before)[codes]
+    word, last_slot = hashes[codes], np.uint64(len(filters.slots_now) * 64 - 1)
+    phrase, inside_now, inside_before = word, spoken & admitted(hashes, filters.now)[codes], spoken & admitted(hashes, filters.before)[codes]
     for length in range(2, longest + 1):
         # Both subphrases of the phrase that starts here: this one, and the one a word later.
         due_now, due_before = inside_now[:-1] & inside_now[1:], inside_before[:-1] & inside_before[1:]
         if not due_now.any():
             return
-        first = np.flatnonzero(due_now & ~due_before)
+        phrase = _mixed(phrase[:-1], word[length - 1:])
+        at = np.flatnonzero(due_now)
+        slots, known = phrase[at] & last_slot, due_before[at]
+        yield slots[~known]
+        counted = _slot_admitted(slots, filters.slots_now) & ~(known & _slot_admitted(slots, filters.slots_before))
+        first = at[counted]
         if len(first):
             ids = codes[first]
             for step in range(1, length):
@@ -112,24 +144,88 @@ def count_run(lang: str, texts: list[bytes], longest: int, words_too: bool, now:
             parts = [coded.dictionary.take(pa.array(codes[start + step])) for step in range(length)]
             yield length, pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())), found
         if length < longest:
-            phrase = _mixed(phrase[:-1], word[length - 1:])
             inside_now, inside_before = due_now, due_before
-            for inside, held in ((inside_now, now), (inside_before, before)):
+            for inside, held in ((inside_now, filters.now), (inside_before, filters.before)):
                 at = np.flatnonzero(inside)
                 inside[at] = admitted(phrase[at], held)
 
 
-def _scan(shard: DataFrame, longest: int, words_too: bool, now, before) -> DataFrame:
-    """Counts of what is due in one shard, per run. ``now`` and ``before`` are broadcast filters."""
+SCANNED = f"{COUNTS}, chunk int, places binary, times binary"
+
+
+def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Stretches of ``values`` as binary items."""
+    raw = np.ascontiguousarray(values)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [
+        None, pa.py_buffer((bounds * raw.itemsize).astype(np.int32)), pa.py_buffer(raw.view(np.uint8))])
+
+
+def _chunked(slots: list[np.ndarray]) -> pa.RecordBatch:
+    """How often each slot comes, a row a chunk of slots."""
+    slot, times = np.unique(np.concatenate(slots), return_counts=True)
+    chunk = (slot // np.uint64(CHUNK)).astype(np.int64)
+    first = np.flatnonzero(np.diff(chunk, prepend=-1))
+    bounds = np.append(first, len(slot))
+    none = lambda kind: pa.nulls(len(first), kind)
+    return pa.RecordBatch.from_arrays(
+        [none(pa.int32()), none(pa.string()), none(pa.string()), none(pa.int64()), pa.array(chunk[first].astype(np.int32)),
+         _binaries((slot % np.uint64(CHUNK)).astype("<u2"), bounds), _binaries(np.minimum(times, 255).astype(np.uint8), bounds)],
+        ["length", "lang", "phrase", "n", "chunk", "places", "times"])
+
+
+def _scan(shard: DataFrame, longest: int, words_too: bool, filters) -> DataFrame:
+    """What is due in one shard: counts per run, and numbers of slots. ``filters`` are broadcast."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots, held = [], 0
         for batch in batches:
             for lang, texts in runs_of(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-                for length, phrases, found in count_run(lang, texts, longest, words_too, now.value, before.value):
+                for found in count_run(lang, texts, longest, words_too, filters.value):
+                    if isinstance(found, np.ndarray):
+                        slots.append(found)
+                        held += len(found)
+                        continue
+                    length, phrases, times = found
+                    n = len(times)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(found), length, np.int32)), pa.array([lang]).take(pa.array(np.zeros(len(found), np.int64))),
-                        phrases.cast(pa.string()), pa.array(found.astype(np.int64))], ["length", "lang", "phrase", "n"])
+                        pa.array(np.full(n, length, np.int32)), pa.array([lang]).take(pa.array(np.zeros(n, np.int64))),
+                        phrases.cast(pa.string()), pa.array(times.astype(np.int64)), pa.nulls(n, pa.int32()),
+                        pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], ["length", "lang", "phrase", "n", "chunk", "places", "times"])
+                if held > SLOTS_HELD:
+                    yield _chunked(slots)
+                    slots, held = [], 0
+        if held:
+            yield _chunked(slots)
 
-    return shard.select("lang", "text").mapInArrow(count, COUNTS)
+    return shard.select("lang", "text").mapInArrow(count, SCANNED)
+
+
+def _added(scanned: DataFrame, before: DataFrame | None, least: int) -> DataFrame:
+    """chunk, total (a byte a slot, up to ``least``), full (a bit a slot that reached it). Chunks stream through the tasks they are dealt to."""
+    most = min(least, 255)
+    rows = scanned.where("chunk is not null").select("chunk", "places", "times")
+    if before is not None:
+        rows = rows.unionByName(before.select("chunk", F.lit(None).cast("binary").alias("places"), F.col("total").alias("times")))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, total = None, None
+
+        def done() -> pa.RecordBatch:
+            full = np.packbits(total >= most, bitorder="little")
+            return pa.RecordBatch.from_arrays(
+                [pa.array([current], pa.int32()), pa.array([total.astype(np.uint8).tobytes()]), pa.array([full.tobytes()])], ["chunk", "total", "full"])
+
+        for batch in batches:
+            for chunk, places, times in zip(*(batch.column(i) for i in range(3))):
+                if chunk.as_py() != current:
+                    if current is not None:
+                        yield done()
+                    current, total = chunk.as_py(), np.zeros(CHUNK, np.int64)
+                at = slice(None) if not places.is_valid else np.frombuffer(places.as_py(), "<u2")
+                total[at] = np.minimum(total[at] + np.frombuffer(times.as_py(), np.uint8), most)
+        if current is not None:
+            yield done()
+
+    return rows.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(add, "chunk int, total binary, full binary")
 
 
 def _hashed(reached: DataFrame) -> DataFrame:
@@ -150,9 +246,12 @@ def _hashed(reached: DataFrame) -> DataFrame:
 
 def counted_phrases(
     docs: DataFrame, lang_column: str = "lang", text_column: str = "text",
-    longest: int = LONGEST, least: int = LEAST, shards: int = SHARDS, filter_bits: int = FILTER_BITS,
+    longest: int = LONGEST, least: int = LEAST, shards: int = SHARDS, filter_bits: int = FILTER_BITS, slots: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(length, lang, phrase, n) of every phrase with ``least`` occurrences or more, and (lang, words) of every language."""
+    """(length, lang, phrase, n) of every phrase with ``least`` occurrences or more, and (lang, words) of every language.
+
+    There is about a slot for every eight bytes of text unless ``slots`` says otherwise (a power of two from 2**16 on).
+    """
     spark = docs.sparkSession
     dealt, settled, languages = (scratch_path(spark, label) for label in ("phrase-shards", "phrase-counts", "phrase-languages"))
     docs.select(
@@ -160,33 +259,46 @@ def counted_phrases(
         F.pmod(F.monotonically_increasing_id(), F.lit(shards)).alias("shard"),
     ).write.partitionBy("shard").parquet(dealt)
     files = Files(spark, dealt)
-    filters = [np.zeros(filter_bits // 64, np.uint64)]
+    if slots is None:
+        size = docs.agg(F.coalesce(F.sum(F.octet_length(text_of(text_column))), F.lit(0))).first()[0]
+        slots = min(MOST_BITS, max(CHUNK, 1 << (size // 8).bit_length()))
+    reached, full = [np.zeros(filter_bits // 64, np.uint64)], [np.zeros(slots // 64, np.uint64)]
     grew: list[bool] = []
-    open_counts, folder = None, None
+    open_counts = totals = None
+    folders: list[str] = []
     step = 0
     while step < shards or any(grew[-shards:]):
-        now, before = (spark.sparkContext.broadcast(filters[max(0, at)]) for at in (step, step - shards))
+        past = max(0, step - shards)
+        filters = spark.sparkContext.broadcast(Filters(reached[step], reached[past], full[step], full[past]))
+        made: list[str] = []
+
+        def written(frame: DataFrame, label: str) -> DataFrame:
+            back, folder = stored_at(frame, f"{label}-{step}")
+            made.append(folder)
+            return back
+
         rows = spark.createDataFrame([], f"{COUNTS}, first int, earlier long") if open_counts is None else open_counts
+        scanned = spark.createDataFrame([], SCANNED)
         if files.exists(f"{dealt}/shard={step % shards}"):
             shard = spark.read.schema("lang string, text string").parquet(f"{dealt}/shard={step % shards}")
-            scanned = _scan(shard, longest, step < shards, now, before).select(
-                "length", "lang", "phrase", "n",
-                # A word is active from the first scan on, wherever it comes first.
-                F.when(F.col("length") == 1, 0).otherwise(step).alias("first"), F.lit(0).cast("long").alias("earlier"))
-            rows = rows.unionByName(scanned)
-        counts, written = stored_at(rows.groupBy("length", "lang", "phrase").agg(
-            F.sum("n").alias("n"), F.min("first").alias("first"), F.sum("earlier").alias("earlier")), f"phrases-{step}")
-        now.destroy()
-        before.destroy()
-        if folder:
-            files.delete(folder)
-        folder = written
-        reached = counts.where((F.col("length") < longest) & (F.col("n") >= least) & (F.col("earlier") < least))
-        grown = with_hashes(filters[-1], _hashed(reached))
-        grew.append(bool((grown != filters[-1]).any()))
-        filters.append(grown)
+            scanned = written(_scan(shard, longest, step < shards, filters), "phrase-scan")
+        filters.destroy()
+        rows = rows.unionByName(scanned.where("chunk is null").select(
+            "length", "lang", "phrase", "n",
+            # A word is active from the first scan on, wherever it comes first.
+            F.when(F.col("length") == 1, 0).otherwise(step).alias("first"), F.lit(0).cast("long").alias("earlier")))
+        counts = written(rows.groupBy("length", "lang", "phrase").agg(
+            F.sum("n").alias("n"), F.min("first").alias("first"), F.sum("earlier").alias("earlier")), "phrases")
+        totals = written(_added(scanned, totals, least), "phrase-slots")
+        fresh = counts.where((F.col("length") < longest) & (F.col("n") >= least) & (F.col("earlier") < least))
+        reached.append(with_hashes(reached[-1], _hashed(fresh)))
+        full.append(full[-1].copy())
+        for row in totals.select("chunk", "full").toLocalIterator():
+            at = row["chunk"] * (CHUNK // 64)
+            full[-1][at:at + CHUNK // 64] = np.frombuffer(bytes(row["full"]), np.uint64)
+        grew.append(bool((reached[-1] != reached[-2]).any() or (full[-1] != full[-2]).any()))
         if step >= shards:
-            filters[step - shards] = None
+            reached[past], full[past] = None, None
         step += 1
         # First seen a cycle ago or earlier: every shard has been counted.
         over = F.col("first") <= step - shards
@@ -194,10 +306,13 @@ def counted_phrases(
             counts.where("length = 1").groupBy("lang").agg(F.sum("n").alias("words")).write.parquet(languages)
         counts.where(over & (F.col("n") >= least)).select("length", "lang", "phrase", "n").write.mode("append").parquet(settled)
         open_counts = counts.where(~over).withColumn("earlier", F.col("n"))
-    if open_counts is not None:
-        open_counts.where(F.col("n") >= least).select("length", "lang", "phrase", "n").write.mode("append").parquet(settled)
+        # The step's tables replace those of the one before.
+        for folder in folders:
+            files.delete(folder)
+        folders = made
+    open_counts.where(F.col("n") >= least).select("length", "lang", "phrase", "n").write.mode("append").parquet(settled)
+    for folder in [*folders, dealt]:
         files.delete(folder)
-    files.delete(dealt)
     return spark.read.schema(COUNTS).parquet(settled), spark.read.schema("lang string, words long").parquet(languages)
 
 
