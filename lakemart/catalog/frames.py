@@ -109,7 +109,7 @@ def sale_records(source: Source) -> DataFrame:
 
 
 def sheet_rows(source: Source) -> DataFrame:
-    """Orders with their customer under the sheet's column names; some contacts are missing."""
+    """Orders with their customer under all columns of the sheet; some contacts are missing."""
     rows = source.orders.join(source.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
     low = F.col("o_orderpriority") == "5-LOW"
     return rows.select(
@@ -134,6 +134,30 @@ def sheet_rows(source: Source) -> DataFrame:
         F.col("o_orderpriority").alias("Método de pagamento"),
         F.pmod("o_orderkey", F.lit(12)).alias("Recorrência atual"),
         order_day().alias("Data de vencimento do boleto"),
+        (F.col("o_orderdate") + F.expr("interval 40 days")).alias("Data liberação do saldo"),
+        F.pmod("o_orderkey", F.lit(4)).alias("Forma de pagamento"),
+        F.when(F.pmod("o_orderkey", F.lit(3)) == 0, F.concat(F.lit("CUPOM"), text(F.pmod("o_orderkey", F.lit(9))))).alias("Cupom"),
+        (F.col("o_totalprice") * 2).alias("Valor Oferta"),
+        (F.col("o_totalprice") / 4).alias("Valor comissão afiliado"),
+        F.concat(F.lit("R$ "), text("o_custkey")).alias("Valor comissão co-produtor"),
+        (F.col("o_totalprice") / 2).alias("Valor Recebido"),
+        F.when(F.col("o_orderstatus") == "F", "changed their mind").alias("Motivo do reembolso"),
+        F.when(F.col("o_orderstatus") == "P", "no funds; card, or limit").alias("Motivo da recusa"),
+        F.when(low, "Sim").otherwise("Não").alias("Venda inteligente"),
+        F.concat(F.lit("kind "), F.col("o_orderstatus")).alias("Tipo de cobrança"),
+        (F.col("o_orderkey") * 7).alias("ID Contrato"),
+        F.lower("o_orderstatus").alias("Status de Contrato"),
+        F.when(low, "Mensal").otherwise("Anual").alias("Período"),
+        F.lit(12).alias("Recorrência total"),
+        text(F.pmod("o_custkey", F.lit(30))).alias("Assinaturas em atraso (dias)"),
+        (F.col("o_orderkey") + 100_000).alias("Nota fiscal"),
+        F.when(F.pmod("o_orderkey", F.lit(5)) == 0, "Sim").alias("Order Bump"),
+        F.concat(F.lit("UF"), text("c_nationkey")).alias("UF Origem"),
+        F.lit(1.25).alias("Taxa de câmbio"),
+        F.concat(F.lit("https://pay.example/b?id="), text("o_orderkey")).alias("Link Boleto"),
+        F.concat(F.lit('Rua "Azul", '), text("c_custkey")).alias("Endereço físico"),
+        F.concat(F.lit("000."), text("c_custkey"), F.lit("-00")).alias("CPF/CNPJ"),
+        F.when(F.pmod("o_orderkey", F.lit(500)) < 100, "digital").alias("Tipo do produto"),
     )
 
 

@@ -257,7 +257,7 @@ def sheet_mart(source: Source) -> SheetSalesMart:
     mart = SheetSalesMart(source.spark, scratch_path(source.spark, "sheet"), extensions=(".csv",))
     rows = sheet_rows(source)
     for day, frame in ((RUN_1, rows.withColumn("Valor Pago", F.lit(-1.0))), (RUN_2, rows)):
-        frame.write.option("header", "true").csv(f"{raw_partition(mart.raw_root, day)}/vendas.csv")
+        frame.write.option("header", "true").option("escape", '"').csv(f"{raw_partition(mart.raw_root, day)}/vendas.csv")
     return mart
 
 
@@ -273,7 +273,20 @@ SHEET_SQL = """
                'product ' || o_orderkey % 500 as "Nome do produto", case when o_orderkey % 500 < 250 then 'course' end as "Categoria",
                '+55 11 ' || c_custkey as "Número de telefone", o_totalprice / 8 as "Taxa Voomp",
                o_orderpriority as "Método de pagamento", o_orderkey % 12 as "Recorrência atual",
-               cast(o_orderdate as date) as "Data de vencimento do boleto"
+               cast(o_orderdate as date) as "Data de vencimento do boleto", cast(o_orderdate as date) + 40 as "Data liberação do saldo",
+               o_orderkey % 4 as "Forma de pagamento", case when o_orderkey % 3 = 0 then 'CUPOM' || o_orderkey % 9 end as "Cupom",
+               o_totalprice * 2 as "Valor Oferta", o_totalprice / 4 as "Valor comissão afiliado",
+               'R$ ' || o_custkey as "Valor comissão co-produtor", o_totalprice / 2 as "Valor Recebido",
+               case when o_orderstatus = 'F' then 'changed their mind' end as "Motivo do reembolso",
+               case when o_orderstatus = 'P' then 'no funds; card, or limit' end as "Motivo da recusa",
+               case when o_orderpriority = '5-LOW' then 'Sim' else 'Não' end as "Venda inteligente",
+               'kind ' || o_orderstatus as "Tipo de cobrança", o_orderkey * 7 as "ID Contrato",
+               lower(o_orderstatus) as "Status de Contrato", case when o_orderpriority = '5-LOW' then 'Mensal' else 'Anual' end as "Período",
+               12::bigint as "Recorrência total", cast(o_custkey % 30 as varchar) as "Assinaturas em atraso (dias)",
+               o_orderkey + 100000 as "Nota fiscal", case when o_orderkey % 5 = 0 then 'Sim' end as "Order Bump",
+               'UF' || c_nationkey as "UF Origem", 1.25::double as "Taxa de câmbio",
+               'https://pay.example/b?id=' || o_orderkey as "Link Boleto", 'Rua "Azul", ' || c_custkey as "Endereço físico",
+               '000.' || c_custkey || '-00' as "CPF/CNPJ", case when o_orderkey % 500 < 100 then 'digital' end as "Tipo do produto"
         from orders left join customer on o_custkey = c_custkey),
     silver as (
         select *, md5(coalesce("Nome Afiliado", '')) as "ID_Afiliado", md5("Nome do comprador" || "Email do comprador") as "ID_Cliente"
@@ -281,23 +294,21 @@ SHEET_SQL = """
 """
 
 
-@query(SHEET_SQL + """
-    select "ID Venda", "Data da venda", "Data de pagamento", "ID Produto", "ID Oferta", "Valor Pago", "Status da venda",
-           "Cod. de Barras", "ID_Afiliado", "ID_Cliente", "Taxa Voomp", "Método de pagamento", "Recorrência atual",
-           "Data de vencimento do boleto" from silver
-""")
+@query(SHEET_SQL + "select " + ", ".join(f'"{name}"' for name in spec.SHEET_FACT_COLUMNS) + " from silver")
 def sheet_mart_fact(source: Source) -> DataFrame:
     mart = sheet_mart(source)
     mart.load()
     return mart.fact.read()
 
 
-@query(SHEET_SQL + """
-    select distinct 'dim_afiliado' as dimension, "ID_Afiliado" as key, "Nome Afiliado" as name, null as more, null as most from silver
-    union all select distinct 'dim_cliente', "ID_Cliente", "Nome do comprador", "Email do comprador", "Número de telefone" from silver
-    union all select distinct 'dim_oferta', "ID Oferta", "Nome da oferta", null, null from silver
-    union all select distinct 'dim_produto', cast("ID Produto" as varchar), "Nome do produto", "Categoria", null from silver
-""")
+def _sheet_dimension_sql(dim: spec.Dimension) -> str:
+    names = [name for name in dim.columns if name not in dim.key]
+    values = [f'"{name}"' for name in names] + ["null"] * (5 - len(names))
+    columns = ", ".join(f"{value} as a{i}" for i, value in enumerate(values))
+    return f"select distinct '{dim.name}' as dimension, cast(\"{dim.key[0]}\" as varchar) as key, {columns} from silver"
+
+
+@query(SHEET_SQL + " union all ".join(map(_sheet_dimension_sql, spec.SHEET_DIMENSIONS)))
 def sheet_mart_dimensions(source: Source) -> DataFrame:
     """Dimensions are the distinct rows of their columns, here each as its key and all its attributes."""
     mart = sheet_mart(source)
@@ -305,10 +316,12 @@ def sheet_mart_dimensions(source: Source) -> DataFrame:
     frames = []
     for dim in spec.SHEET_DIMENSIONS:
         rows = mart.dimensions[dim.name].read()
-        names = [name for name in dim.columns if name in rows.columns and name not in dim.key]
-        values = [text(f"`{name}`") for name in names] + [F.lit(None).cast("string")] * (3 - len(names))
+        if sorted(rows.columns) != sorted(dim.columns):
+            raise AssertionError(f"{dim.name} holds {rows.columns}")
+        names = [name for name in dim.columns if name not in dim.key]
+        values = [text(f"`{name}`") for name in names] + [F.lit(None).cast("string")] * (5 - len(names))
         frames.append(rows.select(F.lit(dim.name).alias("dimension"), text(f"`{dim.key[0]}`").alias("key"), *[
-            value.alias(name) for value, name in zip(values, ("name", "more", "most"))]))
+            value.alias(f"a{i}") for i, value in enumerate(values)]))
     return reduce(DataFrame.unionByName, frames)
 
 

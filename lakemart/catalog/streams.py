@@ -54,6 +54,20 @@ def stream_upsert(source: Source) -> DataFrame:
     return daily_table(source, scratch_path(source.spark, "upserts"), [days, restated], None)
 
 
+@query(f"select data, user_id, event_id, event_type, value, 1::bigint as loads from ({DAILY_SQL})")
+def replayed_upsert(source: Source) -> DataFrame:
+    """A batch that the stream repeats, as after a failure before its checkpoint, adds no load."""
+    root, days = scratch_path(source.spark, "replayed"), daily_events(source)
+    table = PartitionedTable(source.spark, f"{root}/table", "data")
+    days.write.parquet(f"{root}/inbox")
+    stream = arrivals(source.spark, f"{root}/inbox", days.schema, "parquet")
+    for _ in range(2):
+        upsert_available(stream, table, ["data", "user_id"], ["ts", "event_id"], f"{root}/checkpoint")
+        # Without its commit the batch counts as not taken.
+        table.files.delete(f"{root}/checkpoint/commits/0")
+    return table.read().select("data", "user_id", "event_id", "event_type", "value").withColumn("loads", F.lit(len(table.loads())).cast("bigint"))
+
+
 @query(f"""
     with last as ({DAILY_SQL})
     select data, user_id, event_id, event_type,

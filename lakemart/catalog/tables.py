@@ -12,7 +12,7 @@ from lakemart.catalog.registry import Source, query
 from lakemart.operators.upsert import dimension_rows
 from lakemart.plans.upkeep import maintain
 from lakemart.session import scratch_path
-from lakemart.sources.tables import PartitionedTable, SnapshotTable
+from lakemart.sources.tables import BucketedTable, KeyMonths, PartitionedTable, SnapshotTable
 
 
 def two_versions(source: Source) -> SnapshotTable:
@@ -107,7 +107,7 @@ def dimension_table(source: Source) -> DataFrame:
 
 @query("""
     select 'monthly' as table_name, count(*) as row_count, sum(o_orderkey)::bigint as keys,
-           count(distinct strftime(o_orderdate, '%Y%m')) as files_after, true as fewer, 2::bigint as versions from orders
+           count(distinct strftime(o_orderdate, '%Y%m')) as files_after, true as fewer, 1::bigint as versions from orders
     union all select 'snapshot', count(*), sum(o_orderkey)::bigint, 1, true, 1 from orders
 """)
 def maintenance_job(source: Source) -> DataFrame:
@@ -119,7 +119,7 @@ def maintenance_job(source: Source) -> DataFrame:
     snapshot = SnapshotTable(spark, f"{root}/snapshot")
     # Every month is written in several files, as by a table that grew by many small appends.
     spread = monthly._with_partition(rows).repartition(3, F.pmod("o_orderkey", F.lit(3)))
-    spread.write.partitionBy(monthly.partition).parquet(f"{monthly.path}/{monthly.LOAD}=0")
+    monthly._publish(spread, [], rebalance=False)
     for _ in range(2):
         snapshot.overwrite(rows.repartition(8))
     before = {table: table.read().inputFiles() for table in (monthly, snapshot)}
@@ -131,3 +131,36 @@ def maintenance_job(source: Source) -> DataFrame:
             F.lit(name).alias("table_name"), "row_count", "keys", F.lit(len(files)).cast("bigint").alias("files_after"),
             F.lit(len(files) < len(before[table])).alias("fewer"), F.lit(len(versions)).cast("bigint").alias("versions")))
     return found[0].unionByName(found[1])
+
+
+@query("""
+    select o_orderkey, case when o_orderkey % 5 = 0 then 'third' when o_orderpriority = '1-URGENT' then 'moved' else o_orderstatus end as status,
+           cast(o_orderdate as date) + case when o_orderkey % 5 = 0 then 400 when o_orderpriority = '1-URGENT' then 45 else 0 end as data
+    from orders
+""")
+def indexed_merge(source: Source) -> DataFrame:
+    """Three loads of a month-partitioned table whose side table tells in which months a re-dated order may be."""
+    months = KeyMonths(source.spark, scratch_path(source.spark, "order-months"), ["o_orderkey"], bucket_rows=2000)
+    table = PartitionedTable(source.spark, scratch_path(source.spark, "indexed"), "data", by_month=True, index=months)
+    orders = source.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"), order_day().alias("data"), "o_orderpriority")
+    moved = orders.where("o_orderpriority = '1-URGENT'").withColumn("status", F.lit("moved")).withColumn("data", F.date_add("data", 45))
+    third = orders.where("o_orderkey % 5 = 0").withColumn("status", F.lit("third")).withColumn("data", F.date_add("data", 400))
+    for load in (orders, moved, third):
+        rows = load.drop("o_orderpriority")
+        months.learn(rows, table.month(F.col("data")))
+        table.merge(rows, ["o_orderkey"])
+    return table.read()
+
+
+@query("""
+    select o_custkey, o_orderstatus, o_orderpriority from orders
+    qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1
+""")
+def bucketed_dimension(source: Source) -> DataFrame:
+    """The dimension kept by the hash of its key: each year rewrites the buckets of its own customers."""
+    key, columns, order = ["o_custkey"], ["o_custkey", "o_orderstatus", "o_orderpriority"], ["o_orderdate", "o_orderkey"]
+    table = BucketedTable(source.spark, scratch_path(source.spark, "bucketed"), key, bucket_rows=100)
+    for first, last in ((1900, 1996), (1997, 1998), (1999, 2100)):
+        year = source.orders.where(F.year(order_day()).between(first, last))
+        table.merge(dimension_rows(year, key, columns, order))
+    return table.read()

@@ -15,7 +15,7 @@ from lakemart.operators.projection import fill_defaults, select_present
 from lakemart.operators.quality import any_positive, require_keys, split_rejects
 from lakemart.operators.upsert import dimension_rows
 from lakemart.sources.landing import ARRIVAL, promote, read_partition, stage_by_day
-from lakemart.sources.tables import PartitionedTable, SnapshotTable
+from lakemart.sources.tables import BucketedTable, PartitionedTable
 
 STAGE_DAY = "event_date"
 # Records are staged and kept in raw as Parquet; JSON is parsed once, where the extraction drops it.
@@ -91,7 +91,7 @@ class AdsMart:
         self.bronze = PartitionedTable(spark, f"{root}/bronze/ads/bronze_{level}", "data")
         self.silver = PartitionedTable(spark, f"{root}/silver/ads/silver_{level}", "data")
         self.fact = PartitionedTable(spark, f"{root}/gold/ads/f_{level}", "data")
-        self.dimension = SnapshotTable(spark, f"{root}/gold/ads/{self.level.dimension.name}")
+        self.dimension = BucketedTable(spark, f"{root}/gold/ads/{self.level.dimension.name}", self.level.dimension.key)
 
     def tables(self) -> list:
         return [self.bronze, self.silver, self.fact, self.dimension]

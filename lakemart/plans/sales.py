@@ -15,8 +15,9 @@ from lakemart.operators.projection import epoch_columns_to_dates, net_amount, se
 from lakemart.operators.quality import all_present
 from lakemart.operators.upsert import dimension_rows
 from lakemart.plans.together import run_together
+from lakemart.sources.files import staged
 from lakemart.sources.landing import ARRIVAL, promote, read_partition, stage_by_day
-from lakemart.sources.tables import PartitionedTable, SnapshotTable
+from lakemart.sources.tables import BucketedTable, KeyMonths, PartitionedTable
 
 STAGE_DAY = "event_date"
 # Records are staged and kept in raw as Parquet; JSON is parsed once, where the extraction drops it.
@@ -52,15 +53,17 @@ class SalesMart:
         self.lookback_days = lookback_days
         self.stage_root = f"{root}/stage/sales"
         self.raw_root = f"{root}/raw/sales"
-        self.bronze = PartitionedTable(spark, f"{root}/bronze/sales/bronze_sales", "data", by_month=True)
-        self.silver = PartitionedTable(spark, f"{root}/silver/sales/silver_sales", "data", by_month=True)
-        self.fact = PartitionedTable(spark, f"{root}/gold/sales/f_vendas", "data", by_month=True)
+        # The months of a transaction, learnt on the way into bronze and looked up on all three hops.
+        self.months = KeyMonths(spark, f"{root}/bronze/sales/bronze_sales_months", spec.SALES_GRAIN)
+        self.bronze = PartitionedTable(spark, f"{root}/bronze/sales/bronze_sales", "data", by_month=True, index=self.months)
+        self.silver = PartitionedTable(spark, f"{root}/silver/sales/silver_sales", "data", by_month=True, index=self.months)
+        self.fact = PartitionedTable(spark, f"{root}/gold/sales/f_vendas", "data", by_month=True, index=self.months)
         self.dimensions = {
-            dim.name: SnapshotTable(spark, f"{root}/gold/sales/{dim.name}") for dim in spec.SALES_DIMENSIONS
+            dim.name: BucketedTable(spark, f"{root}/gold/sales/{dim.name}", dim.key) for dim in spec.SALES_DIMENSIONS
         }
 
     def tables(self) -> list:
-        return [self.bronze, self.silver, self.fact, *self.dimensions.values()]
+        return [self.months, self.bronze, self.silver, self.fact, *self.dimensions.values()]
 
     def stage(self, flat: DataFrame) -> None:
         """Write flat records by UTC order day; records without transaction or day are dropped.
@@ -85,8 +88,9 @@ class SalesMart:
 
     def to_bronze(self, raw: DataFrame) -> None:
         if not raw.isEmpty():
-            last = keep_last(type_sales(raw), spec.SALES_GRAIN, [ARRIVAL]).drop(ARRIVAL)
-            self.bronze.merge(last, spec.SALES_GRAIN)
+            with staged(keep_last(type_sales(raw), spec.SALES_GRAIN, [ARRIVAL]).drop(ARRIVAL)) as last:
+                self.months.learn(last, self.bronze.month(F.col("data")))
+                self.bronze.merge(last, spec.SALES_GRAIN, computed=False)
 
     def to_silver(self) -> None:
         if not self.bronze.exists():

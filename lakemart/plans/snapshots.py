@@ -15,7 +15,7 @@ from lakemart.operators.dedup import distinct_rows
 from lakemart.operators.projection import dates_only, select_present
 from lakemart.operators.quality import all_present, exclude_ids, require_snapshot
 from lakemart.plans.together import run_together
-from lakemart.sources.files import Files, file_listing
+from lakemart.sources.files import Files, file_listing, staged
 from lakemart.sources.landing import (
     ARRIVAL, is_inbox_file, latest_drop_path, promote, raw_partition, read_drop, read_partition,
 )
@@ -59,10 +59,11 @@ def type_sheet(sheet: DataFrame) -> DataFrame:
     return lenient_cast(sheet, types, cut_fractions=True)
 
 
-def split_misfits(sheet: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(typed rows, rows as they came that hold a cell its type cannot read).
+def flag_misfits(sheet: DataFrame) -> DataFrame:
+    """The typed rows; one that holds a cell its type cannot read has itself as it came in ``_raw``, others null there.
 
-    An empty cell is no misfit.
+    An empty cell is no misfit. To be written before it is filtered: a filter over the casts of a whole sheet is
+    taken apart by the optimizer once for every column that it names.
     """
     known = [name for name in spec.sheet_columns() if name in sheet.columns]
     raw = F.struct(*[F.col(quoted(name)) for name in sheet.columns])
@@ -71,7 +72,12 @@ def split_misfits(sheet: DataFrame) -> tuple[DataFrame, DataFrame]:
     for name in known:
         cell = F.col(_RAW).getField(name).cast("string")
         misfit = misfit | (F.col(quoted(name)).isNull() & (F.coalesce(F.trim(cell), F.lit("")) != ""))
-    return typed.where(~misfit).drop(_RAW), typed.where(misfit).select(f"{_RAW}.*")
+    return typed.withColumn(_RAW, F.when(misfit, F.col(_RAW)))
+
+
+def split_misfits(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, rows as they came that hold a misfit) of written ``flag_misfits``."""
+    return flagged.where(F.col(_RAW).isNull()).drop(_RAW), flagged.where(F.col(_RAW).isNotNull()).select(f"{_RAW}.*")
 
 
 def sheet_silver(sheet: DataFrame) -> DataFrame:
@@ -175,9 +181,9 @@ class SheetSalesMart(DroppedFileMart):
         if drop is None:
             raise FileNotFoundError(f"no sales drop below {self.raw_root}")
         self.bronze.overwrite(drop)
-        rows, misfits = split_misfits(self.bronze.read())
-        self.rejects.overwrite(misfits)
-        self.silver.overwrite(sheet_silver(rows))
+        with staged(flag_misfits(self.bronze.read())) as flagged:
+            rows, misfits = split_misfits(flagged)
+            run_together([partial(self.rejects.overwrite, misfits), partial(self.silver.overwrite, sheet_silver(rows))])
         silver = self.silver.read()
         gold = {self.fact: sheet_fact(silver)}
         for dim in spec.SHEET_DIMENSIONS:

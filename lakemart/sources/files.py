@@ -40,6 +40,28 @@ class Files:
         found = self._fs.listStatus(self._path(path))
         return sorted((status.getPath().getName(), status.isDirectory()) for status in found)
 
+    def modified(self, path: str) -> list[tuple[str, int]]:
+        """(name, modification time in milliseconds) of the files in a folder, from one listing."""
+        if not self.exists(path):
+            return []
+        return [(status.getPath().getName(), status.getModificationTime()) for status in self._fs.listStatus(self._path(path)) if status.isFile()]
+
+    def text(self, path: str) -> str:
+        """The content of a small file."""
+        stream = self._fs.open(self._path(path))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def put(self, path: str, text: str) -> None:
+        """Write a small file, replacing one of that name."""
+        stream = self._fs.create(self._path(path), True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
     def ensure_folder(self, path: str) -> None:
         self._fs.mkdirs(self._path(path))
 
@@ -56,14 +78,15 @@ class Files:
             raise OSError(f"cannot move {source} to {destination}")
 
 
-def file_listing(spark: SparkSession, path: str) -> DataFrame:
-    """path, file_name, length and modificationTime of every data file below ``path``.
+def file_listing(spark: SparkSession, *paths: str) -> DataFrame:
+    """path, file_name, length and modificationTime of every data file below the paths.
 
     Only metadata is read: the content column is never selected. A missing folder lists nothing.
     """
-    if not Files(spark, path).exists(path):
+    there = [path for path in paths if len(paths) > 1 or Files(spark, path).exists(path)]
+    if not there:
         return spark.createDataFrame([], "path string, file_name string, length bigint, modificationTime timestamp")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(there)
     return files.select(
         "path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "modificationTime"
     )

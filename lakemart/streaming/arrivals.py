@@ -6,6 +6,7 @@ file it does nothing. The checkpoint remembers what was taken, and must lie on s
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Sequence
 
@@ -95,14 +96,17 @@ def upsert_available(
 
     Records without a key or a day are left out. With ``lookback_days``, so are records older than
     the table's watermark minus that many days.
-    A batch repeated after a failure gives the same table, since the upsert is idempotent.
+    A batch repeated after a failure is known by the stream's id and its number and adds no load.
     """
+    files = Files(table.spark, checkpoint)
+
     def load(batch: DataFrame, batch_id: int) -> None:
         rows = batch.dropna(subset=list({*keys, table.day}))
         if lookback_days is not None:
             rows = scan_window(rows, table.day, table.window_start(lookback_days))
         if not rows.isEmpty():
-            table.merge(keep_last(rows, keys, order_by), keys)
+            stream_id = json.loads(files.text(f"{checkpoint}/metadata"))["id"]
+            table.merge(keep_last(rows, keys, order_by), keys, batch=(stream_id, batch_id))
 
     load_available(stream, load, checkpoint)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lakemart.operators.quality import GateError
 from lakemart.plans.upkeep import maintain
 from lakemart.sources.files import Files
-from lakemart.sources.tables import PartitionedTable, SnapshotTable
+from lakemart.sources.tables import BucketedTable, KeyMonths, PartitionedTable, SnapshotTable
 
 DAY = dt.date(2024, 1, 10)
 FRAME = "data date, id string, m double"
@@ -126,7 +126,7 @@ def test_monthly_merge_moves_redated_rows(spark, rows, tmp_path):
     table.merge(frame(spark, (0, "a", 1.0), (60, "b", 1.0), (90, "c", 1.0)), ["id"])
     table.merge(frame(spark, (60, "a", 2.0), (61, "b", 2.0)), ["id"])
     assert content(table, rows) == expected((60, "a", 2.0), (61, "b", 2.0), (90, "c", 1.0))
-    assert sorted(table._partitions()) == ["202403", "202404"]
+    assert sorted(table._partitions()) == [202403, 202404]
 
 
 def test_null_days_have_their_own_partition(spark, rows, tmp_path):
@@ -199,7 +199,8 @@ def test_past_states_and_expiry_of_a_partitioned_table(spark, rows, tmp_path):
     assert rows(table.read_as_of(moments[1]), "data", "id", "m") == expected((0, "a", 1.0), (2, "c", 2.0))
     now = dt.datetime.now(dt.timezone.utc)
     assert table.expire(168, now) == []
-    assert sorted(table.expire(168, now + dt.timedelta(hours=200))) == [f"load=0/data={day(0)}", f"load=0/data={day(1)}"]
+    assert table.expire(168, now + dt.timedelta(hours=200)) == ["load=0"]
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["load=1", "load=2", "maps"] and len(table.loads()) == 1
     assert content(table, rows) == expected((0, "a", 3.0), (2, "c", 2.0))
     assert table.expire(0, now + dt.timedelta(hours=200)) == []
 
@@ -225,3 +226,122 @@ def test_maintenance_skips_missing_tables_and_keeps_rows(spark, rows, tmp_path):
     assert maintain([daily, SnapshotTable(spark, str(tmp_path / "none"))]) == [daily.path]
     assert len(list((tmp_path / "t" / "load=1" / f"data={DAY}").glob("*.parquet"))) == 1
     assert content(daily, rows) == expected((0, "a", 1.0), (0, "b", 1.0), (0, "c", 1.0), (0, "d", 1.0), (0, "d", 1.0))
+
+
+def jobs_of(spark, action):
+    """Spark jobs that ``action`` starts."""
+    tracker = spark.sparkContext._jsc.sc().statusTracker()
+    spark.sparkContext.setJobGroup("counted", "")
+    before = len(tracker.getJobIdsForGroup("counted"))
+    action()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return len(tracker.getJobIdsForGroup("counted")) - before
+
+
+def test_a_read_after_many_loads_looks_at_one_map(spark, rows, tmp_path, monkeypatch):
+    table = PartitionedTable(spark, str(tmp_path / "t"), "data")
+    table.merge(frame(spark, *[(n, "a", 0.0) for n in range(20)]), GRAIN)
+    # 200 loads that each restate one day, as far as maps and folders go.
+    state = table._map(0)
+    for number in range(1, 201):
+        folder = f"data={day(number % 20)}"
+        target = tmp_path / "t" / f"load={number}" / folder
+        target.mkdir(parents=True)
+        source = tmp_path / "t" / "load=0" / folder
+        for file in source.glob("*.parquet"):
+            (target / file.name).write_bytes(file.read_bytes())
+        state["held"][folder] = number
+        table.files.put(f"{table.path}/maps/{number}", __import__("json").dumps(state))
+    texts, text = [], Files.text
+    monkeypatch.setattr(Files, "text", lambda self, path: texts.append(path) or text(self, path))
+    assert jobs_of(spark, table.read) == 0 and len(texts) == 1
+    assert jobs_of(spark, lambda: table.window(day(15))) == 0
+    assert len(table.loads()) == 201 and table.read().count() == 20
+    later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=1)
+    assert len(table.expire(0, later)) == 181 and len(list((tmp_path / "t").glob("load=*"))) == 20
+    assert table.read().count() == 20 and len(table.loads()) == 1
+
+
+def spoil(*folders):
+    """Make every data file below the folders unreadable."""
+    for folder in folders:
+        for file in folder.rglob("*.parquet"):
+            file.write_bytes(b"not parquet")
+
+
+def test_a_merge_reads_the_months_of_its_keys_alone(spark, rows, tmp_path):
+    months = KeyMonths(spark, str(tmp_path / "m"), ["id"], bucket_rows=1)
+    table = PartitionedTable(spark, str(tmp_path / "t"), "data", by_month=True, index=months)
+
+    def load(*items):
+        source = frame(spark, *items)
+        months.learn(source, table.month(F.col("data")))
+        table.merge(source, ["id"])
+
+    load(*[(40 * n, f"k{n}", 1.0) for n in range(8)])
+    assert months._newest()[1]["buckets"] == 8
+    moved = frame(spark, (200, "k1", 2.0))
+    touched = {row[0] for row in moved.select(months._bucket(8)).collect()}
+    held = table._newest()[1]["held"]
+    spoil(*[p for p in (tmp_path / "m" / "load=0").glob("key_bucket=*") if int(p.name.split("=")[1]) not in touched])
+    kept_months = {f"partition_month={table_month}" for table_month in (202402, 202407)}
+    spoil(*[tmp_path / "t" / "load=0" / name for name in held if name not in kept_months])
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "load=0").rglob("*")}
+    load((200, "k1", 2.0))
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "load=0").rglob("*")} == before
+    # Its old month is empty now; the others were neither read nor written.
+    assert set(held) - set(table._newest()[1]["held"]) == {"partition_month=202402"}
+    assert rows(table._in([202407]).where("id = 'k1'"), "data", "id", "m") == expected((200, "k1", 2.0))
+
+
+def test_a_load_that_failed_after_its_keys_were_learnt_is_made_good(spark, rows, tmp_path):
+    months = KeyMonths(spark, str(tmp_path / "m"), ["id"])
+    table = PartitionedTable(spark, str(tmp_path / "t"), "data", by_month=True, index=months)
+    for learnt, loaded in (([(0, "a", 1.0), (0, "b", 1.0)], True), ([(40, "a", 2.0)], False), ([(80, "a", 3.0)], False), ([(120, "a", 4.0)], True)):
+        months.learn(frame(spark, *learnt), table.month(F.col("data")))
+        if loaded:
+            table.merge(frame(spark, *learnt), ["id"])
+    assert content(table, rows) == expected((0, "b", 1.0), (120, "a", 4.0))
+
+
+def test_a_bucketed_table_rewrites_the_buckets_of_its_keys(spark, rows, tmp_path):
+    table = BucketedTable(spark, str(tmp_path / "t"), ["k"], bucket_rows=10)
+    table.merge(spark.range(100).selectExpr("id as k", "0 as v", "cast(null as string) as w"))
+    assert table._newest()[1]["buckets"] == 10
+    first = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "load=0").rglob("*")}
+    # The key as another type is in the same bucket; an attribute the source does not know stays.
+    table.merge(spark.createDataFrame([(7, 1, "x"), (300, 2, None)], "k int, v int, w string"), keep_where_null=["w"])
+    table.merge(spark.createDataFrame([(7, 3, None)], "k int, v int, w string"), keep_where_null=["w"])
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "load=0").rglob("*")} == first
+    assert len(list((tmp_path / "t" / "load=2").glob("key_bucket=*"))) == 1
+    assert rows(table.read().where("v > 0")) == [(300, 2, None), (7, 3, "x")] and table.read().count() == 101
+    with pytest.raises(ValueError, match="kept by"):
+        table.merge(spark.range(1).selectExpr("id as k", "0 as v"), ["v"])
+    with pytest.raises(GateError, match="several rows"):
+        table.merge(spark.createDataFrame([(1, 1, "x"), (1, 2, "y")], "k int, v int, w string"))
+
+
+def test_buckets_are_doubled_once_they_have_grown(spark, rows, tmp_path):
+    table = BucketedTable(spark, str(tmp_path / "t"), ["k"], bucket_rows=10)
+    for at in (0, 10, 20, 30, 40):
+        table.merge(spark.range(at, at + 10).selectExpr("id as k", "0 as v"))
+    assert table._newest()[1]["buckets"] == 1 and table.compact() == 4
+    assert table._newest()[1]["buckets"] == 4 and table.read().count() == 50
+    table.merge(spark.range(60).selectExpr("id as k", "1 as v"))
+    assert table.read().count() == 60 and table.read().where("v = 0").count() == 0
+
+
+def test_a_batch_taken_in_adds_no_load(spark, tmp_path):
+    table = PartitionedTable(spark, str(tmp_path / "t"), "data")
+    for batch in (("s", 0), ("s", 1), ("s", 1), ("other", 0), ("s", 0), None):
+        table.merge(frame(spark, (0, "a", 1.0)), GRAIN, batch=batch)
+    assert len(table.loads()) == 4 and table._newest()[1]["batches"] == {"s": 1, "other": 0}
+
+
+def test_a_map_cut_off_by_a_failure_is_written_again(spark, rows, tmp_path):
+    table = PartitionedTable(spark, str(tmp_path / "t"), "data")
+    table.merge(frame(spark, (0, "a", 1.0)), GRAIN)
+    (tmp_path / "t" / "maps" / "1").write_text('{"held": {"data=2024')
+    assert content(table, rows) == expected((0, "a", 1.0)) and len(table.loads()) == 1
+    table.merge(frame(spark, (0, "a", 2.0)), GRAIN)
+    assert content(table, rows) == expected((0, "a", 2.0)) and len(table.loads()) == 2
