@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from lakemart.catalog.frames import text
 from lakemart.catalog.registry import Source, query
 from lakemart.operators.quality import coverage
+from lakemart.sources.colocated import colocated, colocated_join
 from lakemart.operators.lookups import lookup, resolve_creatives, star_join as join_dimensions
 
 
@@ -37,6 +38,19 @@ def star_join(source: Source) -> DataFrame:
     )
 
 
+@query("""
+    select l_orderkey, l_linenumber, l_quantity, o_orderstatus, o_totalprice
+    from (select * replace (case when l_linenumber = 7 then null else l_orderkey end as l_orderkey) from lineitem)
+    left join (select * from orders where o_orderkey % 10 <> 0) on l_orderkey = o_orderkey
+""")
+def bucketed_star_join(source: Source) -> DataFrame:
+    """Line items and orders in buckets of the order: joined without moving either; some lines lack the order's key."""
+    lines = source.lineitem.select("l_orderkey", "l_linenumber", "l_quantity").withColumn(
+        "l_orderkey", F.when(F.col("l_linenumber") != 7, F.col("l_orderkey")))
+    orders = source.orders.where("o_orderkey % 10 <> 0").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus", "o_totalprice")
+    return colocated_join(colocated(lines, "l_orderkey", 8), colocated(orders, "l_orderkey", 8), "l_orderkey")
+
+
 # Ads are orders, videos are parts and posts are customers. An order shows its story video, a feed
 # video, a post or nothing, by its status and priority.
 CREATIVE_SQL = """

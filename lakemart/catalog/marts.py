@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from lakemart import spec
 from lakemart.catalog.columns import SALES_SQL
@@ -13,9 +13,12 @@ from lakemart.catalog.frames import insight_records, projection_rows, sale_recor
 from lakemart.catalog.joins import CREATIVE_SQL, creative_links
 from lakemart.catalog.registry import Source, query
 from lakemart.functions.casts import epoch_ms_date
+from lakemart.functions.nested import flatten_variant
 from lakemart.plans.ads import AdsMart
 from lakemart.plans.sales import SalesMart, flatten_sales
 from lakemart.plans.snapshots import ProjectionsMart, SheetSalesMart, SubscriptionsMart
+from lakemart.plans.serving import serve_table, serving_ddl
+from lakemart.plans.together import run_together
 from lakemart.session import scratch_path
 from lakemart.sources.landing import ARRIVAL, raw_partition
 
@@ -252,6 +255,30 @@ def subscriptions_mart(source: Source) -> DataFrame:
     return mart.fact.read()
 
 
+@query("""
+    select o_orderkey as id, case when o_orderkey % 7 = 0 then '"code ' || o_orderstatus || '"' else (o_orderkey % 100)::varchar end as mixed,
+           case when o_orderkey % 2 = 0 then o_totalprice else (o_orderkey % 10)::double end as amount,
+           o_orderstatus as plan_name, c_name as plan_owner_name, '[{"code":"' || o_orderpriority || '"}]' as offers,
+           case when o_orderkey % 50 = 0 then 'top' end as plan_name_2
+    from orders left join customer on o_custkey = c_custkey
+""")
+def variant_flatten(source: Source) -> DataFrame:
+    """Records of open shape, parsed once: a field of several types, one that few records have, and two of one flat name."""
+    joined = source.orders.join(source.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    line = F.concat(
+        F.lit('{"id":'), text("o_orderkey"), F.lit(',"plan":{"name":"'), F.col("o_orderstatus"), F.lit('","owner":{"name":"'), F.col("c_name"),
+        F.lit('"}},"offers":[{"code":"'), F.col("o_orderpriority"), F.lit('"}],"mixed":'),
+        F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit('"code '), F.col("o_orderstatus"), F.lit('"'))).otherwise(text(F.col("o_orderkey") % 100)),
+        F.lit(',"amount":'), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit("e0"))).otherwise(
+            text(F.col("o_orderkey") % 10)),
+        F.when(F.col("o_orderkey") % 50 == 0, ',"plan_name":"top"').otherwise(""), F.lit("}"))
+    root = scratch_path(source.spark, "open-records")
+    joined.select(line.alias("value")).write.text(root)
+    parsed = scratch_path(source.spark, "open-variants")
+    source.spark.read.text(root).select(F.parse_json("value").alias("record")).write.parquet(parsed)
+    return flatten_variant(source.spark.read.parquet(parsed), "record").withColumn("amount", F.col("amount").cast("double"))
+
+
 def sheet_mart(source: Source) -> SheetSalesMart:
     """An older drop with other values, then the current one; the newest is loaded."""
     mart = SheetSalesMart(source.spark, scratch_path(source.spark, "sheet"), extensions=(".csv",))
@@ -339,3 +366,50 @@ def projections_mart(source: Source) -> DataFrame:
     )
     mart.load()
     return mart.fact.read()
+
+
+def _served_column(name: str, kind: str) -> str:
+    """A column of that type from the nation's number, the same in both dialects but for the names of types."""
+    key = "cast(n_nationkey as bigint)"
+    if kind == "date":
+        return f"date '2024-01-01' + cast({key} as int) as \"{name}\""
+    return f"{'n_nationkey % 2 = 0' if kind == 'boolean' else key}::{ {'string': 'varchar'}.get(kind, kind) } as \"{name}\""
+
+
+def _served_sql() -> str:
+    parts = []
+    for table, ddl in serving_ddl().items():
+        # Name, types and sums over the first and the last column, as a reader of the catalogue sees them.
+        columns = [(field.name, field.dataType.simpleString()) for field in T.StructType.fromDDL(ddl).fields]
+        types = ",".join(kind for _, kind in columns)
+        inner = ", ".join(_served_column(name, kind) for name, kind in columns)
+        first, last = columns[0][0], columns[-1][0]
+        parts.append(f"""select '{table}' as table_name, {len(columns)}::bigint as n_columns, '{types}' as types, count(*) as row_count,
+            max("{first}"::varchar) as first_max, max("{last}"::varchar) as last_max from (select {inner} from nation)""")
+    return " union all ".join(parts)
+
+
+@query(_served_sql())
+def serving_tables(source: Source) -> DataFrame:
+    """Every declared gold table as a catalogue table of its own, made twice, with its declared types."""
+    key, root = F.col("n_nationkey").cast("bigint"), scratch_path(source.spark, "served")
+    tables = serving_ddl()
+
+    def made(name: str) -> None:
+        fields = T.StructType.fromDDL(tables[name]).fields
+        columns = [
+            (F.date_add(F.lit("2024-01-01").cast("date"), key.cast("int")) if isinstance(field.dataType, T.DateType)
+             else key % 2 == 0 if isinstance(field.dataType, T.BooleanType) else key).cast(field.dataType).alias(field.name) for field in fields]
+        for version in range(2):
+            serve_table(source.spark, name, source.nation.where(F.lit(version == 1)).select(columns), f"{root}/{name}/v={version}")
+
+    run_together([partial(made, name) for name in tables])
+    found = []
+    for name in tables:
+        served = source.spark.table(name)
+        types = ",".join(field.dataType.simpleString() for field in served.schema.fields)
+        found.append(served.agg(F.count("*").alias("row_count"), *[
+            F.max(F.col(f"`{column}`").cast("string")).alias(alias) for column, alias in ((served.columns[0], "first_max"), (served.columns[-1], "last_max"))
+        ]).select(F.lit(name).alias("table_name"), F.lit(len(served.columns)).cast("bigint").alias("n_columns"), F.lit(types).alias("types"),
+                  "row_count", "first_max", "last_max"))
+    return reduce(DataFrame.unionByName, found)

@@ -12,7 +12,7 @@ from lakemart.catalog.registry import Source, query
 from lakemart.session import scratch_path
 from lakemart.sources.tables import PartitionedTable
 from lakemart.streaming.arrivals import (
-    arrivals, first_arrivals, load_available, promote_available, upsert_available,
+    keep_latest_available, arrivals, first_arrivals, load_available, promote_available, upsert_available,
 )
 
 INGESTION = dt.date(2024, 2, 1)
@@ -98,3 +98,34 @@ def first_arrival_keys(source: Source) -> DataFrame:
         load_available(kept, append, f"{root}/checkpoint")
     return source.spark.read.schema(rows.schema).parquet(f"{root}/kept").select(
         "user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+@query("""
+    with drops as (
+        select 1 as revision, ts, user_id, event_id, event_type, value from events where ts < timestamp '2024-01-21'
+        union all select 2, ts, user_id, event_id, event_type, value * 2 from events
+        where ts >= timestamp '2024-01-11' and ts < timestamp '2024-01-26'
+        union all select 3, ts, user_id, event_id, event_type, value * 3 from events where event_id % 2 = 0),
+    -- The third drop comes behind a watermark: whole days before it are late.
+    behind as (select max(ts) - interval 10 day as mark from events where ts < timestamp '2024-01-26'),
+    taken as (select * from drops, behind where revision < 3 or cast(ts as date) + interval 1 day > mark)
+    select cast(ts as date) as day, user_id, revision::bigint as revision, event_id, event_type, value from taken
+    qualify row_number() over (partition by cast(ts as date), user_id order by revision desc, ts desc, event_id desc) = 1
+""")
+def streaming_keep_last(source: Source) -> DataFrame:
+    """Three batches through keyed state: new days, a restated window, and a restatement of half of everything, partly late."""
+    root = scratch_path(source.spark, "latest")
+    rows = source.events.select(
+        F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_id", "event_type", "value")
+    drops = [
+        rows.where("ts < timestamp'2024-01-21'"),
+        rows.where("ts >= timestamp'2024-01-11' and ts < timestamp'2024-01-26'").withColumn("value", F.col("value") * 2),
+        rows.where("event_id % 2 = 0").withColumn("value", F.col("value") * 3),
+    ]
+    drops = [drop.withColumn("revision", F.lit(i + 1).cast("bigint")) for i, drop in enumerate(drops)]
+    table = PartitionedTable(source.spark, f"{root}/table", "day")
+    stream = arrivals(source.spark, f"{root}/inbox", drops[0].schema, "parquet")
+    for drop in drops:
+        drop.write.mode("append").parquet(f"{root}/inbox")
+        keep_latest_available(stream, table, "ts", ["user_id"], ["revision", "ts", "event_id"], "10 days", f"{root}/checkpoint")
+    return table.read().select("day", "user_id", "revision", "event_id", "event_type", "value")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,7 +13,7 @@ from lakemart.catalog.registry import Source, query
 from lakemart.operators.upsert import dimension_rows
 from lakemart.plans.upkeep import maintain
 from lakemart.session import scratch_path
-from lakemart.sources.tables import BucketedTable, KeyMonths, PartitionedTable, SnapshotTable
+from lakemart.sources.tables import BucketedTable, KeyMonths, PartitionedTable, SnapshotTable, footer_statistics
 
 
 def two_versions(source: Source) -> SnapshotTable:
@@ -164,3 +165,34 @@ def bucketed_dimension(source: Source) -> DataFrame:
         year = source.orders.where(F.year(order_day()).between(first, last))
         table.merge(dimension_rows(year, key, columns, order))
     return table.read()
+
+
+@query("""
+    select l_orderkey, l_partkey, l_quantity, true as in_order from lineitem
+""")
+def clustered_compaction(source: Source) -> DataFrame:
+    """A compaction that sorts by two keys at once keeps every row; its files each span a part of both keys."""
+    table = SnapshotTable(source.spark, scratch_path(source.spark, "clustered"))
+    table.overwrite(source.lineitem.select("l_orderkey", "l_partkey", "l_quantity"))
+    size = table.files.size(table._folder(0))
+    version = table.cluster(["l_orderkey", "l_partkey"], target_bytes=max(1, size // 16))
+    rows = table.read(version)
+    spans = rows.groupBy(F.input_file_name().alias("file")).agg(*[
+        (F.max(name) - F.min(name)).alias(name) for name in ("l_orderkey", "l_partkey")])
+    whole = rows.agg(*[(F.max(name) - F.min(name)).alias(name) for name in ("l_orderkey", "l_partkey")]).first()
+    narrow = spans.agg(*[F.avg(F.col(name) / whole[name]).alias(name) for name in ("l_orderkey", "l_partkey")]).first()
+    # Sixteen files in a square of four by four: each about a quarter of either key.
+    return rows.withColumn("in_order", F.lit(max(narrow) < 0.6))
+
+
+FOOTER_KEYS = {"orders": "o_orderkey", "customer": "c_custkey", "lineitem": "l_orderkey", "events": "event_id", "part": "p_partkey"}
+
+
+@query(" union all ".join(
+    f"select '{table}' as table_name, count(*) as rows, min({key}) as low, max({key}) as high from {table}" for table, key in FOOTER_KEYS.items()))
+def footer_audit(source: Source) -> DataFrame:
+    """Counts and bounds of tables from file footers alone."""
+    found = [footer_statistics(source.spark, f"{source.folder.rstrip('/')}/{table}.parquet", [key]).select(
+        F.lit(table).alias("table_name"), "rows", F.col(f"low_{key}").alias("low"), F.col(f"high_{key}").alias("high"))
+        for table, key in FOOTER_KEYS.items()]
+    return reduce(DataFrame.unionByName, found)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lakemart.functions.casts import lenient_double, quoted
@@ -81,7 +83,7 @@ def flatten_record(df: DataFrame, paths: dict[str, str]) -> DataFrame:
 
 
 def flatten_structs(df: DataFrame) -> DataFrame:
-    """Every leaf as ``a_b_c``, lists as JSON text; of two equal names the later one wins."""
+    """Every leaf as ``a_b_c``, lists and values of several types as JSON text; of two equal names the later one wins."""
     leaves: dict[str, Column] = {}
 
     def visit(prefix: str, name: str, data_type: T.DataType, column: Column) -> None:
@@ -89,7 +91,7 @@ def flatten_structs(df: DataFrame) -> DataFrame:
         if isinstance(data_type, T.StructType):
             for child in data_type.fields:
                 visit(flat + "_", child.name, child.dataType, column.getField(child.name))
-        elif isinstance(data_type, T.ArrayType):
+        elif isinstance(data_type, (T.ArrayType, T.VariantType)):
             leaves[flat] = F.to_json(column)
         else:
             leaves[flat] = column
@@ -97,3 +99,46 @@ def flatten_structs(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         visit("", field.name, field.dataType, F.col(quoted(field.name)))
     return df.select(*[column.alias(name) for name, column in leaves.items()])
+
+
+def open_schema(records: DataFrame, column: str) -> T.StructType:
+    """The fields that objects in a variant column have, their types merged over all rows.
+
+    Numbers of several kinds widen; values of types that do not go together stay variants; nothing but nulls is text.
+    """
+    ddl = records.agg(F.schema_of_variant_agg(F.col(quoted(column)))).first()[0]
+    merged = T.DataType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", ddl))
+
+    def settled(kind: T.DataType) -> T.DataType:
+        if isinstance(kind, T.StructType):
+            return T.StructType([T.StructField(field.name, settled(field.dataType)) for field in kind.fields])
+        if isinstance(kind, T.ArrayType):
+            return T.ArrayType(settled(kind.elementType))
+        return T.StringType() if isinstance(kind, T.NullType) else kind
+
+    if not isinstance(merged, T.StructType):
+        raise ValueError(f"the records of {column} are no objects but {ddl}")
+    return settled(merged)
+
+
+def flatten_variant(records: DataFrame, column: str) -> DataFrame:
+    """The objects of a variant column as flat columns, every field that any of them has.
+
+    Fields whose flat names are equal (``a.b`` and ``a_b``, or in another case) get numbers from the second one on.
+    """
+    schema = open_schema(records, column)
+    names: dict[str, int] = {}
+    leaves: list[Column] = []
+
+    def visit(flat: str, kind: T.DataType, value: Column) -> None:
+        if isinstance(kind, T.StructType):
+            for field in kind.fields:
+                visit(f"{flat}_{field.name}" if flat else field.name, field.dataType, value.getField(field.name))
+            return
+        number = names[flat.lower()] = names.get(flat.lower(), 0) + 1
+        text = isinstance(kind, (T.ArrayType, T.VariantType))
+        leaves.append((F.to_json(value) if text else value).alias(flat if number == 1 else f"{flat}_{number}"))
+
+    whole = F.variant_get(F.col(quoted(column)), "$", schema.simpleString())
+    visit("", schema, F.col("_object"))
+    return records.select(whole.alias("_object")).select(*leaves)

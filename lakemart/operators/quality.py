@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from lakemart.functions.casts import quoted
 
@@ -63,6 +63,13 @@ def require_keys(df: DataFrame, day: str, key: str) -> None:
         raise GateError(f"records without {key}: {days}")
 
 
+def counted_keys(df: DataFrame, key: str) -> tuple[DataFrame, Observation]:
+    """(``df``, what its next write counts on the way: ``records`` and those ``missing`` their key)."""
+    counts = Observation()
+    counted = df.observe(counts, F.count(F.lit(1)).alias("records"), F.count_if(F.col(quoted(key)).isNull()).alias("missing"))
+    return counted, counts
+
+
 def snapshot_report(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """One row per required column: is it there, and how many rows and values does it have."""
     stats = [F.count(F.lit(1)).alias("_rows")]

@@ -12,8 +12,9 @@ from lakemart.functions.nested import action_count, action_value, audience_label
 from lakemart.operators.dedup import keep_last
 from lakemart.operators.lookups import lookup
 from lakemart.operators.projection import fill_defaults, select_present
-from lakemart.operators.quality import any_positive, require_keys, split_rejects
+from lakemart.operators.quality import any_positive, counted_keys, require_keys, split_rejects
 from lakemart.operators.upsert import dimension_rows
+from lakemart.sources.files import Files
 from lakemart.sources.landing import ARRIVAL, promote, read_partition, stage_by_day
 from lakemart.sources.tables import BucketedTable, PartitionedTable
 
@@ -99,15 +100,20 @@ class AdsMart:
     def stage(self, records: DataFrame, **tables: DataFrame) -> DataFrame:
         """Write the active records, one folder per event day; refuses records without an id.
 
-        The check reads the records alone, before any lookup. Records that carry their arrival
-        position are reduced to the last per day and id. ``tables`` are those of ``with_attributes``.
+        They are counted while they are written, so the landing files are parsed once; a refused load empties the stage
+        again. Records that carry their arrival position are reduced to the last per day and id. ``tables`` are those
+        of ``with_attributes``.
         """
-        insights = active_insights(records)
-        require_keys(insights, "date_start", self.level.id_column)
+        insights, gate = counted_keys(active_insights(records), self.level.id_column)
+        active = insights
         if ARRIVAL in insights.columns:
             insights = keep_last(insights, ["date_start", self.level.id_column], [ARRIVAL]).drop(ARRIVAL)
         shaped = with_attributes(self.level, insights, **tables)
         stage_by_day(shaped.withColumn(STAGE_DAY, F.coalesce("date_start", F.lit(""))), self.stage_root, STAGE_DAY, RAW_FORMAT)
+        if gate.get["missing"]:
+            Files(self.spark, self.stage_root).delete(self.stage_root)
+            # Only now are the records read again, for the days to be named.
+            require_keys(active, "date_start", self.level.id_column)
         return shaped
 
     def to_raw(self, ingestion_date: dt.date) -> int:

@@ -1,4 +1,4 @@
-"""Serving views: gold tables under declared types."""
+"""Serving: gold tables under declared types, as session views or as catalogue tables."""
 
 from __future__ import annotations
 
@@ -71,3 +71,16 @@ def serve(spark: SparkSession, name: str, df: DataFrame, ddl: str | None = None)
     """(Re)create the view ``name`` over ``df`` with its declared columns and types."""
     typed_as(df, ddl or serving_ddl()[name]).createOrReplaceTempView(name)
     return spark.table(name)
+
+
+def serve_table(spark: SparkSession, name: str, df: DataFrame, location: str, ddl: str | None = None) -> DataFrame:
+    """Drop and make again the catalogue table ``name``: a copy at ``location`` with its declared columns, types and column statistics.
+
+    Its files are the table's own, so that readers of the catalogue see one load whole; a new load takes a new location.
+    """
+    declared = ddl or serving_ddl()[name]
+    typed_as(df, declared).write.mode("overwrite").parquet(location)
+    spark.sql(f"drop table if exists {name}")
+    spark.sql(f"create table {name} ({declared}) using parquet location '{location}'")
+    spark.sql(f"analyze table {name} compute statistics for all columns")
+    return spark.table(name)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from lakemart.functions.casts import quoted
 from lakemart.operators.projection import writable
 from lakemart.operators.upkeep import (
-    SMALL_FILE_BYTES, TARGET_FILE_BYTES, compaction_plan, expired_versions,
+    SMALL_FILE_BYTES, TARGET_FILE_BYTES, clustered, compaction_plan, expired_versions,
 )
 from lakemart.operators.quality import require_unique
 from lakemart.operators.upsert import merge_rows, reload_rows
@@ -115,6 +115,15 @@ class SnapshotTable:
         current.coalesce(plan["files_after"]).write.mode("overwrite").parquet(self._folder(version))
         return version
 
+    def cluster(self, columns: Sequence[str], target_bytes: int = TARGET_FILE_BYTES, row_group_bytes: int | None = None) -> int:
+        """Write a new version in the order of ``clustered``, so that filters on any of the columns skip row groups."""
+        version, size = self.versions()[-1][0] + 1, self.files.size(self._folder(self.versions()[-1][0]))
+        written = clustered(self.read(), columns, max(1, math.ceil(size / target_bytes))).write.mode("overwrite")
+        if row_group_bytes:
+            written = written.option("parquet.block.size", row_group_bytes)
+        written.parquet(self._folder(version))
+        return version
+
 
 class MappedTable:
     """Partitions by one column, ``derived`` from the others unless it is one of them."""
@@ -444,3 +453,18 @@ class PartitionedTable(MappedTable):
             touched = list({*found, *[value for value in self._partitions() if value >= self._bound(start)]})
             if touched:
                 self._publish(reload_rows(self._in(touched), rows, self.day, start), touched)
+
+
+def footer_statistics(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """rows, and low_<column> and high_<column> of numeric columns and dates, from the footers of the files below ``path``.
+
+    The aggregate is pushed into the scan, so no row is read.
+    """
+    reader = spark.newSession()
+    sources = reader.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    reader.conf.set("spark.sql.sources.useV1SourceList", ",".join(name for name in sources if name != "parquet"))
+    reader.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    wanted = [F.count(F.lit(1)).alias("rows")]
+    for name in columns:
+        wanted += [F.min(quoted(name)).alias(f"low_{name}"), F.max(quoted(name)).alias(f"high_{name}")]
+    return reader.read.parquet(path).agg(*wanted)

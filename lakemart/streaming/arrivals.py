@@ -10,9 +10,10 @@ import json
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakemart import spec
+from lakemart.functions.casts import quoted
 from lakemart.operators.dedup import keep_last
 from lakemart.operators.windows import scan_window
 from lakemart.sources.files import Files
@@ -42,11 +43,11 @@ def arrivals(
 
 
 def load_available(
-    stream: DataFrame, load_batch: Callable[[DataFrame, int], None], checkpoint: str
+    stream: DataFrame, load_batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
 ) -> None:
     """Hand all waiting records to ``load_batch`` and return when they are loaded."""
     query = (
-        stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
+        stream.writeStream.foreachBatch(load_batch).outputMode(mode).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
@@ -116,3 +117,33 @@ def first_arrivals(
 ) -> DataFrame:
     """Keep the first record per key while the event-time watermark still covers it."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def latest_of_day(
+    stream: DataFrame, event_time: str, keys: Sequence[str], order_by: Sequence[str], lookback: str
+) -> DataFrame:
+    """The last record per key and UTC day of its event time, as keyed state: in update mode a batch gives the days it changed.
+
+    A record replaces the one in the state only if it is later by ``order_by``, in whatever batch it comes. Days that
+    lie the lookback behind the greatest event time of earlier batches leave the state, and late records of theirs are left out.
+    """
+    day = F.window(event_time, "1 day")
+    rest = [name for name in stream.columns if name not in keys]
+    last = F.max_by(F.struct(*[F.col(quoted(name)) for name in rest]), F.struct(*[F.col(quoted(name)) for name in order_by]))
+    return stream.withWatermark(event_time, lookback).groupBy(day.alias("_day"), *map(quoted, keys)).agg(last.alias("_last")).select(
+        F.col("_day.start").cast("date").alias("day"), *map(quoted, keys), "_last.*")
+
+
+def keep_latest_available(
+    stream: DataFrame, table: PartitionedTable, event_time: str, keys: Sequence[str], order_by: Sequence[str],
+    lookback: str, checkpoint: str,
+) -> None:
+    """Upsert the last record of each key and day from all waiting ones; ``table`` is kept by ``day``."""
+    files = Files(table.spark, checkpoint)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            stream_id = json.loads(files.text(f"{checkpoint}/metadata"))["id"]
+            table.merge(batch, ["day", *keys], batch=(stream_id, batch_id))
+
+    load_available(latest_of_day(stream, event_time, keys, order_by, lookback), load, checkpoint, mode="update")

@@ -1,6 +1,7 @@
 import datetime as dt
 import io
 import json
+import time
 from decimal import Decimal
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakemart import jobs, spec
 from lakemart.operators.quality import GateError
-from lakemart.plans import serving
+from lakemart.plans import serving, snapshots
 from lakemart.plans.ads import AdsMart, insight_schema
 from lakemart.plans.sales import SalesMart, flatten_sales
 from lakemart.plans.snapshots import ProjectionsMart, SheetSalesMart, SubscriptionsMart
@@ -241,6 +242,22 @@ def test_sheet_sales_quirks(spark, rows, tmp_path):
     assert rows(mart.dimensions["dim_oferta"].read()) == [("o1", "Oferta")]
 
 
+def test_a_sheet_with_all_its_columns_is_planned_at_once(spark, tmp_path):
+    names = spec.sheet_columns()
+    assert len(names) == 43
+    mart = sheet_mart(spark, tmp_path)
+    row = {name: "2024-01-02" if name in (*spec.SHEET_TIMESTAMPS, *spec.SHEET_DATES) else "7" for name in names}
+    spoilt = {**row, "Taxa de câmbio": "x"}
+    frame = spark.createDataFrame([tuple(one.values()) for one in (row, spoilt)], ", ".join(f"`{name}` string" for name in names))
+    frame.coalesce(1).write.option("header", "true").csv(f"{mart.raw_root}/ingestion_date=2024-02-01/vendas.csv")
+    started = time.monotonic()
+    flagged = snapshots.flag_misfits(mart.newest())
+    flagged._jdf.queryExecution().executedPlan()
+    assert time.monotonic() - started < 15
+    mart.load()
+    assert len(mart.fact.read().columns) == 35 and mart.fact.read().count() == 1 and mart.rejects.read().count() == 1
+
+
 def test_a_bad_drop_stops_the_ingestion(spark, tmp_path):
     mart = sheet_mart(spark, tmp_path)
     inbox = tmp_path / "stage" / "sheet_sales"
@@ -332,7 +349,7 @@ def test_jobs_run_from_arguments(spark, rows, tmp_path):
     jobs.run(spark, jobs.arguments(["maintain", *common]))
     assert rows(AdsMart(spark, root, "camp").dimension.read()) == [("c", "n")]
     assert rows(SalesMart(spark, root).fact.read(), "transaction") == [("t1",)]
-    assert len(all_tables(spark, root)) == 3 * 4 + 7 + 3 + 8 + 2
+    assert len(all_tables(spark, root)) == 3 * 4 + 8 + 3 + 8 + 2
     for wrong in (["ads", "--root", root], ["sales", "--root", root], ["ads", "sales", "--root", root, "--landing", root]):
         with pytest.raises(SystemExit):
             jobs.arguments(wrong)
@@ -371,6 +388,37 @@ def test_lookups_reach_the_jobs_and_stay_where_a_later_run_has_none(spark, rows,
     assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 8
 
 
+def test_the_landing_records_are_gated_while_they_are_staged(spark, tmp_path, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    mart = AdsMart(spark, str(tmp_path / "lake"), "ad")
+    schema = insight_schema(mart.level)
+    rows = [{**{field.name: None for field in schema.fields}, "ad_id": f"a{i}", "date_start": "2024-01-05", "clicks": "1"} for i in range(10)]
+    frame = spark.createDataFrame([tuple(row.values()) for row in rows], schema)
+    mart.stage(frame.withColumn("ad_id", counted.asNondeterministic()("ad_id")))
+    assert read.value == 10 and (tmp_path / "lake" / "stage" / "ads" / "ad").exists()
+    with pytest.raises(GateError, match=r"without ad_id: 2024-01-05 \(10\)"):
+        mart.stage(frame.withColumn("ad_id", F.lit(None).cast("string")))
+    assert not (tmp_path / "lake" / "stage" / "ads" / "ad").exists()
+
+
+def test_served_tables_have_declared_types_and_statistics(spark, tmp_path):
+    for n in (3, 5):
+        frame = spark.range(n).selectExpr("cast(id as string) as Data", "cast(id as decimal(38,2)) as Valor", "1 as more")
+        served = serving.serve_table(spark, "sheet_projetadas", frame, str(tmp_path / f"v{n}"))
+        assert dict(served.dtypes) == {"Data": "string", "Valor": "decimal(18,2)"} and served.count() == n
+    described = {row["col_name"]: row["data_type"] for row in spark.sql("describe extended sheet_projetadas").collect()}
+    assert "5 rows" in described["Statistics"] and described["Type"] == "EXTERNAL"
+    column = {row["info_name"]: row["info_value"] for row in spark.sql("describe extended sheet_projetadas Valor").collect()}
+    assert column["distinct_count"] == "5" and column["max"] == "4.00"
+    spark.sql("drop table sheet_projetadas")
+
+
 def test_a_first_load_of_rejects_creates_no_table(spark, rows, tmp_path):
     mart = AdsMart(spark, str(tmp_path / "lake"), "ad")
     ads_load(spark, tmp_path, mart, RUN, [insight("2024-13-05", "a1", "1")])
