@@ -16,7 +16,8 @@ a document, linear however many parts there are.
 
 All of it is DataFrame and SQL functions; the texts are read once and never shuffled.
 
-Defined results: a null text is the empty text and has no parts; each row is scanned for itself, so
+Defined results: a null text is the empty text and has no parts; a very long text is scanned whole, its parts are
+linked in one pass over them; each row is scanned for itself, so
 repeated rows each give their spans and ties in position are ordered by kind; null ids are carried
 along; an empty table gives no rows; other columns are ignored.
 """

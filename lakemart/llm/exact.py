@@ -9,7 +9,7 @@ compared, and where they differ the rows are grouped by the text itself.
 
 All of it is DataFrame and SQL functions.
 
-Defined results: a null text is the empty text; a null id counts as larger than every id; of repeated
+Defined results: a null text is the empty text; a very long text is digested and compared whole; a null id counts as larger than every id; of repeated
 rows (same id and text) exactly one is kept; an empty table gives no rows; other columns are ignored.
 """
 

@@ -6,7 +6,7 @@ the files follow each other. A file is a table of chunks; a chunk holds whole do
 before it, a table of one row per file, gives the place in the corpus. Writing through Spark's own
 committer works on any store and survives lost executors.
 
-Defined results: a null text is the empty text, whose only id is the end id; null ids come first; rows
+Defined results: a null text is the empty text, whose only id is the end id; a very long text is a chunk of its own size; null ids come first; rows
 that repeat an id follow each other in the order of their texts' digests and share nothing; an empty
 table gives no chunks and no rows; other columns are ignored.
 """

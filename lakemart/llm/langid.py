@@ -17,7 +17,7 @@ The others have no trigrams to go by. They stay in a written table, and their te
 host prior of ``und`` counts for it, and the row gets that language with the declaration's reliability.
 Everything else covers all rows.
 
-Defined results: a null text is the empty text; a text without letters has no text evidence and is
+Defined results: a null text is the empty text; a very long text is counted in slices, whole; a text without letters has no text evidence and is
 decided by the rest; null hosts form a host; rows that repeat are decided alike; an empty table, or one
 without any declared language, knows the language ``und`` alone; other columns are ignored by
 ``identify`` and carried by ``keep_identified``.

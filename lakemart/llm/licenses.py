@@ -10,7 +10,8 @@ Besides the templates the scan reports where three fixed phrases stand.
 
 Words are runs of letters a to z (A to Z lower-cased), digits and all characters beyond ASCII.
 
-Defined results: a null text is the empty text, without words and matches; each row is scanned for
+Defined results: a null text is the empty text, without words and matches; a very long text is scanned whole, word by
+word; each row is scanned for
 itself; null ids are carried along; of several ends of one match the longest counts; overlapping matches
 are all reported and a word they share is covered once; an empty table gives no rows; other columns are
 ignored.

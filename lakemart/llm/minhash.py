@@ -20,7 +20,7 @@ equal lanes are counted with bit operations and corrected for lanes that agree b
 So no pair of different components with enough similarity stays unseen, and the components are those of
 all links. Sets are moved only for classes that share a bucket.
 
-Defined results: a null text is the empty text; a text without words has an empty set, is linked with
+Defined results: a null text is the empty text; of a very long text all shingles count, permuted in slices; a text without words has an empty set, is linked with
 nothing and is kept; a text of fewer words than the shingle's width is one shingle; null ids count as
 larger than every id (a component of null ids alone has the id null); of repeated rows one is kept; an
 empty table gives no rows; other columns are ignored by ``near_duplicates`` and carried by ``keep_first``.

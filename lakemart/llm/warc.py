@@ -10,7 +10,7 @@ Reading is sequential: the members are inflated by and by, a record's header end
 block has the length the header states, and its digests are computed anew. A broken frame or a wrong
 digest fails the read.
 
-Defined results: a null payload is empty; null ids count as smaller than every id and a null id that is
+Defined results: a null payload is empty; a very long one is a record like others, inflated in small steps; null ids count as smaller than every id and a null id that is
 referred to reads as null; rows that repeat id and payload are each a record of their own, all responses
 where the id is the largest; an empty table gives no archives and no rows; other columns are ignored.
 """

@@ -33,6 +33,39 @@ def test_stages(spark):
     assert sum(row["piece"] == 0 for row in placed) == mixed.count()
 
 
+HARD = [
+    (1, None, "en", "a"), (2, "", "en", "a"), (3, "the cat sat on the mat and the dog ran " * 3000, "en", "a"), (4, "the cat and the dog", "en", None),
+    (4, "the cat and the dog", "en", None), (5, "the cat and the dog", None, "b"), (None, "the cat and the dog", "en", "b"), (None, None, None, None),
+    (6, "one two three four five six seven", "en", "c"), (7, "12 34", "en", "c"), (8, "the mat and the cat", "en", "c"),
+]
+
+
+def test_hard_rows_pass_every_stage(spark):
+    clashing = ", ".join(f"{i} as `{name}`" for i, name in enumerate(["id", "row", "kept", "language", "mark", "copies", "node", "digest", "size", "key"]))
+    docs = spark.createDataFrame(HARD, "doc_id long, text string, lang string, source string").selectExpr("*", clashing)
+    columns, seen = docs.columns, []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, SF), "stage")
+        seen.append(docs.collect())
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == columns
+    language, exact, near, mixed, pieces = seen
+    assert {row["doc_id"] for row in language} >= {3, 4, 5, 6, 8} and sum(row["doc_id"] == 4 for row in language) == 2
+    # The five rows of one text are one; empty and null texts are one too, if they came so far.
+    assert [row["doc_id"] for row in exact if row["text"] == "the cat and the dog"] == [4]
+    assert sum(not row["text"] for row in exact) <= 1 and len(near) == len(exact)
+    assert {row["doc_id"] for row in mixed} <= {row["doc_id"] for row in near}
+    check(pieces)
+    assert sum(row["piece"] == 0 for row in pieces) == len(mixed)
+
+
+def test_an_empty_table_passes_every_stage(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, SF), "stage")
+        assert docs.count() == 0
+
+
 def test_registered():
     assert {"pipeline", *QUERIES} <= set(queries())
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")) == list(range(1, 14))
