@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -380,7 +381,7 @@ def _served_sql() -> str:
     parts = []
     for table, ddl in serving_ddl().items():
         # Name, types and sums over the first and the last column, as a reader of the catalogue sees them.
-        columns = [(field.name, field.dataType.simpleString()) for field in T.StructType.fromDDL(ddl).fields]
+        columns = re.findall(r"`([^`]+)` (\w+(?:\(\d+,\d+\))?)", ddl)
         types = ",".join(kind for _, kind in columns)
         inner = ", ".join(_served_column(name, kind) for name, kind in columns)
         first, last = columns[0][0], columns[-1][0]
