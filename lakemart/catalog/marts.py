@@ -392,7 +392,7 @@ def _served_sql() -> str:
 
 @query(_served_sql())
 def serving_tables(source: Source) -> DataFrame:
-    """Every declared gold table as a catalogue table of its own, made twice, with its declared types."""
+    """Every declared gold table as a catalogue table of its own, with its declared types; the facts are made twice."""
     key, root = F.col("n_nationkey").cast("bigint"), scratch_path(source.spark, "served")
     tables = serving_ddl()
 
@@ -401,7 +401,7 @@ def serving_tables(source: Source) -> DataFrame:
         columns = [
             (F.date_add(F.lit("2024-01-01").cast("date"), key.cast("int")) if isinstance(field.dataType, T.DateType)
              else key % 2 == 0 if isinstance(field.dataType, T.BooleanType) else key).cast(field.dataType).alias(field.name) for field in fields]
-        for version in range(2):
+        for version in (0, 1) if "_f_" in name else (1,):
             serve_table(source.spark, name, source.nation.where(F.lit(version == 1)).select(columns), f"{root}/{name}/v={version}")
 
     run_together([partial(made, name) for name in tables])
