@@ -44,13 +44,13 @@ from lakemart.sources.files import Files
 
 LONGEST = 3
 LEAST = 10
-SHARDS = 4
+SHARDS = 2
 TOP = 2000
 #: A candidate goes where a longer one around it has at least this percentage of its count.
 INSIDE_PERCENT = 50
 UNKNOWN = "und"
 #: Bits of the filter of phrases that reached the threshold, and at most of the slots'.
-FILTER_BITS, MOST_BITS = 2**26, 2**28
+FILTER_BITS, MOST_BITS = 2**24, 2**28
 #: Slots whose numbers travel together; places in a chunk take 16 bits.
 CHUNK = 2**16
 RUN_BYTES = 8 * 2**20
@@ -293,9 +293,10 @@ def counted_phrases(
         fresh = counts.where((F.col("length") < longest) & (F.col("n") >= least) & (F.col("earlier") < least))
         reached.append(with_hashes(reached[-1], _hashed(fresh)))
         full.append(full[-1].copy())
-        for row in totals.select("chunk", "full").toLocalIterator():
-            at = row["chunk"] * (CHUNK // 64)
-            full[-1][at:at + CHUNK // 64] = np.frombuffer(bytes(row["full"]), np.uint64)
+        # A bit a slot: at most 32 MB.
+        bits = totals.select("chunk", "full").toArrow()
+        for chunk, whole in zip(bits["chunk"].to_pylist(), bits["full"].to_pylist()):
+            full[-1][chunk * (CHUNK // 64):(chunk + 1) * (CHUNK // 64)] = np.frombuffer(whole, np.uint64)
         grew.append(bool((reached[-1] != reached[-2]).any() or (full[-1] != full[-2]).any()))
         if step >= shards:
             reached[past], full[past] = None, None
