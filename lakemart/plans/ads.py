@@ -131,15 +131,14 @@ class AdsMart:
         rows, rejects = split_rejects(type_insights(raw, self.level.ids), self.level.grain)
         if not rejects.isEmpty():
             rejects.drop(ARRIVAL).write.mode("overwrite").parquet(folder)
-        self.bronze.merge(keep_last(rows, self.level.grain, [ARRIVAL]).drop(ARRIVAL), self.level.grain)
+        self.bronze.merge(keep_last(rows, self.level.grain, [ARRIVAL]).drop(ARRIVAL), self.level.grain, unique=True)
 
     def to_silver(self) -> None:
         """Merge the bronze window. Bronze holds one row per grain, so there is nothing to dedup."""
         if not self.bronze.exists():
             return
         rows = self.bronze.window(self.silver.window_start(spec.ADS_LOOKBACK_DAYS))
-        if not rows.isEmpty():
-            self.silver.merge(rows, self.level.grain, computed=False)
+        self.silver.merge(rows, self.level.grain, computed=False, unique=True)
 
     def to_gold(self) -> None:
         """Merge the dimension, then reload the fact window.
@@ -153,7 +152,7 @@ class AdsMart:
         if rows.isEmpty():
             return
         dim = self.level.dimension
-        self.dimension.merge(dimension_rows(rows, dim.key, dim.columns, ["data"]), dim.key, looked_up(self.level))
+        self.dimension.merge(dimension_rows(rows, dim.key, dim.columns, ["data"]), dim.key, looked_up(self.level), unique=True)
         self.fact.reload_window(select_present(rows, self.level.fact_columns), start, computed=False)
 
     def load(self, records: DataFrame, ingestion_date: dt.date, **tables: DataFrame) -> None:

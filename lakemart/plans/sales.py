@@ -90,14 +90,13 @@ class SalesMart:
         if not raw.isEmpty():
             with staged(keep_last(type_sales(raw), spec.SALES_GRAIN, [ARRIVAL]).drop(ARRIVAL)) as last:
                 self.months.learn(last, self.bronze.month(F.col("data")))
-                self.bronze.merge(last, spec.SALES_GRAIN, computed=False)
+                self.bronze.merge(last, spec.SALES_GRAIN, computed=False, unique=True)
 
     def to_silver(self) -> None:
         if not self.bronze.exists():
             return
-        rows = self.bronze.window(self.silver.window_start(self.lookback_days))
-        if not rows.isEmpty():
-            self.silver.merge(rows, spec.SALES_GRAIN, computed=False)
+        # Bronze holds one row per transaction.
+        self.silver.merge(self.bronze.window(self.silver.window_start(self.lookback_days)), spec.SALES_GRAIN, computed=False, unique=True)
 
     def to_gold(self) -> None:
         if not self.silver.exists():
@@ -107,11 +106,11 @@ class SalesMart:
             return
 
         def publish(dim: spec.Dimension) -> None:
-            self.dimensions[dim.name].merge(dimension_rows(rows, dim.key, dim.columns, ["data"]), dim.key)
+            self.dimensions[dim.name].merge(dimension_rows(rows, dim.key, dim.columns, ["data"]), dim.key, unique=True)
 
         # The fact's watermark sets the next window, so it moves only once the dimensions are published.
         run_together([partial(publish, dim) for dim in spec.SALES_DIMENSIONS])
-        self.fact.merge(sales_fact(rows), spec.SALES_GRAIN, computed=False)
+        self.fact.merge(sales_fact(rows), spec.SALES_GRAIN, computed=False, unique=True)
 
     def load(self, flat: DataFrame, ingestion_date: dt.date) -> None:
         """One whole run, from flat records to gold."""

@@ -244,12 +244,14 @@ class MappedTable:
         return []
 
     def merge(
-        self, source: DataFrame, keys: Sequence[str], keep_where_null: Sequence[str] = (), computed: bool = True, batch: tuple[str, int] | None = None,
+        self, source: DataFrame, keys: Sequence[str], keep_where_null: Sequence[str] = (), computed: bool = True,
+        batch: tuple[str, int] | None = None, unique: bool = False,
     ) -> None:
         """Upsert by key, rewriting only the partitions that gain or lose a row.
 
         Pass ``computed=False`` for a source that is a plain scan: it is then read several times instead of
-        copied. Keys that the source holds twice are refused; an empty source changes nothing. Columns of
+        copied. Keys that the source holds twice are refused, unless it is known to hold each once
+        (``unique``); an empty source changes nothing. Columns of
         ``keep_where_null`` keep their value where the source has none. A ``batch`` (stream, number) that the table has
         taken in already is left out: a stream that repeats it after a failure adds no load.
         """
@@ -263,7 +265,8 @@ class MappedTable:
             touched = self._touched(rows)
             if not touched:
                 return
-            require_unique(rows, keys)
+            if not unique:
+                require_unique(rows, keys)
             current = None
             if self.exists():
                 touched = list({*touched, *self._found(rows, keys, touched)})
@@ -326,13 +329,13 @@ class BucketedTable(MappedTable):
         return state["buckets"] if state else max(1, math.ceil(rows.count() / self.bucket_rows))
 
     def merge(self, source: DataFrame, keys: Sequence[str] | None = None, keep_where_null: Sequence[str] = (), computed: bool = True,
-              batch: tuple[str, int] | None = None) -> None:
+              batch: tuple[str, int] | None = None, unique: bool = False) -> None:
         if keys is not None and list(keys) != self.keys:
             raise ValueError(f"{self.path} is kept by {self.keys}, not by {list(keys)}")
         # Staged here where its rows are still to be counted, so that they are computed once.
         with staged(writable(source)) if computed else nullcontext(source) as rows:
             self.buckets = self._buckets(rows)
-            super().merge(rows, self.keys, keep_where_null, computed=False, batch=batch)
+            super().merge(rows, self.keys, keep_where_null, computed=False, batch=batch, unique=unique)
 
     def _with_partition(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.BUCKET, self._bucket(self.buckets))
@@ -375,14 +378,14 @@ class KeyMonths(BucketedTable):
         fresh = rows.select(*map(quoted, self.keys), month.alias("month")).dropna().groupBy(*map(quoted, self.keys)).agg(
             F.collect_set("month").alias("fresh"))
         if not self.exists():
-            self.merge(fresh.withColumnRenamed("fresh", "months"))
+            self.merge(fresh.withColumnRenamed("fresh", "months"), unique=True)
             return
         with staged(fresh) as new:
             joined = new.join(self.of_keys(new), self.keys, "left")
             months = F.array_sort(F.array_union("fresh", F.coalesce("months", F.array().cast("array<int>"))))
             # Most loads restate rows where they are; those teach nothing and rewrite no bucket.
             self.merge(joined.where(F.col("months").isNull() | (F.size(F.array_except("fresh", "months")) > 0)).select(
-                *map(quoted, self.keys), months.alias("months")))
+                *map(quoted, self.keys), months.alias("months")), unique=True)
 
     def months_of(self, wanted: DataFrame) -> list[int]:
         """Every month in which a key of ``wanted`` may be, from the buckets of these keys."""
