@@ -55,26 +55,36 @@ GROUP = 2048
 PLACE = "absent boolean, id long, doc long, start long"
 
 
+PLACES = np.arange(2**21, dtype=np.uint64)
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(32))
 
 
+#: A number of 64 bits for each byte.
+BYTES = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 def gram_hashes(raw: np.ndarray, size: int) -> np.ndarray:
-    """The hash of the ``size`` bytes from each place on, put together from powers of two."""
-    grown, have, found, got = _mix(raw.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)), 1, None, 0
+    """The hash of the ``size`` bytes from each place on, put together from powers of two and mixed at the end."""
+    grown, have, found, got = BYTES[raw], 1, None, 0
     while True:
         if size & have:
             if found is None:
                 found = grown
             else:
                 both = len(raw) - got - have + 1
-                found = _mix(found[:both] * np.uint64(0x94D049BB133111EB) + grown[got:got + both])
+                found = found[:both] * np.uint64(0x94D049BB133111EB)
+                found += grown[got:got + both]
             got += have
         if got == size:
-            return found
-        grown = _mix(grown[:-have] * np.uint64(0xD6E8FEB86659FD93) + grown[have:])
-        have *= 2
+            return _mix(found)
+        # An odd factor of its own for each length.
+        longer = grown[:-have] * np.uint64(0xD6E8FEB86659FD93 + 2 * have)
+        longer += grown[have:]
+        grown, have = longer, 2 * have
 
 
 def smallest_ahead(values: np.ndarray, width: int) -> np.ndarray:
@@ -93,14 +103,25 @@ def windows(raw: np.ndarray, ends: np.ndarray, depth: int, gram: int) -> tuple[n
         return nothing.astype(np.uint64), nothing, nothing, nothing
     hashes = gram_hashes(raw, gram)
     low = np.uint64(2**21 - 1)
-    least = smallest_ahead((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), depth - gram + 1)
-    anchor = (least & low).astype(np.int64)
-    text_end = np.repeat(ends, np.diff(ends, prepend=0))[:len(anchor)]
-    whole = np.arange(len(anchor)) + depth <= text_end
-    begins = whole & np.concatenate([[True], (anchor[1:] != anchor[:-1]) | ~whole[:-1]])
+    ranked = hashes & ~low
+    ranked |= PLACES[:len(hashes)]
+    anchor = smallest_ahead(ranked, depth - gram + 1)
+    anchor &= low
+    # A window begins where the anchor changes, and where a text does.
+    begins = np.empty(len(anchor), bool)
+    begins[0] = True
+    np.not_equal(anchor[1:], anchor[:-1], out=begins[1:])
+    starts = np.concatenate([[0], ends[:-1]])
+    for start, end in zip(starts.tolist(), ends.tolist()):
+        # The last places of a text have no whole string before them.
+        begins[max(start, end - depth + 1):end] = False
+        if end - start >= depth:
+            begins[start] = True
     first = np.flatnonzero(begins)
-    count = np.diff(np.append(np.cumsum(whole)[first] - 1, whole.sum()))
-    return hashes[anchor[first]], first, count, anchor[first]
+    last = (ends - depth + 1)[np.searchsorted(ends, first, "right")]
+    count = np.minimum(np.append(first[1:], len(raw)), last) - first
+    found = anchor[first].astype(np.int64)
+    return hashes[found], first, count, found
 
 
 def stretches(batch: pa.RecordBatch, depth: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:

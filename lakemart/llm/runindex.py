@@ -85,24 +85,19 @@ class RunLengthIndex:
         head, tail, whole = part[order], further(part, self.depth - covered)[order], (left >= self.depth)[order]
         return order, (head[1:] == head[:-1]) & (tail[1:] == tail[:-1]) & whole[1:] & whole[:-1]
 
-    def backward(self, rows: np.ndarray) -> np.ndarray:
-        """The rows of the suffixes one symbol longer; not for rows of whole texts."""
-        run = np.searchsorted(self.run_first, rows, "right") - 1
-        return self.run_leads[run] + rows - self.run_first[run]
-
-    def groups(self, rows: np.ndarray) -> np.ndarray:
-        """The number of the break each row stands behind."""
-        return np.searchsorted(self.breaks, rows, "right") - 1
-
     def streamed(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(texts, place in the text, group) of every suffix of ``depth`` bytes or more, all texts read backwards side by side."""
         texts = np.argsort(-self.lengths, kind="stable")
         rows = texts.copy()
+        # Every row is passed once, so the runs and groups are unrolled for the while.
+        leads = np.repeat(self.run_leads - self.run_first, np.diff(np.append(self.run_first, self.size)))
+        group = np.repeat(np.arange(len(self.breaks)), np.diff(np.append(self.breaks, self.size)))
         for step in range(1, int(self.lengths.max(initial=0)) + 1):
             texts = texts[:np.searchsorted(-self.lengths[texts], -step, "right")]
-            rows = self.backward(rows[:len(texts)])
+            rows = rows[:len(texts)]
+            rows = rows + leads[rows]
             if step >= self.depth:
-                yield texts, self.lengths[texts] - step, self.groups(rows)
+                yield texts, self.lengths[texts] - step, group[rows]
 
     def located(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(text, place in it) of each row: backwards to the next sampled run end."""
