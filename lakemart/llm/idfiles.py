@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lakemart.llm.common import name_of, stored, text_of
 from lakemart.llm.simple8b import read_chunk, write_chunk
-from lakemart.llm.tokens import encode_runs, memo_of_task
+from lakemart.llm.tokens import encode_runs, released
 
 END_ID = 2
 CHUNK_IDS = 2**18
@@ -52,7 +52,7 @@ def write_ids(
 
         schema = pa.schema([("file", pa.int32()), ("chunk", pa.int32()), ("first", pa.int64()), ("ids", pa.int64()),
                             ("documents", pa.binary()), ("absent", pa.binary()), ("payload", pa.binary())])
-        with memo_of_task(vocabulary):
+        with released():
             for batch in batches:
                 own = batch.column(0).to_pylist()
                 for at, ids, lengths in encode_runs(batch.column(1), vocabulary):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lakemart.llm.common import name_of, stored, text_of
-from lakemart.llm.tokens import encode_runs, memo_of_task
+from lakemart.llm.tokens import encode_runs, released
 
 CAPACITY = 2048
 END_ID = 0
@@ -47,7 +47,7 @@ def pieces_of(
     texts = docs.select(name_of(id_column).cast("long").alias("id"), text_of(text_column).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with memo_of_task(vocabulary):
+        with released():
             for batch in batches:
                 names = batch.column(0).to_pylist()
                 for first, ids, counts in encode_runs(batch.column(1), vocabulary):
