@@ -100,6 +100,7 @@ class AdsMart:
     def stage(self, records: DataFrame, **tables: DataFrame) -> DataFrame:
         """Write the active records, one folder per event day; refuses records without an id.
 
+        Records whose day is none share one folder, however many spellings there are.
         They are counted while they are written, so the landing files are parsed once; a refused load empties the stage
         again. Records that carry their arrival position are reduced to the last per day and id. ``tables`` are those
         of ``with_attributes``.
@@ -109,7 +110,8 @@ class AdsMart:
         if ARRIVAL in insights.columns:
             insights = keep_last(insights, ["date_start", self.level.id_column], [ARRIVAL]).drop(ARRIVAL)
         shaped = with_attributes(self.level, insights, **tables)
-        stage_by_day(shaped.withColumn(STAGE_DAY, F.coalesce("date_start", F.lit(""))), self.stage_root, STAGE_DAY, RAW_FORMAT)
+        day = F.coalesce(iso_date(F.col("date_start")).cast("string"), F.lit(""))
+        stage_by_day(shaped.withColumn(STAGE_DAY, day), self.stage_root, STAGE_DAY, RAW_FORMAT)
         if gate.get["missing"]:
             Files(self.spark, self.stage_root).delete(self.stage_root)
             # Only now are the records read again, for the days to be named.

@@ -86,6 +86,16 @@ def test_ads_runs_without_data_or_ids(spark, rows, tmp_path):
     assert rows(mart.fact.read()) == before
 
 
+def test_bad_days_share_one_folder(spark, rows, tmp_path):
+    mart = AdsMart(spark, str(tmp_path / "lake"), "ad")
+    ads_load(spark, tmp_path, mart, RUN, [insight("2024-01-01", "a", "1"), insight(None, "none", "1"), *[insight(f"2024-13-{n}", f"b{n}", "1") for n in range(9)]])
+    assert [p.name for p in sorted((tmp_path / "lake").glob(f"raw/ads/ad/ingestion_date={RUN}/event_date=*"))] == [
+        "event_date=2024-01-01", "event_date=__HIVE_DEFAULT_PARTITION__"]
+    rejects = spark.read.parquet(f"{mart.rejects_root}/ingestion_date={RUN}")
+    assert rows(rejects, "ad_id", "date_start") == sorted([("none", None), *[(f"b{n}", f"2024-13-{n}") for n in range(9)]], key=repr)
+    assert rows(mart.fact.read(), "ad_id") == [("a",)]
+
+
 def test_adset_audiences(spark, rows, tmp_path):
     mart = AdsMart(spark, str(tmp_path / "lake"), "adset")
     audiences = spark.createDataFrame(
