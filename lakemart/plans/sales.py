@@ -59,7 +59,7 @@ class SalesMart:
         self.silver = PartitionedTable(spark, f"{root}/silver/sales/silver_sales", "data", by_month=True, index=self.months)
         self.fact = PartitionedTable(spark, f"{root}/gold/sales/f_vendas", "data", by_month=True, index=self.months)
         self.dimensions = {
-            dim.name: BucketedTable(spark, f"{root}/gold/sales/{dim.name}", dim.key) for dim in spec.SALES_DIMENSIONS
+            dim.name: BucketedTable(spark, f"{root}/gold/sales/{dim.name}", dim.key, unique=True) for dim in spec.SALES_DIMENSIONS
         }
 
     def tables(self) -> list:
@@ -106,7 +106,7 @@ class SalesMart:
             return
 
         def publish(dim: spec.Dimension) -> None:
-            self.dimensions[dim.name].merge(dimension_rows(rows, dim.key, dim.columns, ["data"]), dim.key, unique=True)
+            self.dimensions[dim.name].merge(dimension_rows(rows, dim.key, dim.columns, ["data"]), dim.key)
 
         # The fact's watermark sets the next window, so it moves only once the dimensions are published.
         run_together([partial(publish, dim) for dim in spec.SALES_DIMENSIONS])

@@ -32,6 +32,8 @@ from lakemart.sources.files import Files, file_listing, staged
 
 DONE = "_SUCCESS"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: Hash buckets of a table at most.
+MOST_BUCKETS = 256
 
 
 class SnapshotTable:
@@ -311,14 +313,18 @@ class BucketedTable(MappedTable):
     """Kept by the hash of its key, so that a load reads and rewrites the buckets of its own keys only.
 
     The first load sets the number of buckets, by its rows; maintenance doubles it while buckets have grown too large.
+    Neither goes beyond ``MOST_BUCKETS``: each bucket is a folder to list and a file to open in every load, and a load of
+    more keys than buckets touches all of them anyway; from there on the buckets grow with the table.
     """
 
     BUCKET = "key_bucket"
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], bucket_rows: int = 1_000_000):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], bucket_rows: int = 1_000_000, unique: bool = False):
         super().__init__(spark, path, self.BUCKET, T.IntegerType(), derived=True)
         self.keys = list(keys)
         self.bucket_rows = bucket_rows
+        # Whether every source of this table is known to hold each key once.
+        self.unique = unique
 
     def _bucket(self, buckets: int) -> Column:
         # As text, so that an int and a bigint of one value share a bucket.
@@ -326,7 +332,7 @@ class BucketedTable(MappedTable):
 
     def _buckets(self, rows: DataFrame) -> int:
         state = self._newest()[1]
-        return state["buckets"] if state else max(1, math.ceil(rows.count() / self.bucket_rows))
+        return state["buckets"] if state else min(MOST_BUCKETS, max(1, math.ceil(rows.count() / self.bucket_rows)))
 
     def merge(self, source: DataFrame, keys: Sequence[str] | None = None, keep_where_null: Sequence[str] = (), computed: bool = True,
               batch: tuple[str, int] | None = None, unique: bool = False) -> None:
@@ -335,7 +341,7 @@ class BucketedTable(MappedTable):
         # Staged here where its rows are still to be counted, so that they are computed once.
         with staged(writable(source)) if computed else nullcontext(source) as rows:
             self.buckets = self._buckets(rows)
-            super().merge(rows, self.keys, keep_where_null, computed=False, batch=batch, unique=unique)
+            super().merge(rows, self.keys, keep_where_null, computed=False, batch=batch, unique=unique or self.unique)
 
     def _with_partition(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.BUCKET, self._bucket(self.buckets))
@@ -357,7 +363,7 @@ class BucketedTable(MappedTable):
         if state:
             wanted, rows = state["buckets"], self.read()
             count = rows.count()
-            while count > 2 * wanted * self.bucket_rows:
+            while count > 2 * wanted * self.bucket_rows and 2 * wanted <= MOST_BUCKETS:
                 wanted *= 2
             if wanted > state["buckets"]:
                 self._publish(rows.withColumn(self.BUCKET, self._bucket(wanted)), [*range(state["buckets"])], buckets=wanted)

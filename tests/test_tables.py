@@ -321,6 +321,16 @@ def test_a_bucketed_table_rewrites_the_buckets_of_its_keys(spark, rows, tmp_path
         table.merge(spark.createDataFrame([(1, 1, "x"), (1, 2, "y")], "k int, v int, w string"))
 
 
+def test_the_number_of_buckets_is_bounded(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr("lakemart.sources.tables.MOST_BUCKETS", 8)
+    table = BucketedTable(spark, str(tmp_path / "t"), ["k"], bucket_rows=1)
+    for value in (0, 1):
+        table.merge(spark.range(100).selectExpr("id as k", f"{value} as v"))
+    table.compact()
+    assert table._newest()[1]["buckets"] == 8 and len(table._newest()[1]["held"]) == 8
+    assert rows(table.read()) == sorted([(n, 1) for n in range(100)], key=repr)
+
+
 def test_buckets_are_doubled_once_they_have_grown(spark, rows, tmp_path):
     table = BucketedTable(spark, str(tmp_path / "t"), ["k"], bucket_rows=10)
     for at in (0, 10, 20, 30, 40):
