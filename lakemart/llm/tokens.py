@@ -12,6 +12,7 @@ below 32 MB. It outlives the task, as most words of one task come in the next on
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import functools
 import itertools
 import os
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Texts are encoded in runs of about this many bytes, so a batch of long texts needs no more memory.
-RUN_BYTES = 4 * 2**20
+RUN_BYTES = 2 * 2**20
 #: The memo is emptied once it holds this many chunks.
 MEMO_CHUNKS = 600_000
 #: Chunks that the library encodes at once; its own result objects are large.
@@ -175,13 +176,23 @@ def encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
+def give_back() -> None:
+    """Free memory that the allocators of this worker keep goes back to the machine.
+
+    Arrow's pool and the C library hold on to it otherwise, next to what the worker still uses.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 @contextlib.contextmanager
 def released() -> Iterator[None]:
     """Around a task that encodes: what its texts took goes back to the machine, the bounded memo stays."""
     try:
         yield
     finally:
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def encode_runs(texts: pa.Array, path: str | None):
@@ -196,5 +207,8 @@ def encode_runs(texts: pa.Array, path: str | None):
         run.append(raw)
         size += len(raw)
         if size >= RUN_BYTES or i == len(texts) - 1:
-            yield (first, *memo.run(run))
-            run, size, first = [], 0, i + 1
+            ids, counts = memo.run(run)
+            run, size = [], 0
+            give_back()
+            yield first, ids, counts
+            first = i + 1

@@ -2,13 +2,14 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from llm_paths import SF
 
-from lakemart.llm import packing
+from lakemart.llm import packing, tokens
 from lakemart.llm.packing import packed, pieces_of, place, sequences, sum_of_squares
 from lakemart.llm.tokens import vocabulary_path
 
@@ -27,6 +28,13 @@ def check(rows, capacity=2048):
     return len(filled)
 
 
+def test_each_run_gives_its_memory_back(monkeypatch):
+    given = []
+    monkeypatch.setattr(tokens, "RUN_BYTES", 10)
+    monkeypatch.setattr(tokens, "give_back", lambda: given.append(1))
+    assert len(list(tokens.encode_runs(pa.array(["some words here"] * 5), None))) == len(given) == 5
+
+
 def test_pieces_and_sequences_of_every_document(spark):
     frame = spark.read.parquet(f"{SF}/documents.parquet")
     whole = packed(pieces_of(frame))
