@@ -26,6 +26,15 @@ def test_keep_last_prefers_the_greatest_order_and_keeps_null_groups(spark, rows)
         dedup.keep_last(frame, ["k"], [])
 
 
+def test_keep_last_sorts_by_a_hash_of_the_grain(spark, rows):
+    # Keys that begin alike share their sort prefix, so that each comparison would read them whole.
+    frame = spark.createDataFrame([("2024-01-01", "a", 1, "x"), ("2024-01-01", "a", 2, "y"), ("2024-01-02", "a", 1, "z")], "d string, k string, o int, v string")
+    last = dedup.keep_last(frame, ["d", "k"], ["o"])
+    assert rows(last) == [("2024-01-01", "a", 2, "y"), ("2024-01-02", "a", 1, "z")]
+    plan = last._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate(key=[_grain" in plan or "keys=[_grain" in plan or "xxhash64(d" in plan
+
+
 def test_keep_last_keeps_null_attributes_of_the_winner(spark, rows):
     frame = spark.createDataFrame([("a", 1, "old"), ("a", 2, None)], "k string, o int, v string")
     assert rows(dedup.keep_last(frame, ["k"], ["o"])) == [("a", 2, None)]
