@@ -18,6 +18,8 @@ ESCAPE = 0
 BLOCK_WORDS = 512
 MAGIC = b"S8BW"
 HEADER = struct.Struct("<4sIQQQ")  # magic, words per block, documents, ids, words
+#: Bits of the ids below 2**16, which most vocabularies stay within.
+SHORT_BITS = np.frexp(np.arange(2**16, dtype=np.float64))[1].astype(np.uint8)
 
 
 def _shifts(count: int, bits: int) -> np.ndarray:
@@ -27,9 +29,9 @@ def _shifts(count: int, bits: int) -> np.ndarray:
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words, position of the first id of each block). ``ids`` are unsigned 64-bit."""
     n = len(ids)
-    padded = np.concatenate([ids.astype(np.uint64), np.zeros(LAYOUTS[0][0], np.uint64)])
+    padded = np.concatenate([ids, np.zeros(LAYOUTS[0][0], ids.dtype)])
     # Bits of every id; rounding of very large ones can only add one, which at worst costs an escape.
-    widest = np.frexp(padded.astype(np.float64))[1].astype(np.uint8)
+    widest = SHORT_BITS[padded] if padded.max() < 2**16 else np.frexp(padded.astype(np.float64))[1].astype(np.uint8)
     # The densest selector whose ids from here on all fit, from the widest of the next 1, 2, 3, ... 60 ids;
     # the last word may reach past the end.
     selector, before = np.zeros(n, np.uint8), 1
@@ -37,13 +39,13 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         count, bits = LAYOUTS[number - 1]
         if count > before:
             widest, before = np.maximum(widest[:len(widest) - (count - before)], widest[count - before:]), count
-        selector[widest[:n] <= bits] = number
-    steps = np.array([1] + [count for count, _ in LAYOUTS], np.uint8)[selector].tolist()
-    starts, at = [], 0
+        np.copyto(selector, number, where=widest[:n] <= bits)
+    steps = np.array([1] + [count for count, _ in LAYOUTS], np.uint8)[selector].tobytes()
+    begins, at = bytearray(n), 0
     while at < n:
-        starts.append(at)
+        begins[at] = 1
         at += steps[at]
-    first = np.array(starts, np.int64)
+    first = np.flatnonzero(np.frombuffer(begins, np.uint8))
     chosen = selector[first]
     # An escape takes two words, the selector and the raw id.
     place = np.arange(len(first)) + np.cumsum(chosen == ESCAPE) - (chosen == ESCAPE)
@@ -51,8 +53,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for number, (count, bits) in enumerate(LAYOUTS, 1):
         here = np.flatnonzero(chosen == number)
         if len(here):
-            taken = padded[first[here][:, None] + np.arange(count)] << _shifts(count, bits)
-            words[place[here]] = np.bitwise_or.reduce(taken, axis=1) | np.uint64(number << 60)
+            own, at = np.full(len(here), number << 60, np.uint64), first[here]
+            for k in range(count):
+                own |= padded[at + k].astype(np.uint64) << np.uint64(k * bits)
+            words[place[here]] = own
     raw = np.flatnonzero(chosen == ESCAPE)
     words[place[raw] + 1] = padded[first[raw]]
     owner = np.zeros(len(words), np.int64)

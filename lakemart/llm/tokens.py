@@ -6,7 +6,8 @@ encoded by the tokenizers library once and then looked up; texts of one corpus r
 most chunks are look-ups.
 
 The memo of a worker holds 128-bit digests of chunks and their ids in sorted arrays, about 40 bytes a chunk, so it stays
-below 32 MB. It outlives the task, as most words of one task come in the next one of the worker too.
+below 32 MB. It outlives the task, as most words of one task come in the next one of the worker too. Once it is full, the chunks
+that came only once since it was full before make room.
 """
 
 from __future__ import annotations
@@ -26,10 +27,12 @@ import xxhash
 
 #: Texts are encoded in runs of about this many bytes, so a batch of long texts needs no more memory.
 RUN_BYTES = 2 * 2**20
-#: The memo is emptied once it holds this many chunks.
+#: Chunks that the memo holds at most.
 MEMO_CHUNKS = 600_000
 #: Chunks that the library encodes at once; its own result objects are large.
 LEARNT_AT_ONCE = 8192
+#: Words that are put together for the library, as its work a text is much of that for a word.
+WORDS_A_TEXT = 64
 #: Longer chunks are encoded but not remembered.
 LONGEST_CHUNK = 64
 
@@ -41,30 +44,49 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-#: Letters (ASCII and the two-byte ones of Latin-1), then punctuation other than the apostrophe.
+#: Letters (ASCII and the two-byte ones of Latin-1) alone, and with punctuation other than the apostrophe behind them.
+LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)")
-#: Punctuation between a small letter and white space or the end.
-END_MARKS = re.compile(
-    rb"([!-&(-/:-@\[-`{-~])(?:(?<=[a-z].)|(?<=\xc3[\xa0-\xb6\xb8-\xbf].))([!-&(-/:-@\[-`{-~]*)(?=[\x20\n]|\Z)", re.S)
+#: Per byte: whether it is punctuation other than the apostrophe, a small letter, the second byte of a small letter of Latin-1.
+MARK, SMALL, SECOND = (np.array([bool(re.match(kind, bytes([byte]))) for byte in range(256)]) for kind in (
+    rb"[!-&(-/:-@\[-`{-~]", rb"[a-z]", rb"[\xa0-\xb6\xb8-\xbf]"))
+MARKS = frozenset(np.flatnonzero(MARK).tolist())
 #: A special token, or the first byte of a mark that composes with a letter.
-AS_IT_IS = re.compile(rb"<\||\xcc|\xcd")
+AS_IT_IS = (b"<|", b"\xcc", b"\xcd")
 
 
-def _plain(text: bytes) -> bytes:
-    """A text with the same ids and fewer different chunks.
+def _plain(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of texts with the same ids and fewer different chunks, in a row; where each begins, and the end).
 
     The tokenizer lower-cases, and always splits between a letter and punctuation. Not so within special
     tokens, and lower-casing first could change which marks compose: such texts stay as they are.
     """
-    return text if AS_IT_IS.search(text) else END_MARKS.sub(rb" \1\2", text.lower())
+    stays = np.array([any(sign in text for sign in AS_IT_IS) for text in texts], bool)
+    joined = b"".join([text if same else text.lower() for text, same in zip(texts, stays.tolist())])
+    ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])
+    raw = np.frombuffer(joined, np.uint8)
+    marks = np.flatnonzero(MARK[raw])
+    before = raw[marks - 1]
+    marks = marks[SMALL[before] | (SECOND[before] & (raw[marks - 2] == 0xC3))]
+    owner = np.searchsorted(ends, marks, "right") - 1
+    # The letter is of the same text.
+    cut = marks[~stays[owner] & (ends[owner] < marks)]
+    return np.insert(raw, cut, 0x20), ends + np.searchsorted(cut, ends)
 
 
 def _units(chunk: bytes) -> tuple[bytes, ...]:
     """Parts whose ids put together are the chunk's ids: the word and the punctuation behind it."""
-    word = WORD.fullmatch(chunk)
+    word = WORD.fullmatch(chunk) if chunk and chunk[-1] in MARKS else None
     return (word[1], word[2]) if word else (chunk,)
 
 
+def _values(chunks: pa.LargeStringArray) -> list[bytes]:
+    """The bytes of every chunk, none of which is null."""
+    offsets = np.frombuffer(chunks.buffers()[1], np.int64)[chunks.offset:chunks.offset + len(chunks) + 1].tolist()
+    data = chunks.buffers()[2].to_pybytes() if offsets and offsets[-1] else b""
+    return [data[start:end] for start, end in itertools.pairwise(offsets)]
+
+
 def _digests(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(chunk) for chunk in chunks]), np.uint64).reshape(-1, 2)
     return both[:, 0], both[:, 1]
@@ -82,6 +104,12 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Whether an id ends a word, for vocabularies that tell.
+        self.last = None
+        if suffix := getattr(self.tokenizer.model, "end_of_word_suffix", None):
+            vocabulary = self.tokenizer.get_vocab()
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -89,6 +117,18 @@ class ChunkEncoder:
         self.half, self.other = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         self.first, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
+        # Whether it came again since the memo was full.
+        self.again = np.zeros(0, bool)
+
+    def _make_room(self) -> None:
+        """Leave out the chunks that came only once, or all where most came again."""
+        kept = np.flatnonzero(self.again)
+        if len(kept) > MEMO_CHUNKS // 2:
+            self.forget()
+            return
+        self.flat, upto = _gathered(self.flat, self.first[kept], self.length[kept])
+        self.half, self.other, self.first, self.length = self.half[kept], self.other[kept], upto[:-1], self.length[kept]
+        self.again = np.zeros(len(kept), bool)
 
     def _known(self, half: np.ndarray, other: np.ndarray) -> np.ndarray:
         """The place of each digest in the memo, -1 where it is not there."""
@@ -97,15 +137,34 @@ class ChunkEncoder:
         at = np.minimum(np.searchsorted(self.half, half), len(self.half) - 1)
         return np.where((self.half[at] == half) & (self.other[at] == other), at, -1)
 
-    def _encoded(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of the units in a row, ids per unit), by the library."""
+    def _by_library(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the texts in a row, ids per text)."""
+        found = [one.ids for one in self.tokenizer.encode_batch_fast([text.decode() for text in texts], add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
+
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words of letters alone, several to a text: their last ids tell where each ends."""
+        ids, _ = self._by_library([b" ".join(words[at:at + WORDS_A_TEXT]) for at in range(0, len(words), WORDS_A_TEXT)])
+        ends = np.flatnonzero(self.last[ids])
+        if len(ends) != len(words) or ends[-1] != len(ids) - 1:
+            return self._by_library(words)
+        return ids, np.diff(ends, prepend=-1)
+
+    def _encoded(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """(ids of the units in a row, ids per unit, the units in that order), by the library."""
+        words, others = [], units
+        if self.last is not None:
+            words, others = [], []
+            for unit in units:
+                (words if LETTERS.fullmatch(unit) else others).append(unit)
         ids, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-        for at in range(0, len(units), LEARNT_AT_ONCE):
-            found = [one.ids for one in self.tokenizer.encode_batch_fast(
-                [unit.decode() for unit in units[at:at + LEARNT_AT_ONCE]], add_special_tokens=False)]
-            lengths.append(np.fromiter(map(len, found), np.int64, len(found)))
-            ids.append(np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths[-1].sum())))
-        return np.concatenate(ids), np.concatenate(lengths)
+        for encode, own in ((self._words, words), (self._by_library, others)):
+            for at in range(0, len(own), LEARNT_AT_ONCE):
+                found, counts = encode(own[at:at + LEARNT_AT_ONCE])
+                ids.append(found)
+                lengths.append(counts)
+        return np.concatenate(ids), np.concatenate(lengths), words + others
 
     def _stretches(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(flat ids, first id and number of ids of each chunk); new chunks go into the memo."""
@@ -118,19 +177,21 @@ class ChunkEncoder:
         unit_half, unit_other = _digests(units)
         unit_known = self._known(unit_half, unit_other)
         unknown = np.flatnonzero(unit_known < 0)
-        ids, lengths = self._encoded([units[i] for i in unknown.tolist()])
+        place = dict(zip(units, range(len(units))))
+        ids, lengths, learnt = self._encoded([units[i] for i in unknown.tolist()])
+        unknown = np.fromiter((place[unit] for unit in learnt), np.int64, len(learnt))
         flat = np.concatenate([self.flat, ids])
         unit_first, unit_length = np.empty(len(units), np.int64), np.empty(len(units), np.int64)
         old = unit_known >= 0
         unit_first[old], unit_length[old] = self.first[unit_known[old]], self.length[unit_known[old]]
         unit_first[unknown], unit_length[unknown] = len(self.flat) + np.cumsum(lengths) - lengths, lengths
-        place = dict(zip(units, range(len(units))))
         parts = np.fromiter((place[unit] for one in split for unit in one), np.int64)
         owner = np.repeat(np.arange(len(split)), np.fromiter(map(len, split), np.int64, len(split)))
         joined, _ = _gathered(flat, unit_first[parts], unit_length[parts])
         new_length = np.bincount(owner, unit_length[parts], len(split)).astype(np.int64)
         first, length = np.empty(len(chunks), np.int64), np.empty(len(chunks), np.int64)
         seen = known >= 0
+        self.again[known[seen]] = self.again[unit_known[old]] = True
         first[seen], length[seen] = self.first[known[seen]], self.length[known[seen]]
         first[new], length[new] = len(flat) + np.cumsum(new_length) - new_length, new_length
         flat = np.concatenate([flat, joined])
@@ -148,24 +209,24 @@ class ChunkEncoder:
         fresh = self._known(half, other) < 0
         half, other, first, length = half[fresh], other[fresh], first[fresh], length[fresh]
         if len(self.half) + len(half) > MEMO_CHUNKS:
-            self.forget()
-            return
+            self._make_room()
+            if len(self.half) + len(half) > MEMO_CHUNKS:
+                return
         ids, upto = _gathered(flat, first, length)
         into = np.searchsorted(self.half, half)
         self.half, self.other = np.insert(self.half, into, half), np.insert(self.other, into, other)
         self.first = np.insert(self.first, into, len(self.flat) + upto[:-1])
-        self.length = np.insert(self.length, into, length)
+        self.length, self.again = np.insert(self.length, into, length), np.insert(self.again, into, False)
         self.flat = np.concatenate([self.flat, ids])
 
     def run(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, ids per text)."""
-        plain = [_plain(text) for text in texts]
-        ends = np.concatenate([[0], np.cumsum([len(text) for text in plain])])
-        joined = pa.LargeStringArray.from_buffers(len(plain), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(plain)))
+        plain, ends = _plain(texts)
+        joined = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(plain))
         split = pc.ascii_split_whitespace(joined)
         # Each different chunk of the run is looked up once; the empty ones at the ends of texts have no ids.
         coded = split.flatten().dictionary_encode()
-        flat, first, length = self._stretches(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        flat, first, length = self._stretches(_values(coded.dictionary))
         places = coded.indices.to_numpy()
         ids, upto = _gathered(flat, first[places], length[places])
         return ids, np.diff(upto[split.offsets.to_numpy()])

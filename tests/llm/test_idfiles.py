@@ -54,3 +54,28 @@ def test_memo_gives_the_tokenizers_ids(monkeypatch):
             assert part.tolist() == plain[first + i].ids, texts[first + i]
         seen += len(counts)
     assert seen == len(texts)
+
+
+def test_a_full_memo_keeps_what_came_again(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_CHUNKS", 100)
+    memo = tokens.ChunkEncoder(tokens.vocabulary_path())
+    common = [f"{a}{b}" for a in "abcdef" for b in "ghijk"]
+    rare = [f"zz{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    for text in (common, common, rare[:60], rare[60:]):
+        memo.run([" ".join(text).encode()])
+    asked = []
+    monkeypatch.setattr(memo, "_by_library", lambda texts, real=memo._by_library: asked.append(texts) or real(texts))
+    ids, _ = memo.run([" ".join(common).encode()])
+    assert asked == [] and len(memo.half) <= 100
+    assert ids.tolist() == memo.tokenizer.encode(" ".join(common), add_special_tokens=False).ids
+
+
+def test_new_words_go_to_the_library_together(monkeypatch):
+    memo, asked = tokens.ChunkEncoder(tokens.vocabulary_path()), []
+    monkeypatch.setattr(memo, "_by_library", lambda texts, real=memo._by_library: asked.extend(texts) or real(texts))
+    text = " ".join(f"wörd{a}{b}ß, q{a}.{b}@x" for a in "abcdefgh" for b in "ijklmnop")
+    ids, counts = memo.run([b"", text.encode(), b"  "])
+    plain = memo.tokenizer.encode(text, add_special_tokens=False).ids
+    assert ids.tolist() == plain and counts.tolist() == [0, len(plain), 0]
+    assert len(asked) < 90  # 129 words, 73 marks with or without letters behind them
+    assert [len(part) for part in memo.run([b""])] == [0, 1]
