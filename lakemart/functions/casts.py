@@ -53,7 +53,10 @@ def lenient_cast(df: DataFrame, types: dict[str, T.DataType], cut_fractions: boo
 
 def epoch_ms_date(ms: Column) -> Column:
     """UTC calendar day of an epoch-millisecond value."""
-    return F.date_from_unix_date(F.floor(ms / F.lit(MS_PER_DAY).cast("decimal(20,0)")).cast("int"))
+    per_day = F.lit(MS_PER_DAY).cast("bigint")
+    # ``div`` cuts towards zero; a day before 1970 that has begun counts.
+    day = F.call_function("div", ms, per_day) - F.when(ms % per_day < 0, 1).otherwise(0)
+    return F.date_from_unix_date(day.cast("int"))
 
 
 def date_epoch_ms(day: Column) -> Column:

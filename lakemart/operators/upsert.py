@@ -29,20 +29,25 @@ def _as_target(target: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def merge_rows(
-    target: DataFrame | None, source: DataFrame, keys: Sequence[str], keep_where_null: Sequence[str] = ()
+    target: DataFrame | None, source: DataFrame, keys: Sequence[str], keep_where_null: Sequence[str] = (), scanned: bool = False
 ) -> DataFrame:
     """Upsert: matched rows are replaced by the source row, unmatched source rows are added.
 
     One full outer join, so both sides are read once. ``source`` holds one row per key (see
     ``require_unique``). A null key matches nothing, so it is always added. Columns the source lacks
-    keep their target value, and so do those of ``keep_where_null`` where the source's is null.
+    keep their target value, and so do those of ``keep_where_null`` where the source's is null. A source that is a
+    plain scan (``scanned``) and has all columns is read once for its keys, which tell the target rows that stay, and
+    once as it is: its rows are then not moved to be joined.
     """
     if target is None:
         return source
     typed = _as_target(target, source)
+    same = [F.col(quoted(name)) == F.col(quoted(_SOURCE + name)) for name in keys]
+    if scanned and not keep_where_null and typed.columns == target.columns:
+        known = typed.select(*[F.col(quoted(name)).alias(_SOURCE + name) for name in keys])
+        return target.join(known, same, "left_anti").union(typed)
     new = typed.select(
         *[F.col(quoted(name)).alias(_SOURCE + name) for name in typed.columns], F.lit(True).alias(_IN_SOURCE))
-    same = [F.col(quoted(name)) == F.col(quoted(_SOURCE + name)) for name in keys]
     met = target.join(new, same, "full_outer")
     replaced = F.col(_IN_SOURCE).isNotNull()
 
@@ -75,12 +80,15 @@ def dimension_rows(
 ) -> DataFrame:
     """The latest attributes per key, rows with a null key left out.
 
-    Equal ``order_by`` values are settled by the attributes themselves, so the choice is stable.
+    Equal ``order_by`` values are settled by the attributes themselves, so the choice is stable. Rows that
+    repeat all attributes are one before they are compared, as most of a fact's rows do.
     """
     complete = source.dropna(subset=[name for name in key])
     attributes = [name for name in columns if name in source.columns]
     ties = [name for name in attributes if name not in key and name not in order_by]
     wanted = select_present(complete, dict.fromkeys([*attributes, *order_by]))
+    if len(order_by) == 1 and order_by[0] not in attributes:
+        wanted = wanted.groupBy(*map(quoted, attributes)).agg(F.max(quoted(order_by[0])).alias(order_by[0]))
     return select_present(keep_last(wanted, key, [*order_by, *ties]), attributes)
 
 

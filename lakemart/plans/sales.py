@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from lakemart import spec
 from lakemart.functions.casts import epoch_ms_date, lenient_cast
 from lakemart.functions.nested import flatten_record
-from lakemart.operators.dedup import keep_last
+from lakemart.operators.dedup import keep_last, keep_last_of_scan
 from lakemart.operators.projection import epoch_columns_to_dates, net_amount, select_present
 from lakemart.operators.quality import all_present
 from lakemart.operators.upsert import dimension_rows
@@ -88,15 +88,16 @@ class SalesMart:
 
     def to_bronze(self, raw: DataFrame) -> None:
         if not raw.isEmpty():
-            with staged(keep_last(type_sales(raw), spec.SALES_GRAIN, [ARRIVAL]).drop(ARRIVAL)) as last:
-                self.months.learn(last, self.bronze.month(F.col("data")))
+            with staged(keep_last_of_scan(type_sales(raw), spec.SALES_GRAIN, [ARRIVAL]).drop(ARRIVAL)) as last:
+                self.months.learn(last, self.bronze.month(F.col("data")), unique=True)
                 self.bronze.merge(last, spec.SALES_GRAIN, computed=False, unique=True)
 
     def to_silver(self) -> None:
         if not self.bronze.exists():
             return
         # Bronze holds one row per transaction.
-        self.silver.merge(self.bronze.window(self.silver.window_start(self.lookback_days)), spec.SALES_GRAIN, computed=False, unique=True)
+        window = self.bronze.window(self.silver.window_start(self.lookback_days))
+        self.silver.merge(window, spec.SALES_GRAIN, computed=False, unique=True, laid_out=True)
 
     def to_gold(self) -> None:
         if not self.silver.exists():
@@ -110,7 +111,7 @@ class SalesMart:
 
         # The fact's watermark sets the next window, so it moves only once the dimensions are published.
         run_together([partial(publish, dim) for dim in spec.SALES_DIMENSIONS])
-        self.fact.merge(sales_fact(rows), spec.SALES_GRAIN, computed=False, unique=True)
+        self.fact.merge(sales_fact(rows), spec.SALES_GRAIN, computed=False, unique=True, laid_out=True)
 
     def load(self, flat: DataFrame, ingestion_date: dt.date) -> None:
         """One whole run, from flat records to gold."""

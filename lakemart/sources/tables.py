@@ -247,7 +247,7 @@ class MappedTable:
 
     def merge(
         self, source: DataFrame, keys: Sequence[str], keep_where_null: Sequence[str] = (), computed: bool = True,
-        batch: tuple[str, int] | None = None, unique: bool = False,
+        batch: tuple[str, int] | None = None, unique: bool = False, laid_out: bool = False,
     ) -> None:
         """Upsert by key, rewriting only the partitions that gain or lose a row.
 
@@ -255,7 +255,8 @@ class MappedTable:
         copied. Keys that the source holds twice are refused, unless it is known to hold each once
         (``unique``); an empty source changes nothing. Columns of
         ``keep_where_null`` keep their value where the source has none. A ``batch`` (stream, number) that the table has
-        taken in already is left out: a stream that repeats it after a failure adds no load.
+        taken in already is left out: a stream that repeats it after a failure adds no load. A source whose files each hold one
+        partition (``laid_out``), as those of a table of the same layout do, is written as it lies where there is nothing to merge with.
         """
         notes = {}
         if batch is not None:
@@ -273,7 +274,8 @@ class MappedTable:
             if self.exists():
                 touched = list({*touched, *self._found(rows, keys, touched)})
                 current = self._in(touched)
-            self._publish(merge_rows(current, rows, keys, keep_where_null), touched, **notes)
+            merged = merge_rows(current, rows, keys, keep_where_null, scanned=True)
+            self._publish(merged, touched, rebalance=current is not None or not laid_out, **notes)
 
     # -- maintenance --
 
@@ -379,12 +381,18 @@ class KeyMonths(BucketedTable):
     serves all tables through which the same rows pass.
     """
 
-    def learn(self, rows: DataFrame, month: Column) -> None:
-        """Add the months of the keys of ``rows``; rows without key or month are left out."""
-        fresh = rows.select(*map(quoted, self.keys), month.alias("month")).dropna().groupBy(*map(quoted, self.keys)).agg(
-            F.collect_set("month").alias("fresh"))
+    def learn(self, rows: DataFrame, month: Column, unique: bool = False) -> None:
+        """Add the months of the keys of ``rows``, a plain scan where it holds each key once (``unique``).
+
+        Rows without key or month are left out.
+        """
+        known = rows.select(*map(quoted, self.keys), month.alias("month")).dropna()
+        if unique:
+            fresh = known.select(*map(quoted, self.keys), F.array("month").alias("fresh"))
+        else:
+            fresh = known.groupBy(*map(quoted, self.keys)).agg(F.collect_set("month").alias("fresh"))
         if not self.exists():
-            self.merge(fresh.withColumnRenamed("fresh", "months"), unique=True)
+            self.merge(fresh.withColumnRenamed("fresh", "months"), computed=not unique, unique=True)
             return
         with staged(fresh) as new:
             joined = new.join(self.of_keys(new), self.keys, "left")

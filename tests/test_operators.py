@@ -35,6 +35,18 @@ def test_keep_last_sorts_by_a_hash_of_the_grain(spark, rows):
     assert "SortAggregate(key=[_grain" in plan or "keys=[_grain" in plan or "xxhash64(d" in plan
 
 
+@pytest.mark.parametrize("repeats", [0, 1, 30])
+def test_keep_last_of_scan_moves_only_repeated_grains(spark, rows, tmp_path, repeats):
+    again = [("k3", 100 + n, "late") for n in range(repeats)] + [(None, 100 + n, "null") for n in range(repeats)]
+    items = [(None, 7, "x"), *[(f"k{n}", n, "v") for n in range(60)], *again]
+    spark.createDataFrame(items, "k string, o int, v string").write.parquet(str(tmp_path / "t"))
+    frame = spark.read.parquet(str(tmp_path / "t"))
+    last = dedup.keep_last_of_scan(frame, ["k"], ["o"])
+    assert rows(last, *frame.columns) == rows(dedup.keep_last(frame, ["k"], ["o"])) and len(rows(last)) == 61
+    plan = last._jdf.queryExecution().optimizedPlan().toString()
+    assert ("max_by" in plan, "LeftAnti" in plan) == (repeats > 0, repeats == 1)
+
+
 def test_keep_last_keeps_null_attributes_of_the_winner(spark, rows):
     frame = spark.createDataFrame([("a", 1, "old"), ("a", 2, None)], "k string, o int, v string")
     assert rows(dedup.keep_last(frame, ["k"], ["o"])) == [("a", 2, None)]
@@ -50,6 +62,25 @@ def test_merge_first_run_overlap_and_null_keys(spark, rows):
     assert rows(upsert.merge_rows(target, source.limit(0), ["data", "id"])) == rows(target)
 
 
+def test_merge_of_a_scan_joins_its_keys_alone(spark, rows):
+    target = spark.createDataFrame([(day(0), "a", 1.0), (day(0), None, 2.0), (day(1), "b", 3.0)], FRAME)
+    source = spark.createDataFrame([(9, "a", day(0)), (8, None, day(0)), (7, "c", day(2))], "m int, id string, data date")
+    merged = upsert.merge_rows(target, source, ["data", "id"], scanned=True)
+    assert rows(merged) == rows(upsert.merge_rows(target, source, ["data", "id"])) and merged.schema == target.schema
+    assert "FullOuter" not in merged._jdf.queryExecution().optimizedPlan().toString()
+    part = upsert.merge_rows(target, source.drop("m"), ["data", "id"], scanned=True)
+    assert rows(part) == rows(upsert.merge_rows(target, source.drop("m"), ["data", "id"]))
+
+
+def test_rows_of_equal_attributes_are_one_before_the_latest_is_taken(spark, rows):
+    frame = spark.createDataFrame(
+        [(1, day(0), "a", None), (1, day(2), "a", None), (1, day(2), "b", 1), (1, None, "z", 9), (2, None, "c", 2), (None, day(0), "d", 3)],
+        "id int, data date, name string, n int")
+    latest = upsert.dimension_rows(frame, ["id"], ["id", "name", "n"], ["data"])
+    assert rows(latest) == [(1, "b", 1), (2, "c", 2)]
+    assert "partial_max(data" in latest._jdf.queryExecution().sparkPlan().toString() or "max(data" in latest._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_merge_keeps_columns_the_source_lacks_and_refuses_new_ones(spark, rows):
     target = spark.createDataFrame([("a", "kept", 1)], "id string, name string, n int")
     source = spark.createDataFrame([("a", 2), ("b", 3)], "id string, n int")

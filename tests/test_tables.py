@@ -355,3 +355,15 @@ def test_a_map_cut_off_by_a_failure_is_written_again(spark, rows, tmp_path):
     assert content(table, rows) == expected((0, "a", 1.0)) and len(table.loads()) == 1
     table.merge(frame(spark, (0, "a", 2.0)), GRAIN)
     assert content(table, rows) == expected((0, "a", 2.0)) and len(table.loads()) == 2
+
+
+def test_a_first_load_that_is_laid_out_is_written_as_it_lies(spark, rows, tmp_path):
+    first, second = (PartitionedTable(spark, str(tmp_path / name), "data", by_month=True) for name in "ab")
+    first.merge(frame(spark, *[(n, f"k{n}", 1.0) for n in range(90)]), ["id"])
+    spread, publish = [], second._publish
+    second._publish = lambda *a, **b: spread.append(b["rebalance"]) or publish(*a, **b)
+    for _ in range(2):
+        second.merge(first.read(), ["id"], computed=False, laid_out=True)
+    assert spread == [False, True] and rows(second.read()) == rows(first.read())
+    files = lambda table: len([*(tmp_path / table / "load=0").rglob("*.parquet")])
+    assert files("b") == files("a")
